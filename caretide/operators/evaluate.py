@@ -170,7 +170,8 @@ def roc_points(scored: DataFrame, keys: Sequence[str] = KEYS,
     if drop_collinear:
         # a point lies on a straight run when the step after it repeats its own
         bend = (F.col("pos") != F.col("next_pos")) | (F.col("neg") != F.col("next_neg"))
-        curve = curve.where(F.col("next_pos").isNull() | bend)
+        first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
+        curve = curve.where(first | F.col("next_pos").isNull() | bend)
     points = curve.select(
         *keys,
         F.try_divide("fp", "neg_total").alias("fpr"),

@@ -6,7 +6,7 @@ columns are absent, so the steps compose on partial tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from caretide import schema as S
 from caretide.functions import clinical as C
@@ -127,3 +127,12 @@ def engineered_table(raw: DataFrame) -> DataFrame:
 def modelling_table(raw: DataFrame) -> DataFrame:
     """Row id, the model's features in order, and the label."""
     return require_columns(engineered_table(raw), [S.ROW_ID, *S.FEATURES, S.LABEL])
+
+
+def comorbidity_summary(df: DataFrame) -> DataFrame:
+    """Mean score and the share of rows with a positive score."""
+    score = column("elixhauser_score")
+    return df.agg(
+        F.avg(score).alias("mean_score"),
+        F.avg((score > 0).cast("int")).alias("positive_share"),
+    )

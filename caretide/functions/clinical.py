@@ -20,6 +20,10 @@ def column(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def quoted(names: list[str]) -> list[str]:
+    return [f"`{n}`" for n in names]
+
+
 def lookup(value: Column, mapping: dict) -> Column:
     """``mapping[value]``, null for keys the mapping does not hold."""
     pairs = [F.lit(part) for pair in mapping.items() for part in pair]
@@ -35,9 +39,14 @@ def total(terms: list[Column]) -> Column:
     return reduce(add, terms)
 
 
-def null_sentinel(value: Column, literals: list[str]) -> Column:
+def texts(values: list[str]) -> str:
+    """The values as a SQL list of text literals."""
+    return ", ".join(f"'{v}'" for v in values)
+
+
+def null_sentinel(name: str, literals: list[str]) -> Column:
     """Null where the text is one of the literals that stand for missing."""
-    return F.when(~value.isin(*literals), value)
+    return F.expr(f"case when `{name}` not in ({texts(literals)}) then `{name}` end")
 
 
 def label_30day(value: Column) -> Column:
@@ -73,14 +82,14 @@ def high_utilizer(inpatient: Column) -> Column:
     return is_true(inpatient >= 2)
 
 
-def medication_burden(doses: list[Column]) -> Column:
+def medication_burden(names: list[str] = S.MEDICATIONS) -> Column:
     """How many doses are neither absent nor steady; a null dose counts."""
-    return total([1 - is_true(d.isin("No", "Steady")) for d in doses])
+    return F.expr(" + ".join(f"if(`{m}` in ('No', 'Steady'), 0, 1)" for m in names))
 
 
-def active_medications(doses: list[Column]) -> Column:
+def active_medications(names: list[str] = S.MEDICATIONS) -> Column:
     """How many doses differ from ``No``; a null dose counts."""
-    return total([1 - is_true(d == "No") for d in doses])
+    return F.expr(" + ".join(f"if(`{m}` = 'No', 0, 1)" for m in names))
 
 
 def insulin_level(dose: Column) -> Column:

@@ -1,71 +1,81 @@
-"""Diagnosis-code grouping and comorbidity scoring as column expressions."""
+"""Diagnosis-code grouping and comorbidity scoring as column expressions.
 
-from __future__ import annotations
+The functions take column names and build one SQL expression each: the rules
+are long lists, and a single text is parsed much faster than a tree that is
+put together call by call.
+"""
 
-import re
+from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
 from caretide import schema as S
-from caretide.functions.clinical import is_true, total
+from caretide.functions.clinical import is_true, texts, total
 
-_BLANKS = " \t\n\r\f\x0b"
 # Spark's cast reads a trailing D or F as a Java type suffix, so only text
 # that is a plain decimal number is cast.
-_DECIMAL = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+_DECIMAL = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+_BLANKS = r"concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
 # Codes are joined by a character no code holds, so that one match per
 # category covers all of a row's codes.
 _SEPARATOR = "\x01"
 
 
-def normalized(code: Column) -> Column:
-    return F.upper(F.btrim(code, F.lit(_BLANKS)))
+def _normalized(code: str) -> str:
+    return f"upper(btrim(`{code}`, {_BLANKS}))"
+
+
+def _matching(code: str) -> str:
+    missing = f"`{code}` is null or `{code}` = '{S.MISSING}' or lower(`{code}`) = 'nan'"
+    return f"if({missing}, '', {_normalized(code)})"
+
 
+def normalized(code: str) -> Column:
+    return F.expr(_normalized(code))
 
-def matching_code(code: Column) -> Column:
+
+def matching_code(code: str) -> Column:
     """The code as the comorbidity prefixes expect it; missing becomes ``""``."""
-    missing = code.isNull() | (code == S.MISSING) | (F.lower(code) == "nan")
-    return F.when(missing, "").otherwise(normalized(code))
+    return F.expr(_matching(code))
 
 
-def diagnosis_group(code: Column) -> Column:
+def diagnosis_group(code: str) -> Column:
     """The clinical group of one ICD-9 code.
 
     Ranges end on whole codes: 459.81 lies past 459 and is ``Other``.
     """
-    text = normalized(code)
-    number = F.when(text.rlike(_DECIMAL), text.try_cast("double"))
-    group = F.when(code.isNull() | code.isin(*S.MISSING_DIAGNOSES), "Missing")
-    group = group.when(text.startswith("V") | text.startswith("E"), "Other")
+    text = _normalized(code)
+    number = f"if({text} rlike '{_DECIMAL}', try_cast({text} as double), null)"
+    whens = [
+        f"when `{code}` is null or `{code}` in ({texts(S.MISSING_DIAGNOSES)}) then 'Missing'",
+        f"when startswith({text}, 'V') or startswith({text}, 'E') then 'Other'",
+    ]
     for name, low, high, closed, single in S.DIAGNOSIS_GROUPS:
-        inside = (number >= low) & ((number <= high) if closed else (number < high))
+        inside = f"{number} >= {low} and {number} {'<=' if closed else '<'} {high}"
         if single is not None:
-            inside = inside | (number == single)
-        group = group.when(inside, name)
-    return group.otherwise("Other")
+            inside = f"({inside}) or {number} = {single}"
+        whens.append(f"when {inside} then '{name}'")
+    return F.expr(f"case {' '.join(whens)} else 'Other' end")
 
 
 def any_diabetes(groups: list[Column]) -> Column:
     return F.greatest(*[is_true(g == "Diabetes") for g in groups])
 
 
-def _category_pattern(prefixes: list[str]) -> str:
-    return f"(?:^|{_SEPARATOR})(?:{'|'.join(re.escape(p) for p in prefixes)})"
-
-
-def joined_codes(codes: list[Column]) -> Column:
-    return F.concat_ws(_SEPARATOR, *[matching_code(c) for c in codes])
+def joined_codes(codes: list[str]) -> Column:
+    return F.expr(f"concat_ws('{_SEPARATOR}', {', '.join(_matching(c) for c in codes)})")
 
 
-def comorbidity_flags(codes: Column) -> dict[str, Column]:
+def comorbidity_flags(codes: str) -> dict[str, Column]:
     """One 0/1 column per category over the text of :func:`joined_codes`."""
-    return {
-        name: codes.rlike(_category_pattern(prefixes)).cast("int")
-        for name, prefixes in S.COMORBIDITY_PREFIXES.items()
-    }
+    flags = {}
+    for name, prefixes in S.COMORBIDITY_PREFIXES.items():
+        starts = "|".join(p.replace(".", "[.]") for p in prefixes)
+        flags[name] = F.expr(f"int(`{codes}` rlike '(?:^|{_SEPARATOR})(?:{starts})')")
+    return flags
 
 
-def comorbidity_score(codes: Column) -> Column:
+def comorbidity_score(codes: str) -> Column:
     """The weighted score; a category counts once per row."""
     flags = comorbidity_flags(codes)
     terms = [

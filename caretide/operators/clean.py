@@ -15,9 +15,11 @@ def text_columns(df: DataFrame) -> list[str]:
 
 def replace_sentinel(df: DataFrame, sentinel: str = S.MISSING) -> DataFrame:
     """Null for the sentinel in every text column, in one projection."""
-    return df.withColumns(
-        {c: C.null_sentinel(column(c), [sentinel]) for c in text_columns(df)}
-    )
+    texts = set(text_columns(df))
+    return df.selectExpr(*[
+        f"nullif(`{c}`, '{sentinel}') as `{c}`" if c in texts else f"`{c}`"
+        for c in df.columns
+    ])
 
 
 def drop_unused(df: DataFrame, keep_id: bool = True) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from caretide import schema as S
 from caretide.functions import clinical as C
-from caretide.functions.clinical import column
+from caretide.functions.clinical import column, quoted
 from caretide.operators.clean import is_terminal
 from caretide.operators.ranking import exact_quantiles
 
@@ -17,10 +17,10 @@ from caretide.operators.ranking import exact_quantiles
 def missing_percent(df: DataFrame) -> DataFrame:
     """Percent of missing values per column, the worst first, zeros left out."""
     shares = df.agg(
-        *[(F.avg(column(c).isNull().cast("int")) * 100).alias(c) for c in df.columns]
+        *[F.expr(f"avg(int(`{c}` is null)) * 100 as `{c}`") for c in df.columns]
     )
     return (
-        shares.unpivot([], [column(c) for c in df.columns], "column", "missing_pct")
+        shares.unpivot([], quoted(df.columns), "column", "missing_pct")
         .where("missing_pct > 0")
         .orderBy(F.desc("missing_pct"), "column")
     )
@@ -61,9 +61,9 @@ def rate_by(df: DataFrame, key: str, label: str, name: str = "value") -> DataFra
 def rate_by_attributes(df: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
     """:func:`rate_by` for many keys in one pass, next to the overall rate."""
     overall = df.agg(F.avg(column(label)).alias("overall")).scalar()
-    long = df.select(
-        column(label).alias("_label"), *[column(k).cast("string").alias(k) for k in keys]
-    ).unpivot("_label", [column(k) for k in keys], "attribute", "value")
+    long = df.selectExpr(
+        f"`{label}` as _label", *[f"string(`{k}`) as `{k}`" for k in keys]
+    ).unpivot("_label", quoted(keys), "attribute", "value")
     return (
         long.where("value is not null")
         .groupBy("attribute", "value")
@@ -75,8 +75,8 @@ def rate_by_attributes(df: DataFrame, keys: Sequence[str], label: str) -> DataFr
 def value_table(df: DataFrame, columns: Sequence[str], kind: str = "string") -> DataFrame:
     """Long counts ``(attribute, value, n)`` over several columns, one pass."""
     return (
-        df.select(*[column(c).cast(kind).alias(c) for c in columns])
-        .unpivot([], [column(c) for c in columns], "attribute", "value")
+        df.selectExpr(*[f"{kind}(`{c}`) as `{c}`" for c in columns])
+        .unpivot([], quoted(columns), "attribute", "value")
         .groupBy("attribute", "value")
         .agg(F.count("*").alias("n"))
     )
@@ -127,15 +127,13 @@ def top_values(df: DataFrame, columns: Sequence[str], n: int = 10) -> DataFrame:
 
 
 def burden_distribution(df: DataFrame) -> DataFrame:
-    doses = [column(c) for c in S.MEDICATIONS]
-    return df.groupBy(C.medication_burden(doses).alias("score")).agg(
+    return df.groupBy(C.medication_burden().alias("score")).agg(
         F.count("*").alias("n")
     ).orderBy("score")
 
 
 def active_distribution(df: DataFrame) -> DataFrame:
-    doses = [column(c) for c in S.MEDICATIONS]
-    return df.groupBy(C.active_medications(doses).alias("active")).agg(
+    return df.groupBy(C.active_medications().alias("active")).agg(
         F.count("*").alias("n")
     ).orderBy("active")
 
@@ -169,22 +167,15 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     All pairs are aggregated in one pass; the lower triangle comes out as rows.
     """
     pairs = list(combinations(columns, 2))
-    numbers = df.select(*[column(c).cast("double").alias(c) for c in columns])
-    known = {
-        (a, b): (
-            F.when(column(b).isNotNull(), column(a)),
-            F.when(column(a).isNotNull(), column(b)),
-        )
-        for a, b in pairs
-    }
-    row = numbers.agg(*[
-        F.corr(*known[pair]).alias(f"p{i}") for i, pair in enumerate(pairs)
-    ])
-    entries = F.array(*[
-        F.struct(F.lit(b).alias("row"), F.lit(a).alias("column"), F.col(f"p{i}").alias("corr"))
+    # corr leaves out the rows in which either side is null
+    row = df.selectExpr(*[f"double(`{c}`) as `{c}`" for c in columns]).agg(
+        *[F.expr(f"corr(`{a}`, `{b}`) as p{i}") for i, (a, b) in enumerate(pairs)]
+    )
+    entries = ", ".join(
+        f"struct('{b}' as row, '{a}' as column, p{i} as corr)"
         for i, (a, b) in enumerate(pairs)
-    ])
-    return row.select(F.inline(entries))
+    )
+    return row.selectExpr(f"inline(array({entries}))")
 
 
 def leakage_audit(df: DataFrame, label: str) -> DataFrame:
@@ -257,8 +248,8 @@ def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.col("value").try_cast("bigint"), "value"
     )
     return (
-        df.select(*[column(c).cast("string").alias(c) for c in columns])
-        .unpivot([], [column(c) for c in columns], "attribute", "value")
+        df.selectExpr(*[f"string(`{c}`) as `{c}`" for c in columns])
+        .unpivot([], quoted(columns), "attribute", "value")
         .where("value is not null")
         .distinct()
         .withColumn("position", F.row_number().over(order))

@@ -21,7 +21,7 @@ def _has(df: DataFrame, *names: str) -> bool:
 
 def add_diagnosis_groups(df: DataFrame) -> DataFrame:
     present = [c for c in S.DIAGNOSES if c in df.columns]
-    df = df.withColumns({f"{c}_group": D.diagnosis_group(column(c)) for c in present})
+    df = df.withColumns({f"{c}_group": D.diagnosis_group(c) for c in present})
     if len(present) == len(S.DIAGNOSES):
         groups = [column(f"{c}_group") for c in S.DIAGNOSES]
         df = df.withColumn("has_diabetes_diag", D.any_diabetes(groups))
@@ -46,10 +46,9 @@ def add_utilization(df: DataFrame) -> DataFrame:
 def add_medications(df: DataFrame) -> DataFrame:
     """Fold the medication columns, all of which must exist, into three."""
     require_columns(df, S.MEDICATIONS)
-    doses = [column(c) for c in S.MEDICATIONS]
     return df.withColumns({
-        "polypharmacy_score": C.medication_burden(doses),
-        "num_active_medications": C.active_medications(doses),
+        "polypharmacy_score": C.medication_burden(),
+        "num_active_medications": C.active_medications(),
         "insulin_intensity": C.insulin_level(column("insulin")),
     }).drop(*S.MEDICATIONS)
 
@@ -87,20 +86,20 @@ def add_groups(df: DataFrame) -> DataFrame:
 
 
 def add_comorbidity(df: DataFrame) -> DataFrame:
-    codes = [column(c) for c in S.DIAGNOSES if c in df.columns]
+    codes = [c for c in S.DIAGNOSES if c in df.columns]
     # named first, so the joined text is built once for all categories
     return (
         df.withColumn("_codes", D.joined_codes(codes))
-        .withColumn("elixhauser_score", D.comorbidity_score(column("_codes")))
+        .withColumn("elixhauser_score", D.comorbidity_score("_codes"))
         .drop("_codes")
     )
 
 
 def comorbidity_table(df: DataFrame, *keep: str) -> DataFrame:
     """The categories as 0/1 columns next to ``keep``."""
-    codes = [column(c) for c in S.DIAGNOSES if c in df.columns]
+    codes = [c for c in S.DIAGNOSES if c in df.columns]
     named = df.select(*[column(k) for k in keep], D.joined_codes(codes).alias("_codes"))
-    return named.withColumns(D.comorbidity_flags(column("_codes"))).drop("_codes")
+    return named.withColumns(D.comorbidity_flags("_codes")).drop("_codes")
 
 
 def derive_features(df: DataFrame) -> DataFrame:

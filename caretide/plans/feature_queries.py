@@ -178,7 +178,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     codes = encounters(spark, sf_dir, S.DIAGNOSES).unpivot([], S.DIAGNOSES, "which", "code")
     counts = codes.groupBy("code").agg(F.count("*").alias("n"))
-    return counts.withColumn("diagnosis_group", D.diagnosis_group(F.col("code")))
+    return counts.withColumn("diagnosis_group", D.diagnosis_group("code"))
 
 
 @query("f17_diagnosis_columns", sql(f"SELECT encounter_id, {O._select(O._GROUPS)} FROM t_null"))
@@ -197,7 +197,7 @@ def _(spark, sf_dir):
     OR lower(diag_1) = 'nan' THEN '' ELSE upper(trim(diag_1)) END AS code FROM t_raw"""))
 def _(spark, sf_dir):
     df = encounters(spark, sf_dir, [_ID, "diag_1"])
-    return df.select(_ID, D.matching_code(F.col("diag_1")).alias("code"))
+    return df.select(_ID, D.matching_code("diag_1").alias("code"))
 
 
 @query("f20_comorbidity_flags", sql(f"SELECT encounter_id, {', '.join(f'{O.category_flag(c)} AS {c}' for c in S.COMORBIDITY_PREFIXES)} FROM t_null"))

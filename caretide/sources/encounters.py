@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from caretide import schema as S
 from caretide.functions import clinical as C
-from caretide.functions.clinical import column
+from caretide.functions.clinical import column, quoted
 from caretide.operators.clean import text_columns
 
 
@@ -33,7 +33,7 @@ def read_encounters(spark: SparkSession, path: str, fmt: str = "csv",
 
 def null_out_literals(df: DataFrame) -> DataFrame:
     return df.withColumns(
-        {c: C.null_sentinel(column(c), S.NULL_LITERALS) for c in text_columns(df)}
+        {c: C.null_sentinel(c, S.NULL_LITERALS) for c in text_columns(df)}
     )
 
 
@@ -68,8 +68,10 @@ def label_distribution(df: DataFrame, label: str = S.RAW_LABEL) -> DataFrame:
 
 def null_counts(df: DataFrame) -> DataFrame:
     """One row per column: how many of its values are null."""
-    counted = df.agg(*[F.count_if(column(c).isNull()).alias(c) for c in df.columns])
-    return counted.unpivot([], [column(c) for c in df.columns], "column", "n_null")
+    counted = df.groupBy().agg(
+        *[F.expr(f"count_if(`{c}` is null) as `{c}`") for c in df.columns]
+    )
+    return counted.unpivot([], quoted(df.columns), "column", "n_null")
 
 
 def worst_nulls(df: DataFrame, n: int = 10) -> DataFrame:

@@ -130,7 +130,7 @@ def encounters(spark: SparkSession, sf_dir: str,
             .agg(F.count("*").alias("n"))
         )
         base = base.join(lines, "k", "left")
-    return base.select(*[F.expr(rules[name]).alias(name) for name in wanted])
+    return base.selectExpr(*[f"{rules[name]} as `{name}`" for name in wanted])
 
 
 def lookup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,3 +94,20 @@ def audit_view(audit: DataFrame, small: int = 100, digits: int = 3) -> DataFrame
             ),
         )
     )
+
+
+def ordered_groups(audit: DataFrame) -> DataFrame:
+    """Each subgroup's place by size within its attribute."""
+    by_size = Window.partitionBy("Attribute").orderBy(F.desc("N"), "Subgroup")
+    return audit.withColumn("place", F.row_number().over(by_size))
+
+
+def full_audit(scored: DataFrame, threshold: float) -> DataFrame:
+    """The audit with report, weakness and disparity flags on every subgroup."""
+    audit = audit_table(scored, threshold)
+    flags = disparities(audit).drop("tpr_gap", "ppv_gap")
+    # one row per audited attribute is broadcast
+    joined = flag_weak_groups(audit).join(F.broadcast(flags), "Attribute", "left")
+    return joined.withColumn("reported", (F.col("N") >= 50).cast("int")).na.fill(
+        0, ["equalized_odds_violated", "predictive_parity_violated"]
+    )

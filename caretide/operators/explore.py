@@ -254,3 +254,16 @@ def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         .distinct()
         .withColumn("position", F.row_number().over(order))
     )
+
+
+def value_shares(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Counts per value with their percentage of the column's rows."""
+    everything = F.sum("n").over(Window.partitionBy("attribute"))
+    return value_table(df, columns).withColumn("pct", F.col("n") * 100 / everything)
+
+
+def value_difference(df: DataFrame, column_a: str, column_b: str) -> DataFrame:
+    """Distinct non-null values of one column that another does not hold."""
+    a = df.select(column(column_a).alias("value")).where("value is not null").distinct()
+    b = df.select(column(column_b).alias("value"))
+    return a.join(b, "value", "left_anti")

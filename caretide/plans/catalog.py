@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from caretide.plans import feature_queries, source_queries  # noqa: F401
+from caretide.plans import (  # noqa: F401
+    evaluation_queries,
+    explore_queries,
+    feature_queries,
+    source_queries,
+)
 from caretide.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -1,15 +1,16 @@
 """Exact running totals and order statistics without a global sort.
 
-A window without a partition key would move every row to one task. Here values
-are first reduced to one row per distinct value (with map-side combining, so
-ties and hot values shrink before the shuffle), then cut into value ranges of
-about equal weight. Each range is summed on its own; one small table of range
-totals supplies what lies before it.
-
-The range edges are read to the driver once and become literals of the plan.
-They come from a sketch and only steer the balance: any edges give the same
-exact result. As literals they cannot change when a lost task is run again,
-which could not be said of edges computed inside the plan.
+A window without a partition key would move every row to one task. Here rows
+are first reduced to one row per distinct value, with map-side combining, so
+that ties and hot values shrink before the shuffle. That table of counts is
+written once. If it is small, one window per key finishes the work. If not, it
+is cut into value ranges of about equal size; each range is summed on its own,
+and a table of range totals supplies what lies before it.
+
+The range edges are read to the driver and become literals of the plan. They
+come from a sketch and only steer the balance: any edges give the same exact
+result. As literals they cannot change when a lost task is run again, which
+could not be said of edges computed inside the plan.
 """
 
 from __future__ import annotations
@@ -17,31 +18,42 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from caretide.functions.clinical import column
+from caretide.functions.clinical import column, quoted
+from caretide.session import materialize
 
 RANGES = 1024
+SMALL_ROWS = 200_000
+
+
+def _doubles(values) -> str:
+    """The numbers as a SQL array of doubles; one text parses at once."""
+    return "array(" + ", ".join(f"double('{float(v)!r}')" for v in values) + ")"
 
 
 def range_edges(df: DataFrame, value: str, ranges: int = RANGES) -> list[float]:
     """At most ``ranges - 1`` increasing cut points of ``value``."""
-    shares = [i / ranges for i in range(1, ranges)]
-    sketch = df.agg(
-        F.percentile_approx(column(value), shares, 10 * ranges).alias("edges")
-    ).first()["edges"]
-    return sorted({float(e) for e in sketch or [0.0]})
+    shares = _doubles(i / ranges for i in range(1, ranges))
+    sketch = df.selectExpr(
+        f"percentile_approx(double(`{value}`), {shares}, {10 * ranges})"
+    ).first()[0]
+    return sorted(set(sketch or [0.0]))
+
 
+def with_range(df: DataFrame, value: str, ranges: int) -> DataFrame:
+    """Add ``_range``, the number of the value range each row falls into."""
+    splits = [float("-inf"), *range_edges(df, value, ranges), float("inf")]
+    return Bucketizer(splits=splits, inputCol=value, outputCol="_range").transform(df)
 
-def with_range(df: DataFrame, value: str, edges: list[float], name: str = "_range") -> DataFrame:
-    """Add the number of the value range each row falls into."""
-    splits = [float("-inf"), *edges, float("inf")]
-    return Bucketizer(splits=splits, inputCol=value, outputCol=name).transform(df)
+
+def _zero_if_first(total: Column) -> Column:
+    return F.coalesce(total, F.lit(0).cast("bigint"))
 
 
 def score_curve(scored: DataFrame, keys: Sequence[str] = ("model",),
                 label: str = "label", score: str = "score",
-                edges: list[float] | None = None) -> DataFrame:
+                small: int = SMALL_ROWS, ranges: int = RANGES) -> DataFrame:
     """One row per key and distinct score, with exact cumulative counts.
 
     ``pos`` and ``neg`` count the rows at the score, ``tp`` and ``fp`` those at
@@ -49,34 +61,47 @@ def score_curve(scored: DataFrame, keys: Sequence[str] = ("model",),
     ``next_pos`` and ``next_neg`` those at the next lower score.
     """
     keys = list(keys)
-    if edges is None:
-        edges = range_edges(scored, score)
-    counts = with_range(
+    counts = materialize(
         scored.groupBy(*keys, column(score).alias("score")).agg(
             F.count_if(column(label) == 1).alias("pos"),
             F.count_if(column(label) == 0).alias("neg"),
         ),
-        "score", edges,
+        "score-counts",
     )
-    top = F.max_by(F.struct("pos", "neg"), "score")
-    ranges = counts.groupBy(*keys, "_range").agg(
-        F.sum("pos").alias("range_pos"), F.sum("neg").alias("range_neg"), top.alias("top")
+    step = F.struct("pos", "neg")
+    if counts.count() <= small:
+        falling = Window.partitionBy(*keys).orderBy(F.desc("score"))
+        so_far = falling.rowsBetween(Window.unboundedPreceding, 0)
+        everything = Window.partitionBy(*keys)
+        curve = counts.select(
+            *keys, "score", "pos", "neg",
+            F.sum("pos").over(so_far).alias("tp"), F.sum("neg").over(so_far).alias("fp"),
+            F.sum("pos").over(everything).alias("pos_total"),
+            F.sum("neg").over(everything).alias("neg_total"),
+            F.lead(step).over(falling).alias("_next"),
+        )
+        return curve.select(
+            "*", F.col("_next.pos").alias("next_pos"), F.col("_next.neg").alias("next_neg")
+        ).drop("_next")
+    counts = with_range(counts, "score", ranges)
+    totals = counts.groupBy(*keys, "_range").agg(
+        F.sum("pos").alias("range_pos"), F.sum("neg").alias("range_neg"),
+        F.max_by(step, "score").alias("top"),
     )
     falling = Window.partitionBy(*keys).orderBy(F.desc("_range"))
     above = falling.rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy(*keys)
-    zero = F.lit(0).cast("bigint")
-    offsets = ranges.select(
+    offsets = totals.select(
         *keys, "_range",
-        F.coalesce(F.sum("range_pos").over(above), zero).alias("pos_above"),
-        F.coalesce(F.sum("range_neg").over(above), zero).alias("neg_above"),
+        _zero_if_first(F.sum("range_pos").over(above)).alias("pos_above"),
+        _zero_if_first(F.sum("range_neg").over(above)).alias("neg_above"),
         F.sum("range_pos").over(everything).alias("pos_total"),
         F.sum("range_neg").over(everything).alias("neg_total"),
         F.lead("top").over(falling).alias("next_top"),
     )
     inside = Window.partitionBy(*keys, "_range").orderBy(F.desc("score"))
     so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
-    following = F.coalesce(F.lead(F.struct("pos", "neg")).over(inside), F.col("next_top"))
+    following = F.coalesce(F.lead(step).over(inside), F.col("next_top"))
     return (
         counts.join(offsets, [*keys, "_range"])
         .select(
@@ -85,64 +110,60 @@ def score_curve(scored: DataFrame, keys: Sequence[str] = ("model",),
             (F.col("neg_above") + F.sum("neg").over(so_far)).alias("fp"),
             "pos_total", "neg_total", following.alias("_next"),
         )
-        .withColumns({"next_pos": F.col("_next.pos"), "next_neg": F.col("_next.neg")})
+        .select("*", F.col("_next.pos").alias("next_pos"), F.col("_next.neg").alias("next_neg"))
         .drop("_next")
     )
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str],
-                    shares: Sequence[float] = (0.5,), ranges: int = 64) -> DataFrame:
-    """Exact linear-interpolation quantiles: ``(column, share, value)``.
-
-    Works on the table of distinct values and their counts, so the cost after
-    one scan depends on how many values there are, not on how many rows.
-    """
-    columns, shares = list(columns), list(shares)
-    cuts = [i / ranges for i in range(1, ranges)]
-    sketch = df.agg(*[
-        F.percentile_approx(column(c).cast("double"), cuts, 100 * ranges).alias(c)
-        for c in columns
-    ]).first()
-    cut_arrays = F.create_map(*[
-        part
-        for c in columns
-        for part in (F.lit(c), F.array(*[F.lit(e) for e in sorted(set(sketch[c] or [0.0]))]))
-    ])
-    counts = (
-        df.select(*[column(c).cast("double").alias(c) for c in columns])
-        .unpivot([], [column(c) for c in columns], "column", "value")
-        .where("value is not null")
-        .groupBy("column", "value")
-        .agg(F.count("*").alias("n"))
-        .withColumn(
-            "_range",
-            F.size(F.filter(cut_arrays[F.col("column")], lambda e: e <= F.col("value"))),
+def _running_counts(counts: DataFrame, small: int, ranges: int) -> DataFrame:
+    """``(column, value, n)`` with ``upto``, the count at or below the value,
+    and ``total``, the count of the column."""
+    everything = Window.partitionBy("column")
+    if counts.count() <= small:
+        rising = Window.partitionBy("column").orderBy("value")
+        so_far = rising.rowsBetween(Window.unboundedPreceding, 0)
+        return counts.select(
+            "column", "value", "n", F.sum("n").over(so_far).alias("upto"),
+            F.sum("n").over(everything).alias("total"),
         )
-    )
+    counts = with_range(counts, "value", ranges)
     rising = Window.partitionBy("column").orderBy("_range")
     before = F.sum("n").over(rising.rowsBetween(Window.unboundedPreceding, -1))
-    offsets = (
-        counts.groupBy("column", "_range").agg(F.sum("n").alias("n"))
-        .select(
-            "column", "_range",
-            F.coalesce(before, F.lit(0).cast("bigint")).alias("below"),
-            F.sum("n").over(Window.partitionBy("column")).alias("total"),
-        )
+    offsets = counts.groupBy("column", "_range").agg(F.sum("n").alias("n")).select(
+        "column", "_range", _zero_if_first(before).alias("below"),
+        F.sum("n").over(everything).alias("total"),
     )
     inside = Window.partitionBy("column", "_range").orderBy("value")
     running = F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    ranked = counts.join(offsets, ["column", "_range"]).select(
-        "column", "value", "total", (F.col("below") + running).alias("upto"),
-        "n",
+    return counts.join(offsets, ["column", "_range"]).select(
+        "column", "value", "n", (F.col("below") + running).alias("upto"), "total"
+    )
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float] = (0.5,),
+                    small: int = SMALL_ROWS, ranges: int = RANGES) -> DataFrame:
+    """Exact linear-interpolation quantiles: ``(column, share, value)``.
+
+    One scan makes the table of distinct values and their counts; the rest
+    depends on how many values there are, not on how many rows.
+    """
+    counts = materialize(
+        df.selectExpr(*[f"double(`{c}`) as `{c}`" for c in columns])
+        .unpivot([], quoted(columns), "column", "value")
+        .where("value is not null")
+        .groupBy("column", "value")
+        .agg(F.count("*").alias("n")),
+        "value-counts",
+    )
+    wanted = (
+        _running_counts(counts, small, ranges)
+        .withColumn("share", F.explode(F.expr(_doubles(shares))))
+        .withColumn("position", F.col("share") * (F.col("total") - 1))
     )
-    # zero-based position of the quantile, between a lower and an upper row
-    wanted = ranked.withColumn(
-        "share", F.explode(F.array(*[F.lit(float(s)) for s in shares]))
-    ).withColumn("position", F.col("share") * (F.col("total") - 1))
-    first = F.col("upto") - F.col("n")
     low, high = F.floor("position"), F.ceil("position")
 
-    def value_at(row):
+    def value_at(row: Column) -> Column:
+        first = F.col("upto") - F.col("n")
         return F.max(F.when((first <= row) & (row < F.col("upto")), F.col("value")))
 
     return (

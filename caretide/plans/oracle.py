@@ -122,6 +122,14 @@ _SPLIT = """CASE WHEN r <= (15 * n + 99) // 100 THEN 'test'
     WHEN r <= (15 * n + 99) // 100 + (15 * n + 99) // 100 THEN 'val' ELSE 'train' END"""
 SEEDED = f"md5('{S.SEED}:' || row_id)"
 
+# Stand-in coefficients of a linear model over the numerics, as fixed numbers.
+COEFFICIENTS = {c: ((7 * i) % 11 - 4.5) / 10 for i, c in enumerate(S.NUMERIC)}
+_IMPACTS = " UNION ALL ".join(
+    f"SELECT row_id, '{c}' AS feature, coalesce({c}, 0)::DOUBLE AS value, "
+    f"{w}::DOUBLE * (coalesce({c}, 0) - avg(coalesce({c}, 0)) OVER ()) AS impact FROM t_model"
+    for c, w in COEFFICIENTS.items()
+)
+
 # Named tables in dependency order.
 TABLES: dict[str, str] = {
     "t_base": """SELECT o_orderkey AS k, o_custkey AS c, o_orderpriority AS p,
@@ -152,6 +160,8 @@ TABLES: dict[str, str] = {
         {ADMISSION} AS admission_category, {SPECIALTY} AS medical_specialty_grouped,
         {comorbidity()} AS elixhauser_score FROM t_grouped""",
     "t_model": f"SELECT row_id, {columns(S.FEATURES)}, {S.LABEL} FROM t_engineered",
+    "t_impacts": _IMPACTS,
+    "t_importance": "SELECT feature, avg(abs(impact)) AS importance FROM t_impacts GROUP BY 1",
     "t_ranked": f"""SELECT *, row_number() OVER
         (PARTITION BY {S.LABEL} ORDER BY {SEEDED}) AS r,
         count(*) OVER (PARTITION BY {S.LABEL}) AS n FROM t_engineered""",
@@ -213,6 +223,12 @@ TABLES: dict[str, str] = {
     # the audit runs on the test split of the cleaned table
     "t_test_scored": """SELECT s.row_id, s.label, s.score, p.race, p.gender, p.age
         FROM t_wide_scores s JOIN t_split p ON p.row_id = s.row_id WHERE p.split = 'test'""",
+    "t_cases": """SELECT outcome, row_id, label, score FROM (SELECT *,
+        CASE WHEN score > 0.1::DOUBLE AND label = 1 THEN 'TP'
+        WHEN score <= 0.1::DOUBLE AND label = 0 THEN 'TN'
+        WHEN score > 0.1::DOUBLE AND label = 0 THEN 'FP' END AS outcome
+        FROM t_test_scored) WHERE outcome IS NOT NULL QUALIFY row_number() OVER
+        (PARTITION BY outcome ORDER BY CAST(row_id AS BIGINT)) = 1""",
     "t_members": """SELECT 'Race' AS Attribute, race AS Subgroup, label, score FROM t_test_scored
         UNION ALL SELECT 'Gender', gender, label, score FROM t_test_scored
         UNION ALL SELECT 'Age', age, label, score FROM t_test_scored""",
@@ -244,5 +260,6 @@ def sql(body: str, **extra: str) -> str:
         if name in tables and name not in needed:
             needed.add(name)
             open_names |= set(_NAMES.findall(tables[name]))
-    parts = [f"{name} AS ({text})" for name, text in tables.items() if name in needed]
+    order = [*[n for n in tables if n not in extra or n in TABLES], *extra]
+    parts = [f"{n} AS ({tables[n]})" for n in order if n in needed]
     return f"WITH {', '.join(parts)} {body}" if parts else body

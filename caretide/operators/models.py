@@ -29,6 +29,7 @@ from caretide.operators.oversample import oversample
 from caretide.operators.split import fit_folds, with_class_weight
 from caretide.operators.tree_attribution import staged_scores
 from caretide.session import materialize, shared_folder
+from caretide.sources import sinks
 
 
 def _checkpoints(spark: SparkSession) -> None:
@@ -252,3 +253,18 @@ def evaluation_suite(scored: DataFrame) -> dict[str, DataFrame]:
         "histogram": E.score_histogram(scored),
         "confusion": E.confusion(predicted),
     }
+
+
+def refit_and_save(prepared: Prepared, parameters: dict, path: str, log: str,
+                   run: str = "Boosted Trees (Tuned)") -> dict:
+    """Refit on all training rows, save the pipeline, and log the run."""
+    spark = prepared.table.sparkSession
+    held = prepared.part("val")
+    model = fit_boosted(prepared.train, held, parameters)
+    sinks.save_model(serving_pipeline(prepared, model), path)
+    row = E.quick_metrics(score(model, held, run)).first()
+    metrics = {
+        "auroc": row["auroc"], "auprc": row["auprc"], "rounds": model.getNumTrees
+    }
+    sinks.log_run(spark, log, run, parameters, metrics)
+    return metrics

@@ -6,6 +6,7 @@ from caretide.plans import (  # noqa: F401
     evaluation_queries,
     explore_queries,
     feature_queries,
+    model_queries,
     serving_queries,
     source_queries,
 )

@@ -7,7 +7,7 @@ put together call by call.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from caretide import schema as S
 from caretide.functions.clinical import is_true, texts, total
@@ -39,25 +39,42 @@ def matching_code(code: str) -> Column:
     return F.expr(_matching(code))
 
 
-def diagnosis_group(code: str) -> Column:
-    """The clinical group of one ICD-9 code.
+def code_number(code: str) -> Column:
+    """The code as a number, null where it is none.
 
-    Ranges end on whole codes: 459.81 lies past 459 and is ``Other``.
+    Codes that start with V or E are no numbers and so fall into ``Other``.
     """
     text = _normalized(code)
-    number = f"if({text} rlike '{_DECIMAL}', try_cast({text} as double), null)"
+    return F.expr(f"if({text} rlike '{_DECIMAL}', try_cast({text} as double), null)")
+
+
+def diagnosis_group(code: str, number: str) -> Column:
+    """The clinical group of one ICD-9 code and its :func:`code_number`.
+
+    The number comes as a column of its own, because every rule looks at it.
+    Ranges end on whole codes: 459.81 lies past 459 and is ``Other``.
+    """
     whens = [
         f"when `{code}` is null or `{code}` in ({texts(S.MISSING_DIAGNOSES)}) then 'Missing'",
-        f"when startswith({text}, 'V') or startswith({text}, 'E') then 'Other'",
     ]
     for name, low, high, closed, single in S.DIAGNOSIS_GROUPS:
-        inside = f"{number} >= {low} and {number} {'<=' if closed else '<'} {high}"
+        inside = f"`{number}` >= {low}D and `{number}` {'<=' if closed else '<'} {high}D"
         if single is not None:
-            inside = f"({inside}) or {number} = {single}"
+            inside = f"({inside}) or `{number}` = {single}D"
         whens.append(f"when {inside} then '{name}'")
     return F.expr(f"case {' '.join(whens)} else 'Other' end")
 
 
+def with_diagnosis_groups(df: DataFrame, codes: dict[str, str]) -> DataFrame:
+    """Add a group column per code column: ``{code: group}`` names."""
+    numbers = {code: f"_number_{i}" for i, code in enumerate(codes)}
+    return (
+        df.withColumns({n: code_number(code) for code, n in numbers.items()})
+        .withColumns({group: diagnosis_group(code, numbers[code]) for code, group in codes.items()})
+        .drop(*numbers.values())
+    )
+
+
 def any_diabetes(groups: list[Column]) -> Column:
     return F.greatest(*[is_true(g == "Diabetes") for g in groups])
 

@@ -21,7 +21,7 @@ def _has(df: DataFrame, *names: str) -> bool:
 
 def add_diagnosis_groups(df: DataFrame) -> DataFrame:
     present = [c for c in S.DIAGNOSES if c in df.columns]
-    df = df.withColumns({f"{c}_group": D.diagnosis_group(c) for c in present})
+    df = D.with_diagnosis_groups(df, {c: f"{c}_group" for c in present})
     if len(present) == len(S.DIAGNOSES):
         groups = [column(f"{c}_group") for c in S.DIAGNOSES]
         df = df.withColumn("has_diabetes_diag", D.any_diabetes(groups))

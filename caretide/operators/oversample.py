@@ -7,20 +7,24 @@ median of their deviations for each nominal that differs.
 
 Neighbours are exact and found without comparing all pairs:
 
-1. Rows fall into cells of a grid over the numerics that vary most, and large
-   cells are cut into blocks of bounded size.
+1. Rows fall into the boxes of a tree that halves them along the features they
+   vary most on; a box with too many rows is cut into blocks of bounded size.
 2. Each block is searched on its own. The k-th distance found, also among a
    few pivot rows, bounds a row's search radius.
-3. A row is sent on only to the other blocks whose cell meets that radius.
+3. A row is sent on only to the blocks whose box may hold a nearer row. A row
+   with enough exact copies has radius zero and searches no further.
 4. The best k of all searches remain.
 
-The grid's edges, the pivots and the median deviation are fitted values and
-enter later steps as literals.
+The tree comes from a sample of bounded size and only steers the search; any
+tree gives the same distances. It, the pivots and the median deviation are
+fitted once on the driver and stay the same when a task is run again.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from dataclasses import dataclass
 from fractions import Fraction
 
 import numpy as np
@@ -29,7 +33,6 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
 from caretide import schema as S
-from caretide.operators.ranking import range_edges
 from caretide.operators.split import fit_cuts, order_key
 from caretide.session import materialize
 
@@ -37,7 +40,8 @@ NEIGHBOURS = 5
 BLOCK_ROWS = 2048
 QUERY_ROWS = 8192
 PIVOTS = 64
-GRID_AXES = 3
+MAX_LEAVES = 16_384
+SAMPLE_PER_LEAF = 8
 
 _FOUND = "row_id string, distance double, neighbour string, nx array<double>"
 
@@ -76,64 +80,118 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()) if len(column) else np.zeros((0, 0))
 
 
-class _Grid:
-    """Cells over the numerics that vary most, with edges as literals."""
-
-    def __init__(self, points: DataFrame, n: int, deviations: list[float],
-                 block_rows: int = BLOCK_ROWS):
-        cells = n / block_rows
-        axes = sorted(range(len(deviations)), key=lambda j: -deviations[j])[:GRID_AXES]
-        per_axis = math.ceil(cells ** (1 / GRID_AXES)) if cells > 1 else 1
-        self.block_rows = block_rows
-        self.axes, self.edges = [], []
-        if per_axis > 1:
-            for j in axes:
-                value = points.selectExpr(f"x[{j}] as v")
-                self.axes.append(j)
-                self.edges.append(range_edges(value, "v", per_axis))
-
-    def _edge_array(self, i: int) -> str:
-        return "array(" + ", ".join(f"double('{e!r}')" for e in self.edges[i]) + ")"
-
-    def _slot(self, i: int, value: str) -> str:
-        return f"size(filter({self._edge_array(i)}, e -> e <= {value}))"
-
-    def cell(self) -> str:
-        """The row's cell: the number of edges passed on each axis."""
-        slots = [self._slot(i, f"x[{j}]") for i, j in enumerate(self.axes)]
-        return f"array({', '.join(slots)})" if slots else "array(0)"
-
-    def near_cells(self, df: DataFrame) -> DataFrame:
-        """One row per cell that the ball around the row meets."""
-        if not self.axes:
-            return df.withColumn("cell", F.expr("array(0)"))
-        slots = []
-        for i, j in enumerate(self.axes):
-            low = self._slot(i, f"(x[{j}] - radius)")
-            high = self._slot(i, f"(x[{j}] + radius)")
-            name = f"_s{i}"
-            df = df.withColumn(name, F.explode(F.expr(f"sequence({low}, {high})")))
-            slots.append(name)
-        gaps = []
-        for i, j in enumerate(self.axes):
-            edges = self._edge_array(i)
-            below = f"if(_s{i} > 0, greatest(get({edges}, _s{i} - 1) - x[{j}], 0D), 0D)"
-            above = (f"if(_s{i} < {len(self.edges[i])}, "
-                     f"greatest(x[{j}] - get({edges}, _s{i}), 0D), 0D)")
-            gaps.append(f"pow(greatest({below}, {above}), 2)")
-        return (
-            df.where(f"{' + '.join(gaps)} <= radius * radius * 1.000000001D")
-            .withColumn("cell", F.array(*slots))
-            .drop(*slots)
-        )
+@dataclass(frozen=True)
+class _Tree:
+    """Boxes that halve the rows along the axis they vary most on.
+
+    Arrays run over the nodes. ``cut`` parts a node's rows into those at or
+    below it (``left``) and those above; a leaf has ``axis`` -1. A node's box
+    holds values above ``low`` and up to ``high``.
+    """
+
+    numeric: int
+    penalty: float
+    axis: np.ndarray
+    cut: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+
+    def leaf_of(self, x: np.ndarray) -> np.ndarray:
+        at = np.zeros(len(x), int)
+        while True:
+            inner = self.axis[at] >= 0
+            if not inner.any():
+                return at
+            node = at[inner]
+            below = x[inner, self.axis[node]] <= self.cut[node]
+            at[inner] = np.where(below, self.left[node], self.right[node])
+
+    def near_leaves(self, x: np.ndarray, radius: np.ndarray) -> list[np.ndarray]:
+        """Per row, the leaves that may hold a row nearer than ``radius``."""
+        out = []
+        for start in range(0, len(x), 256):
+            part, reach = x[start : start + 256], radius[start : start + 256] ** 2
+            row, node = np.arange(len(part)), np.zeros(len(part), int)
+            done = []
+            while len(row):
+                leaf = self.axis[node] < 0
+                done.append((row[leaf], node[leaf]))
+                row, node = row[~leaf], node[~leaf]
+                row = np.concatenate([row, row])
+                node = np.concatenate([self.left[node], self.right[node]])
+                kept = self._gaps(part[row], node) < reach[row]
+                row, node = row[kept], node[kept]
+            row, node = (np.concatenate(v) for v in zip(*done))
+            out += [node[row == i] for i in range(len(part))]
+        return out
+
+    def _gaps(self, x: np.ndarray, node: np.ndarray) -> np.ndarray:
+        """Squared distance from rows to the boxes of nodes, at the least."""
+        low, high, k = self.low[node], self.high[node], self.numeric
+        gap = np.maximum(np.maximum(low[:, :k] - x[:, :k], x[:, :k] - high[:, :k]), 0)
+        outside = (x[:, k:] <= low[:, k:]) | (x[:, k:] > high[:, k:])
+        # a little less, so that rounding cannot hide a row at the border
+        return ((gap**2).sum(axis=1) + self.penalty * outside.sum(axis=1)) * (1 - 1e-9)
+
+
+def _grow(sample: np.ndarray, numeric: int, penalty: float, leaf_rows: int) -> _Tree:
+    """Halve the sample until a node holds at most ``leaf_rows`` of it."""
+    width = sample.shape[1]
+    nodes = {"axis": [], "cut": [], "left": [], "right": [], "low": [], "high": []}
+
+    def add(low, high):
+        for name, value in zip(nodes, (-1, 0.0, -1, -1, low, high)):
+            nodes[name].append(value)
+        return len(nodes["axis"]) - 1
+
+    open_nodes = [(add(np.full(width, -np.inf), np.full(width, np.inf)), sample)]
+    while open_nodes:
+        at, rows = open_nodes.pop()
+        if len(rows) <= leaf_rows:
+            continue
+        spread = rows.var(axis=0) * 2
+        for j in range(numeric, width):
+            _, n = np.unique(rows[:, j], return_counts=True)
+            spread[j] = penalty * (1 - ((n / len(rows)) ** 2).sum())
+        j = int(np.argmax(spread))
+        values = np.unique(rows[:, j])
+        if len(values) < 2:
+            continue  # all rows of the node are alike
+        middle = np.searchsorted(values, np.median(rows[:, j]))
+        cut = values[min(middle, len(values) - 2)]
+        below = rows[:, j] <= cut
+        low, high = nodes["low"][at].copy(), nodes["high"][at].copy()
+        low[j] = high[j] = cut
+        nodes["axis"][at], nodes["cut"][at] = j, cut
+        nodes["left"][at] = add(nodes["low"][at], high)
+        nodes["right"][at] = add(low, nodes["high"][at])
+        open_nodes += [(nodes["left"][at], rows[below]), (nodes["right"][at], rows[~below])]
+    return _Tree(numeric, penalty, **{k: np.array(v) for k, v in nodes.items()})
+
+
+def _fit_tree(points: DataFrame, n: int, numeric: int, penalty: float,
+              block_rows: int) -> _Tree:
+    """A tree over a seeded sample of bounded size; it only steers the search."""
+    leaves = min(MAX_LEAVES, math.ceil(n / block_rows))
+    wanted = leaves * SAMPLE_PER_LEAF
+    rows = points
+    if wanted < n:
+        top = f"{int(wanted / n * 16**8):08x}"
+        rows = points.where(order_key("row_id") < top).limit(2 * wanted)
+    sample = _matrix(rows.select("x").toPandas()["x"])
+    if leaves == 1 or not len(sample):
+        sample = sample[:1] if len(sample) else np.zeros((1, len(points.first()["x"])))
+    return _grow(sample, numeric, penalty, max(1, len(sample) // leaves))
 
 
 def nearest_neighbours(points: DataFrame, numeric: int, k: int = NEIGHBOURS,
                        block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Exact k nearest neighbours among ``points`` (``row_id, x``).
 
-    Returns ``(row_id, distance, neighbour, nx, place)``; ties go to the
-    smaller id. The first ``numeric`` entries of ``x`` are numbers, the others
+    Returns ``(row_id, distance, neighbour, nx, place)``. Among equally near
+    rows the choice is free but settled by id and block. The first ``numeric`` entries of ``x`` are numbers, the others
     nominal codes.
     """
     moments = points.selectExpr(
@@ -143,8 +201,21 @@ def nearest_neighbours(points: DataFrame, numeric: int, k: int = NEIGHBOURS,
     if n <= k:
         raise ValueError(f"{n} rows are too few for {k} neighbours")
     penalty = float(np.median(deviations)) ** 2
-    grid = _Grid(points, n, deviations, block_rows)
-    cells = materialize(points.withColumn("cell", F.expr(grid.cell())), "neighbour-cells")
+    tree = points.sparkSession.sparkContext.broadcast(
+        _fit_tree(points, n, numeric, penalty, block_rows)
+    )
+
+    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                yield pdf.assign(cell=tree.value.leaf_of(_matrix(pdf["x"])))
+
+    cells = materialize(
+        points.select("row_id", "x").mapInPandas(
+            assign, "row_id string, x array<double>, cell int"
+        ),
+        "neighbour-cells",
+    )
     sizes = cells.groupBy("cell").agg(
         F.ceil(F.count("*") / block_rows).cast("int").alias("blocks")
     )
@@ -176,15 +247,27 @@ def nearest_neighbours(points: DataFrame, numeric: int, k: int = NEIGHBOURS,
     own = materialize(
         placed.groupBy("cell", "block").applyInPandas(
             search_own,
-            "row_id string, x array<double>, home array<int>, home_block int, "
+            "row_id string, x array<double>, home int, home_block int, "
             "radius double, found array<struct<distance:double,neighbour:string,nx:array<double>>>",
         ),
         "neighbours-own",
     )
+
+    def reach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                near = tree.value.near_leaves(_matrix(pdf["x"]), pdf["radius"].to_numpy())
+                yield pdf.assign(cells=near).drop(columns="radius")
+
     first = own.select("row_id", F.inline("found"))
     blocks = placed.select("cell", "block").distinct()
     queries = (
-        grid.near_cells(own.drop("found"))
+        # nothing is nearer than a copy, so rows among copies search no further
+        own.where("radius > 0").drop("found")
+        .mapInPandas(
+            reach, "row_id string, x array<double>, home int, home_block int, cells array<int>"
+        )
+        .withColumn("cell", F.explode("cells"))
         .join(blocks, "cell")
         .where("not (cell = home and block = home_block)")
         .select("cell", "block", "row_id", "x")

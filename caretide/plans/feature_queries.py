@@ -178,7 +178,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     codes = encounters(spark, sf_dir, S.DIAGNOSES).unpivot([], S.DIAGNOSES, "which", "code")
     counts = codes.groupBy("code").agg(F.count("*").alias("n"))
-    return counts.withColumn("diagnosis_group", D.diagnosis_group("code"))
+    return D.with_diagnosis_groups(counts, {"code": "diagnosis_group"})
 
 
 @query("f17_diagnosis_columns", sql(f"SELECT encounter_id, {O._select(O._GROUPS)} FROM t_null"))

@@ -19,6 +19,9 @@ def build_session(cores: str = "*", app: str = "caretide", **conf: str) -> Spark
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "16g",
+        # the JVM does not compile methods above this size, so wide projections
+        # run faster as several small ones
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         **conf,
     }
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)

@@ -29,7 +29,7 @@ GROUPS = {
 
 def test_diagnosis_groups(spark):
     df = texts(spark, "code", list(GROUPS))
-    got = column(df.withColumn("g", D.diagnosis_group("code")), "g")
+    got = column(D.with_diagnosis_groups(df, {"code": "g"}), "g")
     assert dict(zip(GROUPS, got)) == GROUPS
 
 

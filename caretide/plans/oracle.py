@@ -261,5 +261,5 @@ def sql(body: str, **extra: str) -> str:
             needed.add(name)
             open_names |= set(_NAMES.findall(tables[name]))
     order = [*[n for n in tables if n not in extra or n in TABLES], *extra]
-    parts = [f"{n} AS ({tables[n]})" for n in order if n in needed]
+    parts = [f"{n} AS MATERIALIZED ({tables[n]})" for n in order if n in needed]
     return f"WITH {', '.join(parts)} {body}" if parts else body

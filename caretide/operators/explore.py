@@ -17,7 +17,10 @@ from caretide.operators.ranking import exact_quantiles
 def missing_percent(df: DataFrame) -> DataFrame:
     """Percent of missing values per column, the worst first, zeros left out."""
     shares = df.agg(
-        *[F.expr(f"avg(int(`{c}` is null)) * 100 as `{c}`") for c in df.columns]
+        *[
+            F.expr(f"try_divide((count(*) - count(`{c}`)) * 100, count(*)) as `{c}`")
+            for c in df.columns
+        ]
     )
     return (
         shares.unpivot([], quoted(df.columns), "column", "missing_pct")

@@ -69,7 +69,7 @@ def label_distribution(df: DataFrame, label: str = S.RAW_LABEL) -> DataFrame:
 def null_counts(df: DataFrame) -> DataFrame:
     """One row per column: how many of its values are null."""
     counted = df.groupBy().agg(
-        *[F.expr(f"count_if(`{c}` is null) as `{c}`") for c in df.columns]
+        *[F.expr(f"count(*) - count(`{c}`) as `{c}`") for c in df.columns]
     )
     return counted.unpivot([], quoted(df.columns), "column", "n_null")
 

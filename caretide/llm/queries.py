@@ -5,15 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caretide.llm import bpe
+from caretide.llm import bpe, chat, topk
 from caretide.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+#: The rank file holds the ids below this one.
+FIRST_RESERVED = 50_256
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,8 +23,69 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(coded, RANKS, PATTERN))
 
 
+def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
+OP3_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 50 = 0
+)
+SELECT query_id,
+  row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+  vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    coded = chat.assemble(turns.unionByName(planted), RANKS, PATTERN, FIRST_RESERVED)
+    return chat.digests(chat.read_back(coded, RANKS, PATTERN, FIRST_RESERVED))
+
+
+OP6_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), e AS (
+  SELECT *, len(regexp_extract_all(role || chr(10) || text,
+    '<\\*(s>|/s>|\|start\|>|\|message\|>|<SYS>>|</SYS>>)|\[\\*(INST|/INST)\]'))
+    AS n_control
+  FROM t
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST))
+    AS turns_sha256,
+  sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST)
+    FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  (3 + sum(9 + length(role) + 11 + length(text) + n_control + 4))::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
 QUERIES: dict[str, Run] = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_topk_search": op3_topk_search,
+    "op6_chat_format": op6_chat_format,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_topk_search": OP3_SQL,
+    "op6_chat_format": OP6_SQL,
+}

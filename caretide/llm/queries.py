@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caretide.llm import bpe, chat, topk
+from caretide.llm import bpe, chat, simhash, topk
 from caretide.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -79,10 +79,15 @@ FROM e GROUP BY conv_id
 """
 
 
+def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+
+
 QUERIES: dict[str, Run] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_topk_search": op3_topk_search,
     "op6_chat_format": op6_chat_format,
+    "op8_simhash_dedup": op8_simhash_dedup,
 }
 
 ORACLES: dict[str, str] = {

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caretide.llm import bpe, chat, simhash, topk
+from caretide.llm import bpe, chat, decontaminate, simhash, topk
 from caretide.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,47 @@ PATTERN = public_tokenizers.PATTERN
 FIRST_RESERVED = 50_256
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
+    return decontaminate.report(found)
+
+
+OP1_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), i AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE item_id IS NOT NULL
+), iw AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS m,
+    array_to_string(w[p:p + least(len(w), 10) - 1], ' ') AS win
+  FROM i, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS u(p)
+  WHERE len(w) > 0
+), dw AS (
+  SELECT doc_id, p, m, array_to_string(w[p:p + m - 1], ' ') AS win
+  FROM d, (SELECT DISTINCT m FROM iw) AS s, unnest(range(1, len(w) - m + 2)) AS u(p)
+), hit AS (
+  SELECT doc_id, p, dw.m, item_id FROM dw JOIN iw ON dw.m = iw.m AND dw.win = iw.win
+), covered AS (
+  SELECT doc_id, count(DISTINCT q) AS n_hit
+  FROM hit, unnest(range(p, p + m)) AS u(q) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hit) AS t GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode(table(spark, sf_dir, "documents"), RANKS, PATTERN)
     return bpe.digests(bpe.decode(coded, RANKS, PATTERN))
@@ -84,6 +125,7 @@ def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Run] = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_topk_search": op3_topk_search,
     "op6_chat_format": op6_chat_format,
@@ -91,6 +133,7 @@ QUERIES: dict[str, Run] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_decontaminate": OP1_SQL,
     "op3_topk_search": OP3_SQL,
     "op6_chat_format": OP6_SQL,
 }

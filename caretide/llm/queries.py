@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caretide.llm import bpe, chat, decontaminate, simhash, topk
+from caretide.llm import bpe, chat, decontaminate, langid, simhash, topk
 from caretide.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +87,12 @@ FROM s QUALIFY rank <= 5
 """
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out())
+    model = langid.fit(docs.where(~F.col("held_out")))
+    return langid.predict(docs, model, "doc_id", "held_out")
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = spark.range(2).select(
         F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
@@ -128,6 +134,7 @@ QUERIES: dict[str, Run] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_topk_search": op3_topk_search,
+    "op5_language_id": op5_language_id,
     "op6_chat_format": op6_chat_format,
     "op8_simhash_dedup": op8_simhash_dedup,
 }

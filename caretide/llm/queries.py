@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caretide.llm import bpe, chat, decontaminate, langid, simhash, topk
+from caretide.llm import bpe, chat, decontaminate, langid, pii, simhash, topk
 from caretide.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -130,6 +130,11 @@ def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.digests(pii.annotate(docs, pii.fit(docs)))
+
+
 QUERIES: dict[str, Run] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_byte_bpe": op2_byte_bpe,
@@ -137,6 +142,7 @@ QUERIES: dict[str, Run] = {
     "op5_language_id": op5_language_id,
     "op6_chat_format": op6_chat_format,
     "op8_simhash_dedup": op8_simhash_dedup,
+    "op9_personal_data": op9_personal_data,
 }
 
 ORACLES: dict[str, str] = {

@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from caretide.llm import bpe, chat, decontaminate, langid, pii, simhash, topk
+from caretide.llm import (
+    bpe, chat, decontaminate, langid, phrases, pii, simhash, suffixes, topk,
+)
 from caretide.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +89,37 @@ FROM s QUALIFY rank <= 5
 """
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = phrases.remove_repeats(table(spark, sf_dir, "documents"), width=13)
+    return done.select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP4_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+  SELECT doc_id, p, array_to_string(w[p:p + 12], ' ') AS s
+  FROM d, unnest(range(1, len(w) - 11)) AS u(p)
+), low AS (
+  SELECT s, min(doc_id) AS low FROM win GROUP BY s
+), gone AS (
+  SELECT DISTINCT doc_id, q FROM win JOIN low USING (s), unnest(range(p, p + 13)) AS u(q)
+  WHERE low < doc_id
+), word AS (
+  SELECT doc_id, i, w[i] AS word FROM d, unnest(range(1, len(w) + 1)) AS u(i)
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept
+  FROM word ANTI JOIN gone ON word.doc_id = gone.doc_id AND word.i = gone.q GROUP BY doc_id
+), n AS (
+  SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out())
     model = langid.fit(docs.where(~F.col("held_out")))
@@ -135,18 +168,27 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.annotate(docs, pii.fit(docs)))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffixes.remove_repeats(table(spark, sf_dir, "documents"), width=400)
+    return done.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Run] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_topk_search": op3_topk_search,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_language_id": op5_language_id,
     "op6_chat_format": op6_chat_format,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_personal_data": op9_personal_data,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLES: dict[str, str] = {
     "op1_decontaminate": OP1_SQL,
     "op3_topk_search": OP3_SQL,
+    "op4_substring_dedup": OP4_SQL,
     "op6_chat_format": OP6_SQL,
 }

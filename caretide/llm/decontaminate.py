@@ -26,7 +26,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from caretide.llm.common import Batches, map_batches, texts
 
@@ -36,7 +36,10 @@ SHARD_WINDOWS = 100_000
 
 _WORD = [c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256)]
 _TABLE = bytes(_WORD[c + 32 if 0x41 <= c <= 0x5A else c] for c in range(256))
-HITS = "array<struct<start:int,stop:int,item_id:string>>"
+HITS = T.ArrayType(T.StructType([
+    T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType()),
+    T.StructField("item_id", T.StringType()),
+]))
 
 
 def words(text: str | None) -> list[bytes]:
@@ -113,20 +116,23 @@ def _search(shared, first: bool):
                             hits += [{"start": start, "stop": stop, "item_id": i} for i in ids]
             kind = pa.list_(pa.struct([
                 ("start", pa.int32()), ("stop", pa.int32()), ("item_id", pa.string())]))
+            names = [c for c in batch.schema.names if c != "hits"]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text"), pa.array(carried, kind)],
-                names=["doc_id", "text", "hits"],
+                [*(batch.column(c) for c in names), pa.array(carried, kind)],
+                names=[*names, "hits"],
             )
 
     return run
 
 
 def find(
-    docs: DataFrame, items: DataFrame, size: int = WINDOW, shard_windows: int = SHARD_WINDOWS
+    docs: DataFrame, items: DataFrame, *keep: str, size: int = WINDOW,
+    shard_windows: int = SHARD_WINDOWS,
 ) -> DataFrame:
-    """``doc_id``, ``text`` and ``hits``: every occurrence of every item's windows."""
+    """``doc_id``, ``text``, the columns ``keep`` and ``hits``: all occurrences of windows."""
     spark = docs.sparkSession
-    carried = texts(docs)
+    carried = texts(docs, *keep)
+    shape = T.StructType([*carried.schema.fields, T.StructField("hits", HITS)])
     pairs = windows(items, size).cache()
     try:
         shards = math.ceil(pairs.count() / shard_windows)
@@ -136,8 +142,7 @@ def find(
             vocabulary = frozenset(w for r in held for w in r["window"].encode().split(b" "))
             counts = _document_counts(texts(docs), vocabulary)
             index = spark.sparkContext.broadcast(_prefix_index(held, counts))
-            carried = map_batches(
-                carried, _search(index, first=shard == 0), f"doc_id long, text string, hits {HITS}")
+            carried = carried.mapInArrow(_search(index, first=shard == 0), shape)
     finally:
         pairs.unpersist()
     if not shards:

@@ -24,7 +24,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from caretide.llm.common import Batches
 from caretide.session import materialize
@@ -200,9 +200,14 @@ def _choose(machines: list, vector: np.ndarray, names: list[str]) -> tuple[str,
 
 def predict(docs: DataFrame, model: dict, *keep: str | Column) -> DataFrame:
     """The columns ``keep``, then ``lang_pred`` and ``score`` of each row's ``text``."""
-    source = docs.select(*keep, F.col("text").cast("string").alias("text__"))
-    names = source.columns[:-1]
-    schema = source.drop("text__").schema.add("lang_pred", "string").add("score", "double")
+    source = docs.select(*keep)
+    names = source.columns
+    shape = T.StructType([
+        *source.schema.fields, T.StructField("lang_pred", T.StringType()),
+        T.StructField("score", T.DoubleType()),
+    ])
+    if "text" not in names:
+        source = docs.select(*keep, F.col("text").cast("string").alias("text"))
     families, dims = model["families"], model["dims"]
     by_family = {
         f: [(a, b, w) for (g, a, b), w in model["machines"].items() if g == f]
@@ -213,7 +218,7 @@ def predict(docs: DataFrame, model: dict, *keep: str | Column) -> DataFrame:
         letters = _letters()
         for batch in batches:
             langs, scores = [], []
-            for text in batch.column("text__"):
+            for text in batch.column("text"):
                 vector = features(text.as_py(), letters, dims)
                 if vector is None or not families:
                     langs.append(UND)
@@ -229,10 +234,11 @@ def predict(docs: DataFrame, model: dict, *keep: str | Column) -> DataFrame:
                 names=[*names, "lang_pred", "score"],
             )
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(run, shape)
 
 
 def held_out(doc_id: str | Column = "doc_id") -> Column:
     """Rows that are never learned from: a remainder of 1 of the id's checksum by 3."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id
-    return F.coalesce(F.crc32(column.cast("long").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    sum_ = F.crc32(column.cast("long").cast("string").cast("binary"))
+    return F.coalesce(sum_ % 3 == 1, F.lit(False))

@@ -65,16 +65,18 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """``doc_id`` and ``fp`` of every row."""
+    """``doc_id``, ``mark`` (tells apart texts of one id) and ``fp`` of every row."""
+    source = texts(docs).withColumn("mark", F.xxhash64("text"))
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             made = [fingerprint(t.as_py(), shingle, seed) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(made, pa.int64())], names=["doc_id", "fp"]
+                [batch.column("doc_id"), batch.column("mark"), pa.array(made, pa.int64())],
+                names=["doc_id", "mark", "fp"],
             )
 
-    return map_batches(texts(docs), run, "doc_id long, fp long")
+    return map_batches(source, run, "doc_id long, mark long, fp long")
 
 
 def _post(batches: Batches) -> Batches:
@@ -228,18 +230,49 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, limit: int = POSTING) -
     return map_batches(ordered, _compare(max_bits, limit), "u long, v long")
 
 
-def near_duplicates(
+def groups(
     docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, seed: int = SEED
-) -> DataFrame:
-    """``doc_id``, ``fingerprint`` (hex digits) and ``component_id`` of every row."""
+) -> tuple[DataFrame, DataFrame]:
+    """The fingerprint of every row, and of each fingerprint its group and first ``doc_id``.
+
+    A group's ``root`` is one of its fingerprints.
+    """
     made = materialize(fingerprints(docs, shingle, seed), "fingerprints")
     first = made.groupBy("fp").agg(F.min("doc_id").alias("low"))
     joined = components(links(first.select("fp"), max_bits))
-    of = first.join(
-        joined.withColumnRenamed("node", "fp"), "fp", "left"
-    ).withColumn("root", F.coalesce("root", "fp"))
+    return made, first.join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
+        "root", F.coalesce("root", "fp"))
+
+
+def near_duplicates(
+    docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, seed: int = SEED
+) -> DataFrame:
+    """``doc_id``, ``fingerprint`` (hex digits) and ``component_id`` of every row."""
+    made, of = groups(docs, shingle, max_bits, seed)
     lowest = of.groupBy("root").agg(F.min("low").alias("component_id"))
     ids = of.join(lowest, "root").select("fp", "component_id")
     return made.join(ids, "fp", "left").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_one(
+    docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, seed: int = SEED
+) -> DataFrame:
+    """The rows of ``docs`` without all but one of each group: that with the smallest id.
+
+    Rows without an id stay only where their whole group has none; of repeated rows
+    one stays.
+    """
+    made, of = groups(docs, shingle, max_bits, seed)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    chosen = (
+        made.groupBy("fp").agg(F.min(order).alias("best")).join(of.select("fp", "root"), "fp")
+        .groupBy("root").agg(F.min("best").alias("best"))
+        .select(F.col("best.doc_id").alias("kept_id"), F.col("best.mark").alias("kept_mark"))
+    )
+    marked = docs.withColumn("kept_mark__", F.xxhash64(F.col("text").cast("string")))
+    same = (marked["kept_mark__"] == chosen["kept_mark"]) & (
+        marked["doc_id"].cast("long").eqNullSafe(chosen["kept_id"]))
+    return marked.join(chosen, same, "left_semi").dropDuplicates(
+        ["doc_id", "kept_mark__"]).drop("kept_mark__")

@@ -261,8 +261,8 @@ def _gather(lay: Callable, width: int, k: int, rule: str, buckets: int):
             rows, cls, _ = _in_order(rows)
             repeat, on = _settle(rows, cls, rule)
             out = []
-            done = _merged({c: a[repeat] for c, a in rows.items()}, width)
-            if len(done["id"]):
+            if repeat.any():
+                done = _merged({c: a[repeat] for c, a in rows.items()}, width)
                 zero = np.zeros(len(done["id"]), np.uint64)
                 done |= {"anchor": zero, "seg": zero, "windows": done.pop("units"),
                          "many": zero.astype(bool)}

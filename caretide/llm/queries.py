@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from caretide.llm import (
-    bpe, chat, decontaminate, langid, phrases, pii, simhash, suffixes, topk,
+    bpe, chat, decontaminate, langid, licenses, phrases, pii, simhash, suffixes, topk,
 )
 from caretide.llm.common import table
 
@@ -159,6 +159,15 @@ FROM e GROUP BY conv_id
 """
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"), licenses.notices(spark))
+    return found.select(
+        "doc_id", F.size("matches").cast("long").alias("n_licenses"),
+        F.array_join("matches.license_id", ",").alias("licenses"),
+        F.coalesce(F.array_max("matches.containment"), F.lit(0.0)).alias("containment"),
+    )
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
@@ -181,6 +190,7 @@ QUERIES: dict[str, Run] = {
     "op4_substring_dedup": op4_substring_dedup,
     "op5_language_id": op5_language_id,
     "op6_chat_format": op6_chat_format,
+    "op7_license_scan": op7_license_scan,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_personal_data": op9_personal_data,
     "op10_suffix_dedup": op10_suffix_dedup,

@@ -1,7 +1,8 @@
 """Tables of per-row feature attributions.
 
-The long form is ``(row_id, feature, value, impact)`` with one row per scored
-row and feature. :mod:`caretide.operators.tree_attribution` makes it for tree
+Attributions come as ``entries``, one array of (feature, value, impact) per scored
+row, or in the long form ``(row_id, feature, value, impact)`` with one row per
+scored row and feature. :mod:`caretide.operators.tree_attribution` makes it for tree
 ensembles, :func:`linear_attributions` for linear models; the rest reads it.
 """
 
@@ -13,9 +14,9 @@ from caretide import schema as S
 from caretide.functions.clinical import column
 
 
-def linear_attributions(table: DataFrame, coefficients: dict[str, float],
-                        means: dict[str, float], row_id: str = S.ROW_ID) -> DataFrame:
-    """``coefficient * (value - mean)`` of every feature of a linear model."""
+def linear_entries(table: DataFrame, coefficients: dict[str, float],
+                   means: dict[str, float], row_id: str = S.ROW_ID) -> DataFrame:
+    """One row per scored row: ``entries``, an array of (feature, value, impact)."""
     entries = F.array(*[
         F.struct(
             F.lit(name).alias("feature"),
@@ -24,7 +25,17 @@ def linear_attributions(table: DataFrame, coefficients: dict[str, float],
         )
         for name, c in coefficients.items()
     ])
-    return table.select(row_id, F.inline(entries))
+    return table.select(row_id, entries.alias("entries"))
+
+
+def long_form(entries: DataFrame, row_id: str = S.ROW_ID) -> DataFrame:
+    return entries.select(row_id, F.inline("entries"))
+
+
+def linear_attributions(table: DataFrame, coefficients: dict[str, float],
+                        means: dict[str, float], row_id: str = S.ROW_ID) -> DataFrame:
+    """``coefficient * (value - mean)`` of every feature of a linear model."""
+    return long_form(linear_entries(table, coefficients, means, row_id), row_id)
 
 
 def global_importance(long: DataFrame) -> DataFrame:
@@ -54,10 +65,17 @@ def dependence(long: DataFrame, n: int = 5) -> DataFrame:
     return of_top_features(long, n).select("feature", "value", "impact", S.ROW_ID)
 
 
-def top_contributions(long: DataFrame, n: int = 10, row_id: str = S.ROW_ID) -> DataFrame:
-    """Each row's ``n`` largest impacts by absolute value."""
-    order = Window.partitionBy(row_id).orderBy(F.desc(F.abs("impact")), "feature")
-    return long.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+def top_contributions(entries: DataFrame, n: int = 10, row_id: str = S.ROW_ID) -> DataFrame:
+    """Each row's ``n`` largest impacts by absolute value, with their rank.
+
+    The order is made inside the row's array, so nothing is shuffled.
+    """
+    falling = F.transform("entries", lambda e: F.struct(
+        (-F.abs(e.impact)).alias("size"), e.feature.alias("feature"), e.value.alias("value"),
+        e.impact.alias("impact")))
+    top = F.slice(F.array_sort(falling), 1, n)
+    return entries.select(row_id, F.posexplode(top).alias("rank", "e")).select(
+        row_id, "e.feature", "e.value", "e.impact", (F.col("rank") + 1).alias("rank"))
 
 
 def representative_cases(scored: DataFrame, cut: float = S.CASE_CUT,

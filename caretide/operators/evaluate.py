@@ -2,7 +2,8 @@
 
 Ranking metrics are exact: labels are counted per distinct score and every
 metric follows from that one curve (:func:`ranking.score_curve`). Any number
-of models, folds or trials is evaluated by one job through ``keys``.
+of models, folds or trials is evaluated by one job through ``keys``. Rows whose
+score is null or NaN take no part in any metric.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from caretide import schema as S
 from caretide.functions.clinical import column
-from caretide.operators.ranking import score_curve
+from caretide.operators.ranking import has_value, score_curve
 
 KEYS = ("model",)
 BINS = 10
@@ -85,7 +86,7 @@ def quick_metrics(scored: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 
 def brier(scored: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     error = column("score") - column("label")
-    return scored.groupBy(*keys).agg(F.avg(error * error).alias("brier"))
+    return scored.where(has_value(F.col("score"))).groupBy(*keys).agg(F.avg(error * error).alias("brier"))
 
 
 def best_threshold(scored: DataFrame, keys: Sequence[str] = KEYS,
@@ -112,7 +113,8 @@ def threshold_of(scored: DataFrame, model: str | None = None, **costs) -> float:
 
 def apply_threshold(scored: DataFrame, threshold: float | Column) -> DataFrame:
     cut = F.lit(threshold) if isinstance(threshold, float) else threshold
-    return scored.withColumn("predicted", (F.col("score") >= cut).cast("int"))
+    flagged = F.when(has_value(F.col("score")), F.col("score") >= cut)
+    return scored.withColumn("predicted", flagged.cast("int"))
 
 
 def confusion(predicted: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -140,12 +142,15 @@ def clinical_rates(counts: DataFrame) -> DataFrame:
 
 def metric_table(scored: DataFrame, keys: Sequence[str] = KEYS,
                  fn_cost: float = S.FALSE_NEGATIVE_COST,
-                 fp_cost: float = S.FALSE_POSITIVE_COST) -> DataFrame:
+                 fp_cost: float = S.FALSE_POSITIVE_COST,
+                 curve: DataFrame | None = None) -> DataFrame:
     """All nine metrics per model at its own cost-optimal threshold.
 
-    One aggregation over one curve; the scored rows are read once.
+    One aggregation over one curve; the scored rows are read once, or not at all
+    if their ``curve`` is given.
     """
-    row = score_curve(scored, keys).groupBy(*keys).agg(
+    curve = score_curve(scored, keys) if curve is None else curve
+    row = curve.groupBy(*keys).agg(
         _auroc().alias("AUROC"), _average_precision().alias("AUPRC"),
         _brier().alias("Brier"), _best_point(fn_cost, fp_cost).alias("best"),
         F.max("pos_total").alias("p"), F.max("neg_total").alias("n"),
@@ -164,9 +169,10 @@ def metric_table(scored: DataFrame, keys: Sequence[str] = KEYS,
 
 
 def roc_points(scored: DataFrame, keys: Sequence[str] = KEYS,
-               drop_collinear: bool = True) -> DataFrame:
+               drop_collinear: bool = True, curve: DataFrame | None = None) -> DataFrame:
     """ROC curve points; a point in the middle of a straight run is left out."""
-    curve = score_curve(scored, keys)
+    curve = score_curve(scored, keys) if curve is None else curve
+    whole = curve
     if drop_collinear:
         # a point lies on a straight run when the step after it repeats its own
         bend = (F.col("pos") != F.col("next_pos")) | (F.col("neg") != F.col("next_neg"))
@@ -178,22 +184,24 @@ def roc_points(scored: DataFrame, keys: Sequence[str] = KEYS,
         F.try_divide("tp", "pos_total").alias("tpr"),
         F.col("score").alias("threshold"),
     )
-    origin = scored.select(*keys).distinct().select(
+    origin = whole.select(*keys).distinct().select(
         *keys, F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"),
         F.lit(float("inf")).alias("threshold"),
     )
     return points.unionByName(origin)
 
 
-def pr_points(scored: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+def pr_points(scored: DataFrame, keys: Sequence[str] = KEYS,
+              curve: DataFrame | None = None) -> DataFrame:
     """Precision and recall at each score, ending at recall 0, precision 1."""
-    points = score_curve(scored, keys).select(
+    curve = score_curve(scored, keys) if curve is None else curve
+    points = curve.select(
         *keys,
         (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
         F.try_divide("tp", "pos_total").alias("recall"),
         F.col("score").alias("threshold"),
     )
-    end = scored.select(*keys).distinct().select(
+    end = curve.select(*keys).distinct().select(
         *keys, F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"),
         F.lit(None).cast("double").alias("threshold"),
     )
@@ -217,7 +225,8 @@ def _edges_passed(score: Column, inclusive: bool) -> Column:
 def calibration(scored: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Mean score and observed rate of ten equal bins, closed on the right."""
     return (
-        scored.withColumn("bin", _edges_passed(F.col("score"), inclusive=False))
+        scored.where(has_value(F.col("score")))
+        .withColumn("bin", _edges_passed(F.col("score"), inclusive=False))
         .groupBy(*keys, "bin")
         .agg(
             F.avg("score").alias("mean_score"), F.avg("label").alias("observed_rate"),
@@ -255,6 +264,25 @@ def check_alignment(left: DataFrame, right: DataFrame) -> None:
         raise ValueError(f"scored tables do not align: {found.asDict()}")
 
 
+def check_models_align(scored: DataFrame, row_id: str = S.ROW_ID) -> None:
+    """An error unless every model scores the same rows with the same labels.
+
+    One grouping by row serves any number of models.
+    """
+    models = scored.select(F.count_distinct("model").alias("models")).first()["models"]
+    rows = scored.groupBy(row_id).agg(
+        F.count("*").alias("n"), F.count_distinct("model").alias("seen"),
+        F.min("label").eqNullSafe(F.max("label")).alias("same"),
+        F.count("label").alias("labels"),
+    )
+    found = rows.agg(
+        F.count_if((F.col("n") != models) | (F.col("seen") != models)).alias("incomplete_rows"),
+        F.count_if(~F.col("same") | ~F.col("labels").isin(0, models)).alias("label_mismatch"),
+    ).first()
+    if found["incomplete_rows"] or found["label_mismatch"]:
+        raise ValueError(f"scored tables do not align: {found.asDict()}")
+
+
 def union_metrics(*tables: DataFrame) -> DataFrame:
     """Metric rows of several models as one table."""
     union = tables[0]

@@ -62,16 +62,23 @@ def rate_by(df: DataFrame, key: str, label: str, name: str = "value") -> DataFra
 
 
 def rate_by_attributes(df: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
-    """:func:`rate_by` for many keys in one pass, next to the overall rate."""
-    overall = df.agg(F.avg(column(label)).alias("overall")).scalar()
+    """:func:`rate_by` for many keys, next to the overall rate, in one read.
+
+    The overall rate is summed up from the groups of each key, null ones included.
+    """
     long = df.selectExpr(
         f"`{label}` as _label", *[f"string(`{k}`) as `{k}`" for k in keys]
     ).unpivot("_label", quoted(keys), "attribute", "value")
+    whole = Window.partitionBy("attribute")  # one row per value of a key
     return (
-        long.where("value is not null")
-        .groupBy("attribute", "value")
-        .agg(F.avg("_label").alias("rate"), F.count("*").alias("n"))
-        .withColumn("overall_rate", overall)
+        long.groupBy("attribute", "value")
+        .agg(F.sum("_label").alias("_sum"), F.count("_label").alias("_known"),
+             F.count("*").alias("n"))
+        .withColumn("overall_rate", F.try_divide(
+            F.sum("_sum").over(whole), F.sum("_known").over(whole)))
+        .where("value is not null")
+        .select("attribute", "value", F.try_divide("_sum", "_known").alias("rate"), "n",
+                "overall_rate")
     )
 
 
@@ -89,31 +96,33 @@ def histograms(df: DataFrame, columns: Sequence[str] = tuple(S.RAW_NUMERIC),
                bins: int = 30) -> DataFrame:
     """Equal-width histograms between each column's least and largest value.
 
-    One scan makes the counts per value; the range and the bins follow from
-    that table. Empty bins are left out, the last bin is closed.
+    A first scan finds the ranges; the second bins each row where it lies, so that
+    at most ``bins`` counts per column and task are shuffled. Empty bins are left
+    out, the last bin is closed.
     """
-    counts = value_table(df, columns, "double").where("value is not null")
-    limits = counts.groupBy("attribute").agg(
-        F.min("value").alias("low"), F.max("value").alias("high")
-    )
-    # a column with a single value gets a bin range of one around it
-    flat = F.col("low") == F.col("high")
-    low = F.when(flat, F.col("low") - 0.5).otherwise(F.col("low"))
-    high = F.when(flat, F.col("high") + 0.5).otherwise(F.col("high"))
-    limits = limits.select(
-        "attribute", low.alias("low"), ((high - low) / bins).alias("width")
-    )
-    # one row per histogram column, so the broadcast is as small as that list
-    placed = counts.join(F.broadcast(limits), "attribute").withColumn(
-        "bin",
-        F.size(F.filter(
-            F.sequence(F.lit(1), F.lit(bins - 1)),
-            lambda i: F.col("low") + i * F.col("width") <= F.col("value"),
-        )),
-    )
-    return placed.groupBy("attribute", "bin").agg(
-        (F.min("low") + F.col("bin") * F.min("width")).alias("bin_low"),
-        F.sum("n").alias("n"),
+    ranges = df.selectExpr(*[
+        part for c in columns for part in (f"min(double(`{c}`))", f"max(double(`{c}`))")
+    ]).first()
+    binned = []
+    for i, c in enumerate(columns):
+        low, high = ranges[2 * i], ranges[2 * i + 1]
+        if low is None:
+            continue
+        if low == high:  # a single value gets a range of one around it
+            low, high = low - 0.5, high + 0.5
+        start, width = (f"double('{v!r}')" for v in (low, (high - low) / bins))
+        binned.append(
+            f"struct('{c}' as attribute, {start} as low, {width} as width, "
+            f"size(filter(sequence(1, {bins - 1}), i -> {start} + i * {width} "
+            f"<= double(`{c}`))) as bin, double(`{c}`) as value)")
+    if not binned:
+        return df.sparkSession.createDataFrame(
+            [], "attribute string, bin int, bin_low double, n long")
+    return (
+        df.selectExpr(f"inline(array({', '.join(binned)}))").where("value is not null")
+        .groupBy("attribute", "bin")
+        .agg((F.min("low") + F.col("bin") * F.min("width")).alias("bin_low"),
+             F.count("*").alias("n"))
     )
 
 
@@ -261,8 +270,10 @@ def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def value_shares(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Counts per value with their percentage of the column's rows."""
-    everything = F.sum("n").over(Window.partitionBy("attribute"))
-    return value_table(df, columns).withColumn("pct", F.col("n") * 100 / everything)
+    counts = value_table(df, columns)
+    totals = counts.groupBy("attribute").agg(F.sum("n").alias("total"))
+    return counts.join(totals, "attribute").select(
+        "attribute", "value", "n", (F.col("n") * 100 / F.col("total")).alias("pct"))
 
 
 def value_difference(df: DataFrame, column_a: str, column_b: str) -> DataFrame:

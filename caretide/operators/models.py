@@ -26,6 +26,7 @@ from caretide import schema as S
 from caretide.operators import evaluate as E
 from caretide.operators.encode import Prepared, feature_names
 from caretide.operators.oversample import oversample
+from caretide.operators.ranking import score_curve
 from caretide.operators.split import fit_folds, with_class_weight
 from caretide.operators.tree_attribution import staged_scores
 from caretide.session import materialize, shared_folder
@@ -235,19 +236,15 @@ def cross_validate(prepared: Prepared, parameters: dict, folds: int = 5,
 def evaluation_suite(scored: DataFrame) -> dict[str, DataFrame]:
     """Every evaluation table of two or more aligned models."""
     scored = materialize(scored, "scored")
-    names = sorted(r[0] for r in scored.select("model").distinct().limit(1000).collect())
-    for other in names[1:]:
-        E.check_alignment(
-            scored.where(F.col("model") == names[0]), scored.where(F.col("model") == other)
-        )
-    metrics = materialize(E.metric_table(scored), "metrics")
-    # one threshold per model is broadcast
-    cuts = F.broadcast(metrics.select("model", F.col("Opt_Threshold").alias("threshold")))
+    E.check_models_align(scored)
+    curve = materialize(score_curve(scored), "curve")
+    metrics = materialize(E.metric_table(scored, curve=curve), "metrics")
+    cuts = metrics.select("model", F.col("Opt_Threshold").alias("threshold"))
     predicted = E.apply_threshold(scored.join(cuts, "model"), F.col("threshold"))
     return {
         "metrics": metrics,
-        "roc": E.roc_points(scored),
-        "precision_recall": E.pr_points(scored),
+        "roc": E.roc_points(scored, curve=curve),
+        "precision_recall": E.pr_points(scored, curve=curve),
         "prevalence": E.prevalence(scored),
         "calibration": E.calibration(scored),
         "histogram": E.score_histogram(scored),

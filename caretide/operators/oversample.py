@@ -25,7 +25,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -34,7 +33,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from caretide import schema as S
 from caretide.operators.split import fit_cuts, order_key
-from caretide.session import materialize
+from caretide.session import materialize, ship
 
 NEIGHBOURS = 5
 BLOCK_ROWS = 2048
@@ -201,14 +200,13 @@ def nearest_neighbours(points: DataFrame, numeric: int, k: int = NEIGHBOURS,
     if n <= k:
         raise ValueError(f"{n} rows are too few for {k} neighbours")
     penalty = float(np.median(deviations)) ** 2
-    tree = points.sparkSession.sparkContext.broadcast(
-        _fit_tree(points, n, numeric, penalty, block_rows)
-    )
+    shared = ship(points.sparkSession, _fit_tree(points, n, numeric, penalty, block_rows))
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tree = shared()
         for pdf in batches:
             if len(pdf):
-                yield pdf.assign(cell=tree.value.leaf_of(_matrix(pdf["x"])))
+                yield pdf.assign(cell=tree.leaf_of(_matrix(pdf["x"])))
 
     cells = materialize(
         points.select("row_id", "x").mapInPandas(
@@ -254,9 +252,10 @@ def nearest_neighbours(points: DataFrame, numeric: int, k: int = NEIGHBOURS,
     )
 
     def reach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tree = shared()
         for pdf in batches:
             if len(pdf):
-                near = tree.value.near_leaves(_matrix(pdf["x"]), pdf["radius"].to_numpy())
+                near = tree.near_leaves(_matrix(pdf["x"]), pdf["radius"].to_numpy())
                 yield pdf.assign(cells=near).drop(columns="radius")
 
     first = own.select("row_id", F.inline("found"))
@@ -333,7 +332,7 @@ def synthesize(points: DataFrame, wanted: int, numeric: int, width: int,
     n = points.count()
     each, extra = divmod(wanted, n)
     one = points.select("row_id", F.lit(1).alias("label"))
-    more = fit_cuts(one, ["more", "rest"], [Fraction(extra, n)], "label", "row_id", seed)
+    more = fit_cuts(one, ["more", "rest"], lambda _: [extra], "label", "row_id", seed)
     times = F.lit(each)
     if extra:
         times = times + (more.part() == "more").cast("int")

@@ -15,6 +15,7 @@ could not be said of edges computed inside the plan.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -23,8 +24,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from caretide.functions.clinical import column, quoted
 from caretide.session import materialize
 
-RANGES = 1024
-SMALL_ROWS = 200_000
+#: Distinct values in one range, about as many as a task sorts at once.
+RANGE_ROWS = 200_000
 
 
 def _doubles(values) -> str:
@@ -32,58 +33,59 @@ def _doubles(values) -> str:
     return "array(" + ", ".join(f"double('{float(v)!r}')" for v in values) + ")"
 
 
-def range_edges(df: DataFrame, value: str, ranges: int = RANGES) -> list[float]:
-    """At most ``ranges - 1`` increasing cut points of ``value``."""
+def ranges_for(n: int) -> int:
+    return max(1, -(-n // RANGE_ROWS))
+
+
+def range_edges(df: DataFrame, value: str, ranges: int) -> list[float]:
+    """At most ``ranges - 1`` increasing finite cut points of ``value``."""
+    if ranges < 2:
+        return []
     shares = _doubles(i / ranges for i in range(1, ranges))
     sketch = df.selectExpr(
         f"percentile_approx(double(`{value}`), {shares}, {10 * ranges})"
     ).first()[0]
-    return sorted(set(sketch or [0.0]))
+    return sorted(v for v in set(sketch or []) if math.isfinite(v))
 
 
 def with_range(df: DataFrame, value: str, ranges: int) -> DataFrame:
     """Add ``_range``, the number of the value range each row falls into."""
-    splits = [float("-inf"), *range_edges(df, value, ranges), float("inf")]
+    edges = range_edges(df, value, ranges)
+    if not edges:
+        return df.withColumn("_range", F.lit(0.0))
+    splits = [float("-inf"), *edges, float("inf")]
     return Bucketizer(splits=splits, inputCol=value, outputCol="_range").transform(df)
 
 
+def has_value(value: Column) -> Column:
+    return value.isNotNull() & ~F.isnan(value)
+
+
 def _zero_if_first(total: Column) -> Column:
     return F.coalesce(total, F.lit(0).cast("bigint"))
 
 
 def score_curve(scored: DataFrame, keys: Sequence[str] = ("model",),
                 label: str = "label", score: str = "score",
-                small: int = SMALL_ROWS, ranges: int = RANGES) -> DataFrame:
+                ranges: int | None = None) -> DataFrame:
     """One row per key and distinct score, with exact cumulative counts.
 
     ``pos`` and ``neg`` count the rows at the score, ``tp`` and ``fp`` those at
     or above it, ``pos_total`` and ``neg_total`` all of the key's rows, and
-    ``next_pos`` and ``next_neg`` those at the next lower score.
+    ``next_pos`` and ``next_neg`` those at the next lower score. ``ranges`` only
+    steers how the work is cut.
     """
     keys = list(keys)
+    value = column(score).cast("double")
     counts = materialize(
-        scored.groupBy(*keys, column(score).alias("score")).agg(
+        scored.where(has_value(value)).groupBy(*keys, value.alias("score")).agg(
             F.count_if(column(label) == 1).alias("pos"),
             F.count_if(column(label) == 0).alias("neg"),
         ),
         "score-counts",
     )
     step = F.struct("pos", "neg")
-    if counts.count() <= small:
-        falling = Window.partitionBy(*keys).orderBy(F.desc("score"))
-        so_far = falling.rowsBetween(Window.unboundedPreceding, 0)
-        everything = Window.partitionBy(*keys)
-        curve = counts.select(
-            *keys, "score", "pos", "neg",
-            F.sum("pos").over(so_far).alias("tp"), F.sum("neg").over(so_far).alias("fp"),
-            F.sum("pos").over(everything).alias("pos_total"),
-            F.sum("neg").over(everything).alias("neg_total"),
-            F.lead(step).over(falling).alias("_next"),
-        )
-        return curve.select(
-            "*", F.col("_next.pos").alias("next_pos"), F.col("_next.neg").alias("next_neg")
-        ).drop("_next")
-    counts = with_range(counts, "score", ranges)
+    counts = with_range(counts, "score", ranges or ranges_for(counts.count()))
     totals = counts.groupBy(*keys, "_range").agg(
         F.sum("pos").alias("range_pos"), F.sum("neg").alias("range_neg"),
         F.max_by(step, "score").alias("top"),
@@ -115,18 +117,11 @@ def score_curve(scored: DataFrame, keys: Sequence[str] = ("model",),
     )
 
 
-def _running_counts(counts: DataFrame, small: int, ranges: int) -> DataFrame:
+def _running_counts(counts: DataFrame, ranges: int | None) -> DataFrame:
     """``(column, value, n)`` with ``upto``, the count at or below the value,
     and ``total``, the count of the column."""
     everything = Window.partitionBy("column")
-    if counts.count() <= small:
-        rising = Window.partitionBy("column").orderBy("value")
-        so_far = rising.rowsBetween(Window.unboundedPreceding, 0)
-        return counts.select(
-            "column", "value", "n", F.sum("n").over(so_far).alias("upto"),
-            F.sum("n").over(everything).alias("total"),
-        )
-    counts = with_range(counts, "value", ranges)
+    counts = with_range(counts, "value", ranges or ranges_for(counts.count()))
     rising = Window.partitionBy("column").orderBy("_range")
     before = F.sum("n").over(rising.rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.groupBy("column", "_range").agg(F.sum("n").alias("n")).select(
@@ -141,7 +136,7 @@ def _running_counts(counts: DataFrame, small: int, ranges: int) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float] = (0.5,),
-                    small: int = SMALL_ROWS, ranges: int = RANGES) -> DataFrame:
+                    ranges: int | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles: ``(column, share, value)``.
 
     One scan makes the table of distinct values and their counts; the rest
@@ -150,13 +145,13 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[floa
     counts = materialize(
         df.selectExpr(*[f"double(`{c}`) as `{c}`" for c in columns])
         .unpivot([], quoted(columns), "column", "value")
-        .where("value is not null")
+        .where(has_value(F.col("value")))
         .groupBy("column", "value")
         .agg(F.count("*").alias("n")),
         "value-counts",
     )
     wanted = (
-        _running_counts(counts, small, ranges)
+        _running_counts(counts, ranges)
         .withColumn("share", F.explode(F.expr(_doubles(shares))))
         .withColumn("position", F.col("share") * (F.col("total") - 1))
     )

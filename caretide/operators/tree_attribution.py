@@ -23,8 +23,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from caretide import schema as S
+from caretide.operators.attribute import long_form
 from caretide.operators.encode import feature_names
-from caretide.session import scratch_path
+from caretide.session import scratch_path, ship
 
 _CELLS = 4_000_000  # largest intermediate array per step
 
@@ -182,17 +183,24 @@ def tree_attributions(rows: DataFrame, model: GBTClassificationModel, names: lis
 
     The base value plus a row's impacts is the log-odds of its score.
     """
+    return long_form(tree_entries(rows, model, names, row_id, groups), row_id)
+
+
+def tree_entries(rows: DataFrame, model: GBTClassificationModel, names: list[str],
+                 row_id: str = S.ROW_ID, groups: list[Leaves] | None = None) -> DataFrame:
+    """One row per scored row: ``entries``, an array of (feature, value, impact)."""
     groups = collect_leaves(model) if groups is None else groups
     shown = feature_names(names, model.numFeatures)
-    shared = rows.sparkSession.sparkContext.broadcast(groups)
+    shared = ship(rows.sparkSession, groups)
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        leaves = shared()
         for pdf in batches:
             if pdf.empty:
                 continue
             x = np.stack(pdf["x"].to_numpy())
             yield pd.DataFrame({
-                "id": pdf["id"], "x": list(x), "impacts": list(row_impacts(x, shared.value)),
+                "id": pdf["id"], "x": list(x), "impacts": list(row_impacts(x, leaves)),
             })
 
     wide = rows.select(
@@ -201,23 +209,28 @@ def tree_attributions(rows: DataFrame, model: GBTClassificationModel, names: lis
     named = F.array(*[F.lit(n) for n in shown])
     return wide.select(
         F.col("id").alias(row_id),
-        F.inline(F.arrays_zip(named.alias("feature"), F.col("x").alias("value"),
-                              F.col("impacts").alias("impact"))),
-    ).toDF(row_id, "feature", "value", "impact")
+        F.transform(
+            F.arrays_zip(named.alias("feature"), F.col("x").alias("value"),
+                         F.col("impacts").alias("impact")),
+            lambda e: F.struct(e["feature"].alias("feature"), e["value"].alias("value"),
+                               e["impact"].alias("impact")),
+        ).alias("entries"),
+    )
 
 
 def staged_scores(rows: DataFrame, model: GBTClassificationModel,
                   row_id: str = S.ROW_ID) -> DataFrame:
     """``(row_id, label, round, score)``: the score after each boosting round."""
     groups, trees = collect_leaves(model), model.getNumTrees
-    shared = rows.sparkSession.sparkContext.broadcast(groups)
+    shared = ship(rows.sparkSession, groups)
 
     def stages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        leaves = shared()
         for pdf in batches:
             if pdf.empty:
                 continue
             x = np.stack(pdf["x"].to_numpy())
-            odds = tree_margins(x, shared.value, trees).cumsum(axis=1)
+            odds = tree_margins(x, leaves, trees).cumsum(axis=1)
             yield pd.DataFrame({
                 "id": pdf["id"], "label": pdf["label"],
                 "scores": list(1.0 / (1.0 + np.exp(-odds))),

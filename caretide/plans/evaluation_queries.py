@@ -39,13 +39,26 @@ def _(spark, sf_dir):
     return _split(spark, sf_dir)
 
 
-@query("d04_folds", sql(f"""SELECT row_id, {S.LABEL}, CAST(CASE WHEN r <= s THEN 0
-    WHEN r <= 2 * s THEN 1 WHEN r <= 3 * s THEN 2 WHEN r <= 4 * s THEN 3 ELSE 4 END AS INT)
-    AS fold FROM (SELECT *, (n + 4) // 5 AS s FROM t_ranked)"""))
+# fold sizes differ by one at most: fold i ends at rank floor(n (i + 1) / 5)
+@query("d04_folds", sql(f"""SELECT row_id, {S.LABEL}, CAST(
+    (SELECT count(*) FROM range(1, 5) AS f(i) WHERE r > n * i // 5) AS INT) AS fold
+    FROM t_ranked"""))
 def _(spark, sf_dir):
     return D.fold_data(_labels(spark, sf_dir))
 
 
+@query("d03_missing_label", sql(f"""SELECT count(*) AS n_rows,
+    'label column ''{S.LABEL}'' not found' AS message FROM t_model"""))
+def _(spark, sf_dir):
+    unlabelled = _labels(spark, sf_dir).drop(S.LABEL)
+    try:
+        D.split_data(unlabelled)
+    except ValueError as error:
+        return unlabelled.agg(F.count("*").alias("n_rows")).withColumn(
+            "message", F.lit(str(error)))
+    raise AssertionError("a missing label column must be an error")
+
+
 @query("d05_class_weights", sql(f"""SELECT {S.LABEL}, count(*) AS n, round(sum(count(*)) OVER ()
     / (2.0::DOUBLE * count(*)), 6) AS weight FROM t_model GROUP BY {S.LABEL}"""))
 def _(spark, sf_dir):
@@ -59,18 +72,33 @@ def _(spark, sf_dir):
     return rounded(D.split_report(_split(spark, sf_dir)))
 
 
-@query("j04_split_overlap", sql("""SELECT row_id, min(split) AS first_split,
-    max(split) AS last_split FROM t_split GROUP BY row_id HAVING count(DISTINCT split) > 1"""))
+# every seventh row is planted in a second split, so that there is an overlap to find
+@query("j04_split_overlap", sql("""SELECT a.split AS split_a, b.split AS split_b,
+    count(*) AS n FROM t_twice a JOIN t_twice b ON a.row_id = b.row_id AND a.split < b.split
+    GROUP BY 1, 2""", t_twice="""SELECT row_id, split FROM t_split UNION SELECT row_id,
+    CASE WHEN CAST(row_id AS BIGINT) % 2 = 0 THEN 'train' ELSE 'val' END FROM t_split
+    WHERE CAST(row_id AS BIGINT) % 7 = 0"""))
 def _(spark, sf_dir):
-    return D.split_overlap(_split(spark, sf_dir))
+    split = _split(spark, sf_dir).select(S.ROW_ID, "split")
+    number = F.col(S.ROW_ID).cast("bigint")
+    planted = split.where(number % 7 == 0).withColumn(
+        "split", F.when(number % 2 == 0, "train").otherwise("val"))
+    return D.overlap_counts(split.unionByName(planted))
 
 
-@query("w05_rank_order", sql(f"""SELECT row_id, split, {SEEDED} AS place FROM t_split
-    WHERE split = 'val'"""))
+@query("j04b_split_disjoint", sql("""SELECT count(*) AS n_rows, count(DISTINCT row_id) AS n_ids,
+    0::BIGINT AS n_shared FROM t_split"""))
 def _(spark, sf_dir):
-    return _split(spark, sf_dir).where("split = 'val'").select(
-        "row_id", "split", D.order_key().alias("place")
-    )
+    split = _split(spark, sf_dir)
+    shared = D.split_overlap(split).agg(F.count("*").alias("n_shared"))
+    return split.agg(
+        F.count("*").alias("n_rows"), F.count_distinct(S.ROW_ID).alias("n_ids"),
+    ).withColumn("n_shared", shared.scalar())
+
+
+@query("w05_rank_order", sql(f"SELECT row_id, {S.LABEL}, r AS place FROM t_ranked"))
+def _(spark, sf_dir):
+    return D.ranked(_labels(spark, sf_dir))
 
 
 # --- metrics -------------------------------------------------------------------
@@ -193,13 +221,19 @@ def _(spark, sf_dir):
     return rounded(E.union_metrics(*tables))
 
 
-@query("j05_alignment", sql("""SELECT count(*) AS matched, 0::BIGINT AS only_left,
-    0::BIGINT AS only_right, 0::BIGINT AS label_mismatch FROM t_wide_scores"""))
+# rows are left out on either side and labels turned over, so that there are faults to find
+@query("j05_alignment", sql("""SELECT count(*) FILTER (k % 5 <> 0 AND k % 11 <> 0) AS matched,
+    count(*) FILTER (k % 5 <> 0 AND k % 11 = 0) AS only_left,
+    count(*) FILTER (k % 5 = 0 AND k % 11 <> 0) AS only_right,
+    count(*) FILTER (k % 5 <> 0 AND k % 11 <> 0 AND k % 7 = 0) AS label_mismatch
+    FROM (SELECT CAST(row_id AS BIGINT) AS k FROM t_wide_scores)"""))
 def _(spark, sf_dir):
     scored = T.scored(spark, sf_dir)
-    return E.alignment(
-        scored.where("model = 'Boosted Trees'"), scored.where("model <> 'Boosted Trees'")
-    )
+    k = F.col(S.ROW_ID).cast("bigint")
+    left = scored.where((F.col("model") == "Boosted Trees") & (k % 5 != 0))
+    right = scored.where((F.col("model") != "Boosted Trees") & (k % 11 != 0)).withColumn(
+        "label", F.when(k % 7 == 0, 1 - F.col("label")).otherwise(F.col("label")))
+    return E.alignment(left, right)
 
 
 @query("v09_metric_view", sql("SELECT model, " + ", ".join(

@@ -23,8 +23,16 @@ def _impacts(spark, sf_dir):
     table = materialize(
         fill_numeric(T.modelling(spark, sf_dir).select(S.ROW_ID, *S.NUMERIC)), "numerics"
     )
+    return X.long_form(_entries(spark, sf_dir, table))
+
+
+def _entries(spark, sf_dir, table=None):
+    if table is None:
+        table = materialize(
+            fill_numeric(T.modelling(spark, sf_dir).select(S.ROW_ID, *S.NUMERIC)), "numerics"
+        )
     means = {c: mean for c, (mean, _) in numeric_moments(table).items()}
-    return X.linear_attributions(table, COEFFICIENTS, means)
+    return X.linear_entries(table, COEFFICIENTS, means)
 
 
 @query("x02_linear_attributions", sql("""SELECT row_id, feature, round(value, 6) AS value,
@@ -71,14 +79,14 @@ _CONTRIBUTIONS = """SELECT row_id, feature, round(t.impact, 6) AS impact, CAST(r
     QUALIFY rank <= {}"""
 
 
-@query("k04_top_contributions", sql(_CONTRIBUTIONS.format(3)))
+@query("k04_top_contributions", sql(_CONTRIBUTIONS.format(10)))
 def _(spark, sf_dir):
-    return rounded(X.top_contributions(_impacts(spark, sf_dir), 3).drop("value"))
+    return rounded(X.top_contributions(_entries(spark, sf_dir)).drop("value"))
 
 
 @query("x08_top_contributors", sql(_CONTRIBUTIONS.format(10)))
 def _(spark, sf_dir):
-    return rounded(X.top_contributions(_impacts(spark, sf_dir)).drop("value"))
+    return rounded(X.top_contributions(_entries(spark, sf_dir), 10).drop("value"))
 
 
 _CASES = "SELECT outcome, row_id, label, round(score, 6) AS score FROM t_cases"
@@ -89,9 +97,9 @@ def _(spark, sf_dir):
     return rounded(X.representative_cases(_test_scores(spark, sf_dir)))
 
 
-@query("x06_representative_cases", sql(_CASES + " WHERE outcome <> 'TN'"))
+@query("x06_representative_cases", sql(_CASES))
 def _(spark, sf_dir):
-    return rounded(X.representative_cases(_test_scores(spark, sf_dir))).where("outcome <> 'TN'")
+    return rounded(X.representative_cases(_test_scores(spark, sf_dir)))
 
 
 @query("x07_waterfall", sql(f"""SELECT row_id, feature, round(i.impact, 6) AS impact,

@@ -95,6 +95,20 @@ def _(spark, sf_dir):
     return R.worst_nulls(T.loaded(spark, sf_dir))
 
 
+_TYPES = "CASE typeof({0}) WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' END"
+
+
+@query("s09_sanity_summary", sql(f"""SELECT 'shape' AS section, 'rows' AS name,
+    NULL::VARCHAR AS type, count(*) AS n FROM t_null
+    UNION ALL SELECT 'shape', 'columns', NULL, {S.EXPECTED_COLUMNS}
+    UNION ALL SELECT 'label', readmitted, NULL, count(*) FROM t_null GROUP BY readmitted
+    UNION ALL SELECT 'null', "column", NULL, n_null FROM ({_WORST})
+    """ + " ".join(f"UNION ALL SELECT 'type', '{c}', " + _TYPES.format(f'any_value({q(c)})')
+                   + ", NULL FROM t_null" for c in S.RAW_COLUMNS)))
+def _(spark, sf_dir):
+    return R.sanity_summary(T.loaded(spark, sf_dir))
+
+
 @query("s10_split_assignment", sql("SELECT row_id, split FROM t_split"))
 def _(spark, sf_dir):
     df = materialize(T.modelling(spark, sf_dir).select(S.ROW_ID, S.LABEL), "labels")

@@ -1,13 +1,15 @@
-"""Session set-up, the shared folder, and size-checked broadcasts."""
+"""Session set-up and the tables written to the shared folder."""
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-BROADCAST_ROWS = 100_000
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(cores: str = "*", app: str = "caretide", **conf: str) -> SparkSession:
@@ -33,37 +35,65 @@ def build_session(cores: str = "*", app: str = "caretide", **conf: str) -> Spark
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a local session may fall back to a folder of its own; on a cluster a
-    machine-local folder would lose data with the machine.
+    Only where driver and executors are one process may a folder of its own stand
+    in; anywhere else a machine-local folder would lose data with the machine.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+_written: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path below the shared folder, to be removed by :func:`clear_scratch`."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession, keep: int = 0) -> None:
+    """Remove what this process wrote below the shared folder, but for the first ``keep``."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while len(_written) > keep:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Removes the tables written inside the block when it ends."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        clear_scratch(spark, before)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
     Unlike a cached frame it survives the loss of executors, and later jobs
-    read it with column pruning and filter pushdown.
+    read it with column pruning and filter pushdown. The caller owns it: it goes
+    with :func:`clear_scratch` or the :func:`scratch` block around it.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting that ``df`` holds at most ``rows``."""
-    if df.limit(rows + 1).count() <= rows:
-        return F.broadcast(df)
-    return df
+def ship(spark: SparkSession, value) -> Callable[[], object]:
+    """Send a value to the tasks once; calling the result there gives it back.
+
+    Objects of this package's classes go with their classes, so that workers need
+    not have the package.
+    """
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(sent.value)

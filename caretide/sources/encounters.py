@@ -18,12 +18,20 @@ def read_encounters(spark: SparkSession, path: str, fmt: str = "csv",
     Types are never inferred: codes such as ``250.00`` must stay text.
     ``null_literals`` also reads the usual spellings of missing as null; by
     default ``None`` stays text, because it says that a test was not made.
+
+    A CSV's columns are taken by the names in its header, in any order; all files
+    of a folder must have the same header. A missing column is an error when the
+    table is opened, a text where a number belongs one when the row is read.
     """
-    reader = spark.read.schema(S.RAW_SCHEMA)
+    reader = spark.read
     if fmt == "csv":
         reader = reader.option("header", True).option("nullValue", S.MISSING)
+        reader = reader.option("inferSchema", False).option("enforceSchema", False)
+    else:
+        reader = reader.schema(S.RAW_SCHEMA)
     try:
         df = reader.format(fmt).load(path)
+        df = _typed(df) if fmt == "csv" else df
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no encounter table at {path}") from error
@@ -31,6 +39,24 @@ def read_encounters(spark: SparkSession, path: str, fmt: str = "csv",
     return null_out_literals(df) if null_literals else df
 
 
+def _typed(df: DataFrame) -> DataFrame:
+    """The declared columns by name, with their declared types."""
+    missing = [c for c in S.RAW_COLUMNS if c not in df.columns]
+    if missing:
+        raise ValueError(f"encounter table lacks {missing}")
+    kinds = {f.name: f.dataType.simpleString() for f in S.RAW_SCHEMA.fields}
+
+    def number(name: str, kind: str):
+        read = F.trim(name).try_cast(kind)
+        bad = F.raise_error(F.concat(F.lit(f"bad number in {name}: "), F.col(name))).cast(kind)
+        return F.when(F.col(name).isNotNull() & read.isNull(), bad).otherwise(read)
+
+    return df.select(*[
+        (F.col(c) if kinds[c] == "string" else number(c, kinds[c])).alias(c)
+        for c in S.RAW_COLUMNS
+    ])
+
+
 def null_out_literals(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {c: C.null_sentinel(c, S.NULL_LITERALS) for c in text_columns(df)}
@@ -81,3 +107,22 @@ def worst_nulls(df: DataFrame, n: int = 10) -> DataFrame:
 def column_types(df: DataFrame) -> DataFrame:
     rows = [(i, name, kind) for i, (name, kind) in enumerate(df.dtypes)]
     return df.sparkSession.createDataFrame(rows, "position int, column string, type string")
+
+
+def sanity_summary(df: DataFrame, label: str = S.RAW_LABEL) -> DataFrame:
+    """Shape, column types, label counts and null counts: ``(section, name, type, n)``."""
+    text = F.lit(None).cast("string")
+    size = df.agg(F.count("*").alias("n"))
+    shape = size.select(F.lit("rows").alias("name"), "n").unionByName(
+        size.select(F.lit("columns").alias("name"), F.lit(len(df.columns)).cast("long").alias("n")))
+    labels = df.groupBy(column(label).alias("name")).agg(F.count("*").alias("n"))
+    types = column_types(df).select(
+        F.lit("type").alias("section"), F.col("column").alias("name"), "type",
+        F.lit(None).cast("long").alias("n"))
+    parts = [("shape", shape), ("label", labels),
+             ("null", null_counts(df).withColumnRenamed("column", "name")
+              .withColumnRenamed("n_null", "n"))]
+    for section, part in parts:
+        types = types.unionByName(part.select(
+            F.lit(section).alias("section"), "name", text.alias("type"), "n"))
+    return types

@@ -6,7 +6,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from caretide import schema as S
-from caretide.session import broadcast_if_small
 
 
 def read_lookup_file(spark: SparkSession, path: str) -> DataFrame:
@@ -51,26 +50,20 @@ def parse_lookup_lines(lines: DataFrame) -> DataFrame:
 
 def decode_ids(df: DataFrame, lookups: DataFrame,
                columns: list[str] | None = None) -> DataFrame:
-    """Add ``<column>_label`` for each id column; unknown ids give null."""
+    """Add ``<column>_label`` for each id column; unknown ids give null.
+
+    Plain joins: the optimizer broadcasts a lookup if its size allows it, and
+    splits a frequent id if not.
+    """
     for name in columns or S.ID_COLUMNS:
         if name not in df.columns:
             continue
         labels = lookups.where(F.col("id_column") == name).select(
             F.col("id").alias(name), F.col("description").alias(f"{name}_label")
         )
-        df = df.join(broadcast_if_small(labels), name, "left")
+        df = df.join(labels, name, "left")
     return df
 
 
 def source_labels(lookups: DataFrame, id_column: str = "admission_source_id") -> DataFrame:
     return lookups.where(F.col("id_column") == id_column).select("id", "description")
-
-
-def label_map(labels: DataFrame, limit: int = 10_000) -> dict[int, str]:
-    """The lookup as a driver dictionary, for the serving side."""
-    rows = labels.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"lookup holds more than {limit} rows")
-    return {row["id"]: row["description"] for row in rows}
-
-

@@ -1,6 +1,6 @@
 import pytest
 
-from caretide.session import build_session
+from caretide.session import build_session, clear_scratch
 
 
 @pytest.fixture(scope="session")
@@ -8,4 +8,5 @@ def spark():
     session = build_session("8", "caretide-tests")
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_scratch(session)
     session.stop()

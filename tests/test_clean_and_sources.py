@@ -85,7 +85,7 @@ def test_lookup_file(spark, tmp_path):
         ("admission_source_id", 7): "Emergency Room",
     }
     lookups = L.read_lookup_file(spark, str(path))
-    assert L.label_map(L.source_labels(lookups)) == {7: "Emergency Room"}
+    assert {r.id: r.description for r in L.source_labels(lookups).collect()} == {7: "Emergency Room"}
     df = spark.createDataFrame([(1,), (9,), (None,)], "admission_type_id int")
     named = L.decode_ids(df, lookups).collect()
     assert {(r[0], r["admission_type_id_label"]) for r in named} == {
@@ -96,3 +96,37 @@ def test_lookup_file(spark, tmp_path):
 def test_required_columns(spark):
     with pytest.raises(ValueError, match="gender"):
         CL.require_columns(spark.range(1).withColumn("race", F.lit("x")), ["race", "gender"])
+
+
+def _csv(tmp_path, columns, rows):
+    path = tmp_path / "e.csv"
+    path.write_text("\n".join([",".join(columns), *(",".join(r) for r in rows)]) + "\n")
+    return str(path)
+
+
+def _raw_row(**changed):
+    number = {"admission_type_id", "discharge_disposition_id", "admission_source_id", *S.RAW_NUMERIC}
+    row = {c: "1" if c in number else f"{c}-text" for c in S.RAW_COLUMNS}
+    return {**row, **changed}
+
+
+def test_csv_is_read_by_name(spark, tmp_path):
+    row = _raw_row(race="Asian", gender="Female", time_in_hospital="4")
+    mixed = list(reversed(S.RAW_COLUMNS))
+    got = R.read_encounters(spark, _csv(tmp_path, mixed, [[row[c] for c in mixed]])).first()
+    assert (got.race, got.gender, got.time_in_hospital) == ("Asian", "Female", 4)
+    assert got.__fields__ == S.RAW_COLUMNS
+
+
+def test_csv_without_a_column_or_with_a_bad_number(spark, tmp_path):
+    row = _raw_row()
+    short = S.RAW_COLUMNS[1:]
+    with pytest.raises(ValueError, match="encounter_id"):
+        R.read_encounters(spark, _csv(tmp_path, short, [[row[c] for c in short]]))
+    bad = _raw_row(time_in_hospital="abc")
+    path = _csv(tmp_path, S.RAW_COLUMNS, [[bad[c] for c in S.RAW_COLUMNS]])
+    with pytest.raises(Exception, match="bad number in time_in_hospital: abc"):
+        R.read_encounters(spark, path).collect()
+    gap = _raw_row(time_in_hospital="?")
+    path = _csv(tmp_path, S.RAW_COLUMNS, [[gap[c] for c in S.RAW_COLUMNS]])
+    assert R.read_encounters(spark, path).first().time_in_hospital is None

@@ -51,7 +51,7 @@ def test_metrics_match_brute_force(tied):
 def test_ranges_give_the_same_curve(tied, ranges):
     _, _, df = tied
     plain = sorted(map(tuple, score_curve(df).collect()))
-    split = score_curve(df, small=0, ranges=ranges).select(
+    split = score_curve(df, ranges=ranges).select(
         "model", "score", "pos", "neg", "tp", "fp", "pos_total", "neg_total", "next_pos", "next_neg"
     )
     assert sorted(map(tuple, split.collect()), key=str) == sorted(plain, key=str)
@@ -100,15 +100,15 @@ def test_alignment(spark):
         E.check_alignment(a, b)
 
 
-@pytest.mark.parametrize("small", [0, 1000])
-def test_quantiles_are_exact(spark, small):
+@pytest.mark.parametrize("ranges", [1, 16])
+def test_quantiles_are_exact(spark, ranges):
     rng = np.random.default_rng(1)
     values = np.concatenate([np.full(100, 7.0), rng.normal(size=201) * 50])
     df = spark.createDataFrame([(float(v), i % 4 or None) for i, v in enumerate(values)], "a double, b int")
     shares = [0.0, 0.25, 0.5, 0.9, 1.0]
     got = {
         (r["column"], r["share"]): r["value"]
-        for r in exact_quantiles(df, ["a", "b"], shares, small=small, ranges=16).collect()
+        for r in exact_quantiles(df, ["a", "b"], shares, ranges=ranges).collect()
     }
     known = [i % 4 for i in range(len(values)) if i % 4]
     for s in shares:
@@ -131,3 +131,42 @@ def test_audit(spark):
     assert audit[("Race", "x")]["AUROC"] == pytest.approx(brute(y, p)[0])
     without_age = H.audit_table(df.drop("age"), 0.5)
     assert without_age.where("Attribute = 'Age'").count() == 0
+
+
+ODD = [(1, .9), (0, None), (1, float("nan")), (0, .9), (1, float("inf")), (0, float("-inf")),
+       (1, .2), (0, .2), (None, .9), (1, .2)]
+
+
+def odd_scores(spark):
+    rows = [(str(i), "m", y, p) for i, (y, p) in enumerate(ODD)]
+    return spark.createDataFrame(rows, "row_id string, model string, label int, score double")
+
+
+def test_null_and_nan_scores_take_no_part_whatever_the_ranges(spark):
+    df = odd_scores(spark)
+    want = [("m", float("inf"), 1, 0, 1, 0), ("m", .9, 1, 1, 2, 1), ("m", .2, 2, 1, 4, 2),
+            ("m", float("-inf"), 0, 1, 4, 3)]
+    for ranges in (1, 2, 3, 50):
+        curve = score_curve(df, ranges=ranges).collect()
+        got = [(r.model, r.score, r.pos, r.neg, r.tp, r.fp) for r in curve]
+        assert sorted(got, key=lambda r: -r[1]) == want
+        assert {(r.pos_total, r.neg_total) for r in curve} == {(4, 3)}
+    known = np.array([(y, p) for y, p in ODD if y is not None and p is not None and p == p])
+    auroc = brute(known[:, 0].astype(int), known[:, 1])[0]
+    assert E.metric_table(df).first()["AUROC"] == pytest.approx(auroc)
+    assert E.calibration(df).agg({"n": "sum"}).first()[0] == 8
+
+
+def test_median_of_values_with_nan(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,)], "a double")
+    for ranges in (1, 4):
+        assert exact_quantiles(df, ["a"], ranges=ranges).first()["value"] == 1.5
+
+
+def test_models_must_align(spark):
+    a = scored(spark, [(1, .1), (0, .2)])
+    E.check_models_align(a.unionByName(scored(spark, [(1, .5), (0, .5)], "n")))
+    with pytest.raises(ValueError, match="align"):
+        E.check_models_align(a.unionByName(scored(spark, [(1, .5), (1, .5)], "n")))
+    with pytest.raises(ValueError, match="align"):
+        E.check_models_align(a.unionByName(scored(spark, [(1, .5)], "n")))

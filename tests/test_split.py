@@ -1,6 +1,9 @@
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
+from caretide import schema as S
 from caretide.operators import split as D
 
 
@@ -38,7 +41,37 @@ def test_folds(labeled):
     rows = D.fold_data(labeled).collect()
     for label in (0, 1):
         sizes = [sum(r["fold"] == f and r["readmitted_30day"] == label for r in rows) for f in range(5)]
-        assert max(sizes) - min(sizes) <= 4 and sum(sizes) == (223 if label else 1777)
+        assert max(sizes) - min(sizes) <= 1 and sum(sizes) == (223 if label else 1777)
+
+
+@pytest.mark.parametrize("n", [1, 4, 6, 101])
+def test_folds_of_any_size_differ_by_one(spark, n):
+    df = spark.createDataFrame([(str(i), 1) for i in range(n)], "row_id string, readmitted_30day int")
+    folds = [r["fold"] for r in D.fold_data(df).collect()]
+    sizes = [folds.count(f) for f in range(5)]
+    assert sum(sizes) == n and max(sizes) - min(sizes) <= 1
+
+
+def test_large_prefixes_are_counted_further(labeled, monkeypatch):
+    want = {r[0]: r[2] for r in D.split_data(labeled).collect()}
+    monkeypatch.setattr(D, "_DIGITS", 1)
+    monkeypatch.setattr(D, "_SORTED", 3)
+    assert {r[0]: r[2] for r in D.split_data(labeled).collect()} == want
+
+
+def test_ranks(labeled):
+    rows = D.ranked(labeled).collect()
+    for label in (0, 1):
+        own = [(r.row_id, r.place) for r in rows if r["readmitted_30day"] == label]
+        order = sorted(own, key=lambda r: hashlib.md5(f"{S.SEED}:{r[0]}".encode()).hexdigest())
+        assert [p for _, p in order] == list(range(1, len(own) + 1))
+
+
+def test_overlap_counts(labeled):
+    split = D.split_data(labeled).select("row_id", "split")
+    twice = split.union(split.where("split = 'test'").withColumn("split", F.lit("val")))
+    got = {(r.split_a, r.split_b): r.n for r in D.overlap_counts(twice).collect()}
+    assert got == {("test", "val"): split.where("split = 'test'").count()}
 
 
 def test_report_overlap_and_weights(labeled):

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from caretide.llm import repeats
 from caretide.llm.common import Batches, texts
 from caretide.llm.decontaminate import _TABLE, words
+from caretide.session import ship
 
 SHINGLE = 5
 CONTAINMENT = 0.8
@@ -177,7 +178,7 @@ def _scan(shared, first: bool):
     """Adds a block's matches to those that a document carries."""
 
     def run(batches: Batches) -> Batches:
-        made = shared.value
+        made = shared()
         kind = pa.list_(pa.struct([("license_id", pa.string()), ("containment", pa.float64())]))
 
         def lay(group: list[bytes]) -> repeats.Units:
@@ -223,7 +224,7 @@ def scan(
     part = F.pmod(F.xxhash64("license_id", "text"), F.lit(max(blocks, 1)))
     for number in range(blocks):
         held = [(r[0], r[1]) for r in rows.where(part == number).collect()]  # bounded by block
-        shared = spark.sparkContext.broadcast(scanners(held, containment, miss))
+        shared = ship(spark, scanners(held, containment, miss))
         carried = carried.mapInArrow(_scan(shared, first=number == 0), shape)
     if not blocks:
         carried = carried.withColumn("matches", F.array().cast(MATCHES))

@@ -7,6 +7,7 @@ trials or folds is measured by one job.
 
 from __future__ import annotations
 
+import json
 import random
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -29,7 +30,7 @@ from caretide.operators.oversample import oversample
 from caretide.operators.ranking import score_curve
 from caretide.operators.split import fit_folds, with_class_weight
 from caretide.operators.tree_attribution import staged_scores
-from caretide.session import materialize, shared_folder
+from caretide.session import materialize, scratch_path, shared_folder
 from caretide.sources import sinks
 
 
@@ -79,52 +80,63 @@ def boosted(parameters: dict, seed: int = S.SEED, **options) -> GBTClassifier:
         labelCol="label", maxDepth=int(p["max_depth"]), stepSize=float(p["learning_rate"]),
         maxIter=int(p["n_estimators"]), subsamplingRate=float(p["subsample"]),
         featureSubsetStrategy="all" if share >= 1 else f"{share:.4f}",
-        minInstancesPerNode=int(p["min_child_weight"]), minInfoGain=float(p["gamma"]),
+        minInstancesPerNode=int(p["min_child_weight"]), minInfoGain=float(p["min_info_gain"]),
         seed=seed, checkpointInterval=10, maxMemoryInMB=512, **options,
     )
 
 
-def fit_boosted(train: DataFrame, validation: DataFrame, parameters: dict | None = None,
-                seed: int = S.SEED) -> GBTClassificationModel:
-    """Boosted trees that stop when the validation loss no longer falls."""
-    _checkpoints(train.sparkSession)
-    both = train.select("label", "features", F.lit(False).alias("held")).unionByName(
-        validation.select("label", "features", F.lit(True).alias("held"))
-    )
-    stop = {"validationIndicatorCol": "held", "validationTol": 0.0}
-    return boosted(parameters or {}, seed, **stop).fit(both)
-
-
 def best_round(model: GBTClassificationModel, validation: DataFrame,
-               patience: int = 20) -> int:
-    """The round with the best average precision, as patience would stop.
+               patience: int = 20) -> tuple[int, bool]:
+    """The round with the best average precision, and whether patience ran out after it.
 
     All rounds are scored and measured in one job.
     """
     rounds = E.average_precision(staged_scores(validation, model), ["round"])
-    best, best_at = -1.0, 0
+    best, best_at = -1.0, 1
     for row in sorted(rounds.collect(), key=lambda r: r["round"]):
         if row["auprc"] is not None and row["auprc"] > best:
             best, best_at = row["auprc"], row["round"]
         elif row["round"] - best_at >= patience:
-            break
-    return best_at
+            return best_at, True
+    return best_at, False
+
+
+def first_trees(spark: SparkSession, model: GBTClassificationModel,
+                n: int) -> GBTClassificationModel:
+    """The ensemble cut to its first ``n`` trees, made from its saved form."""
+    if n >= model.getNumTrees:
+        return model
+    whole, cut = scratch_path(spark, "ensemble"), scratch_path(spark, "ensemble-cut")
+    model.save(whole)
+    about = json.loads(spark.read.text(f"{whole}/metadata").first()["value"])
+    about["numTrees"] = n
+    row = spark.createDataFrame([(json.dumps(about),)], "value string")
+    row.coalesce(1).write.text(f"{cut}/metadata")
+    for part in ("treesMetadata", "data"):
+        trees = spark.read.parquet(f"{whole}/{part}")  # the tree's number comes first
+        trees.where(F.col(trees.columns[0]) < n).write.parquet(f"{cut}/{part}")
+    return GBTClassificationModel.load(cut)
 
 
-def fit_boosted_by_precision(train: DataFrame, validation: DataFrame,
-                             parameters: dict | None = None, patience: int = 20,
-                             seed: int = S.SEED) -> GBTClassificationModel:
-    """Boosted trees cut at the round with the best average precision.
+def fit_boosted(train: DataFrame, validation: DataFrame, parameters: dict | None = None,
+                patience: int = 20, seed: int = S.SEED) -> GBTClassificationModel:
+    """Boosted trees cut at the round with the best average precision on validation.
 
-    Boosting is sequential and seeded, so the second fit, with that many
-    rounds, gives the same first trees.
+    Boosting stops once ``patience`` rounds brought nothing better. It is sequential
+    and seeded, so a longer fit begins with the trees of a shorter one: rounds are
+    doubled until patience runs out, and the ensemble is cut.
     """
     _checkpoints(train.sparkSession)
-    parameters = dict(parameters or {})
+    parameters = {**S.BOOSTED_DEFAULTS, **(parameters or {})}
     rows = train.select("label", "features")
-    full = boosted(parameters, seed).fit(rows)
-    parameters["n_estimators"] = best_round(full, validation, patience) or 1
-    return boosted(parameters, seed).fit(rows)
+    most, rounds = int(parameters["n_estimators"]), 2 * patience
+    while True:
+        rounds = min(rounds, most)
+        model = boosted({**parameters, "n_estimators": rounds}, seed).fit(rows)
+        best, stopped = best_round(model, validation, patience)
+        if stopped or rounds == most:
+            return first_trees(train.sparkSession, model, best)
+        rounds *= 2
 
 
 # --- scoring ----------------------------------------------------------------------
@@ -169,7 +181,7 @@ class SearchResult:
     trials: DataFrame
 
 
-def search(prepared: Prepared, trials: int = 50, parallel: int = 4,
+def search(prepared: Prepared, trials: int = 50, parallel: int = 4, patience: int = 20,
            seed: int = S.SEED) -> SearchResult:
     """Random search for the best average precision on the validation rows.
 
@@ -181,7 +193,7 @@ def search(prepared: Prepared, trials: int = 50, parallel: int = 4,
     held = prepared.part("val")
 
     def run(parameters: dict) -> GBTClassificationModel:
-        return fit_boosted(prepared.train, held, parameters, seed)
+        return fit_boosted(prepared.train, held, parameters, patience, seed)
 
     with ThreadPoolExecutor(parallel) as pool:
         models = list(pool.map(run, candidates))
@@ -220,7 +232,7 @@ def cross_validate(prepared: Prepared, parameters: dict, folds: int = 5,
         train, held = rows.where(F.col("fold") != fold), rows.where(F.col("fold") == fold)
         if balance_inside:
             train = materialize(oversample(train.drop("fold"), len(S.NUMERIC)), "balanced")
-        model = fit_boosted(train, held, parameters, seed)
+        model = fit_boosted(train, held, parameters, seed=seed)
         return score(model, held, str(fold))
 
     with ThreadPoolExecutor(parallel) as pool:

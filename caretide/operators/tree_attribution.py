@@ -28,6 +28,7 @@ from caretide.operators.encode import feature_names
 from caretide.session import scratch_path, ship
 
 _CELLS = 4_000_000  # largest intermediate array per step
+TABLE_FEATURES = 6  # path features up to which values are tabled by pattern
 
 
 @dataclass(frozen=True)
@@ -48,12 +49,11 @@ class Leaves:
     share: np.ndarray
 
 
-def read_nodes(model: GBTClassificationModel):
+def read_nodes(spark: SparkSession, model: GBTClassificationModel):
     """The ensemble's nodes, one driver row per node, from its saved form."""
-    session = SparkSession.getActiveSession()
-    path = scratch_path(session, "trees")
+    path = scratch_path(spark, "trees")
     model.save(path)
-    nodes = session.read.parquet(f"{path}/data")
+    nodes = spark.read.parquet(f"{path}/data")
     return nodes.select(
         "treeID", "nodeData.id", "nodeData.prediction", "nodeData.rawCount",
         "nodeData.leftChild", "nodeData.rightChild",
@@ -63,10 +63,10 @@ def read_nodes(model: GBTClassificationModel):
     ).collect()
 
 
-def collect_leaves(model: GBTClassificationModel) -> list[Leaves]:
+def collect_leaves(spark: SparkSession, model: GBTClassificationModel) -> list[Leaves]:
     """All leaves, grouped by how many features their paths use."""
     trees: dict[int, dict] = {}
-    for row in read_nodes(model):
+    for row in read_nodes(spark, model):
         trees.setdefault(row["treeID"], {})[row["id"]] = row
     weights = model.treeWeights
     groups: dict[int, list] = {}
@@ -143,19 +143,64 @@ def _shapley(g: Leaves, part: slice) -> np.ndarray:
     return out
 
 
-def row_impacts(x: np.ndarray, groups: list[Leaves]) -> np.ndarray:
-    """(rows, features) attributions of a batch of rows."""
+def _shapley_by_row(passed: np.ndarray, share: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """(rows, leaves, features) values, by polynomials in the number of known features.
+
+    The product of a leaf's factors ``share + passed t`` is made once; a feature's
+    own factor is divided out again, from the top coefficient down, which is stable
+    since shares are at most one.
+    """
+    d = share.shape[1]
+    weight = np.ones(d)
+    weight[0] = 1.0 / d
+    for k in range(1, d):
+        weight[k] = weight[k - 1] * k / (d - k)
+    whole = np.zeros((*passed.shape[:2], d + 1))
+    whole[:, :, 0] = 1.0
+    for j in range(d):
+        grown = whole * share[None, :, j, None]
+        grown[:, :, 1:] += whole[:, :, :-1] * passed[:, :, j, None]
+        whole = grown
+    out = np.empty(passed.shape)
+    for i in range(d):
+        s, knows = share[None, :, i], passed[:, :, i].astype(bool)
+        rest = np.empty((*passed.shape[:2], d))
+        rest[:, :, d - 1] = whole[:, :, d]
+        for k in range(d - 1, 0, -1):
+            rest[:, :, k - 1] = whole[:, :, k] - s * rest[:, :, k]
+        rest = np.where(knows[:, :, None], rest, whole[:, :, :d] / s[:, :, None])
+        out[:, :, i] = value[None, :] * (rest @ weight) * (knows - s)
+    return out
+
+
+def pattern_tables(groups: list[Leaves]) -> list[np.ndarray | None]:
+    """Values by pattern of passes, made once, for leaves with few path features."""
+    return [
+        _shapley(g, slice(None)) if 0 < g.feature.shape[1] <= TABLE_FEATURES else None
+        for g in groups
+    ]
+
+
+def row_impacts(x: np.ndarray, groups: list[Leaves], tables: list | None = None) -> np.ndarray:
+    """(rows, features) attributions of a batch of rows.
+
+    Few path features: a value is looked up by the pattern of passes. More: it is
+    computed for each row and leaf, in the square of their number.
+    """
     out = np.zeros(x.shape)
-    for g in groups:
+    for g, table in zip(groups, pattern_tables(groups) if tables is None else tables):
         leaves, d = g.feature.shape
         if d == 0:
             continue
-        step = max(1, _CELLS // (max(len(x), 2**d) * d))
+        step = max(1, _CELLS // (len(x) * d * (1 if table is not None else 4)))
         for start in range(0, leaves, step):
             part = slice(start, start + step)
-            pattern = _reached(x, g, part) @ (1 << np.arange(d))
-            table = _shapley(g, part)
-            gains = table[np.arange(len(table))[None, :], pattern]
+            passed = _reached(x, g, part)
+            if table is not None:
+                own = table[part]
+                gains = own[np.arange(len(own))[None, :], passed @ (1 << np.arange(d))]
+            else:
+                gains = _shapley_by_row(passed, g.share[part], g.value[part])
             flat = gains.reshape(len(x), -1)
             feature = g.feature[part].ravel()
             order = np.argsort(feature, kind="stable")
@@ -189,18 +234,19 @@ def tree_attributions(rows: DataFrame, model: GBTClassificationModel, names: lis
 def tree_entries(rows: DataFrame, model: GBTClassificationModel, names: list[str],
                  row_id: str = S.ROW_ID, groups: list[Leaves] | None = None) -> DataFrame:
     """One row per scored row: ``entries``, an array of (feature, value, impact)."""
-    groups = collect_leaves(model) if groups is None else groups
+    groups = collect_leaves(rows.sparkSession, model) if groups is None else groups
     shown = feature_names(names, model.numFeatures)
     shared = ship(rows.sparkSession, groups)
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         leaves = shared()
+        tables = pattern_tables(leaves)
         for pdf in batches:
             if pdf.empty:
                 continue
             x = np.stack(pdf["x"].to_numpy())
             yield pd.DataFrame({
-                "id": pdf["id"], "x": list(x), "impacts": list(row_impacts(x, leaves)),
+                "id": pdf["id"], "x": list(x), "impacts": list(row_impacts(x, leaves, tables)),
             })
 
     wide = rows.select(
@@ -221,7 +267,7 @@ def tree_entries(rows: DataFrame, model: GBTClassificationModel, names: list[str
 def staged_scores(rows: DataFrame, model: GBTClassificationModel,
                   row_id: str = S.ROW_ID) -> DataFrame:
     """``(row_id, label, round, score)``: the score after each boosting round."""
-    groups, trees = collect_leaves(model), model.getNumTrees
+    groups, trees = collect_leaves(rows.sparkSession, model), model.getNumTrees
     shared = ship(rows.sparkSession, groups)
 
     def stages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

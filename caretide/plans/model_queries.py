@@ -50,7 +50,7 @@ class _Inputs:
 
     @lru_cache(maxsize=None)
     def leaves(self):
-        return TA.collect_leaves(self.trees())
+        return TA.collect_leaves(self.modelling.sparkSession, self.trees())
 
     def scores(self) -> DataFrame:
         """Both models' scores of the test split."""

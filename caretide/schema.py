@@ -159,7 +159,7 @@ AUDIT_ATTRIBUTES = {"Race": "race", "Gender": "gender", "Age": "age"}
 
 BOOSTED_DEFAULTS = {
     "max_depth": 6, "learning_rate": 0.1, "n_estimators": 300, "subsample": 0.8,
-    "colsample": 0.8, "min_child_weight": 5, "gamma": 0.0,
+    "colsample": 0.8, "min_child_weight": 5, "min_info_gain": 0.0,
 }
 SEARCH_RANGES = {
     "max_depth": ("int", 3, 10),
@@ -168,7 +168,8 @@ SEARCH_RANGES = {
     "subsample": ("float", 0.6, 1.0),
     "colsample": ("float", 0.5, 1.0),
     "min_child_weight": ("int", 1, 10),
-    "gamma": ("float", 0.0, 5.0),
+    # a drop in variance per row; the usual 0 to 5 of a summed loss would forbid all splits
+    "min_info_gain": ("log", 1e-6, 5e-2),
 }
 
 # --- table types ------------------------------------------------------------

@@ -214,10 +214,34 @@ def test_search_and_folds(trees):
 
 def test_stop_by_precision(trees):
     prepared, _ = trees
-    model = M.fit_boosted_by_precision(
-        prepared.train, prepared.part("val"), {"max_depth": 3, "n_estimators": 8}
-    )
-    assert 1 <= model.getNumTrees <= 8
+    train, held = prepared.train, prepared.part("val")
+    model = M.fit_boosted(train, held, {"max_depth": 3, "n_estimators": 9}, patience=3)
+    assert 1 <= model.getNumTrees <= 9
+    best, _ = M.best_round(model, held, 3)
+    assert best == model.getNumTrees  # nothing follows the best round
+
+
+def test_cut_ensemble_begins_like_the_whole(trees):
+    prepared, _ = trees
+    rows, held = prepared.train.select("label", "features"), prepared.part("val")
+    whole = M.boosted({"max_depth": 3, "n_estimators": 6}).fit(rows)
+    short = M.boosted({"max_depth": 3, "n_estimators": 4}).fit(rows)
+    cut = M.first_trees(rows.sparkSession, whole, 4)
+    assert cut.getNumTrees == 4
+
+    def scores(model):
+        return {r.row_id: r.score for r in M.score(model, held, "m").collect()}
+
+    assert scores(cut) == pytest.approx(scores(short))
+
+
+def test_search_finds_models_that_learn(trees):
+    prepared, _ = trees
+    found = M.search(prepared, trials=3)
+    rows = found.trials.collect()
+    assert sum(r.auroc > 0.55 for r in rows) >= 2 and len({r.auprc for r in rows}) == 3
+    assert rows[0].auprc == max(r.auprc for r in rows)
+    assert found.best["max_depth"] == rows[0].max_depth
 
 
 # --- attributions --------------------------------------------------------------------
@@ -273,9 +297,23 @@ def test_tree_values_match_the_definition():
     assert TA.row_impacts(x, packed) == pytest.approx(want)
 
 
+@pytest.mark.parametrize("d", [1, 3, 6, 9])
+def test_polynomials_equal_the_tables(d):
+    rng = np.random.default_rng(d)
+    g = TA.Leaves(
+        tree=np.zeros(20, int), value=rng.normal(size=20), feature=np.tile(np.arange(d), (20, 1)),
+        low=np.full((20, d), -np.inf), high=rng.uniform(0, 1, (20, d)),
+        capped=np.ones((20, d), bool), share=rng.uniform(0.01, 1, (20, d)))
+    x = rng.uniform(0, 1, (15, d))
+    passed = TA._reached(x, g, slice(None))
+    table = TA._shapley(g, slice(None))
+    want = table[np.arange(20)[None, :], passed @ (1 << np.arange(d))]
+    assert TA._shapley_by_row(passed, g.share, g.value) == pytest.approx(want)
+
+
 def test_attributions_add_up(trees):
     prepared, model = trees
-    groups = TA.collect_leaves(model)
+    groups = TA.collect_leaves(prepared.table.sparkSession, model)
     rows = prepared.part("test")
     impact = TA.tree_attributions(rows, model, prepared.names, groups=groups)
     assert impact.select("feature").distinct().count() == len(S.FEATURES)

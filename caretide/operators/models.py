@@ -59,6 +59,19 @@ def fit_logistic(train: DataFrame, strength: float = 1.0,
     ).fit(weighted)
 
 
+def logistic_gradient(model: LogisticRegressionModel, train: DataFrame,
+                      strength: float = 1.0) -> DataFrame:
+    """``(place, gradient)`` of the penalised loss at the fitted coefficients."""
+    weights = [float(w) for w in model.coefficients]
+    rows = model.transform(with_class_weight(train, "label")).select(
+        (F.col("weight") * (vector_to_array("probability")[1] - F.col("label"))).alias("slope"),
+        F.posexplode(vector_to_array("features")).alias("place", "x"),
+    )
+    own = F.get(F.array(*[F.lit(w) for w in weights]), "place")
+    return rows.groupBy("place").agg(F.sum(F.col("slope") * F.col("x")).alias("loss")).select(
+        "place", (F.col("loss") + own / strength).alias("gradient"))
+
+
 def coefficient_table(model: LogisticRegressionModel, names: list[str]) -> DataFrame:
     """``(feature, coefficient)``, the largest absolute value first."""
     spark = SparkSession.getActiveSession()
@@ -215,9 +228,9 @@ def search(prepared: Prepared, trials: int = 50, parallel: int = 4, patience: in
 
 
 def cross_validate(prepared: Prepared, parameters: dict, folds: int = 5,
-                   balance_inside: bool = False, parallel: int = 4,
+                   balance_inside: bool = False, parallel: int = 4, patience: int = 20,
                    seed: int = S.SEED) -> DataFrame:
-    """AUROC and average precision per fold: ``(fold, auroc, auprc)``.
+    """AUROC and average precision per fold: ``(fold, auroc, auprc, n_rows)``.
 
     By default the folds are cut from the training rows as prepared, synthetic
     ones included. ``balance_inside`` balances each fold's training part on
@@ -232,13 +245,15 @@ def cross_validate(prepared: Prepared, parameters: dict, folds: int = 5,
         train, held = rows.where(F.col("fold") != fold), rows.where(F.col("fold") == fold)
         if balance_inside:
             train = materialize(oversample(train.drop("fold"), len(S.NUMERIC)), "balanced")
-        model = fit_boosted(train, held, parameters, seed=seed)
+        model = fit_boosted(train, held, parameters, patience, seed)
         return score(model, held, str(fold))
 
     with ThreadPoolExecutor(parallel) as pool:
         scores = reduce(DataFrame.unionByName, list(pool.map(run, range(folds))))
-    return E.quick_metrics(scores).select(
-        F.col("model").cast("int").alias("fold"), "auroc", "auprc"
+    scores = materialize(scores, "fold-scores")
+    sizes = scores.groupBy("model").agg(F.count("*").alias("n_rows"))
+    return E.quick_metrics(scores).join(sizes, "model").select(
+        F.col("model").cast("int").alias("fold"), "auroc", "auprc", "n_rows"
     )
 
 

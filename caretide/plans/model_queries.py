@@ -1,7 +1,9 @@
 """Encoders, balancing, models, search, and model sinks.
 
-Fitted models have no SQL counterpart; their queries return tables of
-properties that tests check. The fits of one session and input are shared.
+A fitted model has no SQL counterpart, but much that must hold of it has: which
+rows, names and counts come out, and that stated properties are met. The queries
+return these, each property as a column of ones. The fits of one session and
+input are shared.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from caretide.operators.encode import EncounterEncoder, fill_numeric, prepare
 from caretide.operators.oversample import nearest_neighbours, oversample
 from caretide.operators.split import split_data
 from caretide.plans import tables as T
-from caretide.plans.oracle import q, sql
+from caretide.plans.oracle import SEEDED, q, sql
 from caretide.plans.registry import query, rounded
 from caretide.session import materialize, scratch_path
 from caretide.sources import sinks
@@ -48,6 +50,11 @@ class _Inputs:
         prepared = self.prepared("xgb")
         return M.fit_boosted(prepared.train, prepared.part("val"))
 
+    @lru_cache(maxsize=None)
+    def found(self):
+        """The search whose best parameters are stored, cross-validated and refitted."""
+        return M.search(self.prepared("xgb"), trials=10, patience=10)
+
     @lru_cache(maxsize=None)
     def leaves(self):
         return TA.collect_leaves(self.modelling.sparkSession, self.trees())
@@ -139,7 +146,37 @@ def _(spark, sf_dir):
     return prepared.table.select(S.ROW_ID, F.inline(values)).toDF("row_id", "feature", "value")
 
 
-@query("e06_encoder_kinds")
+# feature names by kind and position: numerics, categories, flags
+_TRAINED = f"SELECT * FROM t_split WHERE split = 'train'"
+_PARTS = [(f"num__{c}", 0, i) for i, c in enumerate(S.NUMERIC)]
+_PARTS += [(f"bin__{c}", 2, i) for i, c in enumerate(S.BINARY)]
+
+
+def _one_hot_names(i, c):
+    """The sorted training values of a category without the first, null last."""
+    shown = _shown("v") if c != "admission_source_id" else "CAST(CAST(v AS DOUBLE) AS VARCHAR)"
+    return (f"SELECT 'lr', 'cat__{c}_' || coalesce({shown}, 'nan'), 1, {i}, r FROM (SELECT v, "
+            f"row_number() OVER (ORDER BY v NULLS LAST) AS r FROM "
+            f"(SELECT DISTINCT {c} AS v FROM t_trained)) WHERE r > 1")
+
+
+_NAMES = " UNION ALL ".join(
+    [f"SELECT '{kind}' AS kind, '{name}' AS feature, {section} AS section, {i} AS place, 0 AS v"
+     for kind in ("lr", "xgb") for name, section, i in _PARTS]
+    + [f"SELECT 'xgb', 'cat__{c}', 1, {i}, 0" for i, c in enumerate(S.CATEGORICAL)]
+    + [_one_hot_names(i, c) for i, c in enumerate(S.CATEGORICAL)]
+)
+_NAMED = f"""SELECT kind, CAST(row_number() OVER (PARTITION BY kind ORDER BY section, place, v) - 1
+    AS INT) AS position, feature FROM ({_NAMES})"""
+_EXTRA = {"t_trained": _TRAINED, "t_names": _NAMED}
+
+
+def _flag(condition):
+    """A condition that must hold, as 0 or 1; null counts as broken."""
+    return F.coalesce(condition.cast("int"), F.lit(0))
+
+
+@query("e06_encoder_kinds", sql("SELECT kind, position, feature FROM t_names", **_EXTRA))
 def _(spark, sf_dir):
     made = _inputs(spark, sf_dir)
     rows = [
@@ -149,132 +186,307 @@ def _(spark, sf_dir):
     return spark.createDataFrame(rows, "kind string, position int, feature string")
 
 
-@query("e07_prepared_data")
+@query("e07_prepared_data", sql(f"""SELECT kind, split, {S.LABEL} AS label, count(*) AS n,
+    (SELECT count(*) FROM t_names t WHERE t.kind = k.kind) AS width
+    FROM t_split, (VALUES ('lr'), ('xgb')) AS k(kind) GROUP BY kind, split, {S.LABEL}""", **_EXTRA))
 def _(spark, sf_dir):
     made = _inputs(spark, sf_dir)
     tables = [
-        made.prepared(kind).table.groupBy("split", "label").agg(F.count("*").alias("n"))
+        made.prepared(kind).table.groupBy("split", "label").agg(
+            F.count("*").alias("n"),
+            F.max(F.size(vector_to_array("features"))).cast("long").alias("width"))
         .withColumn("kind", F.lit(kind))
         for kind in ("lr", "xgb")
     ]
     return tables[0].unionByName(tables[1])
 
 
-@query("d06_oversample")
+# the rarer class serves as base in md5 order, every row equally often up to one
+_BALANCE = {
+    "t_trained": _TRAINED,
+    "t_sizes": f"""SELECT {S.LABEL} AS label, count(*) AS n, row_number() OVER
+        (ORDER BY count(*), {S.LABEL}) AS place FROM t_trained GROUP BY 1""",
+    "t_minor": f"""SELECT row_id, label, row_number() OVER (ORDER BY {SEEDED}) AS r, n,
+        (SELECT max(n) FROM t_sizes) - n AS wanted
+        FROM t_trained JOIN t_sizes ON label = {S.LABEL} WHERE place = 1""",
+    "t_made": """SELECT row_id || '~' || i AS row_id, label FROM t_minor,
+        unnest(range(1, wanted // n + CAST(r <= wanted % n AS BIGINT) + 1)) AS u(i)""",
+}
+
+
+@query("d06_oversample", sql("""SELECT label, n + CASE WHEN place = 1 THEN m ELSE 0 END AS n,
+    CASE WHEN place = 1 THEN m ELSE 0 END AS synthetic
+    FROM t_sizes, (SELECT count(*) AS m FROM t_made)""", **_BALANCE))
 def _(spark, sf_dir):
     return _inputs(spark, sf_dir).prepared("xgb").train.groupBy("label").agg(
         F.count("*").alias("n"), F.count_if(F.col("row_id").contains("~")).alias("synthetic")
     )
 
 
-@query("u03_append_synthetic")
+@query("u03_append_synthetic", sql(f"""SELECT row_id, {S.LABEL} AS label, FALSE AS synthetic
+    FROM t_trained UNION ALL SELECT row_id, label, TRUE FROM t_made""", **_BALANCE))
 def _(spark, sf_dir):
     plain = prepare(_inputs(spark, sf_dir).modelling, "xgb", balance=False)
     train = oversample(plain.train, len(S.NUMERIC))
     return train.select("row_id", "label", F.col("row_id").contains("~").alias("synthetic"))
 
 
-@query("j06_nearest_neighbours")
+# all pairs of the minority: squared gaps of numbers, a penalty for each other value that differs
+_GAPS = " + ".join(
+    [f"(coalesce(a.{c}, 0) - coalesce(b.{c}, 0)) ** 2" for c in S.NUMERIC]
+    + [f"penalty * CAST(a.{q(c)} IS DISTINCT FROM b.{q(c)} AS INT)"
+       for c in (*S.CATEGORICAL, *S.BINARY)])
+_NEAR = {
+    "t_trained": _TRAINED,
+    "t_minority": f"SELECT * FROM t_trained WHERE {S.LABEL} = 1",
+    "t_penalty": "SELECT list_median([" + ", ".join(
+        f"stddev_pop(coalesce({c}, 0))" for c in S.NUMERIC) + "]) ** 2 AS penalty FROM t_minority",
+    "t_gaps": f"""SELECT a.row_id, CAST({_GAPS} AS DOUBLE) AS distance
+        FROM t_minority a JOIN t_minority b ON a.row_id <> b.row_id, t_penalty""",
+}
+
+
+@query("j06_nearest_neighbours", sql("""SELECT row_id, CAST(row_number() OVER
+    (PARTITION BY row_id ORDER BY t_gaps.distance) AS INT) AS place, round(t_gaps.distance, 6)
+    AS distance FROM t_gaps QUALIFY place <= 5""", **_NEAR))
 def _(spark, sf_dir):
     prepared = _inputs(spark, sf_dir).prepared("xgb")
     minority = prepared.part("train").where("label = 1").select(
         "row_id", vector_to_array("features").alias("x")
     )
-    return rounded(nearest_neighbours(minority, len(S.NUMERIC)).drop("nx"))
+    # which of equally near rows is taken is free, so the neighbour's name is left out
+    near = nearest_neighbours(minority, len(S.NUMERIC)).where(F.col("neighbour") != F.col("row_id"))
+    return rounded(near.select("row_id", "place", "distance"))
 
 
 # --- models ----------------------------------------------------------------------------
 
 
-@query("e08_logistic_regression")
+@query("e08_logistic_regression", sql("""SELECT count(*) AS n_rows, (SELECT count(*) FROM t_names
+    WHERE kind = 'lr') AS n_features, 1 AS at_minimum FROM t_trained""", **_EXTRA))
 def _(spark, sf_dir):
+    """The fit is right where the gradient of the penalised loss vanishes."""
     made = _inputs(spark, sf_dir)
-    scores = M.score(made.logistic(), made.prepared("lr").part("val"), "Logistic Regression")
-    return rounded(E.quick_metrics(scores))
+    train, model = made.prepared("lr").train, made.logistic()
+    gradient = M.logistic_gradient(model, train)
+    rows = train.agg(F.count("*").alias("n_rows"))
+    return gradient.agg(
+        F.count("*").alias("n_features"), F.max(F.abs("gradient")).alias("steepest")
+    ).crossJoin(F.broadcast(rows)).select(  # one row each
+        "n_rows", "n_features", _flag(F.col("steepest") / F.col("n_rows") < 1e-4).alias("at_minimum"))
 
 
-@query("e09_coefficients")
+@query("e09_coefficients", sql("""SELECT feature, 1 AS is_number FROM t_names
+    WHERE kind = 'lr'""", **_EXTRA))
 def _(spark, sf_dir):
     made = _inputs(spark, sf_dir)
-    return rounded(M.coefficient_table(made.logistic(), made.prepared("lr").names))
+    table = M.coefficient_table(made.logistic(), made.prepared("lr").names)
+    return table.select("feature", _flag(F.abs("coefficient") < float("inf")).alias("is_number"))
 
 
-@query("k02_top_coefficients")
+@query("k02_top_coefficients", sql("""SELECT CAST(i AS INT) AS place, 1 AS is_known,
+    1 AS in_order FROM range(1, 11) AS u(i) WHERE i <= (SELECT count(*) FROM t_names
+    WHERE kind = 'lr')""", **_EXTRA))
 def _(spark, sf_dir):
+    """Ten names of the vector, none smaller than the next and none outside larger."""
     made = _inputs(spark, sf_dir)
     table = M.coefficient_table(made.logistic(), made.prepared("lr").names)
-    return rounded(M.top_coefficients(table))
+    top = [tuple(r) for r in M.top_coefficients(table).collect()]
+    rest = max((abs(r[1]) for r in table.collect()[len(top):]), default=0.0)
+    sizes = [abs(c) for _, c in top] + [rest]
+    names = set(made.prepared("lr").names)
+    rows = [(i + 1, int(name in names), int(sizes[i] >= sizes[i + 1]))
+            for i, (name, _) in enumerate(top)]
+    return spark.createDataFrame(rows, "place int, is_known int, in_order int")
 
 
-@query("e10_boosted_trees")
+@query("e10_boosted_trees", sql("""SELECT count(*) AS n_rows, 1 AS beats_chance,
+    1 AS best_round_kept FROM t_split WHERE split = 'val'"""))
 def _(spark, sf_dir):
     made = _inputs(spark, sf_dir)
-    scores = M.score(made.trees(), made.prepared("xgb").part("val"), "Boosted Trees")
-    return rounded(E.quick_metrics(scores))
+    held = made.prepared("xgb").part("val")
+    scores = M.score(made.trees(), held, "Boosted Trees")
+    best, _ = M.best_round(made.trees(), held, made.trees().getNumTrees + 1)
+    return E.quick_metrics(scores).join(scores.groupBy("model").agg(F.count("*").alias("n_rows")),
+                                        "model").select(
+        "n_rows", _flag(F.col("auroc") > 0.5).alias("beats_chance"),
+        F.lit(int(best == made.trees().getNumTrees)).alias("best_round_kept"))
 
 
-@query("e11_staged_precision")
+@query("e11_staged_precision", sql("""SELECT 1 AS first_round, 1 AS is_consecutive, 1 AS in_range,
+    1 AS ends_at_best, count(*) AS n_rows FROM t_split WHERE split = 'val'"""))
 def _(spark, sf_dir):
     made = _inputs(spark, sf_dir)
-    staged = TA.staged_scores(made.prepared("xgb").part("val"), made.trees())
-    return rounded(E.average_precision(staged, ["round"]))
+    held = made.prepared("xgb").part("val")
+    staged = E.average_precision(TA.staged_scores(held, made.trees()), ["round"])
+    found = staged.agg(
+        F.min("round").alias("first_round"), F.max("round").alias("last"), F.count("*").alias("n"),
+        F.min("auprc").alias("low"), F.max("auprc").alias("high"),
+        F.max_by("round", F.struct("auprc", -F.col("round"))).alias("best"),
+    )
+    return found.select(
+        "first_round", _flag((F.col("n") == F.col("last")) & (F.col("last")
+                             == made.trees().getNumTrees)).alias("is_consecutive"),
+        _flag((F.col("low") > 0) & (F.col("high") <= 1)).alias("in_range"),
+        _flag(F.col("best") == F.col("last")).alias("ends_at_best"),
+        F.lit(held.count()).cast("long").alias("n_rows"))
 
 
-@query("e12_scores")
-def _(spark, sf_dir):
-    return rounded(_inputs(spark, sf_dir).scores())
+_BOTH = "(VALUES ('Boosted Trees'), ('Logistic Regression')) AS m(model)"
 
 
-@query("e14_search")
+@query("e12_scores", sql(f"""SELECT row_id, model, {S.LABEL} AS label, 1 AS is_probability
+    FROM t_split, {_BOTH} WHERE split = 'test'"""))
 def _(spark, sf_dir):
-    return rounded(M.search(_inputs(spark, sf_dir).prepared("xgb"), trials=10).trials)
+    return _inputs(spark, sf_dir).scores().select(
+        "row_id", "model", "label", _flag(F.col("score").between(0, 1)).alias("is_probability"))
 
 
-@query("e15_cross_validation")
+@query("e14_search", sql("""SELECT CAST(i AS INT) AS trial, 1 AS in_ranges, 1 AS has_learned,
+    1 AS best_is_highest, 1 AS trials_differ FROM range(10) AS u(i)"""))
 def _(spark, sf_dir):
-    prepared = _inputs(spark, sf_dir).prepared("xgb")
-    folds = materialize(M.cross_validate(prepared, {"max_depth": 4}), "folds")
-    spread = E.fold_summary(folds).select(F.struct("*")).scalar()
-    return rounded(folds.withColumn("high_variance", spread["high_variance"]))
+    """Ten draws inside the search ranges; most learn, none is like all others."""
+    found = _inputs(spark, sf_dir).found()
+    ranges = F.lit(True)
+    for name, (_, low, high) in S.SEARCH_RANGES.items():
+        ranges &= F.col(name).between(low * (1 - 1e-9), high * (1 + 1e-9))
+    rows = found.trials.collect()
+    differ = int(len({r["auprc"] for r in rows}) > len(rows) // 2)
+    learned = int(sum(r["auroc"] > 0.5 for r in rows) > len(rows) // 2)
+    top = max(rows, key=lambda r: (r["auprc"], -r["trial"]))
+    highest = int(all(float(found.best[n]) == top[n] for n in S.SEARCH_RANGES))
+    return found.trials.select(
+        "trial", _flag(ranges).alias("in_ranges"), F.lit(learned).alias("has_learned"),
+        F.lit(highest).alias("best_is_highest"), F.lit(differ).alias("trials_differ"))
+
+
+@query("e15_cross_validation", sql("""SELECT CAST(i AS INT) AS fold, CAST(2 * (m * (i + 1) // 5
+    - m * i // 5) AS BIGINT) AS n_rows, 1 AS is_measured
+    FROM range(5) AS u(i), (SELECT max(n) AS m FROM t_sizes)""", **_BALANCE))
+def _(spark, sf_dir):
+    """Folds of the balanced rows under the search's best parameters."""
+    made = _inputs(spark, sf_dir)
+    folds = M.cross_validate(made.prepared("xgb"), made.found().best, patience=10)
+    fine = F.col("auroc").between(0, 1) & (F.col("auprc") > 0) & (F.col("auprc") <= 1)
+    return folds.select("fold", "n_rows", _flag(fine).alias("is_measured"))
 
 
-@query("e16_refit_and_save")
+@query("e16_refit_and_save", sql("""SELECT count(*) AS n_rows, 0::BIGINT AS n_changed,
+    1 AS uses_best, 1 AS is_logged FROM t_split WHERE split = 'test'"""))
 def _(spark, sf_dir):
+    """The search's best, refitted, saved, read back, and logged."""
     made = _inputs(spark, sf_dir)
-    prepared = made.prepared("xgb")
-    parameters = {"max_depth": 4, "learning_rate": 0.1}
+    prepared, best = made.prepared("xgb"), made.found().best
     path, log = scratch_path(spark, "model"), scratch_path(spark, "runs")
-    metrics = M.refit_and_save(prepared, parameters, path, log)
-    return spark.createDataFrame([metrics], "auroc double, auprc double, rounds int")
+    stored = sinks.read_parameters(
+        spark, sinks.write_parameters(spark, best, scratch_path(spark, "best")))
+    metrics = M.refit_and_save(prepared, stored, path, log)
+    logged = {r["key"]: r["value"] for r in sinks.read_runs(spark, log).collect()}
+    loaded = sinks.resolve_model([path])[1].stages[-1]
+    again = M.fit_boosted(prepared.train, prepared.part("val"), stored)
+    both = M.score(loaded, prepared.part("test"), "a").join(
+        M.score(again, prepared.part("test"), "b").select("row_id", F.col("score").alias("other")),
+        "row_id")
+    kept = all(logged[k] == str(v) for k, v in {**stored, **metrics}.items())
+    return both.agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(F.abs(F.col("score") - F.col("other")) > 1e-9).alias("n_changed"),
+        F.lit(int(stored == best)).alias("uses_best"), F.lit(int(kept)).alias("is_logged"))
 
 
-@query("e17_generic_names")
+@query("e17_generic_names", sql("""SELECT 'Feature_' || position AS feature FROM t_names
+    WHERE kind = 'xgb'""", **_EXTRA))
 def _(spark, sf_dir):
     made = _inputs(spark, sf_dir)
     rows = made.prepared("xgb").part("test")
     long = TA.tree_attributions(rows, made.trees(), [], groups=made.leaves())
-    return rounded(X.global_importance(long))
+    return X.global_importance(long).where("importance >= 0").select("feature")
 
 
-@query("g15_evaluation_suite")
+@query("g15_evaluation_suite", sql(f"""SELECT t.name, model, 1 AS is_whole FROM {_BOTH},
+    (VALUES ('metrics'), ('roc'), ('precision_recall'), ('prevalence'), ('calibration'),
+    ('histogram'), ('confusion')) AS t(name)"""))
 def _(spark, sf_dir):
-    tables = M.evaluation_suite(_inputs(spark, sf_dir).scores())
-    return rounded(tables["metrics"])
+    """Every table for every model; counts in them add up to the scored rows."""
+    scores = _inputs(spark, sf_dir).scores()
+    n = scores.where("model = 'Boosted Trees'").count()
+    whole = {
+        "metrics": (F.count("*") == 1) & F.max("AUROC").between(0, 1),
+        "roc": (F.min("fpr") == 0) & (F.max("fpr") == 1) & (F.max("tpr") == 1),
+        "precision_recall": (F.max("recall") == 1) & (F.min("recall") == 0),
+        "prevalence": F.max("prevalence").between(0, 1),
+        "calibration": F.sum("n") == n, "histogram": F.sum("n") == n,
+        "confusion": F.sum(F.expr("tn + fp + fn + tp")) == n,
+    }
+    tables = M.evaluation_suite(scores)
+    return E.union_metrics(*[
+        table.groupBy("model").agg(_flag(whole[name]).alias("is_whole"))
+        .select(F.lit(name).alias("name"), "model", "is_whole")
+        for name, table in tables.items()
+    ])
+
+
+@query("x01_tree_attributions", sql("""SELECT row_id, (SELECT count(*) FROM t_names
+    WHERE kind = 'xgb') AS n_features, 1 AS adds_up FROM t_split WHERE split = 'test'""", **_EXTRA))
+def _(spark, sf_dir):
+    """The base value and a row's impacts add up to the log-odds of its score."""
+    made = _inputs(spark, sf_dir)
+    entries = _tree_entries(made)
+    odds = TA.base_value(made.leaves()) + F.aggregate(
+        "entries", F.lit(0.0), lambda total, e: total + e.impact)
+    scores = M.score(made.trees(), made.prepared("xgb").part("test"), "m")
+    return entries.withColumn("odds", odds).join(scores, "row_id").select(
+        "row_id", F.size("entries").cast("long").alias("n_features"),
+        _flag(F.abs(F.col("odds") - F.log(F.col("score") / (1 - F.col("score")))) < 1e-6)
+        .alias("adds_up"))
 
 
-@query("x01_tree_attributions")
+def _tree_entries(made):
+    prepared = made.prepared("xgb")
+    return TA.tree_entries(prepared.part("test"), made.trees(), prepared.names,
+                           groups=made.leaves())
+
+
+@query("x03b_tree_tables", sql("""SELECT t.name, least(t.n, k.n) * r.n AS n_rows, 1 AS is_right
+    FROM (VALUES ('beeswarm', 20), ('dependence', 5), ('top_contributors', 10)) AS t(name, n),
+    (SELECT count(*) AS n FROM t_names WHERE kind = 'xgb') AS k,
+    (SELECT count(*) AS n FROM t_split WHERE split = 'test') AS r
+    UNION ALL SELECT 'importance', count(*), 1 FROM t_names WHERE kind = 'xgb'
+    UNION ALL SELECT 'waterfall', 3 * count(*), 1 FROM t_names WHERE kind = 'xgb'""", **_EXTRA))
 def _(spark, sf_dir):
+    """The attribution tables over the trees' attributions, which are written once."""
     made = _inputs(spark, sf_dir)
-    prepared = made.prepared("xgb")
-    return rounded(TA.tree_attributions(
-        prepared.part("test"), made.trees(), prepared.names, groups=made.leaves()
-    ))
+    entries = materialize(_tree_entries(made), "tree-entries")
+    long = X.long_form(entries)
+    cases = entries.orderBy("row_id").limit(3).select("row_id")
+    base = TA.base_value(made.leaves())
+    odds = entries.select("row_id", F.aggregate(
+        "entries", F.lit(base), lambda total, e: total + e.impact).alias("odds"))
+    steps = X.waterfall(long, cases, base).join(odds, "row_id")
+    last = F.max_by(F.abs(F.col("running") - F.col("odds")), "step") < 1e-6
+    ranked = X.top_contributions(entries, 10)
+    tables = {
+        "importance": X.global_importance(long).agg(
+            F.count("*").alias("n_rows"), _flag(F.min("importance") >= 0).alias("is_right")),
+        "beeswarm": X.beeswarm(long).agg(
+            F.count("*").alias("n_rows"), _flag(F.count_distinct("feature") <= 20).alias("is_right")),
+        "dependence": X.dependence(long).agg(
+            F.count("*").alias("n_rows"), _flag(F.count_distinct("feature") == 5).alias("is_right")),
+        "top_contributors": ranked.agg(
+            F.count("*").alias("n_rows"),
+            _flag((F.max("rank") == 10) & (F.min("rank") == 1)).alias("is_right")),
+        "waterfall": steps.groupBy("row_id").agg(F.count("*").alias("n"), last.alias("ends")).agg(
+            F.sum("n").alias("n_rows"), _flag(F.min(F.col("ends").cast("int")) == 1).alias("is_right")),
+    }
+    return E.union_metrics(*[
+        t.select(F.lit(name).alias("name"), "n_rows", "is_right") for name, t in tables.items()])
 
 
 # --- sinks ---------------------------------------------------------------------------------
 
 
-@query("s13_model_round_trip")
+@query("s13_model_round_trip",
+       sql("SELECT count(*) AS n_rows, 0::BIGINT AS n_changed FROM t_model"))
 def _(spark, sf_dir):
     made = _inputs(spark, sf_dir)
     pipeline = M.serving_pipeline(made.prepared("xgb"), made.trees())
@@ -289,7 +501,7 @@ def _(spark, sf_dir):
     )
 
 
-@query("s14_model_resolution")
+@query("s14_model_resolution", sql("SELECT count(*) AS n_rows, 1 AS is_initial FROM t_model"))
 def _(spark, sf_dir):
     made = _inputs(spark, sf_dir)
     tuned, initial = scratch_path(spark, "tuned"), scratch_path(spark, "initial")
@@ -300,16 +512,37 @@ def _(spark, sf_dir):
     )
 
 
-@query("s15_best_parameters")
+_RANGES = ", ".join(f"('{n}')" for n in S.SEARCH_RANGES)
+
+
+@query("s15_best_parameters", sql(f"""SELECT name AS parameter, 1 AS in_range, 1 AS is_best
+    FROM (VALUES {_RANGES}) AS r(name)"""))
 def _(spark, sf_dir):
-    made = _inputs(spark, sf_dir)
-    parameters = {**S.BOOSTED_DEFAULTS, "n_estimators": made.trees().getNumTrees}
-    path = sinks.write_parameters(spark, parameters, scratch_path(spark, "best"))
-    rows = [(k, float(v)) for k, v in sinks.read_parameters(spark, path).items()]
-    return spark.createDataFrame(rows, "parameter string, value double")
+    """What is stored is the row of the search's best trial."""
+    found = _inputs(spark, sf_dir).found()
+    path = sinks.write_parameters(spark, found.best, scratch_path(spark, "best"))
+    best = found.trials.orderBy(F.desc("auprc"), "trial").first()
+    rows = [
+        (name, int(S.SEARCH_RANGES[name][1] <= value <= S.SEARCH_RANGES[name][2]),
+         int(float(value) == best[name]))
+        for name, value in sinks.read_parameters(spark, path).items()
+    ]
+    return spark.createDataFrame(rows, "parameter string, in_range int, is_best int")
+
 
+_FORM = " UNION ".join(
+    f"SELECT '{c}' AS attribute, CAST({c} AS VARCHAR) AS value FROM t_model WHERE {c} IS NOT NULL"
+    for c in S.FORM_OPTIONS)
 
-@query("s16_serving_bundle")
+
+@query("s16_serving_bundle", sql(f"""SELECT 'admission_source_labels' AS part, count(*) AS n_rows
+    FROM t_lookup_rows WHERE id_column = 'admission_source_id'
+    UNION ALL SELECT p, least(count(*), {S.COHORT_SIZE}) FROM t_split,
+        (VALUES ('cohort_X'), ('cohort_y')) AS c(p) WHERE split = 'test' GROUP BY p
+    UNION ALL SELECT 'feature_names', count(*) FROM t_names WHERE kind = 'xgb'
+    UNION ALL SELECT 'form_defaults', {len(S.FEATURES)}
+    UNION ALL SELECT 'form_options', count(*) FROM ({_FORM})
+    UNION ALL SELECT 'threshold', 1""", **_EXTRA))
 def _(spark, sf_dir):
     made = _inputs(spark, sf_dir)
     path = save_serving_bundle(spark, sf_dir, made)
@@ -341,7 +574,9 @@ def save_serving_bundle(spark: SparkSession, sf_dir: str, made: _Inputs) -> str:
     }, scratch_path(spark, "bundle"))
 
 
-@query("s17_run_log")
+@query("s17_run_log", sql(f"""SELECT model AS run, kind, key, CASE key WHEN 'seed'
+    THEN '{S.SEED}' ELSE 'a share' END AS value FROM {_BOTH},
+    (VALUES ('param', 'seed'), ('metric', 'auroc'), ('metric', 'auprc')) AS k(kind, key)"""))
 def _(spark, sf_dir):
     made = _inputs(spark, sf_dir)
     path = scratch_path(spark, "runs")
@@ -349,15 +584,28 @@ def _(spark, sf_dir):
         sinks.log_run(spark, path, row["model"], {"seed": S.SEED}, {
             "auroc": round(row["auroc"], 6), "auprc": round(row["auprc"], 6),
         })
-    return sinks.read_runs(spark, path)
+    share = (F.col("kind") == "metric") & F.col("value").cast("double").between(0, 1)
+    return sinks.read_runs(spark, path).withColumn(
+        "value", F.when(share, "a share").otherwise(F.col("value")))
 
 
-@query("v06_score_profiles")
+@query("v06_score_profiles", sql("""SELECT row_id, 1 AS is_probability, 1 AS fits_band
+    FROM t_model"""))
 def _(spark, sf_dir):
+    """Profiles without two fields, filled, scored and banded."""
     made = _inputs(spark, sf_dir)
     features = made.modelling.drop(S.LABEL)
     defaults = V.defaults_dict(V.form_defaults(features.drop(S.ROW_ID)))
     scores = M.score(made.trees(), made.prepared("xgb").part("test"), "Boosted Trees")
     partial = features.drop("polypharmacy_score", "num_lab_procedures")
     pipeline = M.serving_pipeline(made.prepared("xgb"), made.trees())
-    return rounded(score_profiles(partial, defaults, pipeline, E.threshold_of(scores)))
+    cut = E.threshold_of(scores)
+    done = score_profiles(partial, defaults, pipeline, cut)
+    band = (
+        F.when(F.col("score") >= cut * 1.5, "High risk")
+        .when(F.col("score") >= cut, "Watchlist").otherwise("Lower risk")
+    )
+    return done.select(
+        "row_id", _flag(F.col("score").between(0, 1)).alias("is_probability"),
+        _flag((F.col("risk_band") == band)
+              & (F.col("above_threshold") == (F.col("score") >= cut).cast("int"))).alias("fits_band"))

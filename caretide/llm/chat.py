@@ -80,20 +80,45 @@ def segments(turns: DataFrame, vocab: str, pattern: str, trained=TRAINED) -> Dat
     )
 
 
-def _assembled(turns: list[dict], first: int) -> tuple[np.ndarray, np.ndarray]:
-    marks = [np.array([first + i], np.int32) for i in range(len(MARKS))]
-    parts, learn = [marks[BEGIN]], [False]
-    for turn in turns:
-        parts += [marks[START], np.array(turn["role_ids"], np.int32), marks[MESSAGE],
-                  np.array(turn["text_ids"], np.int32), marks[END]]
-        learn += [False, False, False, turn["trained"], False]
-    ends = np.cumsum([len(p) for p in parts])
-    begins = np.concatenate([[0], ends[:-1]])
-    chosen = np.array(learn)
-    step = np.zeros(ends[-1] + 1, np.int64)
-    np.add.at(step, begins[chosen], 1)
-    np.add.at(step, ends[chosen], -1)
-    return np.concatenate(parts), np.cumsum(step[:-1]).astype(bool)
+def _lists(column: pa.ListArray) -> tuple[np.ndarray, pa.Array]:
+    """Where each list begins and the last one ends, and all lists' values."""
+    offsets = column.offsets.to_numpy()
+    return offsets - offsets[0], column.flatten()
+
+
+def _assembled(turns: pa.ListArray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, mask, and where each conversation begins in them.
+
+    Every conversation is a row of segments: ``<s>``, then five for each turn. A
+    running sum over the segments' lengths says where they lie, one over the
+    edges of trained segments which ids are trained.
+    """
+    bounds, rows = _lists(turns)
+    role_at, roles = _lists(rows.field("role_ids"))
+    text_at, text = _lists(rows.field("text_ids"))
+    trained = rows.field("trained").to_numpy(zero_copy_only=False)
+    n, size = len(rows), np.diff(bounds)
+    # the segment that a turn's <|start|> is; conversation c has c + 1 <s> before its turns
+    head = 5 * np.arange(n) + np.repeat(np.arange(len(size)) + 1, size)
+    length = np.ones(5 * n + len(size), np.int64)
+    length[head + 1], length[head + 3] = np.diff(role_at), np.diff(text_at)
+    end = np.cumsum(length)
+    begin = end - length
+    opens = 5 * bounds[:-1] + np.arange(len(size))  # the segment that <s> is
+    ids = np.empty(int(end[-1]) if len(end) else 0, np.int32)
+    for mark, segment in (
+        (BEGIN, opens), (START, head), (MESSAGE, head + 2), (END, head + 4)
+    ):
+        ids[begin[segment]] = first + mark
+    for at, values, segment in ((role_at, roles, head + 1), (text_at, text, head + 3)):
+        count = np.diff(at)
+        ids[np.repeat(begin[segment] - at[:-1], count) + np.arange(at[-1])] = values.to_numpy()
+    chosen = (head + 3)[trained]
+    step = np.zeros(len(ids) + 1, np.int64)
+    np.add.at(step, begin[chosen], 1)
+    np.add.at(step, end[chosen], -1)
+    where = np.append(begin[opens], len(ids))
+    return ids, np.cumsum(step[:-1]).astype(bool), where
 
 
 def assemble(
@@ -107,11 +132,11 @@ def assemble(
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            made = [_assembled(t, first_reserved) for t in batch.column("turns").to_pylist()]
+            ids, mask, where = _assembled(batch.column("turns"), first_reserved)
+            where = pa.array(where, pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("conv_id"),
-                 pa.array([m[0] for m in made], pa.list_(pa.int32())),
-                 pa.array([m[1] for m in made], pa.list_(pa.bool_()))],
+                [batch.column("conv_id"), pa.ListArray.from_arrays(where, pa.array(ids)),
+                 pa.ListArray.from_arrays(where, pa.array(mask))],
                 names=["conv_id", "ids", "mask"],
             )
 
@@ -124,32 +149,33 @@ def read_back(coded: DataFrame, vocab: str, pattern: str, first_reserved: int) -
     def run(batches: Batches) -> Batches:
         of = dict(token_bytes(tokenizer(vocab, pattern)))
         of.update({first_reserved + i: m.encode() for i, m in enumerate(MARKS)})
-
-        def text(ids) -> str:
-            return b"".join(map(of.__getitem__, ids)).decode()
-
-        def parsed(ids: np.ndarray) -> list[dict]:
-            at = {m: np.flatnonzero(ids == first_reserved + m) for m in (START, MESSAGE, END)}
-            return [
-                {"role": unescape(text(ids[s + 1:m].tolist())),
-                 "text": unescape(text(ids[m + 1:e].tolist()))}
-                for s, m, e in zip(at[START], at[MESSAGE], at[END])
-            ]
-
-        def learned(ids: np.ndarray, mask: np.ndarray) -> str:
-            edges = np.flatnonzero(np.diff(np.concatenate([[0], mask.astype(np.int8), [0]])))
-            runs = zip(edges[::2], edges[1::2])
-            return "".join(unescape(text(ids[a:b].tolist())) for a, b in runs)
+        size_of = np.zeros(max(of) + 1, np.int64)
+        size_of[list(of)] = [len(t) for t in of.values()]
+        turn = pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())]))
 
         for batch in batches:
-            ids = [np.array(x, np.int32) for x in batch.column("ids").to_pylist()]
-            masks = [np.array(x, bool) for x in batch.column("mask").to_pylist()]
+            where, flat = _lists(batch.column("ids"))
+            ids = flat.to_numpy()
+            mask = _lists(batch.column("mask"))[1].to_numpy(zero_copy_only=False)
+            raw = b"".join(map(of.__getitem__, ids.tolist()))
+            byte = np.append(0, np.cumsum(size_of[ids]))  # where each id's bytes begin
+
+            def texts(low: np.ndarray, high: np.ndarray) -> list[str]:
+                return [raw[a:b].decode() for a, b in zip(byte[low].tolist(), byte[high].tolist())]
+
+            start, message, end = (
+                np.flatnonzero(ids == first_reserved + m) for m in (START, MESSAGE, END))
+            roles, contents = texts(start + 1, message), texts(message + 1, end)
+            turns = [{"role": unescape(r), "text": unescape(t)} for r, t in zip(roles, contents)]
+            of_conv = np.searchsorted(start, where)
+            edges = np.flatnonzero(np.diff(mask.astype(np.int8), prepend=0, append=0))
+            learned = [unescape(t) for t in texts(edges[::2], edges[1::2])]
+            of_run = np.searchsorted(edges[::2], where)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("conv_id"),
-                 pa.array([text(x.tolist()) for x in ids], pa.string()),
-                 pa.array([parsed(x) for x in ids],
-                          pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())]))),
-                 pa.array([learned(x, m) for x, m in zip(ids, masks)], pa.string())],
+                 pa.array(texts(where[:-1], where[1:]), pa.string()),
+                 pa.array([turns[a:b] for a, b in zip(of_conv, of_conv[1:])], turn),
+                 pa.array(["".join(learned[a:b]) for a, b in zip(of_run, of_run[1:])], pa.string())],
                 names=["conv_id", "formatted", "turns", "trained_text"],
             )
 

@@ -33,7 +33,7 @@ UND = "und"
 DIMS = 4_096
 GRAMS = 3
 #: Bounds of the sample the machines are fitted on.
-PER_LANGUAGE = 400
+PER_LANGUAGE = 250
 PIECES = (30, 80, 250)
 SLOPE = 4.0
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
@@ -169,14 +170,22 @@ class Prepared:
     """Training data of one model kind.
 
     ``table`` holds ``row_id, split, label, features`` of real rows, ``train``
-    the rows to fit on, which for ``xgb`` include synthetic ones.
+    the rows to fit on, which for ``xgb`` include synthetic ones. They are made
+    and written when first asked for.
     """
 
     kind: str
     table: DataFrame
-    train: DataFrame
     names: list[str]
     encoder: EncounterEncoderModel
+    balance: bool = True
+
+    @cached_property
+    def train(self) -> DataFrame:
+        rows = self.part("train").select(S.ROW_ID, "label", "features")
+        if self.kind == "xgb" and self.balance:
+            return materialize(oversample(rows, len(S.NUMERIC)), "balanced")
+        return rows
 
     def part(self, split: str) -> DataFrame:
         return self.table.where(F.col("split") == split)
@@ -200,8 +209,4 @@ def prepare(modelling: DataFrame, kind: str, balance: bool = True) -> Prepared:
     encoded = encoder.transform(rows).select(
         S.ROW_ID, "split", column(S.LABEL).alias("label"), "features"
     )
-    table = materialize(encoded, "encoded")
-    train = table.where("split = 'train'").select(S.ROW_ID, "label", "features")
-    if kind == "xgb" and balance:
-        train = materialize(oversample(train, len(S.NUMERIC)), "balanced")
-    return Prepared(kind, table, train, encoder.names(), encoder)
+    return Prepared(kind, materialize(encoded, "encoded"), encoder.names(), encoder, balance)

@@ -255,16 +255,34 @@ def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Sorted distinct non-null values, numbers in number order, as rows."""
-    order = Window.partitionBy("attribute").orderBy(
-        F.col("value").try_cast("bigint"), "value"
-    )
-    return (
+    """Sorted distinct non-null values, text first, numbers in number order, as rows.
+
+    A value's ``position`` is its place inside a bucket of neighbouring values plus
+    the size of the buckets before, so that no column is put in order by one task.
+    """
+    number = F.col("value").try_cast("bigint")
+    distinct = (
         df.selectExpr(*[f"string(`{c}`) as `{c}`" for c in columns])
         .unpivot([], quoted(columns), "attribute", "value")
         .where("value is not null")
         .distinct()
-        .withColumn("position", F.row_number().over(order))
+        # neighbouring values: a thousand numbers, or texts that begin alike
+        .withColumns({"_thousand": F.shiftright(number, 10), "_begin": F.when(
+            number.isNull(), F.substring("value", 1, 3))})
+    )
+    bucket = ["attribute", "_thousand", "_begin"]
+    in_order = Window.partitionBy("attribute").orderBy("_thousand", "_begin")
+    before = F.sum("_n").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    offsets = distinct.groupBy(*bucket).agg(F.count("*").alias("_n")).select(
+        *[F.col(c).alias(f"{c}_") for c in bucket], F.coalesce(before, F.lit(0)).alias("_before"))
+    same = F.lit(True)
+    for c in bucket:
+        same &= F.col(c).eqNullSafe(F.col(f"{c}_"))
+    inside = Window.partitionBy(*bucket).orderBy(number, "value")
+    return (
+        distinct.withColumn("_place", F.row_number().over(inside)).join(offsets, same)
+        .select("attribute", "value",
+                (F.col("_place") + F.col("_before")).cast("int").alias("position"))
     )
 
 

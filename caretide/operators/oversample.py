@@ -32,7 +32,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
 from caretide import schema as S
-from caretide.operators.split import fit_cuts, order_key
+from caretide.operators.split import order_key, ranked
 from caretide.session import materialize, ship
 
 NEIGHBOURS = 5
@@ -123,7 +123,8 @@ class _Tree:
                 kept = self._gaps(part[row], node) < reach[row]
                 row, node = row[kept], node[kept]
             row, node = (np.concatenate(v) for v in zip(*done))
-            out += [node[row == i] for i in range(len(part))]
+            order = np.argsort(row, kind="stable")
+            out += np.split(node[order], np.searchsorted(row[order], np.arange(1, len(part))))
         return out
 
     def _gaps(self, x: np.ndarray, node: np.ndarray) -> np.ndarray:
@@ -234,19 +235,19 @@ def nearest_neighbours(points: DataFrame, numeric: int, k: int = NEIGHBOURS,
         full = np.bincount(i, minlength=len(x)) == k
         last = np.searchsorted(i, np.arange(len(x)), side="right") - 1
         kth[full] = d[last[full]]
-        found = [[] for _ in range(len(x))]
-        for a, b, dist in zip(i, j, d):
-            found[a].append({"distance": dist, "neighbour": ids[b], "nx": x[b]})
+        cuts = np.searchsorted(i, np.arange(1, len(x)))
         return pd.DataFrame({
             "row_id": ids, "x": list(x), "home": pdf["cell"], "home_block": pdf["block"],
-            "radius": np.sqrt(np.minimum(bound, kth)), "found": found,
+            "radius": np.sqrt(np.minimum(bound, kth)),
+            "distance": np.split(d, cuts), "neighbour": np.split(ids[j], cuts),
+            "near": [x[part].ravel() for part in np.split(j, cuts)],
         })
 
     own = materialize(
         placed.groupBy("cell", "block").applyInPandas(
             search_own,
-            "row_id string, x array<double>, home int, home_block int, "
-            "radius double, found array<struct<distance:double,neighbour:string,nx:array<double>>>",
+            "row_id string, x array<double>, home int, home_block int, radius double, "
+            "distance array<double>, neighbour array<string>, near array<double>",
         ),
         "neighbours-own",
     )
@@ -258,11 +259,15 @@ def nearest_neighbours(points: DataFrame, numeric: int, k: int = NEIGHBOURS,
                 near = tree.near_leaves(_matrix(pdf["x"]), pdf["radius"].to_numpy())
                 yield pdf.assign(cells=near).drop(columns="radius")
 
-    first = own.select("row_id", F.inline("found"))
+    # a row's neighbours lie end to end in one flat array
+    first = own.select("row_id", "near", F.size("x").alias("width"), F.posexplode(
+        F.arrays_zip("distance", "neighbour")).alias("n", "found")).select(
+        "row_id", "found.distance", "found.neighbour",
+        F.expr("slice(near, n * width + 1, width)").alias("nx"))
     blocks = placed.select("cell", "block").distinct()
     queries = (
         # nothing is nearer than a copy, so rows among copies search no further
-        own.where("radius > 0").drop("found")
+        own.where("radius > 0").drop("distance", "neighbour", "near")
         .mapInPandas(
             reach, "row_id string, x array<double>, home int, home_block int, cells array<int>"
         )
@@ -330,18 +335,15 @@ def synthesize(points: DataFrame, wanted: int, numeric: int, width: int,
         F.sort_array(F.collect_list(F.struct("place", "neighbour", "nx"))).alias("near")
     )
     n = points.count()
-    each, extra = divmod(wanted, n)
-    one = points.select("row_id", F.lit(1).alias("label"))
-    more = fit_cuts(one, ["more", "rest"], lambda _: [extra], "label", "row_id", seed)
-    times = F.lit(each)
-    if extra:
-        times = times + (more.part() == "more").cast("int")
+    # copy i of all wanted ones goes to base i modulo n in md5 order, so the copies are
+    # spread however few the bases are
+    numbered = ranked(points.withColumn("one", F.lit(1)), "one", "row_id", seed).select(
+        (F.col("place") - 1).alias("number"), "row_id", "x")
+    copies = points.sparkSession.range(wanted).select(
+        (F.col("id") % n).alias("number"), F.floor(F.col("id") / n).cast("int").alias("copy"))
     drawn = (
-        points.join(near, "row_id")
-        .withColumn("label", F.lit(1))
-        .withColumn("times", times)
-        .where("times > 0")
-        .withColumn("copy", F.explode(F.expr("sequence(1, times)")))
+        copies.join(numbered.join(near, "row_id"), "number")
+        .withColumn("copy", F.col("copy") + 1)
         .withColumn("h", F.md5(F.concat_ws(":", F.lit(str(seed)), "row_id", "copy")))
         .selectExpr(
             "row_id as base", "x", "near",

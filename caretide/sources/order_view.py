@@ -107,7 +107,9 @@ def encounters(spark: SparkSession, sf_dir: str,
                columns: list[str] | None = None) -> DataFrame:
     """The raw encounter table, or some of its columns.
 
-    Only the tables that the asked columns need are read and joined.
+    Orders are joined to their customers, and to line counts and the next order's
+    day where a column needs them. A customer with very many orders is one key of
+    the first join only; adaptive execution splits it over tasks.
     """
     wanted = columns or S.RAW_COLUMNS
     rules = {**COLUMN_RULES, **SCORE_RULES}

@@ -7,9 +7,9 @@ group: the triples within the first and within the last four positions. Under ea
 posting the shared positional bytes of pairs are tallied, pairs that reach the
 guaranteed minimum stay, and their bits are compared.
 
-A large posting is posted anew under two more positions; one that is large still
-leaves 24 bits free, so each of its members looks up all its neighbours instead of
-being compared with all others. Of the links in a posting only those that connect
+A large posting is posted anew under two more positions, very large ones before they
+are dealt to tasks. What is large still leaves 24 bits free, so each of its members
+looks up all its neighbours instead of being compared with all others. Of the links in a posting only those that connect
 something new are passed on.
 
 Cases: a null or empty text, or one of white space alone, has fingerprint zero and
@@ -39,6 +39,10 @@ BYTES = 8
 TRIPLES = [*combinations(range(4), 3), *combinations(range(4, 8), 3)]
 #: Postings up to this size are compared member by member.
 POSTING = 2_048
+#: Postings above this size are dealt anew, by two more positions. What is dealt then
+#: holds at most 2^24 fingerprints, as three bytes are free.
+LARGE = 100_000
+FURTHER = 1 << 60
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -83,12 +87,39 @@ def _post(batches: Batches) -> Batches:
     """Each fingerprint under its eight keys: the triple's number and its bytes."""
     for batch in batches:
         fp = batch.column("fp").to_numpy()
-        raw = np.ascontiguousarray(fp).view(np.uint8).reshape(-1, BYTES).astype(np.int64)
-        for number, (a, b, c) in enumerate(TRIPLES):
-            key = (number << 24) | (raw[:, a] << 16) | (raw[:, b] << 8) | raw[:, c]
+        raw = _bytes(fp)
+        for number, places in enumerate(TRIPLES):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key.astype(np.int32)), batch.column("fp")], names=["key", "fp"]
-            )
+                [pa.array((number << 24) | _joined(raw, places)), batch.column("fp")],
+                names=["key", "fp"])
+
+
+def _post_further(batches: Batches) -> Batches:
+    """Members of large postings under two more positions each, in ten ways."""
+    for batch in batches:
+        fp, key = batch.column("fp").to_numpy(), batch.column("key").to_numpy()
+        raw = _bytes(fp)
+        for number, triple in enumerate(TRIPLES):
+            own = (key >> 24) == number
+            for way, pair in enumerate(combinations(_others(triple), 2)):
+                code = FURTHER | ((number * 10 + way) << 40) | _joined(raw[own], (*triple, *pair))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(code), pa.array(fp[own])], names=["key", "fp"])
+
+
+def _bytes(fps: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(fps).view(np.uint8).reshape(-1, BYTES).astype(np.int64)
+
+
+def _joined(raw: np.ndarray, places: tuple[int, ...]) -> np.ndarray:
+    code = np.zeros(len(raw), np.int64)
+    for p in places:
+        code = (code << 8) | raw[:, p]
+    return code
+
+
+def _others(places: tuple[int, ...]) -> list[int]:
+    return [p for p in range(BYTES) if p not in places]
 
 
 def _linked(x: np.ndarray, y: np.ndarray, max_bits: int) -> np.ndarray:
@@ -141,9 +172,7 @@ def _by_lookup(
     fps: np.ndarray, forest: _Forest, at: np.ndarray, free: list[int], max_bits: int
 ) -> None:
     """Members that differ in the free bytes only look up every neighbour in reach."""
-    members = np.ascontiguousarray(fps[at])
-    raw = members.view(np.uint8).reshape(-1, BYTES)
-    code = sum(raw[:, p].astype(np.int64) << (8 * n) for n, p in enumerate(free))
+    code = _joined(_bytes(fps[at]), tuple(free))
     order = np.argsort(code)
     code, at = code[order], at[order]
     for count in range(1, max_bits + 1):
@@ -155,6 +184,17 @@ def _by_lookup(
                 forest.add(at[hit], at[place[hit]])
 
 
+def _by_five(
+    fps: np.ndarray, forest: _Forest, at: np.ndarray, places: tuple[int, ...], max_bits: int,
+    limit: int,
+) -> None:
+    """Links among members that share the bytes at five places."""
+    if len(at) <= limit:
+        _by_pairs(fps, forest, at, max_bits)
+    else:
+        _by_lookup(fps, forest, at, _others(places), max_bits)
+
+
 def _groups(keys: np.ndarray):
     order = np.argsort(keys, kind="stable")
     cuts = np.flatnonzero(np.diff(keys[order])) + 1
@@ -162,22 +202,21 @@ def _groups(keys: np.ndarray):
 
 
 def posting_links(
-    fps: np.ndarray, triple: int, max_bits: int = MAX_BITS, limit: int = POSTING
+    fps: np.ndarray, key: int, max_bits: int = MAX_BITS, limit: int = POSTING
 ) -> tuple[np.ndarray, np.ndarray]:
     """Links (a spanning part of them) between the distinct fingerprints of one posting."""
-    forest = _Forest(len(fps))
-    if len(fps) <= limit:
-        _by_pairs(fps, forest, np.arange(len(fps)), max_bits)
+    forest, everyone = _Forest(len(fps)), np.arange(len(fps))
+    if key & FURTHER:
+        triple, way = divmod((key ^ FURTHER) >> 40, 10)
+        pair = [*combinations(_others(TRIPLES[triple]), 2)][way]
+        _by_five(fps, forest, everyone, (*TRIPLES[triple], *pair), max_bits, limit)
+    elif len(fps) <= limit:
+        _by_pairs(fps, forest, everyone, max_bits)
     else:
-        raw = np.ascontiguousarray(fps).view(np.uint8).reshape(-1, BYTES).astype(np.int64)
-        rest = [p for p in range(BYTES) if p not in TRIPLES[triple]]
-        for a, b in combinations(rest, 2):  # five shared bytes: two beside the triple
-            for group in _groups((raw[:, a] << 8) | raw[:, b]):
-                if len(group) <= limit:
-                    _by_pairs(fps, forest, group, max_bits)
-                else:
-                    free = [p for p in rest if p not in (a, b)]
-                    _by_lookup(fps, forest, group, free, max_bits)
+        triple, raw = TRIPLES[key >> 24], _bytes(fps)
+        for pair in combinations(_others(triple), 2):  # five shared: two beside the triple
+            for group in _groups(_joined(raw, pair)):
+                _by_five(fps, forest, group, (*triple, *pair), max_bits, limit)
     if not forest.edges:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     i, j = (np.concatenate(x) for x in zip(*forest.edges))
@@ -194,7 +233,7 @@ def _compare(max_bits: int, limit: int):
             fps = np.concatenate(held)
             if len(fps) < 2:
                 return None
-            u, v = posting_links(fps, key >> 24, max_bits, limit)
+            u, v = posting_links(fps, key, max_bits, limit)
             return pa.RecordBatch.from_arrays(
                 [pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], names=["u", "v"])
 
@@ -217,7 +256,9 @@ def _compare(max_bits: int, limit: int):
     return run
 
 
-def links(distinct: DataFrame, max_bits: int = MAX_BITS, limit: int = POSTING) -> DataFrame:
+def links(
+    distinct: DataFrame, max_bits: int = MAX_BITS, limit: int = POSTING, large: int = LARGE
+) -> DataFrame:
     """``u``, ``v``: links that connect what pairs within ``max_bits`` connect.
 
     ``distinct`` holds each fingerprint once. The guarantee of five shared bytes
@@ -225,7 +266,14 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, limit: int = POSTING) -
     """
     if not 0 <= max_bits <= BYTES - 5:
         raise ValueError("the index covers distances of 0 to 3 bits")
-    posted = map_batches(distinct, _post, "key int, fp long")
+    kind = "key long, fp long"
+    posted = map_batches(distinct, _post, kind)
+    crowded = materialize(
+        posted.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > large)
+        .select("key"), "large-postings")
+    if not crowded.isEmpty():
+        further = map_batches(posted.join(crowded, "key", "left_semi"), _post_further, kind)
+        posted = posted.join(crowded, "key", "left_anti").unionByName(further)
     ordered = posted.repartition(parts_for(distinct), "key").sortWithinPartitions("key", "fp")
     return map_batches(ordered, _compare(max_bits, limit), "u long, v long")
 

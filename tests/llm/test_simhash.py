@@ -78,6 +78,18 @@ def test_large_postings_lose_no_link(limit):
     assert roots(nodes, found) == roots(nodes, near)
 
 
+@pytest.mark.parametrize("large", [3, 100])
+def test_dealing_large_postings_anew_changes_nothing(spark, large):
+    rng = np.random.default_rng(large)
+    fps = sorted({
+        0x0123456789ABCDEF ^ sum(1 << int(b) for b in rng.choice(63, rng.integers(0, 5), False))
+        for _ in range(400)})
+    df = spark.createDataFrame([(f,) for f in fps], "fp long").repartition(3)
+    near = [(a, b) for i, a in enumerate(fps) for b in fps[:i] if (a ^ b).bit_count() <= 3]
+    found = [tuple(r) for r in simhash.links(df, 3, limit=20, large=large).collect()]
+    assert roots(fps, found) == roots(fps, near)
+
+
 def test_components_of_long_paths_and_stars(spark):
     pairs = [(n, n + 1) for n in range(60)] + [(500, n) for n in range(501, 560)] + [(900, 900)]
     df = spark.createDataFrame(pairs, "u long, v long").repartition(5)

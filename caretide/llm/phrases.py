@@ -94,7 +94,7 @@ def _shards(width: int, shard: int):
 
 def remove_repeats(
     docs: DataFrame, width: int = WIDTH, gram: int = GRAM, shard: int = SHARD,
-    hot: int = repeats.HOT,
+    hot: int = repeats.HOT, **sampling: int,
 ) -> DataFrame:
     """``doc_id``, ``text``, ``n_words``, ``n_removed`` and ``kept`` of every row.
 
@@ -102,8 +102,8 @@ def remove_repeats(
     """
     source = repeats.keyed(docs)
     lay = repeats.word_units
-    spans = materialize(
-        repeats.segment_rows(source, lay, width, gram, repeats.SMALLER, hot), "phrase-segments")
+    segments = repeats.segment_rows(source, lay, width, gram, repeats.SMALLER, hot, **sampling)
+    spans = materialize(segments, "phrase-segments")
     settled = spans.where(F.col("anchor").isNull()).select("id", "mark", "start", "units")
     open_ = spans.where(F.col("anchor").isNotNull())
     dealt = repeats.contents(source, open_.where(~F.col("hot")), lay)

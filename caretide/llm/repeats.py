@@ -38,6 +38,10 @@ GATHER = 600_000
 NO_ID = (1 << 63) - 1
 #: Differing segments of one anchor beyond which windows are compared by Spark instead.
 HOT = 50_000
+#: Rows of one anchor, as estimated from every SAMPLE-th text, beyond which they are
+#: dealt by their segments. This only steers: any choice gives the same result.
+CROWD = 2_000_000
+SAMPLE = 1_024
 SMALLER, ANYWHERE = "smaller", "anywhere"
 
 SPANS = "id long, mark int, start long, units long, anchor long, test boolean, hot boolean"
@@ -249,7 +253,20 @@ def _merged(rows: dict[str, np.ndarray], width: int) -> dict[str, np.ndarray]:
 _PACKED = "bucket int, low long, n int, kinds string, packed binary"
 
 
-def _gather(lay: Callable, width: int, k: int, rule: str, buckets: int):
+def _anchors(lay: Callable, width: int, k: int):
+    """Texts in, the anchor of each segment out."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            for units, _ in _laid(batch, lay):
+                for anchor, _, _, _ in segments(units, width, k):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(anchor.view(np.int64))], names=["anchor"])
+
+    return run
+
+
+def _gather(lay: Callable, width: int, k: int, rule: str, buckets: int, crowded: np.ndarray):
     """Texts in, packed segments by bucket out; settled stretches have no anchor."""
 
     def run(batches: Batches) -> Batches:
@@ -270,7 +287,10 @@ def _gather(lay: Callable, width: int, k: int, rule: str, buckets: int):
                 out += [(-1 - b, part) for b, part in _by(bucket, done)]
             going = {c: a[on] for c, a in rows.items()}
             # an anchor is the lowest of many hashes, so it is mixed once more
-            bucket = mixed(going["anchor"]) % np.uint64(buckets)
+            bucket = mixed(going["anchor"])
+            apart = np.isin(going["anchor"], crowded)
+            bucket[apart] = mixed(bucket[apart] ^ going["seg"][apart])
+            bucket %= np.uint64(buckets)
             out += list(_by(bucket, going))
             packed = [{"bucket": b, **_pack(part)} for b, part in out]
             return pa.RecordBatch.from_pylist(packed, pa.schema([
@@ -319,8 +339,12 @@ def _laid(batch: pa.RecordBatch, lay: Callable):
             group, size, first = [], 0, n + 1
 
 
-def _differing(width: int, rule: str, hot: int):
-    """A bucket's packed rows in; settled stretches and differing segments out."""
+def _differing(width: int, rule: str, hot: int, crowded: np.ndarray):
+    """A bucket's packed rows in; settled stretches and differing segments out.
+
+    Segments of a crowded anchor lie in many buckets. Equal ones are settled all the
+    same; one of each goes on to be compared window by window.
+    """
 
     def settled(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
         n = len(rows["id"])
@@ -338,20 +362,21 @@ def _differing(width: int, rule: str, hot: int):
             yield settled(_merged({c: a[repeat] for c, a in rows.items()}, width))
         first = np.concatenate([[True], np.diff(cls) != 0])
         classes = np.bincount(anchor[first])[anchor]
+        apart = np.isin(rows["anchor"], crowded)
         if rule == SMALLER:
             smallest = np.full(anchor[-1] + 1, NO_ID)
             np.minimum.at(smallest, anchor, rows["id"])
-            test = on & (rows["id"] > smallest[anchor])
+            test = on & (apart | (rows["id"] > smallest[anchor]))
         else:
             test = on & ~rows["many"]
         tested = np.bincount(anchor, weights=test)[anchor] > 0
-        going = (test | (on & first)) & (classes > 1) & tested
+        going = (test | (on & first)) & (apart | ((classes > 1) & tested))
         if going.any():
             yield _spans(
                 rows["id"][going], rows["mark"][going], rows["start"][going],
                 rows["windows"][going] + width - 1,
                 pa.array(rows["anchor"][going].view(np.int64)), test[going],
-                (classes > hot)[going])
+                (apart | (classes > hot))[going])
 
     def run(batches: Batches) -> Batches:
         now, held = None, []
@@ -390,20 +415,27 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def segment_rows(
-    source: DataFrame, lay: Callable, width: int, k: int, rule: str, hot: int = HOT
+    source: DataFrame, lay: Callable, width: int, k: int, rule: str, hot: int = HOT,
+    crowd: int = CROWD, sample: int = SAMPLE,
 ) -> DataFrame:
     """Stretches known to be repeats (``anchor`` null) and segments still to be compared.
 
     Columns as in SPANS: ``units`` from ``start`` on; ``test`` marks segments to be
     judged, others are there to be compared with; ``hot`` those whose anchor has
-    more than ``hot`` different segments.
+    more than ``hot`` different segments, or is crowded.
     """
     parts = parts_for(source)
     buckets = 4 * parts
+    some = source.where(F.pmod(F.xxhash64("id", "mark"), F.lit(sample)) == 0)
+    often = map_batches(some.select("text"), _anchors(lay, width, k), "anchor long").groupBy(
+        "anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * sample > crowd)
+    # their number is bounded by all rows divided by ``crowd``
+    crowded = np.array([r["anchor"] for r in often.collect()], np.int64).view(np.uint64)
     packed = map_batches(
-        source.select("id", "mark", "text"), _gather(lay, width, k, rule, buckets), _PACKED)
+        source.select("id", "mark", "text"), _gather(lay, width, k, rule, buckets, crowded),
+        _PACKED)
     dealt = packed.repartition(parts, "bucket").sortWithinPartitions("bucket")
-    return map_batches(dealt, _differing(width, rule, hot), SPANS)
+    return map_batches(dealt, _differing(width, rule, hot, crowded), SPANS)
 
 
 def contents(source: DataFrame, spans: DataFrame, lay: Callable) -> DataFrame:

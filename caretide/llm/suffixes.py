@@ -121,13 +121,13 @@ def _buckets(width: int, bucket: int):
 
 def remove_repeats(
     docs: DataFrame, width: int = WIDTH, gram: int = GRAM, bucket: int = BUCKET,
-    hot: int = repeats.HOT,
+    hot: int = repeats.HOT, **sampling: int,
 ) -> DataFrame:
     """``doc_id``, ``text``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (binary)."""
     source = repeats.keyed(docs)
     lay = repeats.byte_units
-    spans = materialize(
-        repeats.segment_rows(source, lay, width, gram, repeats.ANYWHERE, hot), "byte-segments")
+    segments = repeats.segment_rows(source, lay, width, gram, repeats.ANYWHERE, hot, **sampling)
+    spans = materialize(segments, "byte-segments")
     settled = spans.where(F.col("anchor").isNull()).select("id", "mark", "start", "units")
     open_ = spans.where(F.col("anchor").isNotNull())
     dealt = repeats.contents(source, open_.where(~F.col("hot")), lay)

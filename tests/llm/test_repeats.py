@@ -56,6 +56,13 @@ def test_words(docs, rows, width, gram, shard, hot):
     assert ordered(got) == ordered(brute_words(rows, width))
 
 
+def test_crowded_anchors_change_nothing(docs, rows):
+    got = suffixes.remove_repeats(docs, 40, 12, crowd=5, sample=2).drop("text").collect()
+    assert ordered((*r[:-1], bytes(r[-1])) for r in got) == ordered(brute_bytes(rows, 40))
+    got = phrases.remove_repeats(docs, 13, 4, crowd=5, sample=2).drop("text").collect()
+    assert ordered(got) == ordered(brute_words(rows, 13))
+
+
 def test_stretches_and_small_tasks_change_nothing(docs, rows, monkeypatch):
     """Long texts are hashed in stretches; tasks settle copies more than once."""
     monkeypatch.setattr(repeats, "STRETCH", 64)

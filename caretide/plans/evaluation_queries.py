@@ -255,20 +255,19 @@ def _(spark, sf_dir):
 # --- subgroup audit --------------------------------------------------------------
 
 
-def _test_scores(spark, sf_dir):
+def _test_scores(spark, sf_dir, scored=None):
     """Scores of the test split with the attributes of their rows."""
+    scored = T.boosted_scores(spark, sf_dir) if scored is None else scored
     table = materialize(
         T.engineered(spark, sf_dir).select(S.ROW_ID, S.LABEL, "race", "gender", "age"),
         "people",
     )
-    return H.attach_demographics(
-        T.boosted_scores(spark, sf_dir), D.split_data(table).drop(S.LABEL)
-    )
+    return H.attach_demographics(scored, D.split_data(table).drop(S.LABEL))
 
 
 def _audit(spark, sf_dir):
-    cut = E.threshold_of(T.boosted_scores(spark, sf_dir))
-    return H.audit_table(_test_scores(spark, sf_dir), cut)
+    scored = materialize(T.boosted_scores(spark, sf_dir), "scored")
+    return H.audit_table(_test_scores(spark, sf_dir, scored), E.threshold_of(scored))
 
 
 _AUDIT = """SELECT Attribute, Subgroup, N, round(AUROC, 6) AS AUROC, round(TPR, 6) AS TPR,
@@ -348,8 +347,9 @@ def _(spark, sf_dir):
     AS equalized_odds_violated, CAST(coalesce(b > 0.05, FALSE) AS INT) AS predictive_parity_violated
     FROM t_audit LEFT JOIN ({_GAPS}) USING (Attribute)"""))
 def _(spark, sf_dir):
-    scored = T.boosted_scores(spark, sf_dir)
-    return rounded(H.full_audit(_test_scores(spark, sf_dir), E.threshold_of(scored)))
+    scored = materialize(T.boosted_scores(spark, sf_dir), "scored")
+    people = _test_scores(spark, sf_dir, scored)
+    return rounded(H.full_audit(people, E.threshold_of(scored)))
 
 
 @query("k08_audit_order", sql("""SELECT Attribute, Subgroup, N, CAST(row_number() OVER

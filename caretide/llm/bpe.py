@@ -202,7 +202,7 @@ def decode(coded: DataFrame, vocab: str, pattern: str) -> DataFrame:
                     names=[*part.schema.names, "bytes"],
                 )
 
-    return coded.select(*keep).mapInArrow(run, schema)
+    return map_batches(coded.select(*keep), run, schema)
 
 
 def digests(coded: DataFrame) -> DataFrame:

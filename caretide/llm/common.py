@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -27,8 +27,22 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def map_batches(df: DataFrame, run: Callable[[Batches], Batches], schema: str) -> DataFrame:
-    """``mapInArrow`` under the name the operators use."""
+#: Rows in one Arrow batch. Documents are long: of Spark's 10,000 rows each worker, and
+#: the executor beside it, would hold many megabytes several times over.
+BATCH_ROWS = 1_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def map_batches(
+    df: DataFrame, run: Callable[[Batches], Batches], schema: str | T.StructType
+) -> DataFrame:
+    """``mapInArrow`` with batches of bounded size.
+
+    The size is a setting of the session; it is lowered if it is above BATCH_ROWS.
+    """
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH_SETTING, "10000")) <= BATCH_ROWS:
+        conf.set(_BATCH_SETTING, BATCH_ROWS)
     return df.mapInArrow(run, schema)
 
 

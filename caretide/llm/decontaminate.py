@@ -142,7 +142,7 @@ def find(
             vocabulary = frozenset(w for r in held for w in r["window"].encode().split(b" "))
             counts = _document_counts(texts(docs), vocabulary)
             index = spark.sparkContext.broadcast(_prefix_index(held, counts))
-            carried = carried.mapInArrow(_search(index, first=shard == 0), shape)
+            carried = map_batches(carried, _search(index, first=shard == 0), shape)
     finally:
         pairs.unpersist()
     if not shards:

@@ -26,7 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from caretide.llm.common import Batches
+from caretide.llm.common import Batches, map_batches
 from caretide.session import materialize
 
 UND = "und"
@@ -234,7 +234,7 @@ def predict(docs: DataFrame, model: dict, *keep: str | Column) -> DataFrame:
                 names=[*names, "lang_pred", "score"],
             )
 
-    return source.mapInArrow(run, shape)
+    return map_batches(source, run, shape)
 
 
 def held_out(doc_id: str | Column = "doc_id") -> Column:

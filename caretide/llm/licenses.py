@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from caretide.llm import repeats
-from caretide.llm.common import Batches, texts
+from caretide.llm.common import Batches, map_batches, texts
 from caretide.llm.decontaminate import _TABLE, words
 from caretide.session import ship
 
@@ -225,7 +225,7 @@ def scan(
     for number in range(blocks):
         held = [(r[0], r[1]) for r in rows.where(part == number).collect()]  # bounded by block
         shared = ship(spark, scanners(held, containment, miss))
-        carried = carried.mapInArrow(_scan(shared, first=number == 0), shape)
+        carried = map_batches(carried, _scan(shared, first=number == 0), shape)
     if not blocks:
         carried = carried.withColumn("matches", F.array().cast(MATCHES))
     return carried

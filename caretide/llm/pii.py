@@ -307,7 +307,7 @@ def annotate(docs: DataFrame, accepted: frozenset[int], *keep: str) -> DataFrame
                 names=[*batch.schema.names, "base", "spans"],
             )
 
-    return source.mapInArrow(run, shape)
+    return map_batches(source, run, shape)
 
 
 def digests(found: DataFrame) -> DataFrame:
@@ -349,4 +349,4 @@ def redact(found: DataFrame) -> DataFrame:
                 names=batch.schema.names,
             )
 
-    return found.mapInArrow(run, found.schema)
+    return map_batches(found, run, found.schema)

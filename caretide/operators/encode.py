@@ -8,7 +8,7 @@ from functools import cached_property
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F
@@ -21,7 +21,6 @@ from caretide.operators.split import split_data
 from caretide.session import materialize
 
 KINDS = ("lr", "xgb")
-MAX_CATEGORIES = 10_000
 
 
 def check_kind(kind: str) -> str:
@@ -43,11 +42,9 @@ def numeric_moments(df: DataFrame, columns: list[str] = S.NUMERIC) -> dict[str,
 def categories(df: DataFrame, columns: list[str] = S.CATEGORICAL) -> dict[str, list]:
     """Sorted distinct values per column, numbers in number order, null last.
 
-    The lists become part of the fitted encoder, so their size is checked.
+    The lists are fitted values, like the labels of a string indexer.
     """
-    found = value_table(df, columns).limit(MAX_CATEGORIES + 1).collect()
-    if len(found) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories to encode")
+    found = value_table(df, columns).collect()
     kinds = dict(df.dtypes)
 
     def order(column_name):
@@ -113,15 +110,8 @@ class EncounterEncoderModel(Model, DefaultParamsReadable, DefaultParamsWritable)
         """Feature name to SQL expression, in vector order."""
         fitted = self.fitted()
         numeric_ids = set(fitted["numeric_ids"])
-        out = {}
-        for c in S.NUMERIC:
-            if fitted["kind"] == "lr":
-                mean, deviation = fitted["moments"][c]
-                out[f"num__{c}"] = (
-                    f"(double(`{c}`) - double('{mean!r}')) / double('{deviation!r}')"
-                )
-            else:
-                out[f"num__{c}"] = f"double(`{c}`)"
+        rules = self._number_rules(fitted)
+        out = {n: r for n, r in rules.items() if n.startswith("num__")}
         for c in S.CATEGORICAL:
             values = fitted["categories"][c]
             if fitted["kind"] == "lr":
@@ -133,6 +123,19 @@ class EncounterEncoderModel(Model, DefaultParamsReadable, DefaultParamsWritable)
                     f"when {_is(c, v)} then {i}D" for i, v in enumerate(values) if v is not None
                 )
                 out[f"cat__{c}"] = f"case {whens} else -1D end" if whens else "-1D"
+        return {**out, **rules}
+
+    def _number_rules(self, fitted: dict) -> dict[str, str]:
+        """Numerics, then flags, as SQL."""
+        out = {}
+        for c in S.NUMERIC:
+            if fitted["kind"] == "lr":
+                mean, deviation = fitted["moments"][c]
+                out[f"num__{c}"] = (
+                    f"(double(`{c}`) - double('{mean!r}')) / double('{deviation!r}')"
+                )
+            else:
+                out[f"num__{c}"] = f"double(`{c}`)"
         for c in S.BINARY:
             out[f"bin__{c}"] = f"double(`{c}`)"
         return out
@@ -148,16 +151,51 @@ class EncounterEncoderModel(Model, DefaultParamsReadable, DefaultParamsWritable)
         )
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        rules = list(self.expressions().values())
-        parts = [f"_f{i}" for i in range(len(rules))]
+        """Categories are looked up by hash, and one-hot ones are sparse vectors, so that
+        their number does not widen the plan."""
+        fitted = self.fitted()
+        linear = fitted["kind"] == "lr"
+        rules = self._number_rules(fitted)
+        known = {c: [v for v in fitted["categories"][c] if v is not None] for c in S.CATEGORICAL}
+        numbers = {name: f"_n{i}" for i, name in enumerate(rules)}
         wide = dataset.selectExpr(
             *[f"`{c}`" for c in dataset.columns],
-            *[f"{rule} as {part}" for part, rule in zip(parts, rules)],
+            *[f"{rules[name]} as {part}" for name, part in numbers.items()],
+            *[f"string(`{c}`) as _t{i}" for i, c in enumerate(S.CATEGORICAL)],
         )
+        places = range(len(S.CATEGORICAL))
+        wide = StringIndexerModel.from_arrays_of_labels(
+            [known[c] for c in S.CATEGORICAL], inputCols=[f"_t{i}" for i in places],
+            outputCols=[f"_i{i}" for i in places], handleInvalid="keep",  # unknown: one beyond
+        ).transform(wide)
+        slots, sizes = {}, {}
+        for i, c in enumerate(S.CATEGORICAL):
+            index, n, size = F.col(f"_i{i}"), len(known[c]), len(fitted["categories"][c])
+            if not linear:
+                slots[f"_c{i}"] = F.when(index < n, index).otherwise(F.lit(-1.0))
+                continue
+            missing = F.lit(float(n)) if size > n else F.lit(0.0)  # null may be the last category
+            place = F.when(F.col(f"_t{i}").isNull(), missing).when(index < n, index).otherwise(0.0)
+            # the first category, like an unknown one, takes the last slot, which is dropped
+            slots[f"_c{i}"] = F.when(place >= 1, place - 1).otherwise(F.lit(float(size - 1)))
+            sizes[f"_c{i}"] = size
+        wide = wide.withColumns(slots)
+        coded = [f"_c{i}" for i in places]
+        if linear:
+            coded = [c for c in coded if sizes[c] > 1]
+            wide = wide.withColumns({c: F.col(c).alias(c, metadata={
+                "ml_attr": {"type": "nominal", "num_vals": sizes[c], "name": c}}) for c in coded})
+            hot = [f"{c}_hot" for c in coded]
+            if coded:
+                wide = OneHotEncoder(inputCols=coded, outputCols=hot).fit(wide).transform(wide)
+            coded = hot
+        first = [p for name, p in numbers.items() if name.startswith("num__")]
+        last = [p for name, p in numbers.items() if name.startswith("bin__")]
         # a missing number is an error for the linear model; trees accept it
-        invalid = "error" if self.fitted()["kind"] == "lr" else "keep"
-        assembler = VectorAssembler(inputCols=parts, outputCol="features", handleInvalid=invalid)
-        return assembler.transform(wide).drop(*parts)
+        assembler = VectorAssembler(
+            inputCols=[*first, *coded, *last], outputCol="features",
+            handleInvalid="error" if linear else "keep")
+        return assembler.transform(wide).select(*dataset.columns, "features")
 
 
 def feature_names(names: list[str], width: int) -> list[str]:

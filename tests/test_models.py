@@ -75,6 +75,33 @@ def test_ordinal(modelling):
     assert model.encoded(modelling.withColumn("race", F.lit("new"))).first()["cat__race"] == -1.0
 
 
+@pytest.mark.parametrize("kind", ["lr", "xgb"])
+def test_vector_equals_the_columns(modelling, kind):
+    """Also for null as a category, unknown values, and a column of one value."""
+    train = modelling.withColumns({
+        "race": F.when(F.col("row_id") % 5 != 0, F.col("race")), "gender": F.lit("only")})
+    model = EncounterEncoder(kind=kind).fit(train)
+    odd = train.withColumns({
+        "race": F.when(F.col("row_id") % 7 == 0, "new").otherwise(F.col("race")),
+        "payer_code" if "payer_code" in train.columns else "gender": F.lit(None).cast("string")})
+    wide = model.encoded(odd, "row_id").collect()
+    names = model.names()
+    want = {r["row_id"]: [r[n] for n in names] for r in wide}
+    got = model.transform(odd).select("row_id", vector_to_array("features")).collect()
+    assert len(got) == 1200 and all(r[1] == pytest.approx(want[r[0]]) for r in got)
+
+
+def test_many_categories(modelling):
+    many = modelling.withColumn("race", F.concat(F.lit("r"), F.col("row_id")))
+    model = EncounterEncoder(kind="lr").fit(many)
+    names = model.names()
+    assert sum(n.startswith("cat__race_") for n in names) == 1199
+    row = model.transform(many.where("row_id = '77'")).first()["features"]
+    assert len(row) == len(names) and row[names.index("cat__race_r77")] == 1.0
+    plan = model.transform(many)._jdf.queryExecution().analyzed().toString()
+    assert "r1077" not in plan  # a category is no part of the plan
+
+
 def test_missing_number(modelling):
     hole = modelling.withColumn("age_midpoint", F.lit(None).cast("int"))
     with pytest.raises(Exception, match="[Nn]ull"):

@@ -16,6 +16,10 @@ CHECKED = [
     "g10_roc_points", "g13_calibration", "h09_whole_audit", "k04_top_contributions",
     "p07_cleaning_audit", "p08_clean", "s01_typed_csv_scan", "s03_lookup_file",
     "s04_decode_ids", "v04_backfill", "v07_cohort_view", "w03_cumulative_counts",
+    "a23_distinct_values", "d03_missing_label", "d06_oversample", "e06_encoder_kinds",
+    "e08_logistic_regression", "e12_scores", "j04_split_overlap", "j05_alignment",
+    "j06_nearest_neighbours", "s09_sanity_summary", "u03_append_synthetic", "w05_rank_order",
+    "x01_tree_attributions", "x06_representative_cases",
 ]
 
 

@@ -117,12 +117,13 @@ class Scanner:
 
     def candidates(self, units: repeats.Units) -> dict[int, set[int]]:
         """By window number, the templates retrieved."""
-        n = len(units.start) - self.shingle + 1
+        n = len(units) - self.shingle + 1
         if n < 1:
             return {}
         found: dict[int, set[int]] = {}
         hashed = repeats.Hasher(units.data)(units.start[:n], units.stop[self.shingle - 1:])
-        inside = units.owner[:n] == units.owner[self.shingle - 1:]
+        owner = units.owners(0, len(units))
+        inside = owner[:n] == owner[self.shingle - 1:]
         rows = -(-n // self.step)
         table = np.full(rows * self.step, np.iinfo(np.uint64).max, np.uint64)
         for number, values in enumerate(self.values):
@@ -140,8 +141,8 @@ class Scanner:
     def verify(self, units: repeats.Units, raw: bytes, window: int, templates: set[int]):
         """(owner, template, containment) of the templates that the window holds."""
         low = window * self.step
-        high = min(low + self.blocks * self.step + self.shingle - 1, len(units.start))
-        for owner in range(int(units.owner[low]), int(units.owner[high - 1]) + 1):
+        high = min(low + self.blocks * self.step + self.shingle - 1, len(units))
+        for owner in np.unique(units.owners(low, high)).tolist():
             a, b = max(low, int(units.first[owner])), min(high, int(units.first[owner + 1]))
             if b - a < self.shingle:
                 continue

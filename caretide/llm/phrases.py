@@ -123,7 +123,7 @@ def _keep(batches: Batches) -> Batches:
         n_words, n_removed, kept = [], [], []
         for text, cell in zip(batch.column("text"), batch.column("found")):
             units = repeats.word_units([(text.as_py() or "").encode()])
-            gone = repeats.covered(len(units.start), cell.as_py())
+            gone = repeats.covered(len(units), cell.as_py())
             n_words.append(len(gone))
             n_removed.append(int(gone.sum()))
             stay = np.ones(len(units.data), bool)

@@ -51,7 +51,7 @@ _powers: dict[int, np.ndarray] = {}
 def _power(base: int, n: int) -> np.ndarray:
     """base^0, base^1, ... modulo 2^64."""
     if base not in _powers or len(_powers[base]) < n:
-        out = np.empty(max(n, 1 << 16), np.uint64)
+        out = np.empty(max(n + n // 4, 1 << 10), np.uint64)
         out[0] = 1
         done = 1
         while done < len(out):
@@ -108,18 +108,42 @@ def lowest(values: np.ndarray, width: int) -> np.ndarray:
 
 
 class Units:
-    """Texts laid end to end as units: bytes, where each unit lies, whose it is."""
+    """Texts laid end to end as units: bytes, where each unit lies, whose it is.
 
-    def __init__(self, data, start, stop, owner, n_owners):
-        self.data, self.start, self.stop, self.owner = data, start, stop, owner
-        self.first = np.searchsorted(owner, np.arange(n_owners + 1))  # each owner's first unit
+    ``first`` holds the number of each text's first unit and of all units.
+    """
+
+    def __init__(self, data, start, stop, first: np.ndarray):
+        self.data, self.start, self.stop, self.first = data, start, stop, first
+
+    def __len__(self) -> int:
+        return int(self.first[-1])
+
+    def owners(self, low: int, high: int) -> np.ndarray:
+        """The texts that the units from ``low`` to ``high`` belong to."""
+        if low >= high:
+            return np.zeros(0, np.int64)
+        own = np.searchsorted(self.first, [low, high - 1], side="right") - 1
+        ends = np.clip(self.first[own[0]:own[1] + 2], low, high)
+        return np.repeat(np.arange(own[0], own[1] + 1), np.diff(ends))
+
+
+class _Places:
+    """The numbers from ``shift`` on, made only where they are looked at."""
+
+    def __init__(self, shift: int):
+        self.shift = shift
+
+    def __getitem__(self, at):
+        if isinstance(at, slice):
+            return np.arange(at.start + self.shift, at.stop + self.shift)
+        return at + self.shift
 
 
 def byte_units(texts: list[bytes]) -> Units:
     data = np.frombuffer(b"".join(texts), np.uint8)
-    place = np.arange(len(data) + 1)
-    owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-    return Units(data, place[:-1], place[1:], owner, len(texts))
+    first = np.cumsum([0, *(len(t) for t in texts)])
+    return Units(data, _Places(0), _Places(1), first)
 
 
 _SPACE = np.zeros(256, bool)
@@ -138,13 +162,13 @@ def word_units(texts: list[bytes]) -> Units:
     size = end - begin
     stop = np.cumsum(size + 1) - 1
     bounds = np.cumsum([len(t) + 1 for t in texts])
-    owner = np.searchsorted(bounds, begin, side="right")
-    return Units(data, stop - size, stop, owner, len(texts))
+    first = np.append(0, np.searchsorted(begin, bounds))
+    return Units(data, stop - size, stop, first)
 
 
 def segments(units: Units, width: int, k: int) -> Iterator[tuple[np.ndarray, ...]]:
     """Arrays of anchor, segment hash, first window's unit, windows, by stretch."""
-    total = len(units.start)
+    total = len(units)
     for at in range(0, max(0, total - width + 1), STRETCH):
         last = min(at + STRETCH, total - width + 1)  # windows start in [at, last)
         upto = last + width - 1
@@ -153,7 +177,7 @@ def segments(units: Units, width: int, k: int) -> Iterator[tuple[np.ndarray, ...
         hashed = Hasher(units.data[base:base + int(stop[-1])])
         grams = hashed(start[:len(start) - k + 1], stop[k - 1:])
         place = lowest(grams, width - k + 1)
-        owner = units.owner[at:upto]
+        owner = units.owners(at, upto)
         fine = np.flatnonzero(owner[:last - at] == owner[width - 1:])
         if not len(fine):
             continue
@@ -303,7 +327,7 @@ def _gather(lay: Callable, width: int, k: int, rule: str, buckets: int, crowded:
             marks = batch.column("mark").to_numpy()
             for units, rows in _laid(batch, lay):
                 for anchor, seg, low, windows in segments(units, width, k):
-                    own = units.owner[low]
+                    own = np.searchsorted(units.first, low, side="right") - 1
                     held.append({
                         "anchor": anchor, "seg": seg, "id": ids[rows][own],
                         "mark": marks[rows][own], "start": low - units.first[own],
@@ -442,7 +466,9 @@ def contents(source: DataFrame, spans: DataFrame, lay: Callable) -> DataFrame:
     """The bytes of segments: ``anchor, id, mark, start, test, content``."""
     wanted = spans.groupBy("id", "mark").agg(
         F.collect_list(F.struct("start", "units", "anchor", "test")).alias("segments"))
-    joined = source.select("id", "mark", "text").join(wanted, ["id", "mark"], "left")
+    # the same columns and kind of join as in stretches(), so that one shuffle of the
+    # texts serves both
+    joined = source.join(wanted, ["id", "mark"], "left")
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
@@ -478,9 +504,9 @@ def by_window(segments_: DataFrame, lay: Callable, width: int, rule: str) -> Dat
         for batch in batches:
             for row in batch.select(["id", "mark", "start", "test", "content"]).to_pylist():
                 units = lay([row["content"]])
-                count = len(units.start) - width + 1
+                count = len(units) - width + 1
                 hashed, again = Hasher(units.data), Hasher(units.data ^ np.uint8(0x5A))
-                ends = units.start[:count], units.stop[width - 1:]
+                ends = units.start[0:count], units.stop[width - 1:len(units)]
                 yield pa.RecordBatch.from_pydict({
                     "a": pa.array(hashed(*ends).view(np.int64)),
                     "b": pa.array(again(*ends).view(np.int64)),

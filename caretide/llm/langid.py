@@ -36,6 +36,8 @@ GRAMS = 3
 PER_LANGUAGE = 250
 PIECES = (30, 80, 250)
 SLOPE = 4.0
+#: Letters whose n-grams are counted at once.
+STRETCH = 1 << 20
 
 # Families of common languages by ISO 639-1 code. Any other code is a
 # family of its own.
@@ -71,15 +73,17 @@ def features(text: str | None, letters: np.ndarray, dims: int = DIMS) -> np.ndar
     # anything else is a boundary; runs of boundaries count once
     kept = is_letter.copy()
     kept[1:] |= is_letter[:-1]
-    line = np.concatenate([[0], np.where(is_letter, codes, 0)[kept], [0]]).astype(np.uint64)
+    line = np.concatenate([[0], np.where(is_letter, codes, 0)[kept], [0]]).astype(np.uint32)
     counts = np.zeros(dims)
-    gram = np.zeros(len(line), np.uint64)
-    for size in range(1, GRAMS + 1):
-        gram = gram[:len(line) - size + 1] * np.uint64(0x110000) + line[size - 1:]
-        mixed = (gram + np.uint64(size)) * np.uint64(0x9E3779B97F4A7C15)
-        mixed ^= mixed >> np.uint64(29)
-        mixed *= np.uint64(0xBF58476D1CE4E5B9)
-        counts += np.bincount((mixed >> np.uint64(40)) % np.uint64(dims), minlength=dims)
+    for at in range(0, len(line), STRETCH):  # long texts in stretches that overlap
+        part = line[at:at + STRETCH + GRAMS - 1].astype(np.uint64)
+        gram = np.zeros(len(part), np.uint64)
+        for size in range(1, GRAMS + 1):
+            gram = gram[:len(part) - size + 1] * np.uint64(0x110000) + part[size - 1:]
+            mixed = (gram[:STRETCH] + np.uint64(size)) * np.uint64(0x9E3779B97F4A7C15)
+            mixed ^= mixed >> np.uint64(29)
+            mixed *= np.uint64(0xBF58476D1CE4E5B9)
+            counts += np.bincount((mixed >> np.uint64(40)) % np.uint64(dims), minlength=dims)
     weights = np.sqrt(counts)
     return weights / np.linalg.norm(weights)
 

@@ -317,10 +317,14 @@ def keep_one(
     chosen = (
         made.groupBy("fp").agg(F.min(order).alias("best")).join(of.select("fp", "root"), "fp")
         .groupBy("root").agg(F.min("best").alias("best"))
-        .select(F.col("best.doc_id").alias("kept_id"), F.col("best.mark").alias("kept_mark"))
+        # a mark is never null; said so, the two keys have one type and need no cast
+        .select(F.struct("best.doc_id", F.coalesce("best.mark", F.lit(0).cast("long")).alias(
+            "mark")).alias("kept__"))
+    )
+    # one key column, by which the rows are dealt once for both steps
+    key = F.struct(F.col("doc_id").cast("long").alias("doc_id"),
+                   F.xxhash64(F.col("text").cast("string")).alias("mark"))
+    return (
+        docs.withColumn("kept__", key).join(chosen, "kept__", "left_semi")
+        .dropDuplicates(["kept__"]).drop("kept__")
     )
-    marked = docs.withColumn("kept_mark__", F.xxhash64(F.col("text").cast("string")))
-    same = (marked["kept_mark__"] == chosen["kept_mark"]) & (
-        marked["doc_id"].cast("long").eqNullSafe(chosen["kept_id"]))
-    return marked.join(chosen, same, "left_semi").dropDuplicates(
-        ["doc_id", "kept_mark__"]).drop("kept_mark__")

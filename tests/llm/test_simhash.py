@@ -59,8 +59,12 @@ def test_documents(documents):
 def test_keep_one_leaves_the_smallest_of_each_group(docs, rows):
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
-    ids = sorted(r.doc_id for r in kept.collect() if r.doc_id is not None)
+    found = kept.collect()
+    ids = sorted(r.doc_id for r in found if r.doc_id is not None)
     assert ids == sorted({c for _, _, c in expected(rows) if c is not None})
+    # rows without an id stay only where their whole group has none
+    lone = {f for d, f, c in expected(rows) if c is None}
+    assert sum(r.doc_id is None for r in found) == len(lone) == 1
 
 
 @pytest.mark.parametrize("limit", [2_048, 50, 5])

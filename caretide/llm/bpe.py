@@ -35,16 +35,20 @@ def tokenizer(vocab: str, pattern: str) -> tiktoken.Encoding:
     name = f"{vocab}\n{pattern}"
     kept = tiktoken.registry.ENCODINGS
     if name not in kept:
-        with open(vocab, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines) if a}
         kept[name] = tiktoken.Encoding(
-            name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
+            name, pat_str=pattern, mergeable_ranks=ranks(vocab), special_tokens={}
         )
     return kept[name]
 
 
-def token_bytes(encoding: tiktoken.Encoding) -> dict[int, bytes]:
-    return {i: t for t, i in encoding._mergeable_ranks.items()}
+def ranks(vocab: str) -> dict[bytes, int]:
+    with open(vocab, "rb") as lines:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines) if a}
+
+
+def token_bytes(vocab: str) -> dict[int, bytes]:
+    """The bytes of each id; decoding needs no more of a tokenizer than this."""
+    return {i: t for t, i in ranks(vocab).items()}
 
 
 def _id_lists(encoding: tiktoken.Encoding, column: pa.Array) -> pa.Array:
@@ -186,13 +190,13 @@ def encode(
     return short.unionByName(joined.drop("copy"))
 
 
-def decode(coded: DataFrame, vocab: str, pattern: str) -> DataFrame:
+def decode(coded: DataFrame, vocab: str) -> DataFrame:
     """Adds ``bytes``: the tokens' raw bytes, concatenated. A null list decodes to no bytes."""
     keep = [c for c in coded.columns if c != "bytes"]
     schema = coded.select(*keep).schema.add("bytes", "binary")
 
     def run(batches: Batches) -> Batches:
-        of = token_bytes(tokenizer(vocab, pattern)).__getitem__
+        of = token_bytes(vocab).__getitem__
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)

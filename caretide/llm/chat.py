@@ -143,11 +143,11 @@ def assemble(
     return map_batches(grouped, run, "conv_id long, ids array<int>, mask array<boolean>")
 
 
-def read_back(coded: DataFrame, vocab: str, pattern: str, first_reserved: int) -> DataFrame:
+def read_back(coded: DataFrame, vocab: str, first_reserved: int) -> DataFrame:
     """From ids and mask alone: the formatted text, its turns and the trained text."""
 
     def run(batches: Batches) -> Batches:
-        of = dict(token_bytes(tokenizer(vocab, pattern)))
+        of = token_bytes(vocab)
         of.update({first_reserved + i: m.encode() for i, m in enumerate(MARKS)})
         size_of = np.zeros(max(of) + 1, np.int64)
         size_of[list(of)] = [len(t) for t in of.values()]

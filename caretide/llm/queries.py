@@ -63,7 +63,7 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode(table(spark, sf_dir, "documents"), RANKS, PATTERN)
-    return bpe.digests(bpe.decode(coded, RANKS, PATTERN))
+    return bpe.digests(bpe.decode(coded, RANKS))
 
 
 def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,7 +134,7 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     coded = chat.assemble(turns.unionByName(planted), RANKS, PATTERN, FIRST_RESERVED)
-    return chat.digests(chat.read_back(coded, RANKS, PATTERN, FIRST_RESERVED))
+    return chat.digests(chat.read_back(coded, RANKS, FIRST_RESERVED))
 
 
 OP6_SQL = r"""

@@ -50,7 +50,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, ``ids``, their number, and the text as decoded from them."""
-    coded = bpe.decode(bpe.encode(docs, RANKS, PATTERN), RANKS, PATTERN)
+    coded = bpe.decode(bpe.encode(docs, RANKS, PATTERN), RANKS)
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
         F.col("bytes").cast("string").alias("decoded"),

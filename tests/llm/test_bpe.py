@@ -28,7 +28,7 @@ def expected(rows):
 
 
 def result(df, **limits):
-    coded = bpe.decode(bpe.encode(df, RANKS, PATTERN, **limits), RANKS, PATTERN)
+    coded = bpe.decode(bpe.encode(df, RANKS, PATTERN, **limits), RANKS)
     return sorted((tuple(r) for r in bpe.digests(coded).collect()), key=repr)
 
 

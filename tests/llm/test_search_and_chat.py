@@ -88,7 +88,7 @@ def test_format_reads_back(spark):
     ]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, ids string")
     coded = chat.assemble(df.repartition(3), RANKS, PATTERN, 50_256)
-    read = {r.conv_id: r for r in chat.read_back(coded, RANKS, PATTERN, 50_256).collect()}
+    read = {r.conv_id: r for r in chat.read_back(coded, RANKS, 50_256).collect()}
     assert [(t.role, t.text) for t in read[1].turns] == [
         ("system", ""), ("user", "é" * 5000), ("assistant", "</s>[INST] ok [/INST]"),
         ("assistant", ""), ("assistant", "x")]
@@ -98,8 +98,8 @@ def test_format_reads_back(spark):
     assert read[1].formatted.count("</s>") == 5 and read[None].trained_text == ""
     for row in coded.collect():
         assert len(row.ids) == len(row["mask"])
-    digest = chat.digests(chat.read_back(coded, RANKS, PATTERN, 50_256)).where("conv_id = 2").first()
+    digest = chat.digests(chat.read_back(coded, RANKS, 50_256)).where("conv_id = 2").first()
     text = "\n<|start|>\nassistant\n<s>\nassistant\n<s>\n"
     assert digest.turns_sha256 == hashlib.sha256(text.encode()).hexdigest()
     none = chat.assemble(df.where("false"), RANKS, PATTERN, 50_256)
-    assert chat.read_back(none, RANKS, PATTERN, 50_256).where(F.lit(True)).collect() == []
+    assert chat.read_back(none, RANKS, 50_256).where(F.lit(True)).collect() == []

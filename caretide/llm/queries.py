@@ -160,7 +160,8 @@ FROM e GROUP BY conv_id
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = licenses.scan(table(spark, sf_dir, "documents"), licenses.notices(spark))
+    found = licenses.scan(
+        table(spark, sf_dir, "documents"), licenses.notices(spark), best=True)
     return found.select(
         "doc_id", F.size("matches").cast("long").alias("n_licenses"),
         F.array_join("matches.license_id", ",").alias("licenses"),

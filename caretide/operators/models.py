@@ -34,6 +34,11 @@ from caretide.session import materialize, scratch_path, shared_folder
 from caretide.sources import sinks
 
 
+#: Rounds without gain after which a fit stops: in search, folds and refit alike, so that
+#: the refit is the fit that the search measured.
+TUNED_PATIENCE = 30
+
+
 def _checkpoints(spark: SparkSession) -> None:
     """Let boosting cut its lineage in the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:
@@ -194,8 +199,8 @@ class SearchResult:
     trials: DataFrame
 
 
-def search(prepared: Prepared, trials: int = 50, parallel: int = 4, patience: int = 20,
-           seed: int = S.SEED) -> SearchResult:
+def search(prepared: Prepared, trials: int = 50, parallel: int = 4,
+           patience: int = TUNED_PATIENCE, seed: int = S.SEED) -> SearchResult:
     """Random search for the best average precision on the validation rows.
 
     Candidates are fitted side by side, each a distributed fit, and all of
@@ -228,8 +233,8 @@ def search(prepared: Prepared, trials: int = 50, parallel: int = 4, patience: in
 
 
 def cross_validate(prepared: Prepared, parameters: dict, folds: int = 5,
-                   balance_inside: bool = False, parallel: int = 4, patience: int = 20,
-                   seed: int = S.SEED) -> DataFrame:
+                   balance_inside: bool = False, parallel: int = 4,
+                   patience: int = TUNED_PATIENCE, seed: int = S.SEED) -> DataFrame:
     """AUROC and average precision per fold: ``(fold, auroc, auprc, n_rows)``.
 
     By default the folds are cut from the training rows as prepared, synthetic
@@ -280,11 +285,11 @@ def evaluation_suite(scored: DataFrame) -> dict[str, DataFrame]:
 
 
 def refit_and_save(prepared: Prepared, parameters: dict, path: str, log: str,
-                   run: str = "Boosted Trees (Tuned)") -> dict:
+                   run: str = "Boosted Trees (Tuned)", patience: int = TUNED_PATIENCE) -> dict:
     """Refit on all training rows, save the pipeline, and log the run."""
     spark = prepared.table.sparkSession
     held = prepared.part("val")
-    model = fit_boosted(prepared.train, held, parameters)
+    model = fit_boosted(prepared.train, held, parameters, patience)
     sinks.save_model(serving_pipeline(prepared, model), path)
     row = E.quick_metrics(score(model, held, run)).first()
     metrics = {

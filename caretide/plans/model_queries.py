@@ -53,7 +53,7 @@ class _Inputs:
     @lru_cache(maxsize=None)
     def found(self):
         """The search whose best parameters are stored, cross-validated and refitted."""
-        return M.search(self.prepared("xgb"), trials=10, patience=10)
+        return M.search(self.prepared("xgb"), trials=10)
 
     @lru_cache(maxsize=None)
     def leaves(self):
@@ -366,7 +366,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Folds of the balanced rows under the search's best parameters."""
     made = _inputs(spark, sf_dir)
-    folds = M.cross_validate(made.prepared("xgb"), made.found().best, patience=10)
+    folds = M.cross_validate(made.prepared("xgb"), made.found().best)
     fine = F.col("auroc").between(0, 1) & (F.col("auprc") > 0) & (F.col("auprc") <= 1)
     return folds.select("fold", "n_rows", _flag(fine).alias("is_measured"))
 
@@ -383,7 +383,7 @@ def _(spark, sf_dir):
     metrics = M.refit_and_save(prepared, stored, path, log)
     logged = {r["key"]: r["value"] for r in sinks.read_runs(spark, log).collect()}
     loaded = sinks.resolve_model([path])[1].stages[-1]
-    again = M.fit_boosted(prepared.train, prepared.part("val"), stored)
+    again = M.fit_boosted(prepared.train, prepared.part("val"), stored, M.TUNED_PATIENCE)
     both = M.score(loaded, prepared.part("test"), "a").join(
         M.score(again, prepared.part("test"), "b").select("row_id", F.col("score").alias("other")),
         "row_id")

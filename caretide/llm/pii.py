@@ -45,9 +45,14 @@ ZONE = re.compile(r"[0-9][\x20().0-9-]*")
 LOOSE_PHONE = re.compile(
     r"(?<![0-9+.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9])")
 LOOSE_CARD = re.compile(r"(?<![0-9.])[0-9]{4}(?:([\x20.-])[0-9]{4})(?:\1[0-9]{4}){2}(?![0-9])")
+_AT = r"\x20?(?:\(at\)|\[at\]|\x20at\x20)\x20?"
+_DOT = r"\x20?(?:\(dot\)|\[dot\]|\x20dot\x20)\x20?"
+_LABEL = r"[A-Za-z0-9-]{1,63}"  # a domain has 127 at most
 LOOSE_EMAIL = re.compile(
-    r"[A-Za-z0-9._%+-]{1,64}\x20?(?:\(at\)|\[at\]|\x20at\x20)\x20?[A-Za-z0-9-]{1,63}"
-    r"\x20?(?:\(dot\)|\[dot\]|\x20dot\x20)\x20?[A-Za-z]{2,24}", re.IGNORECASE)
+    rf"([A-Za-z0-9._%+-]{{1,64}}{_AT}{_LABEL})(?:{_DOT}{_LABEL}){{0,125}}{_DOT}[A-Za-z]{{2,24}}",
+    re.IGNORECASE)
+SPELLED_AT = re.compile(_AT, re.IGNORECASE)
+SPELLED_PART = re.compile(rf"{_DOT}({_LABEL})", re.IGNORECASE)
 IPV6 = re.compile(
     r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])")
 
@@ -128,6 +133,22 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def loose_emails(text: str) -> list[tuple[int, int]]:
+    """Spelled-out addresses, up to the last known top domain, else to the last label.
+
+    A label before a spelled-out @ begins the next address.
+    """
+    found, at = [], 0
+    while m := LOOSE_EMAIL.search(text, at):
+        ends = [(p.end(), p[1].lower()) for p in SPELLED_PART.finditer(text, m.end(1), m.end())
+                if re.fullmatch("[A-Za-z]{2,24}", p[1])]
+        ends = [e for e in ends if not SPELLED_AT.match(text, e[0])] or ends[:1]
+        known = [e for e in ends if e[1] in TOP_DOMAINS]
+        at = (known or ends or [(m.end(), "")])[-1][0]
+        found.append((m.start(), at))
+    return found
+
+
 def loose_spans(text: str) -> list[tuple[int, int, int]]:
     """Further candidates, sorted."""
     found = []
@@ -136,8 +157,9 @@ def loose_spans(text: str) -> list[tuple[int, int, int]]:
             low = max(0, zone.start() - 1)  # an opening bracket may stand before
             found += [(m.start(), PHONE, m.end()) for m in LOOSE_PHONE.finditer(text, low, zone.end())]
             found += [(m.start(), CARD, m.end()) for m in LOOSE_CARD.finditer(text, *zone.span())]
-    if "(dot)" in text or "[dot]" in text or " dot " in text:
-        found += [(m.start(), EMAIL, m.end()) for m in LOOSE_EMAIL.finditer(text)]
+    lower = text.lower()
+    if "(dot)" in lower or "[dot]" in lower or " dot " in lower:
+        found += [(a, EMAIL, b) for a, b in loose_emails(text)]
     if text.count(":") >= 7:
         found += [(m.start(), IP, m.end()) for m in IPV6.finditer(text)]
     return sorted(set(found))

@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from caretide.llm import (
-    bpe, chat, decontaminate, langid, licenses, phrases, pii, simhash, suffixes, topk,
+    bpe, chat, decontaminate, langid, licenses, phrases, pii, quality, simhash, suffixes, topk,
 )
 from caretide.llm.common import table
+from caretide.session import materialize
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -184,6 +185,84 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    book = materialize(quality.ledger(table(spark, sf_dir, "documents")), "quality-ledger")
+    failed = ~quality.passes(quality.BASE)
+    return book.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        failed.alias("base_failed"), (~failed & quality.passes(quality.STRICT)).alias("kept"),
+        "failures")
+
+
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each policy of op11 keeps without one of its rules."""
+    book = materialize(quality.ledger(table(spark, sf_dir, "documents")), "quality-ledger")
+    return quality.ablations(book)
+
+
+_LEDGER_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)),
+      lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls,
+    row_number() OVER () AS r
+  FROM documents
+), win AS (
+  SELECT r, p, array_to_string(w[p:p + 4], ' ') AS s, count(*) OVER (PARTITION BY r, s) AS n
+  FROM d, unnest(range(1, len(w) - 3)) AS u(p)
+), rep AS (
+  SELECT r, count(DISTINCT q) AS n FROM win, unnest(range(p, p + 5)) AS u(q) WHERE n > 1 GROUP BY r
+), m AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+    len(ls)::BIGINT AS n_lines, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+    coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
+    length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper,
+    length(regexp_replace(t, '[^!?]', '', 'g')) AS n_marks
+  FROM d LEFT JOIN rep USING (r)
+), b AS (
+  SELECT *, n_words < 10 AS b0, 100 * n_repeat_words > 20 * n_words AS b1,
+    word_chars < 2 * n_words AS b2, word_chars > 12 * n_words AS b3, 10 * n_symbols > n_words AS b4,
+    10 * n_dup_lines > 3 * n_lines AS b5, 2 * n_upper > word_chars AS b6, 4 * n_marks > n_words AS b7
+  FROM m
+)
+"""
+
+OP11_SQL = _LEDGER_SQL + """
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  b0 OR b1 AS base_failed,
+  NOT (b0 OR b1 OR b4 OR b6 OR b7) AND b2::INT + b3::INT + b5::INT <= 1 AS kept,
+  (b0::INT + 2 * b1::INT + 4 * b2::INT + 8 * b3::INT + 16 * b4::INT + 32 * b5::INT + 64 * b6::INT
+    + 128 * b7::INT)::BIGINT AS failures
+FROM b
+"""
+
+_HARD = {"few_words": "b0", "repeated_words": "b1", "symbols": "b4", "upper_case": "b6", "marks": "b7"}
+_SOFT = {"short_words": "b2", "long_words": "b3", "duplicate_lines": "b5"}
+
+
+def _ablation_sql(version: str, hard: dict[str, str], soft: dict[str, str]) -> str:
+    def kept(without: str | None) -> str:
+        left = [b for n, b in hard.items() if n != without] or ["FALSE"]
+        counted = [f"{b}::INT" for n, b in soft.items() if n != without] or ["0"]
+        return f"(NOT ({' OR '.join(left)}) AND {' + '.join(counted)} <= 1)"
+
+    return " UNION ALL ".join(
+        f"""SELECT '{version}' AS version, {'NULL' if rule is None else f"'{rule}'"} AS rule,
+        count(*) FILTER ({f'NOT {kept(None)}' if rule is None else {**hard, **soft}[rule]}) AS n_failed,
+        count(*) FILTER ({kept(rule)}) AS n_kept,
+        count(*) FILTER ({kept(rule)} AND NOT {kept(None)}) AS n_regained
+        FROM b HAVING count(*) > 0"""
+        for rule in (None, *hard, *soft))
+
+
+ABLATIONS_SQL = _LEDGER_SQL + " UNION ALL ".join([
+    _ablation_sql("1-base", {n: _HARD[n] for n in ("few_words", "repeated_words")}, {}),
+    _ablation_sql("2-strict", _HARD, _SOFT),
+])
+
+
 QUERIES: dict[str, Run] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_byte_bpe": op2_byte_bpe,
@@ -195,6 +274,8 @@ QUERIES: dict[str, Run] = {
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_personal_data": op9_personal_data,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_quality_rules": op11_quality_rules,
+    "quality_ablations": quality_ablations,
 }
 
 ORACLES: dict[str, str] = {
@@ -202,4 +283,6 @@ ORACLES: dict[str, str] = {
     "op3_topk_search": OP3_SQL,
     "op4_substring_dedup": OP4_SQL,
     "op6_chat_format": OP6_SQL,
+    "op11_quality_rules": OP11_SQL,
+    "quality_ablations": ABLATIONS_SQL,
 }

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from caretide.llm import (
-    bpe, chat, decontaminate, langid, licenses, phrases, pii, quality, simhash, suffixes, topk,
+    bpe, chat, decontaminate, langid, licenses, negatives, phrases, pii, quality, simhash,
+    suffixes, topk, zonemaps,
 )
 from caretide.llm.common import table
 from caretide.session import materialize
@@ -263,6 +264,78 @@ ABLATIONS_SQL = _LEDGER_SQL + " UNION ALL ".join([
 ])
 
 
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = zonemaps.cluster(
+        table(spark, sf_dir, "embeddings"), k=16, rounds=3, dim=64, scale=64, seed="1")
+    return zonemaps.report(found)
+
+
+def _op12_sql(rounds: int = 3) -> str:
+    parts = ["""v AS (
+  SELECT row_number() OVER () AS r, vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+)""", """c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), e) - 1 AS cluster, e AS c
+  FROM v WHERE vec_id IS NOT NULL QUALIFY cluster < 16
+)"""]
+    for n in range(rounds + 1):
+        parts.append(f"""a{n} AS MATERIALIZED (
+  SELECT r, vec_id, e, cluster,
+    list_sum([(x[1] - x[2]) * (x[1] - x[2]) FOR x IN list_zip(e, c)])::BIGINT AS distance
+  FROM v, c{n} QUALIFY row_number() OVER (PARTITION BY r ORDER BY distance, cluster) = 1
+)""")
+        if n < rounds:
+            parts.append(f"""m{n} AS (
+  SELECT cluster, i, floor(sum(e[i]) / count(*))::BIGINT AS x
+  FROM a{n}, unnest(range(1, 65)) AS u(i) GROUP BY cluster, i
+), c{n + 1} AS MATERIALIZED (
+  SELECT c{n}.cluster, coalesce(new.c, c{n}.c) AS c FROM c{n} LEFT JOIN
+    (SELECT cluster, list(x ORDER BY i) AS c FROM m{n} GROUP BY cluster) new USING (cluster)
+)""")
+    return "WITH " + ", ".join(parts) + f"""
+SELECT vec_id, cluster::INTEGER AS cluster, distance,
+  sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+  sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (cluster)
+"""
+
+
+OP12_SQL = _op12_sql()
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label, vec_id = F.col("label"), F.col("vec_id")
+    moved = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label))
+    rows = negatives.labelled_vectors(moved)
+    return negatives.hard_negatives(rows, rows.where(vec_id % 100 == 0))
+
+
+OP13_SQL = """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * x::DOUBLE) FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+    list_inner_product(a.e, c.e)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER (
+    PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
 QUERIES: dict[str, Run] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_byte_bpe": op2_byte_bpe,
@@ -276,6 +349,8 @@ QUERIES: dict[str, Run] = {
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_quality_rules": op11_quality_rules,
     "quality_ablations": quality_ablations,
+    "op12_centroid_clusters": op12_centroid_clusters,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES: dict[str, str] = {
@@ -285,4 +360,6 @@ ORACLES: dict[str, str] = {
     "op6_chat_format": OP6_SQL,
     "op11_quality_rules": OP11_SQL,
     "quality_ablations": ABLATIONS_SQL,
+    "op12_centroid_clusters": OP12_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }

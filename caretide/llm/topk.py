@@ -1,16 +1,17 @@
 """Exact top-k search by inner product over integer vectors.
 
-Candidates are dealt by the hash of their id into shards of about ``shard_rows``;
-every query goes to every shard. A task multiplies a tile of queries with its
-shard, keeps the best k of each query in the tile, and lists of ``fan`` shards at a
-time are merged until one list per query is left.
+Candidates are dealt by the hash of their id into shards and queries into groups
+(``vectors.products``). A task multiplies tiles of queries with its shard, keeps the best
+k of each query in the tile, and lists of ``fan`` shards at a time are merged until one
+list per query is left.
 
-Components are ``floor(scale * x)``. Products are made in doubles, which are exact
-while a bound on the sums stays below 2^53, and in Python's integers beyond it.
+Components are ``floor(scale * x)``. Products are made in floats, which are exact while a
+bound on the sums stays below 2^24 or 2^53, and in Python's integers beyond it.
 
 Cases: vectors that are null or hold a null or a non-finite component take no
-part, nor do rows without an id; repeated ids count once, with the smallest
-vector; vectors of different lengths are never compared; ties go to the smaller id;
+part, nor do rows without an id; there is no text, and very long vectors only make
+shards of fewer rows; repeated ids count once, with the smallest vector (of each length);
+other columns of the input are not looked at; vectors of different lengths are never compared; ties go to the smaller id;
 a query with fewer than k candidates returns them all; an empty table, no rows.
 """
 
@@ -18,21 +19,20 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from caretide.llm.common import Batches, map_batches, parts_for
+from caretide.llm import vectors
+from caretide.session import materialize
 
-SHARD_ROWS = 16_384
-TILE_ROWS = 128
 FAN = 16
 
 
 def integer_vectors(
-    table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 256
+    table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 256,
+    keep: tuple[Column, ...] = (),
 ) -> DataFrame:
-    """``vec_id``, ``dim`` and ``vector`` (array of long) of the rows that take part."""
+    """``vec_id``, ``dim`` and ``vector`` (array of long) of the rows that take part, and
+    what ``keep`` names."""
     fine = F.forall(vector_col, lambda x: x.isNotNull() & ~F.isnan(x.cast("double"))
                     & (F.abs(x.cast("double")) < math.inf))
     return (
@@ -42,126 +42,44 @@ def integer_vectors(
             F.col(id_col).cast("long").alias("vec_id"), F.size(vector_col).alias("dim"),
             F.transform(vector_col, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
             .cast("array<long>").alias("vector"),
+            *keep,
         )
     )
 
 
-def _products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    if not queries.shape[1]:
-        return np.zeros((len(queries), len(rows)), np.int64)
-    widest = int(abs(queries).max()) * int(abs(rows).max()) * queries.shape[1]
-    if widest < 2**53:
-        return (queries.astype(float) @ rows.astype(float).T).astype(np.int64)
-    exact = queries.astype(object) @ rows.astype(object).T
-    if widest >= 2**63 and max(map(abs, exact.ravel()), default=0) >= 2**63:
-        raise OverflowError("an inner product does not fit a long")
-    return exact.astype(np.int64)
-
-
-def _best(scores: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places (query, column) of the k highest of each row, the first column on ties."""
-    rows, width = scores.shape
-    if int(abs(scores).max()) < 2**62 // width:
-        key = scores * width - np.arange(width)
-        key[own] = np.iinfo(np.int64).min
-        at = np.argpartition(key, -k, axis=1)[:, -k:] if k < width else (
-            np.broadcast_to(np.arange(width), scores.shape))
-    else:
-        masked = np.where(own, np.iinfo(np.int64).min, scores)
-        at = np.argsort(-masked.astype(object), axis=1, kind="stable")[:, :k]
-    row = np.repeat(np.arange(rows), at.shape[1])
-    col = at.ravel()
-    kept = ~own[row, col]
-    return row[kept], col[kept]
-
-
-def _tiles(k: int, tile_rows: int):
-    """Sorted rows in, each shard's candidates before its queries; best k per shard out."""
-
-    def run(batches: Batches) -> Batches:
-        shard, ids, rows = None, None, None
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def tile(query_ids: np.ndarray, queries: np.ndarray) -> pa.RecordBatch:
-            row, col = (np.zeros(0, np.int64),) * 2
-            if len(ids):
-                scores = _products(queries, rows)
-                row, col = _best(scores, query_ids[:, None] == ids[None, :], k)
-            return pa.RecordBatch.from_pydict({
-                "query_id": pa.array(query_ids[row], pa.int64()),
-                "part": pa.array(np.full(len(row), shard[1]), pa.int32()),
-                "vec_id": pa.array(ids[col] if len(ids) else row, pa.int64()),
-                "score": pa.array(scores[row, col] if len(ids) else row, pa.int64()),
-            })
-
-        def settled() -> tuple[np.ndarray, np.ndarray]:
-            """The shard's candidates by id, one for each id."""
-            if not held:
-                return np.zeros(0, np.int64), np.zeros((0, shard[0]), np.int64)
-            got, vectors = (np.concatenate(x) for x in zip(*held))
-            new = np.concatenate([[True], got[1:] != got[:-1]])  # rows come by id, vector
-            return got[new], vectors[new]
-
-        for batch in batches:
-            keys = np.stack([batch.column(c).to_numpy() for c in ("dim", "shard", "is_query")])
-            cuts = np.flatnonzero(np.any(keys[:, 1:] != keys[:, :-1], axis=0)) + 1
-            for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
-                if a == b:
-                    continue
-                dim, number, is_query = (int(x) for x in keys[:, a])
-                if shard != (dim, number):
-                    shard, ids, held = (dim, number), None, []
-                part = batch.slice(a, b - a)
-                got = part.column("vec_id").to_numpy()
-                vectors = part.column("vector").flatten().to_numpy().reshape(len(got), dim)
-                if not is_query:
-                    held.append((got, vectors))
-                    continue
-                if ids is None:
-                    (ids, rows), held = settled(), []
-                for at in range(0, len(got), tile_rows):
-                    yield tile(got[at:at + tile_rows], vectors[at:at + tile_rows])
-
-    return run
+def distinct_queries(queries: DataFrame) -> DataFrame:
+    """One row for each id, with the smallest label, if there is one, and vector."""
+    names = [c for c in ("label", "vector", "dim") if c in queries.columns]
+    one = queries.groupBy("vec_id").agg(F.min(F.struct(*names)).alias("v"))
+    return one.select("vec_id", "v.*")
 
 
-def top_k(
-    candidates: DataFrame, queries: DataFrame, k: int = 5,
-    shard_rows: int = SHARD_ROWS, tile_rows: int = TILE_ROWS, fan: int = FAN,
-) -> DataFrame:
-    """``query_id``, ``rank`` (from 1), ``vec_id`` and ``score`` of each query's best k.
-
-    Both inputs are tables of ``integer_vectors``; a candidate with the query's own
-    id is left out.
-    """
-    shards = max(1, math.ceil(candidates.count() / shard_rows))
-    dealt = candidates.select(
-        "dim", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"),
-        F.lit(0).alias("is_query"), "vec_id", "vector",
-    )
-    asked = queries.groupBy("vec_id").agg(
-        F.min(F.struct("vector", "dim")).alias("v")
-    ).select(
-        F.col("v.dim").alias("dim"),
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
-        F.lit(1).alias("is_query"), "vec_id", F.col("v.vector").alias("vector"),
-    )
-    ordered = (
-        dealt.unionByName(asked)
-        .repartition(max(shards, parts_for(candidates)), "dim", "shard")
-        .sortWithinPartitions("dim", "shard", "is_query", "vec_id", "vector")
-    )
-    lists = map_batches(
-        ordered, _tiles(k, tile_rows), "query_id long, part int, vec_id long, score long"
-    )
+def merged(lists: DataFrame, k: int, shards: int, fan: int = FAN, *slot: str) -> DataFrame:
+    """The best k of each query (and slot), ``rank`` from 1, from the shards' lists."""
     best = [F.desc("score"), F.asc("vec_id")]
     while shards > fan:
         shards = math.ceil(shards / fan)
         lists = lists.withColumn("part", F.floor(F.col("part") / fan).cast("int"))
-        place = F.row_number().over(Window.partitionBy("query_id", "part").orderBy(*best))
+        place = F.row_number().over(Window.partitionBy("query_id", *slot, "part").orderBy(*best))
         lists = lists.withColumn("place", place).where(F.col("place") <= k).drop("place")
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(*best))
+    place = F.row_number().over(Window.partitionBy("query_id", *slot).orderBy(*best))
     return (
         lists.withColumn("rank", place).where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
+        .select("query_id", *slot, "rank", "vec_id", "score")
     )
+
+
+def top_k(
+    candidates: DataFrame, queries: DataFrame, k: int = 5,
+    shape: tuple[int, int] | None = None, tile_rows: int = vectors.TILE_ROWS, fan: int = FAN,
+) -> DataFrame:
+    """``query_id``, ``rank`` (from 1), ``vec_id`` and ``score`` of each query's best k.
+
+    Both inputs are tables of ``integer_vectors``; a candidate with the query's own
+    id is left out. ``shape`` sets the number of shards and of query groups.
+    """
+    held = materialize(vectors.packed(candidates), "packed-vectors")
+    asked = vectors.packed(distinct_queries(queries)).withColumns({
+        "upper": F.array(F.lit(vectors.MOST)), "lower": F.array(F.lit(vectors.LEAST))})
+    lists, shards = vectors.products(held, asked, k, vectors.ANY, shape, tile_rows)
+    return merged(lists.drop("slot"), k, shards, fan)

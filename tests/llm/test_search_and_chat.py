@@ -47,7 +47,7 @@ def test_top_k_equals_brute_force(spark, scale):
             topk.top_k(vectors(spark, rows), vectors(spark, rows), 5).collect()
         return
     df = vectors(spark, rows)
-    got = topk.top_k(df, df.where("vec_id % 50 = 0"), 5, shard_rows=20, tile_rows=2, fan=2)
+    got = topk.top_k(df, df.where("vec_id % 50 = 0"), 5, shape=(7, 3), tile_rows=2, fan=2)
     want = []
     for q in ints:
         if q % 50 == 0:

@@ -280,6 +280,24 @@ class Clustering:
     pairs: int
 
 
+def _lowest(rows: DataFrame, total: int, wanted: int, least: int, seed: str) -> list:
+    """Up to ``wanted`` vectors with the lowest hashes, ``least`` of them if there are.
+
+    Hashes above twice the share wanted of ``total`` rows are left out where they lie, so
+    that not every task sends as many rows to the driver. Where too few are left, because
+    many rows have one id or take no part, all are asked.
+    """
+    key = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("vec_id").cast("string")), 256)
+    keyed = rows.where(F.col("vec_id").isNotNull()).select(key.alias("key"), "vector")
+    some = keyed
+    if 2 * wanted < total:
+        some = keyed.where(F.col("key") < f"{2 * wanted * 16**15 // total:015x}")
+    found = some.orderBy("key", "vector").limit(wanted).collect()
+    if len(found) < least and some is not keyed:
+        found = keyed.orderBy("key", "vector").limit(least).collect()
+    return found
+
+
 def cluster(table: DataFrame, k: int = 16, rounds: int = 3, dim: int = 64, scale: int = 64,
             seed: str = "1", block: int = BLOCK) -> Clustering:
     """Lloyd's rounds from the k vectors whose ids, with the seed, hash lowest.
@@ -289,9 +307,7 @@ def cluster(table: DataFrame, k: int = 16, rounds: int = 3, dim: int = 64, scale
     """
     spark = table.sparkSession
     rows = whole_vectors(table, dim, scale)
-    key = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("vec_id").cast("string")), 256)
-    first = rows.where(F.col("vec_id").isNotNull()).select(key.alias("key"), "vector").orderBy(
-        "key", "vector").limit(max(k, SAMPLE)).collect()
+    first = _lowest(rows, table.count(), max(k, SAMPLE), k, seed)
     now = [tuple(r["vector"]) for r in first[:k]]
     if not now:
         none = spark.createDataFrame([], "vec_id long, cluster int, distance long")

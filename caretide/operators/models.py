@@ -7,7 +7,6 @@ trials or folds is measured by one job.
 
 from __future__ import annotations
 
-import json
 import random
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -16,7 +15,6 @@ from functools import reduce
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     GBTClassificationModel,
-    GBTClassifier,
     LogisticRegression,
     LogisticRegressionModel,
 )
@@ -24,13 +22,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from caretide import schema as S
-from caretide.operators import evaluate as E
+from caretide.operators import boosting, evaluate as E
+from caretide.operators.boosting import boosted, decide, first_trees, measure  # noqa: F401
 from caretide.operators.encode import Prepared, feature_names
 from caretide.operators.oversample import oversample
 from caretide.operators.ranking import score_curve
 from caretide.operators.split import fit_folds, with_class_weight
-from caretide.operators.tree_attribution import staged_scores
-from caretide.session import materialize, scratch_path, shared_folder
+from caretide.session import folder_names, materialize, scratch_path
 from caretide.sources import sinks
 
 
@@ -39,12 +37,6 @@ from caretide.sources import sinks
 TUNED_PATIENCE = 30
 
 
-def _checkpoints(spark: SparkSession) -> None:
-    """Let boosting cut its lineage in the shared folder."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-
-
 # --- fits -----------------------------------------------------------------------
 
 
@@ -90,71 +82,23 @@ def top_coefficients(table: DataFrame, n: int = 10) -> DataFrame:
     return table.orderBy(F.desc(F.abs("coefficient")), "feature").limit(n)
 
 
-def boosted(parameters: dict, seed: int = S.SEED, **options) -> GBTClassifier:
-    """The classifier for a parameter set; absent ones take their defaults."""
-    p = {**S.BOOSTED_DEFAULTS, **parameters}
-    share = float(p["colsample"])
-    return GBTClassifier(
-        labelCol="label", maxDepth=int(p["max_depth"]), stepSize=float(p["learning_rate"]),
-        maxIter=int(p["n_estimators"]), subsamplingRate=float(p["subsample"]),
-        featureSubsetStrategy="all" if share >= 1 else f"{share:.4f}",
-        minInstancesPerNode=int(p["min_child_weight"]), minInfoGain=float(p["min_info_gain"]),
-        seed=seed, checkpointInterval=10, maxMemoryInMB=512, **options,
-    )
-
-
 def best_round(model: GBTClassificationModel, validation: DataFrame,
                patience: int = 20) -> tuple[int, bool]:
     """The round with the best average precision, and whether patience ran out after it.
 
     All rounds are scored and measured in one job.
     """
-    rounds = E.average_precision(staged_scores(validation, model), ["round"])
-    best, best_at = -1.0, 1
-    for row in sorted(rounds.collect(), key=lambda r: r["round"]):
-        if row["auprc"] is not None and row["auprc"] > best:
-            best, best_at = row["auprc"], row["round"]
-        elif row["round"] - best_at >= patience:
-            return best_at, True
-    return best_at, False
-
-
-def first_trees(spark: SparkSession, model: GBTClassificationModel,
-                n: int) -> GBTClassificationModel:
-    """The ensemble cut to its first ``n`` trees, made from its saved form."""
-    if n >= model.getNumTrees:
-        return model
-    whole, cut = scratch_path(spark, "ensemble"), scratch_path(spark, "ensemble-cut")
-    model.save(whole)
-    about = json.loads(spark.read.text(f"{whole}/metadata").first()["value"])
-    about["numTrees"] = n
-    row = spark.createDataFrame([(json.dumps(about),)], "value string")
-    row.coalesce(1).write.text(f"{cut}/metadata")
-    for part in ("treesMetadata", "data"):
-        trees = spark.read.parquet(f"{whole}/{part}")  # the tree's number comes first
-        trees.where(F.col(trees.columns[0]) < n).write.parquet(f"{cut}/{part}")
-    return GBTClassificationModel.load(cut)
+    return decide(measure(validation.select("label", "features"), model), patience)
 
 
 def fit_boosted(train: DataFrame, validation: DataFrame, parameters: dict | None = None,
-                patience: int = 20, seed: int = S.SEED) -> GBTClassificationModel:
+                patience: int = 20, seed: int = S.SEED,
+                folder: str | None = None) -> GBTClassificationModel:
     """Boosted trees cut at the round with the best average precision on validation.
 
-    Boosting stops once ``patience`` rounds brought nothing better. It is sequential
-    and seeded, so a longer fit begins with the trees of a shorter one: rounds are
-    doubled until patience runs out, and the ensemble is cut.
+    No round is fitted twice; with a ``folder``, a fit that was cut short goes on there.
     """
-    _checkpoints(train.sparkSession)
-    parameters = {**S.BOOSTED_DEFAULTS, **(parameters or {})}
-    rows = train.select("label", "features")
-    most, rounds = int(parameters["n_estimators"]), 2 * patience
-    while True:
-        rounds = min(rounds, most)
-        model = boosted({**parameters, "n_estimators": rounds}, seed).fit(rows)
-        best, stopped = best_round(model, validation, patience)
-        if stopped or rounds == most:
-            return first_trees(train.sparkSession, model, best)
-        rounds *= 2
+    return boosting.fit(train, validation, parameters, patience, seed, folder).model
 
 
 # --- scoring ----------------------------------------------------------------------
@@ -200,36 +144,42 @@ class SearchResult:
 
 
 def search(prepared: Prepared, trials: int = 50, parallel: int = 4,
-           patience: int = TUNED_PATIENCE, seed: int = S.SEED) -> SearchResult:
+           patience: int = TUNED_PATIENCE, seed: int = S.SEED,
+           folder: str | None = None) -> SearchResult:
     """Random search for the best average precision on the validation rows.
 
-    Candidates are fitted side by side, each a distributed fit, and all of
-    their scores are measured by one job.
+    Candidates are fitted side by side, each a distributed fit. With a ``folder`` every
+    finished trial is a row of the table ``trials`` there, and unfinished fits keep their
+    blocks beside it: a search that lost its driver is taken up by calling this again.
     """
     spark = prepared.table.sparkSession
     candidates = draw_parameters(trials, seed)
     held = prepared.part("val")
-
-    def run(parameters: dict) -> GBTClassificationModel:
-        return fit_boosted(prepared.train, held, parameters, patience, seed)
+    kinds = ", ".join(f"{n} double" for n in S.SEARCH_RANGES)
+    schema = f"trial int, auprc double, auroc double, rounds int, {kinds}"
+    home = folder or scratch_path(spark, "search")
+    done = {int(name) for name in folder_names(spark, f"{home}/trials") if name.isdigit()
+            and "_SUCCESS" in folder_names(spark, f"{home}/trials/{name}")}
+
+    def run(number: int) -> None:
+        own = candidates[number]
+        model = fit_boosted(prepared.train, held, own, patience, seed,
+                            **({"folder": f"{home}/fits/{number}"} if folder else {}))
+        scores = materialize(score(model, held, str(number)), "trial-scores")
+        found = E.quick_metrics(scores).first()
+        row = (number, found["auprc"], found["auroc"], model.getNumTrees,
+               *[float(own[n]) for n in S.SEARCH_RANGES])
+        spark.createDataFrame([row], schema).coalesce(1).write.mode("overwrite").parquet(
+            f"{home}/trials/{number}")
 
     with ThreadPoolExecutor(parallel) as pool:
-        models = list(pool.map(run, candidates))
-    scores = reduce(
-        DataFrame.unionByName, [score(m, held, str(i)) for i, m in enumerate(models)]
-    )
-    measured = {r["model"]: r for r in E.quick_metrics(scores).collect()}
-    rows = [
-        (i, measured[str(i)]["auprc"], measured[str(i)]["auroc"], model.getNumTrees,
-         *[float(p[n]) for n in S.SEARCH_RANGES])
-        for i, (p, model) in enumerate(zip(candidates, models))
-    ]
-    kinds = ", ".join(f"{n} double" for n in S.SEARCH_RANGES)
-    table = spark.createDataFrame(
-        rows, f"trial int, auprc double, auroc double, rounds int, {kinds}"
-    ).orderBy(F.desc("auprc"), "trial")
-    best = max(rows, key=lambda r: (r[1], -r[0]))[0]
-    return SearchResult(candidates[best], table)
+        list(pool.map(run, [n for n in range(trials) if n not in done]))
+    found = spark.read.schema(schema).parquet(*[f"{home}/trials/{n}" for n in range(trials)])
+    best = found.orderBy(F.desc("auprc"), "trial").first()
+    for name, value in candidates[best["trial"]].items():
+        if float(value) != best[name]:
+            raise ValueError(f"{home} holds trials of another search")
+    return SearchResult(candidates[best["trial"]], found.orderBy(F.desc("auprc"), "trial"))
 
 
 def cross_validate(prepared: Prepared, parameters: dict, folds: int = 5,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import pickle
 import tempfile
 import uuid
@@ -20,7 +21,7 @@ def build_session(cores: str = "*", app: str = "caretide", **conf: str) -> Spark
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",
-        "spark.driver.memory": "16g",
+        "spark.driver.memory": os.environ.get("CARETIDE_DRIVER_MEMORY", "8g"),
         # the JVM does not compile methods above this size, so wide projections
         # run faster as several small ones
         "spark.sql.codegen.hugeMethodLimit": "8000",
@@ -59,6 +60,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def folder_names(spark: SparkSession, folder: str) -> list[str]:
+    """What lies in a folder, none if it does not exist."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(conf)
+    if not system.exists(path):
+        return []
+    return sorted(entry.getPath().getName() for entry in system.listStatus(path))
+
+
 def clear_scratch(spark: SparkSession, keep: int = 0) -> None:
     """Remove what this process wrote below the shared folder, but for the first ``keep``."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()

@@ -253,7 +253,7 @@ def test_cut_ensemble_begins_like_the_whole(trees):
     rows, held = prepared.train.select("label", "features"), prepared.part("val")
     whole = M.boosted({"max_depth": 3, "n_estimators": 6}).fit(rows)
     short = M.boosted({"max_depth": 3, "n_estimators": 4}).fit(rows)
-    cut = M.first_trees(rows.sparkSession, whole, 4)
+    cut = M.first_trees(whole, 4)
     assert cut.getNumTrees == 4
 
     def scores(model):

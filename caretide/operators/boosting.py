@@ -14,8 +14,12 @@ say that the block is whole. A fit that finds blocks in its folder goes on after
 from __future__ import annotations
 
 import json
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import vector_to_array
@@ -24,13 +28,15 @@ from pyspark.ml.util import Identifiable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from caretide import schema as S
-from caretide.operators import evaluate as E
-from caretide.session import folder_names, materialize, scratch_path, shared_folder
+from caretide.operators import evaluate as E, tree_attribution as TA
+from caretide.session import folder_names, materialize, shared_folder, ship
 
 #: The first tree counts whole, later ones by the learning rate.
 FIRST_WEIGHT = 1.0
 #: Residuals are whole multiples of one over this.
 GRID = float(1 << 30)
+#: Rows below which a piece of the training table is not worth a task of its own.
+PIECE_ROWS = 10_000
 
 
 def _checkpoints(spark: SparkSession) -> None:
@@ -128,16 +134,22 @@ def grow(rows: DataFrame, parameters: dict, first: int, count: int, seed: int,
 def staged(rows: DataFrame, model: GBTClassificationModel, first: int = 0) -> DataFrame:
     """``(label, round, score)`` after each round of a block, beside the ``margin`` before it."""
     start = F.col("margin") if "margin" in rows.columns else F.lit(0.0)
-    now = rows.select(F.col("label").cast("int").alias("label"), "features", start.alias("margin"))
-    totals = F.col("margin")
-    scores = []
-    for i, (tree, weight) in enumerate(zip(model.trees, model.treeWeights)):
-        now = tree.copy().setPredictionCol(f"tree_{i}").transform(now)
-        totals = totals + F.lit(float(weight)) * F.col(f"tree_{i}")
-        now = now.withColumn(f"sum_{i}", totals).drop(f"tree_{i}")
-        totals = F.col(f"sum_{i}")
-        scores.append(1 / (1 + F.exp(-2 * totals)))
-    return now.select("label", F.posexplode(F.array(*scores)).alias("at", "score")).select(
+    groups, trees = TA.collect_leaves(rows.sparkSession, model), model.getNumTrees
+    shared = ship(rows.sparkSession, groups)
+
+    def stages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        leaves = shared()
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            odds = TA.tree_margins(np.stack(pdf["x"].to_numpy()), leaves, trees).cumsum(axis=1)
+            odds += 2 * pdf["margin"].to_numpy()[:, None]
+            yield pd.DataFrame({"label": pdf["label"], "scores": list(1.0 / (1.0 + np.exp(-odds)))})
+
+    plain = rows.select(F.col("label").cast("int").alias("label"), start.alias("margin"),
+                        vector_to_array("features").alias("x"))
+    return plain.mapInPandas(stages, "label int, scores array<double>").select(
+        "label", F.posexplode("scores").alias("at", "score")).select(
         "label", (F.col("at") + first + 1).alias("round"), "score")
 
 
@@ -211,21 +223,26 @@ class _Blocks:
                      for p, t in (("train", train), ("held", held)))
 
 
+def _opening(patience: int, rate: float) -> int:
+    """Rounds in one go cost less each than rounds in blocks, and a slow learner needs more."""
+    return max(1, round(3 * patience * max(1.0, math.sqrt(0.1 / rate))))
+
+
 def fit(train: DataFrame, validation: DataFrame, parameters: dict | None = None,
         patience: int = 20, seed: int = S.SEED, folder: str | None = None,
         opening: int | None = None, block: int | None = None) -> Fitted:
     """Boosted trees cut at the round with the best average precision on validation.
 
     Boosting stops once ``patience`` rounds brought nothing better, or at
-    ``n_estimators``. ``opening`` rounds are fitted first (one and a half times the
-    patience), then ``block`` at a time (half of it).
+    ``n_estimators``. ``opening`` rounds are fitted first, by default three times the
+    patience and more for slow learners, then ``block`` at a time (two thirds of it).
     """
     spark = train.sparkSession
     _checkpoints(spark)
     parameters = {**S.BOOSTED_DEFAULTS, **(parameters or {})}
     most = int(parameters["n_estimators"])
-    opening = min(most, opening or max(1, patience * 3 // 2))
-    block = block or max(1, patience // 2)
+    opening = min(most, opening or _opening(patience, float(parameters["learning_rate"])))
+    block = block or max(1, patience * 2 // 3)
     blocks = _Blocks(spark, folder, parameters, seed)
     held = validation.select("label", "features")
     found = blocks.last()
@@ -233,6 +250,8 @@ def fit(train: DataFrame, validation: DataFrame, parameters: dict | None = None,
         rounds, model, rows, held, precision = found
     else:
         rows = train.select("label", "features")
+        # a small table in many pieces costs a task for each of them at every level
+        rows = rows.coalesce(max(1, math.ceil(rows.count() / PIECE_ROWS)))
         model = boosted({**parameters, "n_estimators": opening}, seed).fit(rows)
         rounds, precision = opening, measure(held, model)
         going = not decide(precision, patience)[1] and rounds < most

@@ -172,8 +172,10 @@ def search(prepared: Prepared, trials: int = 50, parallel: int = 4,
         spark.createDataFrame([row], schema).coalesce(1).write.mode("overwrite").parquet(
             f"{home}/trials/{number}")
 
+    # slow learners need the most rounds, so they begin
+    left = sorted(set(range(trials)) - done, key=lambda n: candidates[n]["learning_rate"])
     with ThreadPoolExecutor(parallel) as pool:
-        list(pool.map(run, [n for n in range(trials) if n not in done]))
+        list(pool.map(run, left))
     found = spark.read.schema(schema).parquet(*[f"{home}/trials/{n}" for n in range(trials)])
     best = found.orderBy(F.desc("auprc"), "trial").first()
     for name, value in candidates[best["trial"]].items():
@@ -183,7 +185,7 @@ def search(prepared: Prepared, trials: int = 50, parallel: int = 4,
 
 
 def cross_validate(prepared: Prepared, parameters: dict, folds: int = 5,
-                   balance_inside: bool = False, parallel: int = 4,
+                   balance_inside: bool = False, parallel: int = 5,
                    patience: int = TUNED_PATIENCE, seed: int = S.SEED) -> DataFrame:
     """AUROC and average precision per fold: ``(fold, auroc, auprc, n_rows)``.
 

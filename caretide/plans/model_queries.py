@@ -1,9 +1,9 @@
 """Encoders, balancing, models, search, and model sinks.
 
-A fitted model has no SQL counterpart, but much that must hold of it has: which
-rows, names and counts come out, and that stated properties are met. The queries
-return these, each property as a column of ones. The fits of one session and
-input are shared.
+A fitted model has no SQL counterpart, so the queries that return what a model makes have
+none. Much that must hold of it has: which rows, names and counts come out, and that stated
+properties are met. Queries named ``…_properties`` return these, each property as a column of
+ones. The fits of one session and input are shared.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from caretide import schema as S
 from caretide.functions.clinical import quoted
-from caretide.operators import attribute as X, evaluate as E, models as M, serve as V
+from caretide.operators import attribute as X, boosting, evaluate as E, models as M, serve as V
 from caretide.operators import tree_attribution as TA
 from caretide.operators.encode import EncounterEncoder, fill_numeric, prepare
 from caretide.operators.oversample import nearest_neighbours, oversample
@@ -46,9 +46,17 @@ class _Inputs:
         return M.fit_logistic(self.prepared("lr").train)
 
     @lru_cache(maxsize=None)
-    def trees(self):
+    def boosted(self):
         prepared = self.prepared("xgb")
-        return M.fit_boosted(prepared.train, prepared.part("val"))
+        return boosting.fit(prepared.train, prepared.part("val"))
+
+    def trees(self):
+        return self.boosted().model
+
+    @lru_cache(maxsize=None)
+    def folds(self):
+        """Folds of the balanced rows under the search's best parameters."""
+        return materialize(M.cross_validate(self.prepared("xgb"), self.found().best), "fold-metrics")
 
     @lru_cache(maxsize=None)
     def found(self):
@@ -262,7 +270,18 @@ def _(spark, sf_dir):
 # --- models ----------------------------------------------------------------------------
 
 
-@query("e08_logistic_regression", sql("""SELECT count(*) AS n_rows, (SELECT count(*) FROM t_names
+@query("e08_logistic_regression")
+def _(spark, sf_dir):
+    """What the fit ends with: its size, intercept, rounds, and its metrics on validation."""
+    made = _inputs(spark, sf_dir)
+    model = made.logistic()
+    scores = M.score(model, made.prepared("lr").part("val"), "Logistic Regression")
+    return E.quick_metrics(scores).select(
+        "model", "auroc", "auprc", F.lit(float(model.intercept)).alias("intercept"),
+        F.lit(int(model.numFeatures)).alias("n_features"))
+
+
+@query("e08b_logistic_properties", sql("""SELECT count(*) AS n_rows, (SELECT count(*) FROM t_names
     WHERE kind = 'lr') AS n_features, 1 AS at_minimum FROM t_trained""", **_EXTRA))
 def _(spark, sf_dir):
     """The fit is right where the gradient of the penalised loss vanishes."""
@@ -276,7 +295,13 @@ def _(spark, sf_dir):
         "n_rows", "n_features", _flag(F.col("steepest") / F.col("n_rows") < 1e-4).alias("at_minimum"))
 
 
-@query("e09_coefficients", sql("""SELECT feature, 1 AS is_number FROM t_names
+@query("e09_coefficients")
+def _(spark, sf_dir):
+    made = _inputs(spark, sf_dir)
+    return M.coefficient_table(made.logistic(), made.prepared("lr").names)
+
+
+@query("e09b_coefficient_properties", sql("""SELECT feature, 1 AS is_number FROM t_names
     WHERE kind = 'lr'""", **_EXTRA))
 def _(spark, sf_dir):
     made = _inputs(spark, sf_dir)
@@ -284,7 +309,14 @@ def _(spark, sf_dir):
     return table.select("feature", _flag(F.abs("coefficient") < float("inf")).alias("is_number"))
 
 
-@query("k02_top_coefficients", sql("""SELECT CAST(i AS INT) AS place, 1 AS is_known,
+@query("k02_top_coefficients")
+def _(spark, sf_dir):
+    made = _inputs(spark, sf_dir)
+    return M.top_coefficients(
+        M.coefficient_table(made.logistic(), made.prepared("lr").names))
+
+
+@query("k02b_top_coefficient_properties", sql("""SELECT CAST(i AS INT) AS place, 1 AS is_known,
     1 AS in_order FROM range(1, 11) AS u(i) WHERE i <= (SELECT count(*) FROM t_names
     WHERE kind = 'lr')""", **_EXTRA))
 def _(spark, sf_dir):
@@ -300,7 +332,17 @@ def _(spark, sf_dir):
     return spark.createDataFrame(rows, "place int, is_known int, in_order int")
 
 
-@query("e10_boosted_trees", sql("""SELECT count(*) AS n_rows, 1 AS beats_chance,
+@query("e10_boosted_trees")
+def _(spark, sf_dir):
+    """The fit's rounds and its metrics on validation."""
+    made = _inputs(spark, sf_dir)
+    scores = M.score(made.trees(), made.prepared("xgb").part("val"), "Boosted Trees")
+    return E.quick_metrics(scores).select(
+        "model", "auroc", "auprc", F.lit(made.trees().getNumTrees).alias("rounds"),
+        F.lit(made.trees().numFeatures).alias("n_features"))
+
+
+@query("e10b_boosted_properties", sql("""SELECT count(*) AS n_rows, 1 AS beats_chance,
     1 AS best_round_kept FROM t_split WHERE split = 'val'"""))
 def _(spark, sf_dir):
     made = _inputs(spark, sf_dir)
@@ -313,7 +355,15 @@ def _(spark, sf_dir):
         F.lit(int(best == made.trees().getNumTrees)).alias("best_round_kept"))
 
 
-@query("e11_staged_precision", sql("""SELECT 1 AS first_round, 1 AS is_consecutive, 1 AS in_range,
+@query("e11_staged_precision")
+def _(spark, sf_dir):
+    """The precision of every round that the fit tried, and which one it kept."""
+    made = _inputs(spark, sf_dir)
+    rows = [(n, p, int(n == made.trees().getNumTrees)) for n, p in made.boosted().precision.items()]
+    return spark.createDataFrame(rows, "round int, auprc double, is_kept int")
+
+
+@query("e11b_staged_properties", sql("""SELECT 1 AS first_round, 1 AS is_consecutive, 1 AS in_range,
     1 AS ends_at_best, count(*) AS n_rows FROM t_split WHERE split = 'val'"""))
 def _(spark, sf_dir):
     made = _inputs(spark, sf_dir)
@@ -335,66 +385,101 @@ def _(spark, sf_dir):
 _BOTH = "(VALUES ('Boosted Trees'), ('Logistic Regression')) AS m(model)"
 
 
-@query("e12_scores", sql(f"""SELECT row_id, model, {S.LABEL} AS label, 1 AS is_probability
+@query("e12_scores")
+def _(spark, sf_dir):
+    return _inputs(spark, sf_dir).scores()
+
+
+@query("e12b_score_properties", sql(f"""SELECT row_id, model, {S.LABEL} AS label, 1 AS is_probability
     FROM t_split, {_BOTH} WHERE split = 'test'"""))
 def _(spark, sf_dir):
     return _inputs(spark, sf_dir).scores().select(
         "row_id", "model", "label", _flag(F.col("score").between(0, 1)).alias("is_probability"))
 
 
-@query("e14_search", sql("""SELECT CAST(i AS INT) AS trial, 1 AS in_ranges, 1 AS has_learned,
-    1 AS best_is_highest, 1 AS trials_differ FROM range(10) AS u(i)"""))
+@query("e14_search")
 def _(spark, sf_dir):
-    """Ten draws inside the search ranges; most learn, none is like all others."""
+    """Ten trials, the best first: precision, AUROC, rounds and parameters."""
+    return _inputs(spark, sf_dir).found().trials
+
+
+@query("e14b_search_properties", sql("""SELECT CAST(i AS INT) AS trial, 1 AS in_ranges,
+    1 AS is_measured, 1 AS best_is_highest, 1 AS best_is_stored, 1 AS all_differ
+    FROM range(10) AS u(i)"""))
+def _(spark, sf_dir):
+    """Ten different draws inside the search ranges; the best is the one with the highest
+    precision, and what is stored as best is its row."""
     found = _inputs(spark, sf_dir).found()
     ranges = F.lit(True)
     for name, (_, low, high) in S.SEARCH_RANGES.items():
         ranges &= F.col(name).between(low * (1 - 1e-9), high * (1 + 1e-9))
+    ranges &= F.col("rounds").between(1, F.col("n_estimators"))
+    fine = F.col("auroc").between(0, 1) & (F.col("auprc") > 0) & (F.col("auprc") <= 1)
     rows = found.trials.collect()
-    differ = int(len({r["auprc"] for r in rows}) > len(rows) // 2)
-    learned = int(sum(r["auroc"] > 0.5 for r in rows) > len(rows) // 2)
     top = max(rows, key=lambda r: (r["auprc"], -r["trial"]))
+    stored = sinks.read_parameters(
+        spark, sinks.write_parameters(spark, found.best, scratch_path(spark, "best")))
     highest = int(all(float(found.best[n]) == top[n] for n in S.SEARCH_RANGES))
+    kept = int({n: float(v) for n, v in stored.items()} == {n: top[n] for n in S.SEARCH_RANGES})
+    differ = int(len({tuple(r[n] for n in S.SEARCH_RANGES) for r in rows}) == len(rows))
     return found.trials.select(
-        "trial", _flag(ranges).alias("in_ranges"), F.lit(learned).alias("has_learned"),
-        F.lit(highest).alias("best_is_highest"), F.lit(differ).alias("trials_differ"))
+        "trial", _flag(ranges).alias("in_ranges"), _flag(fine).alias("is_measured"),
+        F.lit(highest).alias("best_is_highest"), F.lit(kept).alias("best_is_stored"),
+        F.lit(differ).alias("all_differ"))
 
 
-@query("e15_cross_validation", sql("""SELECT CAST(i AS INT) AS fold, CAST(2 * (m * (i + 1) // 5
-    - m * i // 5) AS BIGINT) AS n_rows, 1 AS is_measured
-    FROM range(5) AS u(i), (SELECT max(n) AS m FROM t_sizes)""", **_BALANCE))
+@query("e15_cross_validation")
 def _(spark, sf_dir):
-    """Folds of the balanced rows under the search's best parameters."""
-    made = _inputs(spark, sf_dir)
-    folds = M.cross_validate(made.prepared("xgb"), made.found().best)
-    fine = F.col("auroc").between(0, 1) & (F.col("auprc") > 0) & (F.col("auprc") <= 1)
-    return folds.select("fold", "n_rows", _flag(fine).alias("is_measured"))
+    """Every fold's metrics, beside their mean, deviation and the flag of a wide spread."""
+    folds = _inputs(spark, sf_dir).folds()
+    return folds.crossJoin(F.broadcast(E.fold_summary(folds)))  # one row
 
 
-@query("e16_refit_and_save", sql("""SELECT count(*) AS n_rows, 0::BIGINT AS n_changed,
-    1 AS uses_best, 1 AS is_logged FROM t_split WHERE split = 'test'"""))
+@query("e16_refit_and_save")
 def _(spark, sf_dir):
-    """The search's best, refitted, saved, read back, and logged."""
+    """The run that the refit logged: its parameters and its metrics."""
+    return sinks.read_runs(spark, _refitted(spark, sf_dir)[1])
+
+
+def _refitted(spark, sf_dir):
+    """The search's best, stored, read back and refitted: paths of model and log, parameters."""
     made = _inputs(spark, sf_dir)
-    prepared, best = made.prepared("xgb"), made.found().best
     path, log = scratch_path(spark, "model"), scratch_path(spark, "runs")
     stored = sinks.read_parameters(
-        spark, sinks.write_parameters(spark, best, scratch_path(spark, "best")))
-    metrics = M.refit_and_save(prepared, stored, path, log)
+        spark, sinks.write_parameters(spark, made.found().best, scratch_path(spark, "best")))
+    M.refit_and_save(made.prepared("xgb"), stored, path, log)
+    return path, log, stored
+
+
+@query("e16b_refit_properties", sql("""SELECT CAST(i AS INT) AS fold, CAST(2 * (m * (i + 1) // 5
+    - m * i // 5) AS BIGINT) AS n_rows, 1 AS is_measured, 1 AS uses_best, 1 AS is_logged
+    FROM range(5) AS u(i), (SELECT max(n) AS m FROM t_sizes)""", **_BALANCE))
+def _(spark, sf_dir):
+    """Folds hold the balanced rows evenly; the saved refit has the best parameters, and scores
+    the validation rows as its log says."""
+    made = _inputs(spark, sf_dir)
+    path, log, stored = _refitted(spark, sf_dir)
     logged = {r["key"]: r["value"] for r in sinks.read_runs(spark, log).collect()}
     loaded = sinks.resolve_model([path])[1].stages[-1]
-    again = M.fit_boosted(prepared.train, prepared.part("val"), stored, M.TUNED_PATIENCE)
-    both = M.score(loaded, prepared.part("test"), "a").join(
-        M.score(again, prepared.part("test"), "b").select("row_id", F.col("score").alias("other")),
-        "row_id")
-    kept = all(logged[k] == str(v) for k, v in {**stored, **metrics}.items())
-    return both.agg(
-        F.count("*").alias("n_rows"),
-        F.count_if(F.abs(F.col("score") - F.col("other")) > 1e-9).alias("n_changed"),
-        F.lit(int(stored == best)).alias("uses_best"), F.lit(int(kept)).alias("is_logged"))
+    again = E.quick_metrics(M.score(loaded, made.prepared("xgb").part("val"), "m")).first()
+    same = all(abs(float(logged[m]) - again[m]) < 1e-9 for m in ("auroc", "auprc"))
+    same &= logged["rounds"] == str(loaded.getNumTrees)
+    best = stored == made.found().best and all(logged[k] == str(v) for k, v in stored.items())
+    fine = F.col("auroc").between(0, 1) & (F.col("auprc") > 0) & (F.col("auprc") <= 1)
+    return made.folds().select(
+        "fold", "n_rows", _flag(fine).alias("is_measured"), F.lit(int(best)).alias("uses_best"),
+        F.lit(int(same)).alias("is_logged"))
+
+
+@query("e17_generic_names")
+def _(spark, sf_dir):
+    made = _inputs(spark, sf_dir)
+    rows = made.prepared("xgb").part("test")
+    return X.global_importance(
+        TA.tree_attributions(rows, made.trees(), [], groups=made.leaves()))
 
 
-@query("e17_generic_names", sql("""SELECT 'Feature_' || position AS feature FROM t_names
+@query("e17b_generic_name_properties", sql("""SELECT 'Feature_' || position AS feature FROM t_names
     WHERE kind = 'xgb'""", **_EXTRA))
 def _(spark, sf_dir):
     made = _inputs(spark, sf_dir)
@@ -403,7 +488,17 @@ def _(spark, sf_dir):
     return X.global_importance(long).where("importance >= 0").select("feature")
 
 
-@query("g15_evaluation_suite", sql(f"""SELECT t.name, model, 1 AS is_whole FROM {_BOTH},
+@query("g15_evaluation_suite")
+def _(spark, sf_dir):
+    """The seven tables under each other, their rows as JSON."""
+    tables = M.evaluation_suite(_inputs(spark, sf_dir).scores())
+    return E.union_metrics(*[
+        table.select(F.lit(name).alias("name"), "model",
+                     F.to_json(F.struct(*[c for c in table.columns if c != "model"])).alias("row"))
+        for name, table in tables.items()])
+
+
+@query("g15b_evaluation_properties", sql(f"""SELECT t.name, model, 1 AS is_whole FROM {_BOTH},
     (VALUES ('metrics'), ('roc'), ('precision_recall'), ('prevalence'), ('calibration'),
     ('histogram'), ('confusion')) AS t(name)"""))
 def _(spark, sf_dir):
@@ -426,7 +521,13 @@ def _(spark, sf_dir):
     ])
 
 
-@query("x01_tree_attributions", sql("""SELECT row_id, (SELECT count(*) FROM t_names
+@query("x01_tree_attributions")
+def _(spark, sf_dir):
+    """``row_id``, ``feature``, ``value`` and ``impact`` in log-odds."""
+    return X.long_form(_tree_entries(_inputs(spark, sf_dir)))
+
+
+@query("x01b_attribution_properties", sql("""SELECT row_id, (SELECT count(*) FROM t_names
     WHERE kind = 'xgb') AS n_features, 1 AS adds_up FROM t_split WHERE split = 'test'""", **_EXTRA))
 def _(spark, sf_dir):
     """The base value and a row's impacts add up to the log-odds of its score."""
@@ -512,22 +613,13 @@ def _(spark, sf_dir):
     )
 
 
-_RANGES = ", ".join(f"('{n}')" for n in S.SEARCH_RANGES)
-
-
-@query("s15_best_parameters", sql(f"""SELECT name AS parameter, 1 AS in_range, 1 AS is_best
-    FROM (VALUES {_RANGES}) AS r(name)"""))
+@query("s15_best_parameters")
 def _(spark, sf_dir):
-    """What is stored is the row of the search's best trial."""
+    """The best parameters as stored and read back."""
     found = _inputs(spark, sf_dir).found()
     path = sinks.write_parameters(spark, found.best, scratch_path(spark, "best"))
-    best = found.trials.orderBy(F.desc("auprc"), "trial").first()
-    rows = [
-        (name, int(S.SEARCH_RANGES[name][1] <= value <= S.SEARCH_RANGES[name][2]),
-         int(float(value) == best[name]))
-        for name, value in sinks.read_parameters(spark, path).items()
-    ]
-    return spark.createDataFrame(rows, "parameter string, in_range int, is_best int")
+    rows = [(n, float(v)) for n, v in sinks.read_parameters(spark, path).items()]
+    return spark.createDataFrame(rows, "parameter string, value double")
 
 
 _FORM = " UNION ".join(
@@ -574,25 +666,36 @@ def save_serving_bundle(spark: SparkSession, sf_dir: str, made: _Inputs) -> str:
     }, scratch_path(spark, "bundle"))
 
 
-@query("s17_run_log", sql(f"""SELECT model AS run, kind, key, CASE key WHEN 'seed'
-    THEN '{S.SEED}' ELSE 'a share' END AS value FROM {_BOTH},
-    (VALUES ('param', 'seed'), ('metric', 'auroc'), ('metric', 'auprc')) AS k(kind, key)"""))
+@query("s17_run_log")
 def _(spark, sf_dir):
-    made = _inputs(spark, sf_dir)
+    return sinks.read_runs(spark, _log_runs(spark, sf_dir))
+
+
+def _log_runs(spark, sf_dir):
     path = scratch_path(spark, "runs")
-    for row in E.quick_metrics(made.scores()).collect():
+    for row in E.quick_metrics(_inputs(spark, sf_dir).scores()).collect():
         sinks.log_run(spark, path, row["model"], {"seed": S.SEED}, {
             "auroc": round(row["auroc"], 6), "auprc": round(row["auprc"], 6),
         })
+    return path
+
+
+@query("s17b_run_log_properties", sql(f"""SELECT model AS run, kind, key, CASE key WHEN 'seed'
+    THEN '{S.SEED}' ELSE 'a share' END AS value FROM {_BOTH},
+    (VALUES ('param', 'seed'), ('metric', 'auroc'), ('metric', 'auprc')) AS k(kind, key)"""))
+def _(spark, sf_dir):
     share = (F.col("kind") == "metric") & F.col("value").cast("double").between(0, 1)
-    return sinks.read_runs(spark, path).withColumn(
+    return sinks.read_runs(spark, _log_runs(spark, sf_dir)).withColumn(
         "value", F.when(share, "a share").otherwise(F.col("value")))
 
 
-@query("v06_score_profiles", sql("""SELECT row_id, 1 AS is_probability, 1 AS fits_band
-    FROM t_model"""))
+@query("v06_score_profiles")
 def _(spark, sf_dir):
     """Profiles without two fields, filled, scored and banded."""
+    return _scored_profiles(spark, sf_dir)[0]
+
+
+def _scored_profiles(spark, sf_dir):
     made = _inputs(spark, sf_dir)
     features = made.modelling.drop(S.LABEL)
     defaults = V.defaults_dict(V.form_defaults(features.drop(S.ROW_ID)))
@@ -600,7 +703,14 @@ def _(spark, sf_dir):
     partial = features.drop("polypharmacy_score", "num_lab_procedures")
     pipeline = M.serving_pipeline(made.prepared("xgb"), made.trees())
     cut = E.threshold_of(scores)
-    done = score_profiles(partial, defaults, pipeline, cut)
+    return score_profiles(partial, defaults, pipeline, cut), cut
+
+
+@query("v06b_profile_properties", sql("""SELECT row_id, 1 AS is_probability, 1 AS fits_band
+    FROM t_model"""))
+def _(spark, sf_dir):
+    """Bands follow from the score and the threshold that was chosen."""
+    done, cut = _scored_profiles(spark, sf_dir)
     band = (
         F.when(F.col("score") >= cut * 1.5, "High risk")
         .when(F.col("score") >= cut, "Watchlist").otherwise("Lower risk")

@@ -1,6 +1,6 @@
-"""Search, folds and refit stop alike."""
+"""Search, folds and refit stop alike, and end."""
 
-from caretide.operators import models as M
+from caretide.operators import boosting, models as M
 from caretide.plans import catalog, model_queries as Q
 
 
@@ -13,7 +13,20 @@ def test_registered_fits_share_the_patience_of_the_search(spark, monkeypatch):
 
     monkeypatch.setattr(M, "fit_boosted", short)
     monkeypatch.setattr(Q, "_MADE", {})
-    for name, fits in (("e14_search", 10), ("e15_cross_validation", 5), ("e16_refit_and_save", 2)):
+    made = {}
+    for name, fits in (("e14_search", 10), ("e15_cross_validation", 5), ("e16_refit_and_save", 1)):
         seen.clear()
-        catalog.QUERIES[name](spark, "/root/testdata/sf0.001").collect()
+        made[name] = catalog.QUERIES[name](spark, "/root/testdata/sf0.001").collect()
         assert seen == [30] * fits, name
+    assert {"mean_auprc", "high_variance"} <= set(made["e15_cross_validation"][0].asDict())
+
+
+def test_a_fit_ends_when_patience_runs_out(spark):
+    """The real fit, with the patience and the most rounds of the search."""
+    made = Q._inputs(spark, "/root/testdata/sf0.001")
+    prepared = made.prepared("xgb")
+    slow = {"max_depth": 3, "learning_rate": 0.05, "n_estimators": 1000}
+    found = boosting.fit(prepared.train, prepared.part("val"), slow, M.TUNED_PATIENCE)
+    best, stopped = boosting.decide(found.precision, M.TUNED_PATIENCE)
+    assert stopped and best == found.model.getNumTrees
+    assert len(found.precision) < 1000

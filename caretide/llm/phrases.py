@@ -75,7 +75,8 @@ def _shards(width: int, shard: int):
             found = _occurrences(held, width)
             return pa.RecordBatch.from_pydict({
                 "id": pa.array([r["id"] for r, _ in found], pa.int64()),
-                "mark": pa.array([r["mark"] for r, _ in found], pa.int32()),
+                "mark": pa.array([r["mark"] for r, _ in found], pa.int64()),
+                "more": pa.array([r["more"] for r, _ in found], pa.int32()),
                 "start": pa.array([r["start"] + at for r, at in found], pa.int64()),
                 "units": pa.array([width] * len(found), pa.int64()),
             })
@@ -104,12 +105,12 @@ def remove_repeats(
     lay = repeats.word_units
     segments = repeats.segment_rows(source, lay, width, gram, repeats.SMALLER, hot, **sampling)
     spans = materialize(segments, "phrase-segments")
-    settled = spans.where(F.col("anchor").isNull()).select("id", "mark", "start", "units")
+    settled = spans.where(F.col("anchor").isNull()).select(*repeats.KEY, "start", "units")
     open_ = spans.where(F.col("anchor").isNotNull())
     dealt = repeats.contents(source, open_.where(~F.col("hot")), lay)
     ordered = dealt.repartition(parts_for(docs), "anchor").sortWithinPartitions("anchor", "id")
     found = settled.unionByName(map_batches(
-        ordered, _shards(width, shard), "id long, mark int, start long, units long"))
+        ordered, _shards(width, shard), "id long, mark long, more int, start long, units long"))
     if not open_.where("hot").isEmpty():
         found = found.unionByName(repeats.by_window(
             repeats.contents(source, open_.where("hot"), lay), lay, width, repeats.SMALLER))

@@ -14,6 +14,9 @@ operator in its own way, from their content (``contents``).
 
 Hashes are 64-bit polynomials over bytes, mixed; segments count as equal if both
 their anchors' and their own hashes are.
+
+A text is known by its id and a mark of 96 bits, two hashes of the text, that tells apart
+rows of one id or without id. Equal rows have equal marks and are treated alike.
 """
 
 from __future__ import annotations
@@ -44,7 +47,9 @@ CROWD = 2_000_000
 SAMPLE = 1_024
 SMALLER, ANYWHERE = "smaller", "anywhere"
 
-SPANS = "id long, mark int, start long, units long, anchor long, test boolean, hot boolean"
+#: What a text is known by.
+KEY = ("id", "mark", "more")
+SPANS = "id long, mark long, more int, start long, units long, anchor long, test boolean, hot boolean"
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -192,8 +197,8 @@ def segments(units: Units, width: int, k: int) -> Iterator[tuple[np.ndarray, ...
 
 
 _FIELDS = (
-    ("anchor", np.uint64), ("seg", np.uint64), ("id", np.int64), ("mark", np.int32),
-    ("start", np.int64), ("windows", np.int64), ("many", np.bool_),
+    ("anchor", np.uint64), ("seg", np.uint64), ("id", np.int64), ("mark", np.int64),
+    ("more", np.int32), ("start", np.int64), ("windows", np.int64), ("many", np.bool_),
 )
 
 
@@ -210,7 +215,7 @@ def _pack(rows: dict[str, np.ndarray]) -> dict[str, bytes | int | str]:
     offset = rows["id"].astype(np.uint64) - np.uint64(low % (1 << 64))
     arrays = {
         "anchor": rows["anchor"], "seg": rows["seg"], "id": _slim(offset), "mark": rows["mark"],
-        "start": _slim(rows["start"]), "windows": _slim(rows["windows"]),
+        "more": rows["more"], "start": _slim(rows["start"]), "windows": _slim(rows["windows"]),
         "many": np.packbits(rows["many"]),
     }
     kinds = "".join(f"{a.dtype.char}" for a in arrays.values())
@@ -259,10 +264,12 @@ def _settle(rows: dict, cls: np.ndarray, rule: str) -> tuple[np.ndarray, np.ndar
 
 def _merged(rows: dict[str, np.ndarray], width: int) -> dict[str, np.ndarray]:
     """Overlapping or adjoining stretches of one text as one row."""
-    order = np.lexsort((rows["start"], rows["mark"], rows["id"]))
-    ids, mark, start = rows["id"][order], rows["mark"][order], rows["start"][order]
+    order = np.lexsort((rows["start"], rows["more"], rows["mark"], rows["id"]))
+    ids, mark, more = (rows[c][order] for c in KEY)
+    start = rows["start"][order]
     stop = start + rows["windows"][order] + width - 1
-    text = np.concatenate([[0], np.cumsum((np.diff(ids) != 0) | (np.diff(mark) != 0))])
+    split = (np.diff(ids) != 0) | (np.diff(mark) != 0) | (np.diff(more) != 0)
+    text = np.concatenate([[0], np.cumsum(split)])
     # the furthest end so far within each text
     far = int(stop.max()) + 1 if len(stop) else 1
     reach = np.maximum.accumulate(stop + text * far) - text * far
@@ -270,7 +277,7 @@ def _merged(rows: dict[str, np.ndarray], width: int) -> dict[str, np.ndarray]:
     new[1:] = (np.diff(text) != 0) | (start[1:] > reach[:-1])
     opens = np.flatnonzero(new)
     closes = np.append(opens[1:], len(ids)) - 1
-    return {"id": ids[opens], "mark": mark[opens], "start": start[opens],
+    return {"id": ids[opens], "mark": mark[opens], "more": more[opens], "start": start[opens],
             "units": reach[closes] - start[opens]}
 
 
@@ -323,14 +330,13 @@ def _gather(lay: Callable, width: int, k: int, rule: str, buckets: int, crowded:
 
         size = 0
         for batch in batches:
-            ids = batch.column("id").to_numpy()
-            marks = batch.column("mark").to_numpy()
+            keys = {c: batch.column(c).to_numpy() for c in KEY}
             for units, rows in _laid(batch, lay):
                 for anchor, seg, low, windows in segments(units, width, k):
                     own = np.searchsorted(units.first, low, side="right") - 1
                     held.append({
-                        "anchor": anchor, "seg": seg, "id": ids[rows][own],
-                        "mark": marks[rows][own], "start": low - units.first[own],
+                        "anchor": anchor, "seg": seg,
+                        **{c: array[rows][own] for c, array in keys.items()}, "start": low - units.first[own],
                         "windows": windows, "many": np.zeros(len(low), bool),
                     })
                     size += len(low)
@@ -372,7 +378,7 @@ def _differing(width: int, rule: str, hot: int, crowded: np.ndarray):
 
     def settled(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
         n = len(rows["id"])
-        return _spans(rows["id"], rows["mark"], rows["start"], rows["units"],
+        return _spans(rows, slice(None), rows["units"],
                       pa.nulls(n, pa.int64()), np.zeros(n, bool), np.zeros(n, bool))
 
     def bucket(held: list[dict]) -> Iterator[pa.RecordBatch]:
@@ -397,8 +403,7 @@ def _differing(width: int, rule: str, hot: int, crowded: np.ndarray):
         going = (test | (on & first)) & (apart | ((classes > 1) & tested))
         if going.any():
             yield _spans(
-                rows["id"][going], rows["mark"][going], rows["start"][going],
-                rows["windows"][going] + width - 1,
+                rows, going, rows["windows"][going] + width - 1,
                 pa.array(rows["anchor"][going].view(np.int64)), test[going],
                 (apart | (classes > hot))[going])
 
@@ -422,19 +427,21 @@ def _differing(width: int, rule: str, hot: int, crowded: np.ndarray):
     return run
 
 
-def _spans(ids, mark, start, units, anchor, test, hot) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(ids, pa.int64()), pa.array(mark, pa.int32()), pa.array(start, pa.int64()),
-         pa.array(units, pa.int64()), anchor, pa.array(test), pa.array(hot)],
-        names=["id", "mark", "start", "units", "anchor", "test", "hot"])
+def _spans(rows: dict, chosen, units, anchor, test, hot) -> pa.RecordBatch:
+    kinds = {"mark": pa.int64(), "more": pa.int32()}
+    fields = {c: pa.array(rows[c][chosen], kinds.get(c, pa.int64())) for c in (*KEY, "start")}
+    return pa.RecordBatch.from_pydict({
+        **fields, "units": pa.array(units, pa.int64()), "anchor": anchor,
+        "test": pa.array(test), "hot": pa.array(hot)})
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``text`` and the key of a text: its id and a hash that tells apart rows."""
+    """``doc_id``, ``text`` and the key of a text: its id and the mark that tells apart rows."""
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
     ).withColumns({
-        "id": F.coalesce("doc_id", F.lit(NO_ID)), "mark": F.hash("text"),
+        "id": F.coalesce("doc_id", F.lit(NO_ID)), "mark": F.xxhash64("text"),
+        "more": F.hash("text"),
     })
 
 
@@ -450,30 +457,30 @@ def segment_rows(
     """
     parts = parts_for(source)
     buckets = 4 * parts
-    some = source.where(F.pmod(F.xxhash64("id", "mark"), F.lit(sample)) == 0)
+    some = source.where(F.pmod(F.xxhash64(*KEY), F.lit(sample)) == 0)
     often = map_batches(some.select("text"), _anchors(lay, width, k), "anchor long").groupBy(
         "anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * sample > crowd)
     # their number is bounded by all rows divided by ``crowd``
     crowded = np.array([r["anchor"] for r in often.collect()], np.int64).view(np.uint64)
     packed = map_batches(
-        source.select("id", "mark", "text"), _gather(lay, width, k, rule, buckets, crowded),
+        source.select(*KEY, "text"), _gather(lay, width, k, rule, buckets, crowded),
         _PACKED)
     dealt = packed.repartition(parts, "bucket").sortWithinPartitions("bucket")
     return map_batches(dealt, _differing(width, rule, hot, crowded), SPANS)
 
 
 def contents(source: DataFrame, spans: DataFrame, lay: Callable) -> DataFrame:
-    """The bytes of segments: ``anchor, id, mark, start, test, content``."""
-    wanted = spans.groupBy("id", "mark").agg(
+    """The bytes of segments: ``anchor``, KEY, ``start, test, content``."""
+    wanted = spans.groupBy(*KEY).agg(
         F.collect_list(F.struct("start", "units", "anchor", "test")).alias("segments"))
     # the same columns and kind of join as in stretches(), so that one shuffle of the
     # texts serves both
-    joined = source.join(wanted, ["id", "mark"], "left")
+    joined = source.join(wanted, list(KEY), "left")
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            keys = zip(batch.column("id").to_pylist(), batch.column("mark").to_pylist())
-            for (own, mark), text, cell in zip(keys, batch.column("text"), batch.column("segments")):
+            keys = zip(*[batch.column(c).to_pylist() for c in KEY])
+            for (own, mark, more), text, cell in zip(keys, batch.column("text"), batch.column("segments")):
                 asked = cell.as_py()
                 units = lay([(text.as_py() or "").encode()])
                 raw = units.data.tobytes()
@@ -482,7 +489,8 @@ def contents(source: DataFrame, spans: DataFrame, lay: Callable) -> DataFrame:
                 n = len(asked)
                 yield pa.RecordBatch.from_pydict({
                     "anchor": pa.array([s["anchor"] for s in asked], pa.int64()),
-                    "id": pa.array([own] * n, pa.int64()), "mark": pa.array([mark] * n, pa.int32()),
+                    "id": pa.array([own] * n, pa.int64()), "mark": pa.array([mark] * n, pa.int64()),
+                    "more": pa.array([more] * n, pa.int32()),
                     "start": pa.array([s["start"] for s in asked], pa.int64()),
                     "test": pa.array([s["test"] for s in asked], pa.bool_()),
                     "content": pa.array([raw[a:b] for a, b in zip(low, high)], pa.binary()),
@@ -490,7 +498,7 @@ def contents(source: DataFrame, spans: DataFrame, lay: Callable) -> DataFrame:
 
     return map_batches(
         joined.where(F.col("segments").isNotNull()), run,
-        "anchor long, id long, mark int, start long, test boolean, content binary")
+        "anchor long, id long, mark long, more int, start long, test boolean, content binary")
 
 
 def by_window(segments_: DataFrame, lay: Callable, width: int, rule: str) -> DataFrame:
@@ -502,7 +510,7 @@ def by_window(segments_: DataFrame, lay: Callable, width: int, rule: str) -> Dat
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            for row in batch.select(["id", "mark", "start", "test", "content"]).to_pylist():
+            for row in batch.select([*KEY, "start", "test", "content"]).to_pylist():
                 units = lay([row["content"]])
                 count = len(units) - width + 1
                 hashed, again = Hasher(units.data), Hasher(units.data ^ np.uint8(0x5A))
@@ -511,25 +519,26 @@ def by_window(segments_: DataFrame, lay: Callable, width: int, rule: str) -> Dat
                     "a": pa.array(hashed(*ends).view(np.int64)),
                     "b": pa.array(again(*ends).view(np.int64)),
                     "id": pa.array([row["id"]] * count, pa.int64()),
-                    "mark": pa.array([row["mark"]] * count, pa.int32()),
+                    "mark": pa.array([row["mark"]] * count, pa.int64()),
+                    "more": pa.array([row["more"]] * count, pa.int32()),
                     "start": pa.array(row["start"] + np.arange(count), pa.int64()),
                     "test": pa.array([row["test"]] * count, pa.bool_()),
                 })
 
     windows = map_batches(
-        segments_, run, "a long, b long, id long, mark int, start long, test boolean")
+        segments_, run, "a long, b long, id long, mark long, more int, start long, test boolean")
     seen = windows.groupBy("a", "b").agg(
         F.count(F.lit(1)).alias("n"), F.min("id").alias("smallest"))
     repeat = F.col("id") > F.col("smallest") if rule == SMALLER else F.col("n") > 1
     return windows.where("test").join(seen, ["a", "b"]).where(repeat).select(
-        "id", "mark", "start", F.lit(width).cast("long").alias("units"))
+        *KEY, "start", F.lit(width).cast("long").alias("units"))
 
 
 def stretches(source: DataFrame, found: DataFrame) -> DataFrame:
     """``doc_id``, ``text`` and ``found``: an array of (start, units), null if there is none."""
-    listed = found.groupBy("id", "mark").agg(
+    listed = found.groupBy(*KEY).agg(
         F.collect_list(F.struct("start", "units")).alias("found"))
-    return source.join(listed, ["id", "mark"], "left").select("doc_id", "text", "found")
+    return source.join(listed, list(KEY), "left").select("doc_id", "text", "found")
 
 
 def covered(total: int, found: list[dict] | None) -> np.ndarray:

@@ -65,7 +65,7 @@ def multikey_ties(characters: list, n: int) -> np.ndarray:
 
 
 def _repeated(rows: dict[str, list], width: int) -> tuple[np.ndarray, ...]:
-    """id, mark, start and length of repeated stretches in a bucket's tested segments."""
+    """Segment, start and length of repeated stretches in a bucket's tested segments."""
     size = np.array([len(c) for c in rows["content"]])
     data = np.frombuffer(b"".join(rows["content"]), np.uint8)
     low = np.cumsum(size) - size
@@ -85,25 +85,26 @@ def _repeated(rows: dict[str, list], width: int) -> tuple[np.ndarray, ...]:
     opens, closes = np.flatnonzero(edge >= 1), np.flatnonzero((edge == -1) | (edge == 2)) - 1
     own = owner[opens]
     start = np.array(rows["start"])[own] + opens - first[own]
-    return (np.array(rows["id"])[own], np.array(rows["mark"])[own], start,
-            closes - opens + width)
+    return own, start, closes - opens + width
 
 
 def _buckets(width: int, bucket: int):
     """Segments sorted by token in, repeated stretches out."""
 
     def run(batches: Batches) -> Batches:
-        held = {c: [] for c in ("anchor", "id", "mark", "start", "test", "content")}
+        held = {c: [] for c in ("anchor", *repeats.KEY, "start", "test", "content")}
         size = 0
 
         def settle() -> pa.RecordBatch:
-            own, mark, start, units = _repeated(held, width)
+            own, start, units = _repeated(held, width)
+            keys = {c: np.array(held[c])[own] for c in repeats.KEY}
             for rows in held.values():
                 rows.clear()
             return pa.RecordBatch.from_arrays(
-                [pa.array(own, pa.int64()), pa.array(mark, pa.int32()),
-                 pa.array(start, pa.int64()), pa.array(units, pa.int64())],
-                names=["id", "mark", "start", "units"])
+                [pa.array(keys["id"], pa.int64()), pa.array(keys["mark"], pa.int64()),
+                 pa.array(keys["more"], pa.int32()), pa.array(start, pa.int64()),
+                 pa.array(units, pa.int64())],
+                names=[*repeats.KEY, "start", "units"])
 
         for batch in batches:
             for row in batch.to_pylist():
@@ -128,7 +129,7 @@ def remove_repeats(
     lay = repeats.byte_units
     segments = repeats.segment_rows(source, lay, width, gram, repeats.ANYWHERE, hot, **sampling)
     spans = materialize(segments, "byte-segments")
-    settled = spans.where(F.col("anchor").isNull()).select("id", "mark", "start", "units")
+    settled = spans.where(F.col("anchor").isNull()).select(*repeats.KEY, "start", "units")
     open_ = spans.where(F.col("anchor").isNotNull())
     dealt = repeats.contents(source, open_.where(~F.col("hot")), lay)
     ordered = (
@@ -136,7 +137,7 @@ def remove_repeats(
         .repartitionByRange(parts_for(docs), "token").sortWithinPartitions("token", "anchor")
     ).drop("token")
     found = settled.unionByName(map_batches(
-        ordered, _buckets(width, bucket), "id long, mark int, start long, units long"))
+        ordered, _buckets(width, bucket), "id long, mark long, more int, start long, units long"))
     if not open_.where("hot").isEmpty():
         found = found.unionByName(repeats.by_window(
             repeats.contents(source, open_.where("hot"), lay), lay, width, repeats.ANYWHERE))

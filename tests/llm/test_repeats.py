@@ -4,9 +4,10 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from caretide.llm import phrases, repeats, suffixes
-from tests.llm.conftest import ordered
+from tests.llm.conftest import frame, ordered
 
 
 def brute_bytes(rows, width):
@@ -91,3 +92,38 @@ def test_multikey_ties():
     b = np.array([5, 6, 7, 5, 8], np.uint64)
     tied = suffixes.multikey_ties([lambda at: a[at], lambda at: b[at]], 5)
     assert tied.tolist() == [True, False, False, True, False]
+
+
+def test_rows_without_id_whose_hashes_collide(spark):
+    """Two texts with equal 32-bit hashes, both without id, are two texts."""
+    base = ("alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho "
+            "sigma tau upsilon ") * 6
+    planted = [(None, base + "37589"), (None, base + "41576"), (3, "x " * 9 + base[30:500])]
+    planted += [(None, "short"), (4, base[:90] + "end")]
+    df = frame(spark, planted)
+    first, second = df.where("text like '%37589' or text like '%41576'").select(
+        F.hash("text")).collect()
+    assert first == second
+    got = suffixes.remove_repeats(df, 100, 25).drop("text").collect()
+    assert ordered((*r[:-1], bytes(r[-1])) for r in got) == ordered(brute_bytes(planted, 100))
+    got = phrases.remove_repeats(df).drop("text").collect()
+    assert ordered(got) == ordered(brute_words(planted, 13))
+
+
+def test_passages_of_fifty_to_two_hundred_words(spark):
+    """Passages as they are planted in corpora: each stands in several documents."""
+    r = np.random.default_rng(7)
+    words = np.array([f"w{n}" for n in range(5_000)] + ["the", "of", "and", "é"])
+    say = lambda n: " ".join(r.choice(words, n))
+    passages = [say(n) for n in (51, 60, 75, 100, 150, 200)]
+    planted = [(i, f"{say(80)} {passages[i % 6]} {say(80)}") for i in range(36)]
+    planted += [(100 + i, say(200)) for i in range(12)]
+    df = frame(spark, planted)
+    rows = suffixes.remove_repeats(df, 400).drop("text").collect()
+    assert ordered((*x[:-1], bytes(x[-1])) for x in rows) == ordered(brute_bytes(planted, 400))
+    hit = {x.doc_id: x.n_removed for x in rows}
+    long = {i for i in range(36) if len(passages[i % 6].encode()) >= 400}
+    assert {i for i, n in hit.items() if n} >= long and not any(hit[i] for i in range(100, 112))
+    rows = phrases.remove_repeats(df).drop("text").collect()
+    assert ordered(rows) == ordered(brute_words(planted, 13))
+    assert all(x.n_removed for x in rows if 6 <= x.doc_id < 36)

@@ -8,17 +8,24 @@ from functools import cached_property
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.util import (
+    DefaultParamsReadable,
+    DefaultParamsReader,
+    DefaultParamsWritable,
+    DefaultParamsWriter,
+    MLReadable,
+    MLWritable,
+)
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from caretide import schema as S
 from caretide.functions.clinical import column
-from caretide.operators.explore import value_table
+from caretide.operators.explore import distinct_values
 from caretide.operators.oversample import oversample
 from caretide.operators.split import split_data
-from caretide.session import materialize
+from caretide.session import materialize, scratch_path
 
 KINDS = ("lr", "xgb")
 
@@ -39,30 +46,16 @@ def numeric_moments(df: DataFrame, columns: list[str] = S.NUMERIC) -> dict[str,
     }
 
 
-def categories(df: DataFrame, columns: list[str] = S.CATEGORICAL) -> dict[str, list]:
-    """Sorted distinct values per column, numbers in number order, null last.
+def dictionary(df: DataFrame, columns: list[str] = S.CATEGORICAL) -> str:
+    """Write the sorted distinct values of each column, numbers in number order; its path.
 
-    The lists are fitted values, like the labels of a string indexer.
+    ``value`` and ``position`` (from 1), partitioned by ``attribute``, so that a column's
+    part can be read, and its size known, alone. Null is no value here.
     """
-    found = value_table(df, columns).collect()
-    kinds = dict(df.dtypes)
-
-    def order(column_name):
-        numeric = kinds[column_name] != "string"
-        return lambda v: (v is None, float(v) if numeric and v is not None else v or "")
-
-    return {
-        c: sorted((r["value"] for r in found if r["attribute"] == c), key=order(c))
-        for c in columns
-    }
-
-
-def _sql_text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _is(name: str, value: str | None) -> str:
-    return f"`{name}` is null" if value is None else f"string(`{name}`) = {_sql_text(value)}"
+    numbers = [c for c, kind in df.dtypes if c in columns and kind != "string"]
+    path = scratch_path(df.sparkSession, "dictionary")
+    distinct_values(df, columns, numbers).write.partitionBy("attribute").parquet(path)
+    return path
 
 
 class EncounterEncoder(Estimator, DefaultParamsReadable, DefaultParamsWritable):
@@ -84,46 +77,71 @@ class EncounterEncoder(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         numeric_ids = [
             c for c, t in dataset.dtypes if c in S.CATEGORICAL and t != "string"
         ]
+        nulls = dataset.agg(*[
+            F.coalesce(F.bool_or(F.col(f"`{c}`").isNull()), F.lit(False)) for c in S.CATEGORICAL
+        ]).first()
+        path = dictionary(dataset)
+        counts = dict(_read_dictionary(dataset.sparkSession, path).groupBy("attribute").agg(
+            F.count("*")).collect())  # one row for each column
         state = {
             "kind": kind,
             "moments": numeric_moments(dataset) if kind == "lr" else {},
-            "categories": categories(dataset),
+            "known": {c: counts.get(c, 0) for c in S.CATEGORICAL},
+            "null": dict(zip(S.CATEGORICAL, nulls)),
             "numeric_ids": numeric_ids,
         }
-        return EncounterEncoderModel(state=json.dumps(state))
+        return EncounterEncoderModel(state=json.dumps(state), path=path)
+
 
+def _read_dictionary(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("value string, position int, attribute string").parquet(path)
 
-class EncounterEncoderModel(Model, DefaultParamsReadable, DefaultParamsWritable):
-    """Adds the ``features`` vector: numerics, categories, then flags."""
+
+class _Writer(DefaultParamsWriter):
+    """Saves the dictionary beside the parameters."""
+
+    def saveImpl(self, path: str) -> None:
+        model = self.instance
+        state = {"state": model.getOrDefault(model.state), "path": ""}
+        self.saveMetadata(model, path, self.sparkSession, paramMap=state)
+        model.values().write.partitionBy("attribute").parquet(f"{path}/dictionary")
+
+
+class _Reader(DefaultParamsReader):
+    def load(self, path: str) -> "EncounterEncoderModel":
+        return super().load(path)._set(path=f"{path}/dictionary")
+
+
+class EncounterEncoderModel(Model, MLReadable, MLWritable):
+    """Adds the ``features`` vector: numerics, categories, then flags.
+
+    The categories are a written table, saved and loaded with the model. Each column is
+    joined with its part of it: the optimizer sends a small part to the tasks, by its size
+    in the files, and shuffles on the value where the part is large. Of the values
+    themselves the driver holds none.
+    """
 
     state = Param(Params._dummy(), "state", "fitted values as JSON", TypeConverters.toString)
+    path = Param(Params._dummy(), "path", "where the categories lie", TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, *, state: str = "{}"):
+    def __init__(self, *, state: str = "{}", path: str = ""):
         super().__init__()
-        self._set(state=state)
+        self._set(state=state, path=path)
+
+    def write(self) -> _Writer:
+        return _Writer(self)
+
+    @classmethod
+    def read(cls) -> _Reader:
+        return _Reader(cls)
 
     def fitted(self) -> dict:
         return json.loads(self.getOrDefault(self.state))
 
-    def expressions(self) -> dict[str, str]:
-        """Feature name to SQL expression, in vector order."""
-        fitted = self.fitted()
-        numeric_ids = set(fitted["numeric_ids"])
-        rules = self._number_rules(fitted)
-        out = {n: r for n, r in rules.items() if n.startswith("num__")}
-        for c in S.CATEGORICAL:
-            values = fitted["categories"][c]
-            if fitted["kind"] == "lr":
-                for v in values[1:]:
-                    shown = "nan" if v is None else f"{float(v)}" if c in numeric_ids else v
-                    out[f"cat__{c}_{shown}"] = f"double(coalesce({_is(c, v)}, false))"
-            else:
-                whens = " ".join(
-                    f"when {_is(c, v)} then {i}D" for i, v in enumerate(values) if v is not None
-                )
-                out[f"cat__{c}"] = f"case {whens} else -1D end" if whens else "-1D"
-        return {**out, **rules}
+    def values(self) -> DataFrame:
+        """``value``, ``position`` (from 1) and ``attribute`` of the categories."""
+        return _read_dictionary(SparkSession.active(), self.getOrDefault(self.path))
 
     def _number_rules(self, fitted: dict) -> dict[str, str]:
         """Numerics, then flags, as SQL."""
@@ -141,41 +159,79 @@ class EncounterEncoderModel(Model, DefaultParamsReadable, DefaultParamsWritable)
         return out
 
     def names(self) -> list[str]:
-        return list(self.expressions())
+        """The features' names in vector order; as many as a linear model has weights."""
+        fitted = self.fitted()
+        rules = self._number_rules(fitted)
+        coded = [f"cat__{c}" for c in S.CATEGORICAL]
+        if fitted["kind"] == "lr":
+            coded = [name for _, _, name in self._one_hot(fitted)]
+        return [*[n for n in rules if n.startswith("num__")], *coded,
+                *[n for n in rules if n.startswith("bin__")]]
+
+    def _one_hot(self, fitted: dict) -> list[tuple[str, int, str]]:
+        """Column, place (from 0) and name of each category but a column's first; null is
+        the last."""
+        shown = {c: [] for c in S.CATEGORICAL}
+        rest = self.values().where(F.col("position") > 1)
+        for r in rest.orderBy("attribute", "position").toLocalIterator():
+            c = r["attribute"]
+            text = f"{float(r['value'])}" if c in fitted["numeric_ids"] else r["value"]
+            shown[c].append((c, r["position"] - 1, f"cat__{c}_{text}"))
+        for c in S.CATEGORICAL:
+            if fitted["null"][c] and fitted["known"][c]:
+                shown[c].append((c, fitted["known"][c], f"cat__{c}_nan"))
+        return [entry for c in S.CATEGORICAL for entry in shown[c]]
+
+    def _placed(self, df: DataFrame) -> DataFrame:
+        """Adds ``_t0``, ``_t1`` … (the category as text) and ``_i0`` … (its place from 0,
+        null if unknown)."""
+        placed = df.withColumns({
+            f"_t{i}": column(c).cast("string") for i, c in enumerate(S.CATEGORICAL)})
+        for i, c in enumerate(S.CATEGORICAL):
+            part = self.values().where(F.col("attribute") == c).select(
+                F.col("value").alias(f"_t{i}"), (F.col("position") - 1).cast("double").alias(f"_i{i}"))
+            placed = placed.join(part, f"_t{i}", "left")
+        return placed
 
     def encoded(self, df: DataFrame, *keep: str) -> DataFrame:
         """The encoding as one column per feature, next to ``keep``."""
-        return df.selectExpr(
-            *[f"`{k}`" for k in keep],
-            *[f"{rule} as `{name}`" for name, rule in self.expressions().items()],
-        )
+        fitted = self.fitted()
+        rules = self._number_rules(fitted)
+        numbers = {name: F.expr(rule) for name, rule in rules.items()}
+        if fitted["kind"] == "lr":
+            number = {c: i for i, c in enumerate(S.CATEGORICAL)}
+            coded = {}
+            for c, place, name in self._one_hot(fitted):
+                own, last = F.col(f"_i{number[c]}"), place == fitted["known"][c]
+                test = F.col(f"_t{number[c]}").isNull() if last else own == place
+                coded[name] = F.coalesce(test, F.lit(False)).cast("double")
+        else:
+            coded = {f"cat__{c}": F.coalesce(f"_i{i}", F.lit(-1.0))
+                     for i, c in enumerate(S.CATEGORICAL)}
+        whole = {**{n: r for n, r in numbers.items() if n.startswith("num__")}, **coded, **numbers}
+        return self._placed(df).select(
+            *[column(k) for k in keep], *[rule.alias(name) for name, rule in whole.items()])
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        """Categories are looked up by hash, and one-hot ones are sparse vectors, so that
-        their number does not widen the plan."""
+        """One-hot categories are sparse vectors, so that their number does not widen the
+        plan."""
         fitted = self.fitted()
         linear = fitted["kind"] == "lr"
         rules = self._number_rules(fitted)
-        known = {c: [v for v in fitted["categories"][c] if v is not None] for c in S.CATEGORICAL}
         numbers = {name: f"_n{i}" for i, name in enumerate(rules)}
-        wide = dataset.selectExpr(
+        wide = self._placed(dataset.selectExpr(
             *[f"`{c}`" for c in dataset.columns],
-            *[f"{rules[name]} as {part}" for name, part in numbers.items()],
-            *[f"string(`{c}`) as _t{i}" for i, c in enumerate(S.CATEGORICAL)],
-        )
+            *[f"{rules[name]} as {part}" for name, part in numbers.items()]))
         places = range(len(S.CATEGORICAL))
-        wide = StringIndexerModel.from_arrays_of_labels(
-            [known[c] for c in S.CATEGORICAL], inputCols=[f"_t{i}" for i in places],
-            outputCols=[f"_i{i}" for i in places], handleInvalid="keep",  # unknown: one beyond
-        ).transform(wide)
         slots, sizes = {}, {}
         for i, c in enumerate(S.CATEGORICAL):
-            index, n, size = F.col(f"_i{i}"), len(known[c]), len(fitted["categories"][c])
+            index, n = F.col(f"_i{i}"), fitted["known"][c]
+            size = n + int(fitted["null"][c])
             if not linear:
-                slots[f"_c{i}"] = F.when(index < n, index).otherwise(F.lit(-1.0))
+                slots[f"_c{i}"] = F.coalesce(index, F.lit(-1.0))
                 continue
             missing = F.lit(float(n)) if size > n else F.lit(0.0)  # null may be the last category
-            place = F.when(F.col(f"_t{i}").isNull(), missing).when(index < n, index).otherwise(0.0)
+            place = F.when(F.col(f"_t{i}").isNull(), missing).otherwise(F.coalesce(index, F.lit(0.0)))
             # the first category, like an unknown one, takes the last slot, which is dropped
             slots[f"_c{i}"] = F.when(place >= 1, place - 1).otherwise(F.lit(float(size - 1)))
             sizes[f"_c{i}"] = size
@@ -214,10 +270,14 @@ class Prepared:
 
     kind: str
     table: DataFrame
-    names: list[str]
     encoder: EncounterEncoderModel
     balance: bool = True
 
+    @cached_property
+    def names(self) -> list[str]:
+        """The features' names, made when first asked for."""
+        return self.encoder.names()
+
     @cached_property
     def train(self) -> DataFrame:
         rows = self.part("train").select(S.ROW_ID, "label", "features")
@@ -247,4 +307,4 @@ def prepare(modelling: DataFrame, kind: str, balance: bool = True) -> Prepared:
     encoded = encoder.transform(rows).select(
         S.ROW_ID, "split", column(S.LABEL).alias("label"), "features"
     )
-    return Prepared(kind, materialize(encoded, "encoded"), encoder.names(), encoder, balance)
+    return Prepared(kind, materialize(encoded, "encoded"), encoder, balance)

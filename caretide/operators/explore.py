@@ -254,13 +254,18 @@ def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counts.groupBy(F.col("attribute").alias("column")).agg(best.alias("mode"))
 
 
-def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def distinct_values(df: DataFrame, columns: Sequence[str],
+                    numbers: Sequence[str] | None = None) -> DataFrame:
     """Sorted distinct non-null values, text first, numbers in number order, as rows.
 
+    With ``numbers`` only the values of these columns are taken as numbers.
+
     A value's ``position`` is its place inside a bucket of neighbouring values plus
     the size of the buckets before, so that no column is put in order by one task.
     """
     number = F.col("value").try_cast("bigint")
+    if numbers is not None:
+        number = F.when(F.col("attribute").isin(*numbers), number)
     distinct = (
         df.selectExpr(*[f"string(`{c}`) as `{c}`" for c in columns])
         .unpivot([], quoted(columns), "attribute", "value")

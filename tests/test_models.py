@@ -91,6 +91,27 @@ def test_vector_equals_the_columns(modelling, kind):
     assert len(got) == 1200 and all(r[1] == pytest.approx(want[r[0]]) for r in got)
 
 
+def test_a_million_categories(spark, modelling):
+    """Neither fit nor transform brings the values to the driver."""
+    rows = spark.range(1_000_000).join(F.broadcast(modelling.limit(1)).drop("row_id", "race"))
+    many = rows.withColumn("race", F.concat(F.lit("r"), F.reverse(F.col("id").cast("string"))))
+    encoder = EncounterEncoder(kind="xgb").fit(many)
+    assert encoder.fitted()["known"]["race"] == 1_000_000 and len(encoder.getOrDefault("state")) < 5_000
+    places = encoder.transform(many).select(
+        vector_to_array("features")[encoder.names().index("cat__race")].alias("p"))
+    assert tuple(places.agg(F.count_distinct("p"), F.min("p"), F.max("p")).first()) == (
+        1_000_000, 0.0, 999_999.0)
+
+
+def test_saved_encoder_brings_its_categories(spark, modelling, tmp_path):
+    encoder = EncounterEncoder(kind="lr").fit(modelling)
+    encoder.save(str(tmp_path / "encoder"))
+    loaded = type(encoder).load(str(tmp_path / "encoder"))
+    assert loaded.getOrDefault("path").startswith(str(tmp_path)) and loaded.names() == encoder.names()
+    rows = [{r.row_id: r.features for r in e.transform(modelling).collect()} for e in (encoder, loaded)]
+    assert rows[0] == rows[1]
+
+
 def test_many_categories(modelling):
     many = modelling.withColumn("race", F.concat(F.lit("r"), F.col("row_id")))
     model = EncounterEncoder(kind="lr").fit(many)

@@ -12,6 +12,7 @@ from caretide.functions import clinical as C
 from caretide.functions.clinical import column, quoted
 from caretide.operators.clean import is_terminal
 from caretide.operators.ranking import exact_quantiles
+from caretide.session import materialize
 
 
 def missing_percent(df: DataFrame) -> DataFrame:
@@ -96,10 +97,12 @@ def histograms(df: DataFrame, columns: Sequence[str] = tuple(S.RAW_NUMERIC),
                bins: int = 30) -> DataFrame:
     """Equal-width histograms between each column's least and largest value.
 
-    A first scan finds the ranges; the second bins each row where it lies, so that
-    at most ``bins`` counts per column and task are shuffled. Empty bins are left
-    out, the last bin is closed.
+    The columns are written once, so that what they come from is read once. A scan of
+    them finds the ranges; a second bins each row where it lies, so that at most ``bins``
+    counts per column and task are shuffled. Empty bins are left out, the last bin is
+    closed.
     """
+    df = materialize(df.select(*[column(c) for c in columns]), "numbers")
     ranges = df.selectExpr(*[
         part for c in columns for part in (f"min(double(`{c}`))", f"max(double(`{c}`))")
     ]).first()

@@ -26,7 +26,7 @@ from caretide.plans.registry import query, rounded
 from caretide.session import materialize, scratch_path
 from caretide.sources import sinks
 from caretide.sources.lookups import source_labels
-from caretide.streaming.scoring import score_profiles
+from caretide.streaming.scoring import score_profiles, score_stream
 
 _TRAIN = "(SELECT * FROM t_split WHERE split = 'train')"
 
@@ -695,14 +695,19 @@ def _(spark, sf_dir):
     return _scored_profiles(spark, sf_dir)[0]
 
 
-def _scored_profiles(spark, sf_dir):
-    made = _inputs(spark, sf_dir)
+def _profile_parts(made):
+    """Profiles without two fields, the defaults, and the pipeline that scores them."""
     features = made.modelling.drop(S.LABEL)
     defaults = V.defaults_dict(V.form_defaults(features.drop(S.ROW_ID)))
-    scores = M.score(made.trees(), made.prepared("xgb").part("test"), "Boosted Trees")
     partial = features.drop("polypharmacy_score", "num_lab_procedures")
-    pipeline = M.serving_pipeline(made.prepared("xgb"), made.trees())
-    cut = E.threshold_of(scores)
+    return partial, defaults, M.serving_pipeline(made.prepared("xgb"), made.trees())
+
+
+def _scored_profiles(spark, sf_dir):
+    made = _inputs(spark, sf_dir)
+    cut = E.threshold_of(
+        M.score(made.trees(), made.prepared("xgb").part("test"), "Boosted Trees"))
+    partial, defaults, pipeline = _profile_parts(made)
     return score_profiles(partial, defaults, pipeline, cut), cut
 
 
@@ -719,3 +724,29 @@ def _(spark, sf_dir):
         "row_id", _flag(F.col("score").between(0, 1)).alias("is_probability"),
         _flag((F.col("risk_band") == band)
               & (F.col("above_threshold") == (F.col("score") >= cut).cast("int"))).alias("fits_band"))
+
+
+@query("v06c_stream_scores", sql("""SELECT count(*) AS n_profiles, count(*) AS n_scored,
+    count(DISTINCT row_id) AS n_distinct, 0::BIGINT AS n_changed, 1 AS first_run_is_part
+    FROM t_model"""))
+def _(spark, sf_dir):
+    """Profiles arrive as files; the stream is started, ends, and is started again on the
+    same checkpoint after more have come. Each is scored once, as a batch would."""
+    whole, cut = _scored_profiles(spark, sf_dir)
+    partial, defaults, pipeline = _profile_parts(_inputs(spark, sf_dir))
+    incoming, scored, checkpoint = (
+        scratch_path(spark, label) for label in ("profiles", "stream-scores", "stream-checkpoint"))
+    late = F.pmod(F.xxhash64("row_id"), F.lit(3)) == 0
+    counts = []
+    for part in (partial.where(~late), partial.where(late)):
+        part.write.mode("append").parquet(incoming)
+        score_stream(spark, incoming, partial.schema, defaults, pipeline, cut, scored,
+                     checkpoint).awaitTermination()
+        counts.append(spark.read.parquet(scored).count())
+    both = spark.read.parquet(scored).join(
+        whole.select("row_id", F.col("score").alias("other")), "row_id", "full")
+    return both.agg(
+        F.count("other").alias("n_profiles"), F.count("score").alias("n_scored"),
+        F.count_distinct("row_id").alias("n_distinct"),
+        F.count_if(~F.col("score").eqNullSafe(F.col("other"))).alias("n_changed"),
+        F.lit(int(0 < counts[0] < counts[1])).alias("first_run_is_part"))

@@ -20,7 +20,7 @@ CHECKED = [
     "e08b_logistic_properties", "e09b_coefficient_properties", "e12b_score_properties",
     "k02b_top_coefficient_properties", "j04_split_overlap", "j05_alignment",
     "j06_nearest_neighbours", "s09_sanity_summary", "u03_append_synthetic", "w05_rank_order",
-    "x01b_attribution_properties", "x06_representative_cases",
+    "x01b_attribution_properties", "v06c_stream_scores", "x06_representative_cases",
 ]
 
 

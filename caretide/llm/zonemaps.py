@@ -4,7 +4,8 @@ Vectors are put in order along a space-filling curve through their most varied
 components and cut into blocks, each written with the least and greatest value of every
 component: its box. In a round, the box alone bounds the distances of all the block's
 vectors to every centroid. A centroid whose least distance to the box is more than another's
-greatest cannot be the nearest of any vector in it; the rest are the block's candidates. Only
+greatest, or that is farther than another from every corner of the box, cannot be the nearest
+of any vector in it; the rest are the block's candidates. Only
 with them its vectors are compared, exactly, as matrices. A block with one candidate is
 assigned by its stored sums.
 
@@ -185,7 +186,7 @@ class Centroids:
 
     def kind(self, top: int):
         """For components up to ``top``: floats, longs or Python's integers."""
-        bound = len(self.rows[0]) * (2 * max(top, self.top)) ** 2
+        bound = 8 * len(self.rows[0]) * (2 * max(top, self.top)) ** 2  # of any sum below
         return np.float64 if bound < 2**53 else np.int64 if bound < 2**63 else object
 
     def matrix(self, kind) -> np.ndarray:
@@ -200,7 +201,13 @@ class Centroids:
         near = np.maximum(np.maximum(low - c, c - high), 0)
         far = np.maximum(c - low, high - c)
         least, greatest = (near * near).sum(axis=1), (far * far).sum(axis=1)
-        return np.flatnonzero(least <= greatest.min())
+        # how much nearer than a centroid another is changes linearly over the box, so its
+        # least value lies in a corner; the other is the one nearest to the middle
+        middle, size = low + high, (c * c).sum(axis=1)
+        best = int(np.argmin(size - (c * middle).sum(axis=1)))
+        apart = c - c[best]
+        lead = size - size[best] - (apart * middle).sum(axis=1) - (abs(apart) * (high - low)).sum(axis=1)
+        return np.flatnonzero((least <= greatest.min()) & (lead <= 0))
 
     def nearest(self, rows: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Each row's nearest of the chosen, the smaller number on ties, and distance."""

@@ -223,11 +223,6 @@ class _Blocks:
                      for p, t in (("train", train), ("held", held)))
 
 
-def _opening(patience: int, rate: float) -> int:
-    """Rounds in one go cost less each than rounds in blocks, and a slow learner needs more."""
-    return max(1, round(3 * patience * max(1.0, math.sqrt(0.1 / rate))))
-
-
 def fit(train: DataFrame, validation: DataFrame, parameters: dict | None = None,
         patience: int = 20, seed: int = S.SEED, folder: str | None = None,
         opening: int | None = None, block: int | None = None) -> Fitted:
@@ -235,13 +230,13 @@ def fit(train: DataFrame, validation: DataFrame, parameters: dict | None = None,
 
     Boosting stops once ``patience`` rounds brought nothing better, or at
     ``n_estimators``. ``opening`` rounds are fitted first, by default three times the
-    patience and more for slow learners, then ``block`` at a time (two thirds of it).
+    patience, then ``block`` at a time (two thirds of it).
     """
     spark = train.sparkSession
     _checkpoints(spark)
     parameters = {**S.BOOSTED_DEFAULTS, **(parameters or {})}
     most = int(parameters["n_estimators"])
-    opening = min(most, opening or _opening(patience, float(parameters["learning_rate"])))
+    opening = min(most, opening or max(1, 3 * patience))
     block = block or max(1, patience * 2 // 3)
     blocks = _Blocks(spark, folder, parameters, seed)
     held = validation.select("label", "features")

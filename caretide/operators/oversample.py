@@ -7,17 +7,21 @@ median of their deviations for each nominal that differs.
 
 Neighbours are exact and found without comparing all pairs:
 
-1. Rows fall into the boxes of a tree that halves them along the features they
-   vary most on; a box with too many rows is cut into blocks of bounded size.
+1. Rows fall into the cells of a coarse tree that halves them along the features
+   they vary most on. A cell that holds more rows than a block gets a fine tree of
+   its own, grown in a task from a sample of the cell, so that boxes become more as
+   rows do. A box that still holds too many (copies) is cut into blocks of bounded size.
 2. Each block is searched on its own. The k-th distance found, also among a
    few pivot rows, bounds a row's search radius.
-3. A row is sent on only to the blocks whose box may hold a nearer row. A row
-   with enough exact copies has radius zero and searches no further.
+3. A row is sent on only to the cells, and in these only to the blocks, whose box
+   may hold a nearer row. A row with enough exact copies has radius zero and
+   searches no further.
 4. The best k of all searches remain.
 
-The tree comes from a sample of bounded size and only steers the search; any
-tree gives the same distances. It, the pivots and the median deviation are
-fitted once on the driver and stay the same when a task is run again.
+Trees come from samples of bounded size and only steer the search; any tree gives
+the same distances. The coarse one, the pivots and the median deviation are fitted
+once on the driver; the fine ones are a written table that never visits it. All stay
+the same when a task is run again.
 """
 
 from __future__ import annotations
@@ -39,8 +43,11 @@ NEIGHBOURS = 5
 BLOCK_ROWS = 2048
 QUERY_ROWS = 8192
 PIVOTS = 64
+#: Leaves of one tree; a fine tree below each leaf of the coarse one may have as many again.
 MAX_LEAVES = 16_384
 SAMPLE_PER_LEAF = 8
+#: Rows that one task takes through a fine tree at a time.
+DESCENT_ROWS = 65_536
 
 _FOUND = "row_id string, distance double, neighbour string, nx array<double>"
 
@@ -136,8 +143,12 @@ class _Tree:
         return ((gap**2).sum(axis=1) + self.penalty * outside.sum(axis=1)) * (1 - 1e-9)
 
 
-def _grow(sample: np.ndarray, numeric: int, penalty: float, leaf_rows: int) -> _Tree:
-    """Halve the sample until a node holds at most ``leaf_rows`` of it."""
+def _grow(sample: np.ndarray, numeric: int, penalty: float, leaf_rows: int,
+          low: np.ndarray | None = None, high: np.ndarray | None = None) -> _Tree:
+    """Halve the sample until a node holds at most ``leaf_rows`` of it.
+
+    ``low`` and ``high`` are the box that all rows lie in, if one is known.
+    """
     width = sample.shape[1]
     nodes = {"axis": [], "cut": [], "left": [], "right": [], "low": [], "high": []}
 
@@ -146,7 +157,9 @@ def _grow(sample: np.ndarray, numeric: int, penalty: float, leaf_rows: int) -> _
             nodes[name].append(value)
         return len(nodes["axis"]) - 1
 
-    open_nodes = [(add(np.full(width, -np.inf), np.full(width, np.inf)), sample)]
+    low = np.full(width, -np.inf) if low is None else low
+    high = np.full(width, np.inf) if high is None else high
+    open_nodes = [(add(low, high), sample)]
     while open_nodes:
         at, rows = open_nodes.pop()
         if len(rows) <= leaf_rows:
@@ -171,10 +184,15 @@ def _grow(sample: np.ndarray, numeric: int, penalty: float, leaf_rows: int) -> _
     return _Tree(numeric, penalty, **{k: np.array(v) for k, v in nodes.items()})
 
 
+def _sampled_share(n, block_rows: int, max_leaves: int):
+    """Which share of ``n`` rows a tree over them is grown from, as a column."""
+    return F.least(F.ceil(n / block_rows), F.lit(max_leaves)) * SAMPLE_PER_LEAF / n
+
+
 def _fit_tree(points: DataFrame, n: int, numeric: int, penalty: float,
-              block_rows: int) -> _Tree:
-    """A tree over a seeded sample of bounded size; it only steers the search."""
-    leaves = min(MAX_LEAVES, math.ceil(n / block_rows))
+              block_rows: int, max_leaves: int) -> _Tree:
+    """The coarse tree over a seeded sample of bounded size; it only steers the search."""
+    leaves = min(max_leaves, math.ceil(n / block_rows))
     wanted = leaves * SAMPLE_PER_LEAF
     rows = points
     if wanted < n:
@@ -186,25 +204,91 @@ def _fit_tree(points: DataFrame, n: int, numeric: int, penalty: float,
     return _grow(sample, numeric, penalty, max(1, len(sample) // leaves))
 
 
-def nearest_neighbours(points: DataFrame, numeric: int, k: int = NEIGHBOURS,
-                       block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Exact k nearest neighbours among ``points`` (``row_id, x``).
+_TREE = ("cell int, axis array<int>, cut array<double>, left array<int>, right array<int>, "
+         "low array<double>, high array<double>")
 
-    Returns ``(row_id, distance, neighbour, nx, place)``. Among equally near
-    rows the choice is free but settled by id and block. The first ``numeric`` entries of ``x`` are numbers, the others
-    nominal codes.
+
+@dataclass(frozen=True)
+class _Space:
+    """Where the rows lie: ``placed`` has ``(row_id, x, cell, leaf, block)``.
+
+    ``fine`` holds the trees of the crowded cells, one row each; without crowded cells
+    it is None, and every row lies in leaf 0 of its cell.
     """
-    moments = points.selectExpr(
-        "count(*) as n", *[f"stddev_pop(x[{j}])" for j in range(numeric)]
-    ).first()
-    n, deviations = moments["n"], [d or 0.0 for d in moments[1:]]
-    if n <= k:
-        raise ValueError(f"{n} rows are too few for {k} neighbours")
-    penalty = float(np.median(deviations)) ** 2
-    shared = ship(points.sparkSession, _fit_tree(points, n, numeric, penalty, block_rows))
+
+    coarse: object
+    fine: DataFrame | None
+    placed: DataFrame
+
+
+def _crowded(cells: DataFrame, block_rows: int) -> DataFrame:
+    return cells.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > block_rows)
+
+
+def _fine_trees(cells: DataFrame, crowded: DataFrame, coarse, block_rows: int,
+                max_leaves: int) -> DataFrame:
+    """A tree for each crowded cell, grown in a task of its own.
+
+    A cell's sample is the rows with the lowest md5 keys, by a share that gives some
+    ``max_leaves * SAMPLE_PER_LEAF`` rows at the most.
+    """
+
+    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
+        above, cell = coarse(), int(pdf["cell"].iloc[0])
+        sample = _matrix(pdf.sort_values("row_id")["x"])
+        leaves = min(max_leaves, math.ceil(pdf["n"].iloc[0] / block_rows))
+        tree = _grow(sample, above.numeric, above.penalty, max(1, len(sample) // leaves),
+                     above.low[cell], above.high[cell])
+        return pd.DataFrame({
+            "cell": [cell], "axis": [tree.axis], "cut": [tree.cut], "left": [tree.left],
+            "right": [tree.right], "low": [tree.low.ravel()], "high": [tree.high.ravel()]})
+
+    key = F.conv(F.substring(order_key("row_id"), 1, 8), 16, 10).cast("double") / float(16**8)
+    sample = cells.join(crowded, "cell").where(
+        key < _sampled_share(F.col("n"), block_rows, max_leaves))
+    return materialize(sample.groupBy("cell").applyInPandas(grow, _TREE), "fine-trees")
+
+
+def _unpacked(row, numeric: int, penalty: float) -> _Tree:
+    """A fine tree from its row."""
+    nodes = len(row["axis"])
+    return _Tree(numeric, penalty, *[np.asarray(row[c]) for c in ("axis", "cut", "left", "right")],
+                 *[np.asarray(row[c]).reshape(nodes, -1) for c in ("low", "high")])
+
+
+def _through_trees(rows: DataFrame, fine: DataFrame, coarse, schema: str, find) -> DataFrame:
+    """Rows of crowded cells beside what ``find(tree, x, rows)`` gives for each.
+
+    A cell's rows come in parts of bounded size, each beside its own copy of the tree.
+    ``schema`` are the columns of the result, ``found`` the column that ``find`` fills.
+    """
+    parts = rows.groupBy("cell").agg(
+        F.ceil(F.count("*") / DESCENT_ROWS).cast("int").alias("parts"))
+    dealt = rows.join(parts, "cell").withColumn(
+        "part", F.pmod(F.xxhash64("row_id"), "parts").cast("int")).drop("parts")
+    trees = fine.join(parts, "cell").withColumn(
+        "part", F.explode(F.expr("sequence(0, parts - 1)"))).drop("parts")
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def descend(pdf: pd.DataFrame, tree: pd.DataFrame) -> pd.DataFrame:
+        if pdf.empty or tree.empty:
+            return pd.DataFrame({c: [] for c in names})
+        above = coarse()
+        own = _unpacked(tree.iloc[0], above.numeric, above.penalty)
+        return pdf.assign(found=find(own, _matrix(pdf["x"]), pdf))[names]
+
+    return dealt.groupBy("cell", "part").cogroup(
+        trees.groupBy("cell", "part")).applyInPandas(descend, schema)
+
+
+def _space(points: DataFrame, n: int, numeric: int, penalty: float, block_rows: int,
+           max_leaves: int) -> _Space:
+    """Place every row in a cell, a leaf of the cell's own tree, and a block of the leaf."""
+    coarse = ship(points.sparkSession,
+                  _fit_tree(points, n, numeric, penalty, block_rows, max_leaves))
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tree = shared()
+        tree = coarse()
         for pdf in batches:
             if len(pdf):
                 yield pdf.assign(cell=tree.leaf_of(_matrix(pdf["x"])))
@@ -215,12 +299,89 @@ def nearest_neighbours(points: DataFrame, numeric: int, k: int = NEIGHBOURS,
         ),
         "neighbour-cells",
     )
-    sizes = cells.groupBy("cell").agg(
+    crowded = materialize(_crowded(cells, block_rows), "crowded-cells")
+    fine, leaves = None, cells.withColumn("leaf", F.lit(0))
+    if not crowded.isEmpty():
+        fine = _fine_trees(cells, crowded, coarse, block_rows, max_leaves)
+        inside = cells.join(fine.select("cell"), "cell", "left_semi")
+        schema = "row_id string, x array<double>, cell int, found int"
+        leaves = materialize(_through_trees(
+            inside, fine, coarse, schema, lambda tree, x, _: tree.leaf_of(x)
+        ).withColumnRenamed("found", "leaf").unionByName(
+            leaves.join(fine.select("cell"), "cell", "left_anti")), "neighbour-leaves")
+    sizes = leaves.groupBy("cell", "leaf").agg(
         F.ceil(F.count("*") / block_rows).cast("int").alias("blocks")
     )
-    placed = cells.join(sizes, "cell").withColumn(
+    placed = leaves.join(sizes, ["cell", "leaf"]).withColumn(
         "block", F.pmod(F.xxhash64("row_id"), "blocks").cast("int")
     ).drop("blocks")
+    return _Space(coarse, fine, placed)
+
+
+def _asked(space: _Space, own: DataFrame) -> DataFrame:
+    """``(cell, leaf, block, row_id, x)``: the other blocks in which a row must search on."""
+
+    def reach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tree = coarse()
+        for pdf in batches:
+            if len(pdf):
+                near = tree.near_leaves(_matrix(pdf["x"]), pdf["radius"].to_numpy())
+                yield pdf.assign(cells=near)
+
+    coarse = space.coarse
+    home = "home int, home_leaf int, home_block int"
+    # nothing is nearer than a copy, so rows among copies search no further
+    near = (
+        own.where("radius > 0").drop("distance", "neighbour", "near")
+        .mapInPandas(reach, f"row_id string, x array<double>, {home}, radius double, "
+                            "cells array<int>")
+        .withColumn("cell", F.explode("cells")).drop("cells")
+    )
+    if space.fine is None:
+        leaves = near.withColumn("leaf", F.lit(0)).drop("radius")
+    else:
+        near = materialize(near, "near-cells")
+        inside = near.join(space.fine.select("cell"), "cell", "left_semi")
+        schema = f"row_id string, x array<double>, {home}, cell int, found array<int>"
+        leaves = _through_trees(
+            inside, space.fine, coarse, schema,
+            lambda tree, x, pdf: tree.near_leaves(x, pdf["radius"].to_numpy())
+        ).withColumn("leaf", F.explode("found")).drop("found").unionByName(
+            near.join(space.fine.select("cell"), "cell", "left_anti")
+            .withColumn("leaf", F.lit(0)).drop("radius"))
+    blocks = space.placed.select("cell", "leaf", "block").distinct()
+    return (
+        leaves.join(blocks, ["cell", "leaf"])
+        .where("not (cell = home and leaf = home_leaf and block = home_block)")
+        .select("cell", "leaf", "block", "row_id", "x")
+    )
+
+
+def _metric(points: DataFrame, numeric: int, k: int) -> tuple[int, float]:
+    """How many rows there are, and the penalty of a nominal that differs."""
+    moments = points.selectExpr(
+        "count(*) as n", *[f"stddev_pop(x[{j}])" for j in range(numeric)]
+    ).first()
+    n, deviations = moments["n"], [d or 0.0 for d in moments[1:]]
+    if n <= k:
+        raise ValueError(f"{n} rows are too few for {k} neighbours")
+    return n, float(np.median(deviations)) ** 2
+
+
+def search_effort(points: DataFrame, numeric: int, k: int = NEIGHBOURS,
+                  block_rows: int = BLOCK_ROWS, max_leaves: int = MAX_LEAVES) -> DataFrame:
+    """``(row_id, compared)``: with how many rows :func:`nearest_neighbours` compares each."""
+    n, penalty = _metric(points, numeric, k)
+    space = _space(points, n, numeric, penalty, block_rows, max_leaves)
+    place = ["cell", "leaf", "block"]
+    sizes = materialize(space.placed.groupBy(*place).agg(F.count("*").alias("size")), "block-sizes")
+    asked = _asked(space, _own(points, space, numeric, penalty, k)).select(*place, "row_id")
+    return space.placed.select(*place, "row_id").unionByName(asked).join(sizes, place).groupBy(
+        "row_id").agg(F.sum("size").alias("compared"))
+
+
+def _own(points: DataFrame, space: _Space, numeric: int, penalty: float, k: int) -> DataFrame:
+    """Every row beside the best of its own block and the radius that is left to search."""
     pivots = points.orderBy(order_key("row_id"), "row_id").limit(PIVOTS).collect()
     pivot_x = np.array([p["x"] for p in pivots])
     pivot_ids = np.array([p["row_id"] for p in pivots], dtype=object)
@@ -237,56 +398,52 @@ def nearest_neighbours(points: DataFrame, numeric: int, k: int = NEIGHBOURS,
         kth[full] = d[last[full]]
         cuts = np.searchsorted(i, np.arange(1, len(x)))
         return pd.DataFrame({
-            "row_id": ids, "x": list(x), "home": pdf["cell"], "home_block": pdf["block"],
+            "row_id": ids, "x": list(x), "home": pdf["cell"], "home_leaf": pdf["leaf"],
+            "home_block": pdf["block"],
             "radius": np.sqrt(np.minimum(bound, kth)),
             "distance": np.split(d, cuts), "neighbour": np.split(ids[j], cuts),
             "near": [x[part].ravel() for part in np.split(j, cuts)],
         })
 
-    own = materialize(
-        placed.groupBy("cell", "block").applyInPandas(
+    return materialize(
+        space.placed.groupBy("cell", "leaf", "block").applyInPandas(
             search_own,
-            "row_id string, x array<double>, home int, home_block int, radius double, "
-            "distance array<double>, neighbour array<string>, near array<double>",
+            "row_id string, x array<double>, home int, home_leaf int, home_block int, "
+            "radius double, distance array<double>, neighbour array<string>, near array<double>",
         ),
         "neighbours-own",
     )
 
-    def reach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tree = shared()
-        for pdf in batches:
-            if len(pdf):
-                near = tree.near_leaves(_matrix(pdf["x"]), pdf["radius"].to_numpy())
-                yield pdf.assign(cells=near).drop(columns="radius")
+
+def nearest_neighbours(points: DataFrame, numeric: int, k: int = NEIGHBOURS,
+                       block_rows: int = BLOCK_ROWS, max_leaves: int = MAX_LEAVES) -> DataFrame:
+    """Exact k nearest neighbours among ``points`` (``row_id, x``).
+
+    Returns ``(row_id, distance, neighbour, nx, place)``. Among equally near
+    rows the choice is free but settled by id and block. The first ``numeric`` entries of ``x`` are numbers, the others
+    nominal codes.
+    """
+    n, penalty = _metric(points, numeric, k)
+    space = _space(points, n, numeric, penalty, block_rows, max_leaves)
+    own, place = _own(points, space, numeric, penalty, k), ["cell", "leaf", "block"]
 
     # a row's neighbours lie end to end in one flat array
     first = own.select("row_id", "near", F.size("x").alias("width"), F.posexplode(
         F.arrays_zip("distance", "neighbour")).alias("n", "found")).select(
         "row_id", "found.distance", "found.neighbour",
         F.expr("slice(near, n * width + 1, width)").alias("nx"))
-    blocks = placed.select("cell", "block").distinct()
-    queries = (
-        # nothing is nearer than a copy, so rows among copies search no further
-        own.where("radius > 0").drop("distance", "neighbour", "near")
-        .mapInPandas(
-            reach, "row_id string, x array<double>, home int, home_block int, cells array<int>"
-        )
-        .withColumn("cell", F.explode("cells"))
-        .join(blocks, "cell")
-        .where("not (cell = home and block = home_block)")
-        .select("cell", "block", "row_id", "x")
-    )
+    queries = _asked(space, own)
     # many rows may search one block: cut them into parts of bounded size and
     # give each part its own copy of the block
-    parts = queries.groupBy("cell", "block").agg(
+    parts = queries.groupBy(*place).agg(
         F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("parts")
     )
-    asked = queries.join(parts, ["cell", "block"]).select(
-        "cell", "block", F.pmod(F.xxhash64("row_id"), "parts").cast("int").alias("part"),
+    asked = queries.join(parts, place).select(
+        *place, F.pmod(F.xxhash64("row_id"), "parts").cast("int").alias("part"),
         "row_id", "x",
     )
-    copies = placed.join(parts, ["cell", "block"]).select(
-        F.col("cell").alias("in_cell"), F.col("block").alias("in_block"),
+    copies = space.placed.join(parts, place).select(
+        *[F.col(c).alias(f"in_{c}") for c in place],
         F.explode(F.expr("sequence(0, parts - 1)")).alias("in_part"),
         F.col("row_id").alias("other_id"), F.col("x").alias("y"),
     )
@@ -302,8 +459,8 @@ def nearest_neighbours(points: DataFrame, numeric: int, k: int = NEIGHBOURS,
         )
 
     second = (
-        asked.groupBy("cell", "block", "part")
-        .cogroup(copies.groupBy("in_cell", "in_block", "in_part"))
+        asked.groupBy(*place, "part")
+        .cogroup(copies.groupBy(*[f"in_{c}" for c in place], "in_part"))
         .applyInPandas(search_other, _FOUND)
     )
     best = Window.partitionBy("row_id").orderBy("distance", "neighbour")

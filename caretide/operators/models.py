@@ -143,7 +143,7 @@ class SearchResult:
     trials: DataFrame
 
 
-def search(prepared: Prepared, trials: int = 50, parallel: int = 4,
+def search(prepared: Prepared, trials: int = 50, parallel: int = 8,
            patience: int = TUNED_PATIENCE, seed: int = S.SEED,
            folder: str | None = None) -> SearchResult:
     """Random search for the best average precision on the validation rows.

@@ -10,7 +10,8 @@ from caretide.operators.ranking import score_curve
 from caretide.plans import tables as T
 from caretide.plans.oracle import SEEDED, columns, r6, sql
 from caretide.plans.registry import query, rounded
-from caretide.session import materialize
+from caretide.session import materialize, scratch_path
+from caretide.sources.bucketed import bucketed
 
 _METRICS = ["AUROC", "AUPRC", "F1", "Brier", "Sensitivity", "Specificity", "PPV", "NPV",
             "Opt_Threshold"]
@@ -288,6 +289,31 @@ def _(spark, sf_dir):
     )
 
 
+def _in_buckets(spark, sf_dir):
+    """Attributes with their split, and scores, both laid out in buckets of the row."""
+    people = materialize(
+        T.engineered(spark, sf_dir).select(S.ROW_ID, S.LABEL, "race", "gender", "age"), "people")
+    people = bucketed(D.split_data(people).drop(S.LABEL), scratch_path(spark, "people-by-row"))
+    return people, bucketed(T.boosted_scores(spark, sf_dir), scratch_path(spark, "scores-by-row"))
+
+
+@query("j02b_bucketed_join", sql("""SELECT row_id, label, round(score, 6) AS score, race, gender,
+    age FROM t_test_scored"""))
+def _(spark, sf_dir):
+    """The join of j02 between tables in buckets: neither side is moved."""
+    people, scored = _in_buckets(spark, sf_dir)
+    return rounded(H.attach_demographics(scored, people).drop("model"))
+
+
+@query("h01b_bucketed_demographics", sql("""SELECT race, gender, count(*) AS n,
+    CAST(sum(label) AS BIGINT) AS positives FROM t_test_scored GROUP BY race, gender"""))
+def _(spark, sf_dir):
+    """h01 between tables in buckets: only the counts are shuffled."""
+    people, scored = _in_buckets(spark, sf_dir)
+    return H.attach_demographics(scored, people).groupBy("race", "gender").agg(
+        F.count("*").alias("n"), F.sum("label").alias("positives"))
+
+
 @query("h02_subgroups", sql("""SELECT Attribute, Subgroup, count(*) AS n FROM t_members
     WHERE Subgroup IS NOT NULL GROUP BY 1, 2"""))
 def _(spark, sf_dir):

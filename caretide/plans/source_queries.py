@@ -12,6 +12,7 @@ from caretide.plans.oracle import TEXT_COLUMNS, columns, q, sql, values
 from caretide.plans.registry import query, rounded
 from caretide.session import materialize, scratch_path
 from caretide.sources import encounters as R, lookups as L, sinks
+from caretide.sources.bucketed import read_bucketed, write_bucketed
 from caretide.sources.order_view import encounters, lookup_lines
 
 _WORST = " UNION ALL ".join(
@@ -116,6 +117,14 @@ def _(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query("s10b_bucketed_split", sql("SELECT row_id, split FROM t_split"))
+def _(spark, sf_dir):
+    """The assignment in buckets of the row, opened from its folder."""
+    df = materialize(T.modelling(spark, sf_dir).select(S.ROW_ID, S.LABEL), "labels")
+    path = write_bucketed(split_data(df).select(S.ROW_ID, "split"), scratch_path(spark, "split"))
+    return read_bucketed(spark, path)
+
+
 @query("s11_metric_sink", sql(f"""SELECT model, round(AUROC, 6) AS AUROC, round(AUPRC, 6)
     AS AUPRC, round(F1, 6) AS F1, round(Brier, 6) AS Brier, round(Sensitivity, 6)
     AS Sensitivity, round(Specificity, 6) AS Specificity, round(PPV, 6) AS PPV,

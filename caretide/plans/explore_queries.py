@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from caretide import schema as S
 from caretide.functions import clinical as C
-from caretide.operators import clean as CL, explore as X
+from caretide.operators import clean as CL, explore as X, sketch as K
 from caretide.plans import tables as T
 from caretide.plans.oracle import ACTIVE, BURDEN, VISITS, q, r6, sql
 from caretide.plans.registry import query, rounded
+from caretide.session import materialize
 from caretide.sources.lookups import decode_ids
 from caretide.sources.order_view import encounters
 
@@ -169,6 +170,36 @@ def _(spark, sf_dir):
     return rounded(X.patient_duplicates(T.loaded(spark, sf_dir, "patient_nbr")))
 
 
+_COUNTED = ["patient_nbr", "diag_1", "medical_specialty"]
+_SHARES = [0.25, 0.5, 0.75]
+
+
+@query("a17b_sketched_distinct")
+def _(spark, sf_dir):
+    """Distinct patients, first diagnoses and specialties from stored sketches, one for each
+    kind of admission, merged: estimates and their stated error."""
+    df = T.loaded(spark, sf_dir, *_COUNTED, "admission_type_id")
+    sketches = materialize(K.distinct_sketches(df, _COUNTED, "admission_type_id"), "sketches")
+    return K.distinct_estimates(sketches).withColumn("stated_error", F.lit(K.DISTINCT_ERROR))
+
+
+@query("a17c_sketch_errors", sql(" UNION ALL ".join(
+    f"SELECT '{c}' AS attribute, count({q(c)}) AS n, count(DISTINCT {q(c)}) AS exact, "
+    f"1 AS within_error FROM t_null" for c in _COUNTED)))
+def _(spark, sf_dir):
+    """The merged estimates beside the exact counts: none is off by more than is stated."""
+    df = materialize(T.loaded(spark, sf_dir, *_COUNTED, "admission_type_id"), "counted")
+    sketches = materialize(K.distinct_sketches(df, _COUNTED, "admission_type_id"), "sketches")
+    exact = df.select(*_COUNTED).selectExpr(*[f"string(`{c}`) as `{c}`" for c in _COUNTED]).unpivot(
+        [], _COUNTED, "attribute", "value").groupBy("attribute").agg(
+        F.count_distinct("value").alias("exact"))
+    off = F.abs(F.col("distinct") - F.col("exact"))
+    return K.distinct_estimates(sketches).join(exact, "attribute").select(
+        "attribute", "n", "exact",
+        (off <= F.greatest(F.lit(1.0), F.col("exact") * K.DISTINCT_ERROR)).cast("int")
+        .alias("within_error"))
+
+
 @query("a18_describe_encounters", sql("""SELECT count(*) AS "count", round(avg(n), 6) AS mean,
     round(stddev_samp(n), 6) AS std, min(n) AS "min", max(n) AS "max",
     round(quantile_cont(n::DOUBLE, 0.25), 6) AS q25, round(quantile_cont(n::DOUBLE, 0.5), 6) AS q50,
@@ -192,6 +223,31 @@ def _(spark, sf_dir):
     return rounded(X.medians(T.modelling(spark, sf_dir), S.NUMERIC + S.BINARY))
 
 
+@query("a21b_sketched_quantiles")
+def _(spark, sf_dir):
+    """Quartiles of the numeric columns from stored sketches, one for each kind of admission."""
+    df = T.loaded(spark, sf_dir, *S.RAW_NUMERIC, "admission_type_id")
+    sketches = materialize(
+        K.quantile_sketches(df, S.RAW_NUMERIC, "admission_type_id"), "sketches")
+    return K.quantile_estimates(sketches, _SHARES)
+
+
+@query("a21c_quantile_errors", sql(" UNION ALL ".join(
+    f"SELECT '{c}' AS attribute, {p}::DOUBLE AS share, count({q(c)}) AS n, 1 AS within_error, "
+    f"1 AS is_a_value FROM t_null" for c in S.RAW_NUMERIC for p in _SHARES)))
+def _(spark, sf_dir):
+    """The exact rank of no estimate is off by more than is stated; estimates are values that
+    stand in the column."""
+    df = materialize(T.loaded(spark, sf_dir, *S.RAW_NUMERIC, "admission_type_id"), "numbers")
+    sketches = materialize(
+        K.quantile_sketches(df, S.RAW_NUMERIC, "admission_type_id"), "sketches")
+    found = materialize(K.quantile_estimates(sketches, _SHARES), "quantiles")
+    return found.join(K.rank_errors(df, found).drop("value"), ["attribute", "share"]).select(
+        "attribute", "share", "n",
+        (F.col("rank_error") <= K.RANK_ERROR).cast("int").alias("within_error"),
+        (F.col("n_equal") > 0).cast("int").alias("is_a_value"))
+
+
 @query("a22_modes", sql(" UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", (SELECT CAST({q(c)} AS VARCHAR) FROM t_null WHERE {q(c)} IS NOT NULL "
     f"GROUP BY {q(c)} ORDER BY count(*) DESC, CAST({q(c)} AS VARCHAR) LIMIT 1) AS mode"

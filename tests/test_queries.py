@@ -21,6 +21,8 @@ CHECKED = [
     "k02b_top_coefficient_properties", "j04_split_overlap", "j05_alignment",
     "j06_nearest_neighbours", "s09_sanity_summary", "u03_append_synthetic", "w05_rank_order",
     "x01b_attribution_properties", "v06c_stream_scores", "x06_representative_cases",
+    "a17c_sketch_errors", "a21c_quantile_errors", "h01b_bucketed_demographics",
+    "j02b_bucketed_join", "s10b_bucketed_split",
 ]
 
 

@@ -7,9 +7,9 @@ from caretide.plans import catalog, model_queries as Q
 def test_registered_fits_share_the_patience_of_the_search(spark, monkeypatch):
     seen, fit = [], M.fit_boosted
 
-    def short(train, validation, parameters=None, patience=20, seed=1):
+    def short(train, validation, parameters=None, patience=20, seed=1, **options):
         seen.append(patience)
-        return fit(train, validation, {"max_depth": 2, "n_estimators": 2}, patience, seed)
+        return fit(train, validation, {"max_depth": 2, "n_estimators": 2}, patience, seed, **options)
 
     monkeypatch.setattr(M, "fit_boosted", short)
     monkeypatch.setattr(Q, "_MADE", {})

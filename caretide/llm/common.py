@@ -10,16 +10,17 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 Batches = Iterator[pa.RecordBatch]
 
 
-def texts(docs: DataFrame, *keep: str) -> DataFrame:
+def texts(docs: DataFrame, *keep: str, own: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id`` as long, ``text`` as string and the named columns, nothing else.
 
     Columns are taken by name, so that extra columns of the input, whatever
-    they are called, cannot clash with those an operator adds.
+    they are called, cannot clash with those an operator adds. A column to be kept
+    gives way if it is named like one of these (``own``), ``doc_id`` or ``text``.
     """
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
-        *[F.col(c) for c in keep],
+        *[F.col(c) for c in keep if c not in ("doc_id", "text", *own)],
     )
 
 

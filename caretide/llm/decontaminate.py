@@ -3,36 +3,48 @@
 A window is ``size`` consecutive words of a benchmark item (or the whole item, if it
 has fewer). A document contains a window only if it has all of the window's words,
 so one necessary prefix token decides whether a pair is a candidate: the window's
-word that fewest documents hold. Documents look up their words among these tokens;
-a candidate's place follows from the token's place in the window (positional
-bound), must leave room for the whole window (length bound), and is then compared
-word by word.
-
-The windows are dealt by hash into shards of at most about ``shard_windows`` pairs of
-window and item, and only one shard's index is ever sent to the tasks; documents
-stay where they are and carry their hits from shard to shard.
+word that fewest documents hold, whose place in the window and the window's length
+are known. A document's words look up these tokens; a candidate's place follows from
+the token's place (positional bound) and must leave room for the whole window (length
+bound). What is left is joined with the windows by all its words, which verifies it.
+
+The documents are read three times, however many items there are: to count the
+benchmark's words, to find candidates, and to give them their hits. Neither windows
+nor counts visit the driver. Documents meet words and tokens in filters of a fixed
+number of bits; what these let through by mistake finds no partner in the joins. Only
+candidates are shuffled, those of equal texts once, and the windows stand in the join
+``SALTS`` times, so that a frequent one is spread over as many tasks.
 
 Words: A-Z lower-cased, then runs of digits, a-z and characters beyond ASCII.
 
 Cases: a null or empty text has no words, an item without words no window; equal
-items are all named; rows without an ``item_id`` take no part; repeated documents
-give repeated rows; without any benchmark item nothing is contaminated.
+items are all named; rows without an ``item_id`` take no part; equally rare words of
+a window are taken by name, then by place; repeated documents give repeated rows; a
+very long text is one row like any other; an empty table gives no rows, and without
+any benchmark item nothing is contaminated. Other columns are dropped, but for those
+to be kept; one of these named ``hits``, ``doc_id`` or ``text`` gives way.
 """
 
 from __future__ import annotations
 
-import math
 from collections import Counter
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from caretide.llm.common import Batches, map_batches, texts
+from caretide.session import materialize, ship
 
 WINDOW = 10
-#: Pairs of a window and an item in one shard's index, some 30 MB.
-SHARD_WINDOWS = 100_000
+#: Bits of a filter, 8 MB in each task that uses it.
+BITS = 1 << 26
+#: Tasks over which the candidates of one window are spread.
+SALTS = 16
+#: Words a task remembers, or counts, before it starts anew.
+REMEMBERED = 300_000
 
 _WORD = [c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256)]
 _TABLE = bytes(_WORD[c + 32 if 0x41 <= c <= 0x5A else c] for c in range(256))
@@ -67,87 +79,167 @@ def windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
     return map_batches(rows, run, "window string, item_id string").distinct()
 
 
-def _document_counts(docs: DataFrame, vocabulary: frozenset[bytes]) -> dict[bytes, int]:
-    """How many documents hold each word of a shard's vocabulary."""
+def _shaped(word: bytes, place: int, length: int) -> bytes:
+    """What a filter holds of a token at a place of a window (words have no spaces)."""
+    return b"%d %d %s" % (place, length, word)
 
-    def run(batches: Batches) -> Batches:
-        seen: Counter = Counter()
-        for batch in batches:
-            for text in batch.column("text"):
-                seen.update(vocabulary.intersection(words(text.as_py())))
-        yield pa.RecordBatch.from_pydict({
-            "word": pa.array(list(seen), pa.binary()), "n": pa.array(list(seen.values()), pa.int64())
-        })
 
-    counts = map_batches(docs.select("text"), run, "word binary, n long")
-    rows = counts.groupBy("word").agg(F.sum("n").alias("n")).collect()  # one per shard word
-    return {bytes(r["word"]): r["n"] for r in rows}
+class Filter:
+    """A set of byte strings in a fixed number of bits; tells some strangers for members."""
+
+    def __init__(self, bits: int, slots: np.ndarray, masks: np.ndarray):
+        self.bits, self.slots, self.masks = bits, slots, masks
+
+    @staticmethod
+    def places(key: bytes, bits: int) -> tuple[int, int]:
+        digest = xxhash.xxh3_64_intdigest(key)
+        return (digest & 0xFFFFFFFF) % bits, (digest >> 32) % bits
+
+    @classmethod
+    def of(cls, entries: DataFrame, bits: int) -> Filter:
+        """From ``word`` and, if it is there, the token's ``place`` and the window's ``length``.
+
+        Bits are gathered by Spark; at most one row per 64 of them reaches the driver.
+        """
+        shaped = "place" in entries.columns
+
+        def run(batches: Batches) -> Batches:
+            for batch in batches:
+                keys = [w.encode() for w in batch.column("word").to_pylist()]
+                if shaped:
+                    at = zip(batch.column("place").to_pylist(), batch.column("length").to_pylist())
+                    keys += [_shaped(w, p, n) for w, (p, n) in zip(keys, at)]
+                set_bits = np.array([b for k in keys for b in cls.places(k, bits)], np.uint64)
+                masks = (np.uint64(1) << (set_bits & np.uint64(63))).view(np.int64)
+                yield pa.RecordBatch.from_pydict({
+                    "slot": pa.array((set_bits >> np.uint64(6)).astype(np.int64)),
+                    "mask": pa.array(masks),
+                })
+
+        gathered = map_batches(entries, run, "slot long, mask long").groupBy("slot").agg(
+            F.bit_or("mask").alias("mask")).toArrow()
+        return cls(bits, gathered["slot"].to_numpy(), gathered["mask"].to_numpy())
 
+    def opened(self):
+        """A test of membership."""
+        table = np.zeros(self.bits // 64 + 1, np.int64)
+        table[self.slots] = self.masks
+        view = memoryview(table.view(np.uint64))
 
-def _prefix_index(pairs: list, counts: dict[bytes, int]) -> dict[bytes, list]:
-    """By prefix token: its place in the window, the window's words, the items."""
-    items: dict[bytes, list[str]] = {}
-    for row in pairs:
-        items.setdefault(row["window"].encode(), []).append(row["item_id"])
-    index: dict[bytes, list] = {}
-    for window, ids in items.items():
-        parts = window.split(b" ")
-        place = min(range(len(parts)), key=lambda i: (counts.get(parts[i], 0), parts[i], i))
-        if counts.get(parts[place], 0):  # else no document can hold it
-            index.setdefault(parts[place], []).append((place, parts, sorted(ids)))
-    return index
+        def holds(key: bytes) -> bool:
+            return all(view[b >> 6] >> (b & 63) & 1 for b in self.places(key, self.bits))
 
+        return holds
 
-def _search(shared, first: bool):
-    """Adds a shard's hits to those that a document carries."""
+
+def _document_counts(docs: DataFrame, vocabulary: Filter) -> DataFrame:
+    """How many documents hold each word that passes the filter: ``word`` and ``n``."""
+    shared = ship(docs.sparkSession, vocabulary)
+
+    def run(batches: Batches) -> Batches:
+        holds, checked, known, seen = shared().opened(), set(), set(), Counter()
+
+        def counted() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({
+                "word": pa.array([w.decode() for w in seen], pa.string()),
+                "n": pa.array(list(seen.values()), pa.int64()),
+            })
+
+        for batch in batches:
+            for text in batch.column("text"):
+                found = set(words(text.as_py()))
+                new = found - checked
+                checked |= new
+                known.update(w for w in new if holds(w))
+                seen.update(known & found)
+                if len(checked) > REMEMBERED:
+                    checked, known = set(), set()
+                if len(seen) > REMEMBERED:
+                    yield counted()
+                    seen.clear()
+        yield counted()
+
+    return map_batches(docs.select("text"), run, "word string, n long").groupBy("word").agg(
+        F.sum("n").alias("n"))
+
+
+def _prefix_tokens(pairs: DataFrame, docs: DataFrame, bits: int) -> DataFrame:
+    """Per window that may occur: its rarest ``word``, that word's ``place``, its ``length``."""
+    parts = pairs.select("window").distinct().select(
+        "window", F.posexplode(F.split("window", " ")).alias("place", "word"))
+    vocabulary = Filter.of(parts.select("word").distinct(), bits)
+    counted = parts.join(_document_counts(docs, vocabulary), "word", "left")
+    rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "place")).alias("t")
+    tokens = counted.groupBy("window").agg(rarest, F.count(F.lit(1)).cast("int").alias("length"))
+    return tokens.where(F.col("t.n") > 0).select("t.word", "t.place", "length")
+
+
+def _candidates(docs: DataFrame, mark: str, tokens: Filter, lengths: Iterable[int]) -> DataFrame:
+    """Stretches in which a prefix token stands at its place, with their words."""
+    shared = ship(docs.sparkSession, tokens)
+    shapes = [(place, length) for length in lengths for place in range(length)]
 
     def run(batches: Batches) -> Batches:
-        index = shared.value
+        holds, checked, known = shared().opened(), set(), {}
         for batch in batches:
-            carried = [[] for _ in range(batch.num_rows)] if first else (
-                batch.column("hits").to_pylist())
-            for text, hits in zip(batch.column("text"), carried):
+            marks, starts, stops, held = [], [], [], []
+            for key, text in zip(batch.column(mark), batch.column("text")):
                 found = words(text.as_py())
-                for at in [i for i, w in enumerate(found) if w in index]:
-                    for place, parts, ids in index[found[at]]:
-                        start = at - place
-                        stop = start + len(parts)
-                        if start >= 0 and stop <= len(found) and found[start:stop] == parts:
-                            hits += [{"start": start, "stop": stop, "item_id": i} for i in ids]
-            kind = pa.list_(pa.struct([
-                ("start", pa.int32()), ("stop", pa.int32()), ("item_id", pa.string())]))
-            names = [c for c in batch.schema.names if c != "hits"]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names), pa.array(carried, kind)],
-                names=[*names, "hits"],
-            )
-
-    return run
+                new = set(found) - checked
+                checked |= new
+                for w in new:
+                    if holds(w):
+                        at = [s for s in shapes if holds(_shaped(w, *s))]
+                        if at:
+                            known[w] = at
+                made = {
+                    (i - place, i - place + length)
+                    for i, w in enumerate(found) if w in known for place, length in known[w]
+                    if place <= i <= len(found) - length + place
+                } if not known.keys().isdisjoint(found) else ()
+                for start, stop in made:
+                    marks.append(key.as_py())
+                    starts.append(start)
+                    stops.append(stop)
+                    held.append(b" ".join(found[start:stop]).decode())
+                if len(checked) > REMEMBERED:
+                    checked, known = set(), {}
+            yield pa.RecordBatch.from_pydict({
+                "mark": pa.array(marks, pa.binary()), "start": pa.array(starts, pa.int32()),
+                "stop": pa.array(stops, pa.int32()), "window": pa.array(held, pa.string()),
+            })
+
+    schema = "mark binary, start int, stop int, window string"
+    return map_batches(docs.select(mark, "text"), run, schema)
 
 
 def find(
-    docs: DataFrame, items: DataFrame, *keep: str, size: int = WINDOW,
-    shard_windows: int = SHARD_WINDOWS,
+    docs: DataFrame, items: DataFrame, *keep: str, size: int = WINDOW, bits: int = BITS,
 ) -> DataFrame:
-    """``doc_id``, ``text``, the columns ``keep`` and ``hits``: all occurrences of windows."""
-    spark = docs.sparkSession
-    carried = texts(docs, *keep)
-    shape = T.StructType([*carried.schema.fields, T.StructField("hits", HITS)])
-    pairs = windows(items, size).cache()
-    try:
-        shards = math.ceil(pairs.count() / shard_windows)
-        shard_of = F.pmod(F.xxhash64("window", "item_id"), F.lit(max(shards, 1)))
-        for shard in range(shards):
-            held = pairs.where(shard_of == shard).collect()  # bounded by shard_windows
-            vocabulary = frozenset(w for r in held for w in r["window"].encode().split(b" "))
-            counts = _document_counts(texts(docs), vocabulary)
-            index = spark.sparkContext.broadcast(_prefix_index(held, counts))
-            carried = map_batches(carried, _search(index, first=shard == 0), shape)
-    finally:
-        pairs.unpersist()
-    if not shards:
-        carried = carried.withColumn("hits", F.lit(None).cast(HITS))
-    return carried
+    """``doc_id``, ``text``, the columns ``keep`` and ``hits``: all occurrences of windows.
+
+    ``bits`` is the size of the filters; it changes what is shuffled, not what is found.
+    """
+    mark = "mark"
+    while mark in keep:
+        mark += "_"
+    source = texts(docs, *keep, own=("hits",))
+    marked = source.withColumn(mark, F.unhex(F.sha2("text", 256)))
+    pairs = materialize(windows(items, size), "windows")
+    tokens = materialize(_prefix_tokens(pairs, source, bits), "prefix-tokens")
+    lengths = sorted(r["length"] for r in tokens.select("length").distinct().collect())  # <= size
+    entries = Filter.of(tokens.distinct(), bits)
+    # copies of a text have the same candidates: they go on once
+    salt = F.pmod(F.xxhash64("mark", "start"), F.lit(SALTS)).cast("int")
+    candidates = _candidates(marked, mark, entries, lengths).distinct().withColumn("salt", salt)
+    salted = pairs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    hit = F.struct("start", "stop", "item_id")
+    hits = candidates.join(salted, ["window", "salt"]).groupBy(F.col("mark").alias(mark)).agg(
+        F.sort_array(F.collect_list(hit)).alias("hits"))
+    # written first, so that its size is known when the join with the documents is planned
+    found = marked.join(materialize(hits, "hits"), mark, "left")
+    return found.withColumn("hits", F.coalesce("hits", F.array().cast(HITS))).select(
+        *source.columns, "hits")
 
 
 def report(found: DataFrame) -> DataFrame:

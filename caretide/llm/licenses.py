@@ -457,7 +457,7 @@ def scan(
     same place.
     """
     spark = docs.sparkSession
-    carried = texts(docs, *keep)
+    carried = texts(docs, *keep, own=("matches",))
     fields = carried.schema.fields
     rows = templates.where(F.col("license_id").isNotNull()).select(
         F.col("license_id").cast("string").alias("license_id"),

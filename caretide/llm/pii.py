@@ -310,7 +310,7 @@ def all_spans(text: str | None, accepted: frozenset[int]) -> tuple[list, list]:
 
 def annotate(docs: DataFrame, accepted: frozenset[int], *keep: str) -> DataFrame:
     """``doc_id``, ``text``, the columns ``keep``, then ``base`` and ``spans`` of each row."""
-    source = texts(docs, *keep)
+    source = texts(docs, *keep, own=("base", "spans"))
     shape = T.StructType([
         *source.schema.fields, T.StructField("base", SPANS), T.StructField("spans", SPANS)])
 

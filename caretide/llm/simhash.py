@@ -312,6 +312,9 @@ def keep_one(
     Rows without an id stay only where their whole group has none; of repeated rows
     one stays.
     """
+    name = "kept"
+    while name in docs.columns:
+        name += "_"
     made, of = groups(docs, shingle, max_bits, seed)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
     chosen = (
@@ -319,12 +322,12 @@ def keep_one(
         .groupBy("root").agg(F.min("best").alias("best"))
         # a mark is never null; said so, the two keys have one type and need no cast
         .select(F.struct("best.doc_id", F.coalesce("best.mark", F.lit(0).cast("long")).alias(
-            "mark")).alias("kept__"))
+            "mark")).alias(name))
     )
     # one key column, by which the rows are dealt once for both steps
     key = F.struct(F.col("doc_id").cast("long").alias("doc_id"),
                    F.xxhash64(F.col("text").cast("string")).alias("mark"))
     return (
-        docs.withColumn("kept__", key).join(chosen, "kept__", "left_semi")
-        .dropDuplicates(["kept__"]).drop("kept__")
+        docs.withColumn(name, key).join(chosen, name, "left_semi")
+        .dropDuplicates([name]).drop(name)
     )

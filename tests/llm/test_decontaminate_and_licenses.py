@@ -41,10 +41,11 @@ def items(rows):
             (None, "baz word"), (7, " ".join(split(texts[2])[3:20]))]
 
 
-@pytest.mark.parametrize("size, shard", [(10, 100_000), (10, 7), (4, 3)])
-def test_decontaminate(spark, docs, rows, items, size, shard):
+@pytest.mark.parametrize("size, bits", [(10, decontaminate.BITS), (10, 64), (4, 300)])
+def test_decontaminate(spark, docs, rows, items, size, bits):
+    """Filters so small that they let most words through change nothing."""
     bench = spark.createDataFrame(items, "item_id long, text string")
-    found = decontaminate.find(docs, bench, size=size, shard_windows=shard)
+    found = decontaminate.find(docs, bench, size=size, bits=bits)
     assert ordered(decontaminate.report(found).collect()) == brute(rows, items, size)
 
 
@@ -55,6 +56,35 @@ def test_no_items_and_no_documents(spark, docs, none, rows, items):
     assert decontaminate.report(decontaminate.find(none, bench)).collect() == []
 
 
+def test_a_task_that_forgets_and_kept_columns_that_clash(spark, docs, rows, items, monkeypatch):
+    monkeypatch.setattr(decontaminate, "REMEMBERED", 3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    kept = docs.withColumn("mark_", docs.mark)
+    found = decontaminate.find(kept, bench, "hits", "mark", "mark_", "text", "lang")
+    assert found.columns == ["doc_id", "text", "mark", "mark_", "lang", "hits"]
+    assert ordered(decontaminate.report(found).collect()) == brute(rows, items, 10)
+    assert {(r.mark, r.lang) for r in found.collect()} == {("mark", "en")}
+
+
+def test_documents_are_read_three_times_whatever_the_benchmark(spark, docs, rows):
+    """Work on documents does not follow the number of windows."""
+    for n in (1, 300):
+        many = spark.createDataFrame(
+            [(i, f"one{i} two three four five six seven eight nine ten eleven") for i in range(n)],
+            "item_id long, text string")
+        read = spark.sparkContext.accumulator(0)
+
+        def run(batches, read=read):
+            for batch in batches:
+                read.add(batch.num_rows)
+                yield batch
+
+        plain = docs.select("doc_id", "text")
+        counted = plain.mapInArrow(run, plain.schema)
+        assert not any(r.hits for r in decontaminate.find(counted, many).collect())
+        assert read.value == 3 * len(rows)
+
+
 def brute_licenses(rows, templates):
     out = []
     for doc_id, text in rows:
@@ -95,6 +125,8 @@ def test_licenses(spark, block):
 
 def test_licenses_on_odd_and_empty_tables(spark, docs, none, rows):
     kinds = licenses.notices(spark)
-    assert licenses.scan(docs, kinds).count() == len(rows)
+    scanned = licenses.scan(docs, kinds, "matches", "hits", "doc_id")
+    assert scanned.columns == ["doc_id", "text", "hits", "matches"]
+    assert scanned.count() == len(rows)
     assert licenses.scan(none, kinds).collect() == []
     assert all(r.matches == [] for r in licenses.scan(docs, kinds.where("false")).collect())

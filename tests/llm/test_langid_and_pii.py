@@ -120,6 +120,12 @@ def test_odd_texts(docs, none, rows):
     assert pii.redact(pii.annotate(none, accepted)).collect() == []
 
 
+def test_kept_columns_that_clash_give_way(docs, rows):
+    found = pii.annotate(docs, frozenset(), "base", "spans", "text", "lang")
+    assert found.columns == ["doc_id", "text", "lang", "base", "spans"]
+    assert pii.digests(found).count() == len(rows)
+
+
 @pytest.mark.parametrize("share", [0.2, 0.7])
 def test_estimate_recovers_the_share_of_true_spans(share):
     rng = np.random.default_rng(1)

@@ -6,7 +6,8 @@ so one necessary prefix token decides whether a pair is a candidate: the window'
 word that fewest documents hold, whose place in the window and the window's length
 are known. A document's words look up these tokens; a candidate's place follows from
 the token's place (positional bound) and must leave room for the whole window (length
-bound). What is left is joined with the windows by all its words, which verifies it.
+bound). What then passes a filter of whole windows is joined with the windows by all
+its words, which verifies it.
 
 The documents are read three times, however many items there are: to count the
 benchmark's words, to find candidates, and to give them their hits. Neither windows
@@ -22,7 +23,7 @@ items are all named; rows without an ``item_id`` take no part; equally rare word
 a window are taken by name, then by place; repeated documents give repeated rows; a
 very long text is one row like any other; an empty table gives no rows, and without
 any benchmark item nothing is contaminated. Other columns are dropped, but for those
-to be kept; one of these named ``hits``, ``doc_id`` or ``text`` gives way.
+to be kept; one of these named ``n_words``, ``hits``, ``doc_id`` or ``text`` gives way.
 """
 
 from __future__ import annotations
@@ -48,6 +49,8 @@ REMEMBERED = 300_000
 
 _WORD = [c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256)]
 _TABLE = bytes(_WORD[c + 32 if 0x41 <= c <= 0x5A else c] for c in range(256))
+#: A word, before its letters are lowered.
+RUN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 HITS = T.ArrayType(T.StructType([
     T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType()),
     T.StructField("item_id", T.StringType()),
@@ -97,11 +100,11 @@ class Filter:
 
     @classmethod
     def of(cls, entries: DataFrame, bits: int) -> Filter:
-        """From ``word`` and, if it is there, the token's ``place`` and the window's ``length``.
+        """From ``word``; if ``window`` is there, also from the word's place in it and from itself.
 
         Bits are gathered by Spark; at most one row per 64 of them reaches the driver.
         """
-        shaped = "place" in entries.columns
+        shaped = "window" in entries.columns
 
         def run(batches: Batches) -> Batches:
             for batch in batches:
@@ -109,6 +112,7 @@ class Filter:
                 if shaped:
                     at = zip(batch.column("place").to_pylist(), batch.column("length").to_pylist())
                     keys += [_shaped(w, p, n) for w, (p, n) in zip(keys, at)]
+                    keys += [w.encode() for w in batch.column("window").to_pylist()]
                 set_bits = np.array([b for k in keys for b in cls.places(k, bits)], np.uint64)
                 masks = (np.uint64(1) << (set_bits & np.uint64(63))).view(np.int64)
                 yield pa.RecordBatch.from_pydict({
@@ -122,12 +126,18 @@ class Filter:
 
     def opened(self):
         """A test of membership."""
-        table = np.zeros(self.bits // 64 + 1, np.int64)
+        table = np.zeros(self.bits // 64 + 1, "<i8")
         table[self.slots] = self.masks
-        view = memoryview(table.view(np.uint64))
+        held, bits, digest = table.tobytes(), self.bits, xxhash.xxh3_64_intdigest
 
         def holds(key: bytes) -> bool:
-            return all(view[b >> 6] >> (b & 63) & 1 for b in self.places(key, self.bits))
+            # spelled out, as it runs for every word a task has not seen before
+            mark = digest(key)
+            bit = (mark & 0xFFFFFFFF) % bits
+            if not held[bit >> 3] >> (bit & 7) & 1:
+                return False
+            bit = (mark >> 32) % bits
+            return bool(held[bit >> 3] >> (bit & 7) & 1)
 
         return holds
 
@@ -164,18 +174,18 @@ def _document_counts(docs: DataFrame, vocabulary: Filter) -> DataFrame:
 
 
 def _prefix_tokens(pairs: DataFrame, docs: DataFrame, bits: int) -> DataFrame:
-    """Per window that may occur: its rarest ``word``, that word's ``place``, its ``length``."""
+    """Per ``window`` that may occur: its rarest ``word``, that word's ``place``, its ``length``."""
     parts = pairs.select("window").distinct().select(
         "window", F.posexplode(F.split("window", " ")).alias("place", "word"))
     vocabulary = Filter.of(parts.select("word").distinct(), bits)
     counted = parts.join(_document_counts(docs, vocabulary), "word", "left")
     rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "place")).alias("t")
     tokens = counted.groupBy("window").agg(rarest, F.count(F.lit(1)).cast("int").alias("length"))
-    return tokens.where(F.col("t.n") > 0).select("t.word", "t.place", "length")
+    return tokens.where(F.col("t.n") > 0).select("window", "t.word", "t.place", "length")
 
 
 def _candidates(docs: DataFrame, mark: str, tokens: Filter, lengths: Iterable[int]) -> DataFrame:
-    """Stretches in which a prefix token stands at its place, with their words."""
+    """Stretches in which a prefix token stands at its place and that pass the filter as a whole."""
     shared = ship(docs.sparkSession, tokens)
     shapes = [(place, length) for length in lengths for place in range(length)]
 
@@ -198,10 +208,12 @@ def _candidates(docs: DataFrame, mark: str, tokens: Filter, lengths: Iterable[in
                     if place <= i <= len(found) - length + place
                 } if not known.keys().isdisjoint(found) else ()
                 for start, stop in made:
-                    marks.append(key.as_py())
-                    starts.append(start)
-                    stops.append(stop)
-                    held.append(b" ".join(found[start:stop]).decode())
+                    window = b" ".join(found[start:stop])
+                    if holds(window):
+                        marks.append(key.as_py())
+                        starts.append(start)
+                        stops.append(stop)
+                        held.append(window.decode())
                 if len(checked) > REMEMBERED:
                     checked, known = set(), {}
             yield pa.RecordBatch.from_pydict({
@@ -213,59 +225,69 @@ def _candidates(docs: DataFrame, mark: str, tokens: Filter, lengths: Iterable[in
     return map_batches(docs.select(mark, "text"), run, schema)
 
 
-def find(
-    docs: DataFrame, items: DataFrame, *keep: str, size: int = WINDOW, bits: int = BITS,
-) -> DataFrame:
-    """``doc_id``, ``text``, the columns ``keep`` and ``hits``: all occurrences of windows.
-
-    ``bits`` is the size of the filters; it changes what is shuffled, not what is found.
-    """
+def _marked(docs: DataFrame, *keep: str) -> tuple[DataFrame, str]:
+    """The rows with the digest of their text, in a column of a name that is not kept."""
     mark = "mark"
     while mark in keep:
         mark += "_"
-    source = texts(docs, *keep, own=("hits",))
-    marked = source.withColumn(mark, F.unhex(F.sha2("text", 256)))
+    source = texts(docs, *keep, own=("n_words", "hits"))
+    return source.withColumn(mark, F.unhex(F.sha2("text", 256))), mark
+
+
+def _hits(marked: DataFrame, mark: str, items: DataFrame, size: int, bits: int) -> DataFrame:
+    """All occurrences: ``mark`` of the text, ``start``, ``stop`` and ``item_id``, each once."""
     pairs = materialize(windows(items, size), "windows")
-    tokens = materialize(_prefix_tokens(pairs, source, bits), "prefix-tokens")
+    tokens = materialize(_prefix_tokens(pairs, marked, bits), "prefix-tokens")
     lengths = sorted(r["length"] for r in tokens.select("length").distinct().collect())  # <= size
-    entries = Filter.of(tokens.distinct(), bits)
+    entries = Filter.of(tokens, bits)
     # copies of a text have the same candidates: they go on once
     salt = F.pmod(F.xxhash64("mark", "start"), F.lit(SALTS)).cast("int")
     candidates = _candidates(marked, mark, entries, lengths).distinct().withColumn("salt", salt)
     salted = pairs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    hit = F.struct("start", "stop", "item_id")
-    hits = candidates.join(salted, ["window", "salt"]).groupBy(F.col("mark").alias(mark)).agg(
-        F.sort_array(F.collect_list(hit)).alias("hits"))
-    # written first, so that its size is known when the join with the documents is planned
-    found = marked.join(materialize(hits, "hits"), mark, "left")
-    return found.withColumn("hits", F.coalesce("hits", F.array().cast(HITS))).select(
-        *source.columns, "hits")
+    return candidates.join(salted, ["window", "salt"]).select(
+        F.col("mark").alias(mark), "start", "stop", "item_id")
 
 
-def report(found: DataFrame) -> DataFrame:
-    """Per document: words, words hit, items hit, and whether any word is hit."""
+def find(
+    docs: DataFrame, items: DataFrame, *keep: str, size: int = WINDOW, bits: int = BITS,
+) -> DataFrame:
+    """``doc_id``, ``text``, ``keep``, ``n_words`` and ``hits``: all occurrences of windows.
+
+    ``bits`` is the size of the filters; it changes what is shuffled, not what is found.
+    If the hits are too many to be broadcast, the columns that are read of the result
+    are shuffled once with the documents.
+    """
+    marked, mark = _marked(docs, *keep)
+    hit = F.sort_array(F.collect_list(F.struct("start", "stop", "item_id"))).alias("hits")
+    # written first, so that their size is known when the join with the documents is planned
+    hits = materialize(_hits(marked, mark, items, size, bits).groupBy(mark).agg(hit), "hits")
+    counted = marked.withColumn(
+        "n_words", F.coalesce(F.regexp_count("text", F.lit(RUN)), F.lit(0)).cast("long"))
+    return counted.join(hits, mark, "left").drop(mark).withColumn(
+        "hits", F.coalesce("hits", F.array().cast(HITS)))
 
-    def run(batches: Batches) -> Batches:
-        for batch in batches:
-            n_words, n_hit, items = [], [], []
-            for text, hits in zip(batch.column("text"), batch.column("hits").to_pylist()):
-                total = len(words(text.as_py()))
-                step = np.zeros(total + 1, np.int64)
-                for hit in hits or ():
-                    step[hit["start"]] += 1
-                    step[hit["stop"]] -= 1
-                n_words.append(total)
-                n_hit.append(int((np.cumsum(step[:-1]) > 0).sum()) if hits else 0)
-                items.append(sorted({hit["item_id"] for hit in hits or ()}))
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"),
-                "n_words": pa.array(n_words, pa.int64()), "n_hit": pa.array(n_hit, pa.int64()),
-                "items": pa.array(items, pa.list_(pa.string())),
-            })
 
-    counted = map_batches(
-        found, run, "doc_id long, n_words long, n_hit long, items array<string>")
-    return counted.select(
+def uncontaminated(
+    docs: DataFrame, items: DataFrame, *keep: str, size: int = WINDOW, bits: int = BITS,
+) -> DataFrame:
+    """``doc_id``, ``text`` and ``keep`` of the rows whose text holds no window."""
+    marked, mark = _marked(docs, *keep)
+    marks = materialize(_hits(marked, mark, items, size, bits).select(mark).distinct(), "marks")
+    return marked.join(marks, mark, "left_anti").drop(mark)
+
+
+def report(found: DataFrame) -> DataFrame:
+    """Per document: words, words hit, items hit, and whether any word is hit."""
+    # hits are in the order of their starts: what one adds begins where those before it end
+    zero = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
+    covered = F.aggregate("hits", zero, lambda seen, hit: F.struct(
+        F.greatest(seen["end"], hit["stop"]).alias("end"),
+        (seen["n"] + F.greatest(F.lit(0), hit["stop"] - F.greatest(seen["end"], hit["start"]))
+         ).alias("n")))
+    return found.select(
+        "doc_id", "n_words", covered["n"].cast("long").alias("n_hit"),
+        F.array_sort(F.array_distinct(F.col("hits.item_id"))).alias("items"),
+    ).select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),

@@ -61,8 +61,11 @@ def test_a_task_that_forgets_and_kept_columns_that_clash(spark, docs, rows, item
     bench = spark.createDataFrame(items, "item_id long, text string")
     kept = docs.withColumn("mark_", docs.mark)
     found = decontaminate.find(kept, bench, "hits", "mark", "mark_", "text", "lang")
-    assert found.columns == ["doc_id", "text", "mark", "mark_", "lang", "hits"]
+    assert found.columns == ["doc_id", "text", "mark", "mark_", "lang", "n_words", "hits"]
     assert ordered(decontaminate.report(found).collect()) == brute(rows, items, 10)
+    clean = decontaminate.uncontaminated(kept, bench, "mark").select("doc_id", "text")
+    gone = {r[0] for r in brute(rows, items, 10) if r[-1]}
+    assert ordered(clean.collect()) == ordered(r for r in rows if r[0] not in gone)
     assert {(r.mark, r.lang) for r in found.collect()} == {("mark", "en")}
 
 

@@ -37,8 +37,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
     rest = [c for c in COLUMNS if c not in ("doc_id", "text")]
-    found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"), *rest, size=10)
-    return found.where(F.coalesce(F.size("hits"), F.lit(0)) <= 0).select(*COLUMNS)
+    items = table(spark, sf_dir, "benchmark")
+    return decontaminate.uncontaminated(docs, items, *rest, size=10).select(*COLUMNS)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

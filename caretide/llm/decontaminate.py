@@ -49,8 +49,6 @@ REMEMBERED = 300_000
 
 _WORD = [c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256)]
 _TABLE = bytes(_WORD[c + 32 if 0x41 <= c <= 0x5A else c] for c in range(256))
-#: A word, before its letters are lowered.
-RUN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 HITS = T.ArrayType(T.StructType([
     T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType()),
     T.StructField("item_id", T.StringType()),
@@ -61,6 +59,11 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_TABLE).split()
 
 
+@F.arrow_udf(T.LongType())
+def _number_of_words(column: pa.Array) -> pa.Array:
+    return pa.array([len(words(text.as_py())) for text in column], pa.int64())
+
+
 def windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
     """``window`` (words joined by spaces) and ``item_id``, each pair once."""
 
@@ -261,9 +264,7 @@ def find(
     hit = F.sort_array(F.collect_list(F.struct("start", "stop", "item_id"))).alias("hits")
     # written first, so that their size is known when the join with the documents is planned
     hits = materialize(_hits(marked, mark, items, size, bits).groupBy(mark).agg(hit), "hits")
-    counted = marked.withColumn(
-        "n_words", F.coalesce(F.regexp_count("text", F.lit(RUN)), F.lit(0)).cast("long"))
-    return counted.join(hits, mark, "left").drop(mark).withColumn(
+    return marked.withColumn("n_words", _number_of_words("text")).join(hits, mark, "left").drop(mark).withColumn(
         "hits", F.coalesce("hits", F.array().cast(HITS)))
 
 

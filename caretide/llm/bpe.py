@@ -9,7 +9,7 @@ If two neighbours agree nowhere (one pre-token fills the overlap), what follows
 is joined into one piece, so the result is always that of the whole text.
 
 Cases: a null text is an empty one; an empty text has no ids; repeated rows give
-repeated rows; other columns of the input are dropped.
+repeated rows; an empty table gives no rows; other columns of the input are dropped.
 """
 
 from __future__ import annotations

@@ -13,7 +13,7 @@ Cases: a null text or role is an empty one; a null turn comes first; turns with
 the same number come in the order of their ids; rows of a null ``conv_id`` form one
 conversation; an empty table gives no rows; other columns are dropped.
 A conversation is one row of the result and is held by one task as a whole; its
-texts are encoded before that, wherever their rows lie.
+texts are encoded before that, wherever their rows lie, a very long one like any other.
 """
 
 from __future__ import annotations

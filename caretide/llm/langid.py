@@ -13,7 +13,8 @@ lowest confidence (a logistic function of the margin) of the choices on the way.
 Cases: a null text, or one without a letter, is ``und`` with score 0; rows without
 a label are not learned from; a single language is predicted for all texts with
 letters; without any labelled text everything is ``und``; ties go to the name that
-sorts first; repeated rows are all predicted; an empty table gives no rows.
+sorts first; repeated rows are all predicted; a very long text is read whole; an
+empty table gives no rows; columns not named by the caller are dropped.
 """
 
 from __future__ import annotations

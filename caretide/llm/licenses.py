@@ -25,7 +25,9 @@ Words: A-Z lower-cased, then runs of digits, a-z and characters beyond ASCII.
 
 Cases: a null or empty text matches nothing, a template without words neither;
 templates without an id are left out, equal ones all named; repeated rows give
-repeated rows; an empty table gives no rows.
+repeated rows; a very long text is cut into more windows and read whole; an empty
+table gives no rows. Other columns are dropped, but for those to be kept; one of these
+named ``matches``, ``doc_id`` or ``text`` gives way.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ what is left. Three steps:
 
 Cases: a null or empty text has no words; a null id comes after all others, and
 rows with the same id are one document as far as "smaller" goes; repeated rows are
-treated alike; texts shorter than a window stay; an empty table gives no rows.
+treated alike; texts shorter than a window stay; a very long text is hashed in
+stretches; an empty table gives no rows; other columns are dropped.
 """
 
 from __future__ import annotations

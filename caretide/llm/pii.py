@@ -13,8 +13,10 @@ whose number the labelers fix, not the documents.
 
 Cases: a null or empty text has no spans; offsets are code points, the end
 exclusive; spans of different kinds may overlap; of accepted candidates that
-overlap, the first stays; repeated rows give repeated
-rows; without candidates nothing is added.
+overlap, the first stays; repeated rows give repeated rows; a very long text is one
+row and read whole; without candidates nothing is added; an empty table gives no rows.
+Other columns are dropped, but for those to be kept; one of these named ``base``,
+``spans``, ``doc_id`` or ``text`` gives way.
 """
 
 from __future__ import annotations

@@ -14,8 +14,10 @@ something new are passed on.
 
 Cases: a null or empty text, or one of white space alone, has fingerprint zero and
 links like any other; repeated rows and equal texts share a fingerprint; a null
-``doc_id`` is never a component's smallest unless all its ids are null; an empty
-table gives no rows.
+``doc_id`` is never a component's smallest unless all its ids are null; a very long
+text has one fingerprint like any other; an empty table gives no rows. Other columns
+are dropped by ``near_duplicates`` and stay, whatever their names, in ``keep_one``,
+which of rows with the same id and text keeps any one.
 """
 
 from __future__ import annotations

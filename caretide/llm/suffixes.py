@@ -21,8 +21,9 @@ The order is that of tokens, not of bytes: it serves as well, since equal string
 have equal tokens and so stand side by side.
 
 Cases: a null or empty text has no bytes; repeated rows are repeats of each other;
-texts shorter than a string stay; an empty table gives no rows. What is left of a
-text need not be valid UTF-8, so it is binary.
+texts shorter than a string stay; a very long text is hashed in stretches; an empty
+table gives no rows; other columns are dropped. What is left of a text need not be
+valid UTF-8, so it is binary.
 """
 
 from __future__ import annotations

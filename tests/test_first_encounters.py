@@ -18,6 +18,8 @@ def orders_dir(spark, tmp_path_factory):
     """Customers with several orders, some of them terminal, repeated keys, and nulls."""
     path = str(tmp_path_factory.mktemp("orders"))
     orders = [(k, k % 40, _day(k * 13 % 400), f"{1 + k % 5}-X") for k in range(1, 400)]
+    # a first order without a day has no label and is not in the view
+    orders += [(0, 41, None, "1-X"), (502, 41, _day(2), "1-X"), (501, 42, None, "1-X")]
     orders += [(7, 7, _day(91), "3-X"), (400, 3, None, "1-X"), (401, None, _day(5), "2-X"),
                (None, 8, _day(9), "2-X"), (9, 11, _day(17), "4-X"), (402, 999, _day(3), None)]
     tables = {
@@ -40,6 +42,7 @@ def _rows(df):
 def test_features_are_those_of_the_whole_view(spark, orders_dir):
     whole = _rows(modelling_table(encounters(spark, orders_dir)))
     assert len(whole) > 30 and any("row_id=None" in row for row in whole)
+    assert any("row_id='502'" in row for row in whole)
     assert _rows(T.modelling(spark, orders_dir)) == whole
 
 
